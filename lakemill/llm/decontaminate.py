@@ -149,7 +149,6 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "t
     items = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("binary").alias("body")).where("item is not null and body is not null")
     total = items.agg(F.sum(F.length("body"))).first()[0] or 0
     blocks = max(1, math.ceil(total / block_bytes))
-    held = [T.StructField("__ranges", T.BinaryType()), T.StructField("__items", T.ArrayType(T.StringType()))]
     last = [
         T.StructField("n_words", T.LongType()),
         T.StructField("n_hit", T.LongType()),
@@ -157,21 +156,25 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "t
         T.StructField("items_sha256", T.StringType()),
         T.StructField("contaminated", T.BooleanType()),
     ]
+    before: list[str] = []
     for k in range(blocks):
         mine = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == k)
         rows = [(r["item"], bytes(r["body"])) for r in mine.toLocalIterator()]
-        docs = append_columns(docs if k == 0 else docs.withColumnsRenamed({"__ranges": "__ranges_in", "__items": "__items_in"}), last if k == blocks - 1 else held, lambda rows=rows, k=k: _scanner(rows, window, text_col, k > 0, k == blocks - 1), text_col)
-    return docs.drop("__ranges_in", "__items_in")
+        held = [f"__ranges_{k}", f"__items_{k}"]
+        fields = last if k == blocks - 1 else [T.StructField(held[0], T.BinaryType()), T.StructField(held[1], T.ArrayType(T.StringType()))]
+        docs = append_columns(docs, fields, lambda rows=rows, before=before, final=k == blocks - 1: _scanner(rows, window, text_col, before, final), text_col)
+        docs, before = docs.drop(*before), held
+    return docs
 
 
-def _scanner(rows, window, text_col, later, final):
+def _scanner(rows, window, text_col, before, final):
     matcher = Matcher(rows, window)
 
     def scan(batch):
         got = matcher.scan(bytes_of(batch, text_col))
-        if later:
+        if before:
             names = batch.schema.names
-            for (_, ranges, items), r, i in zip(got, batch.column(names.index("__ranges_in")).to_pylist(), batch.column(names.index("__items_in")).to_pylist()):
+            for (_, ranges, items), r, i in zip(got, *(batch.column(names.index(c)).to_pylist() for c in before)):
                 ranges.extend(map(tuple, np.frombuffer(r, "<i8").reshape(-1, 2).tolist()))
                 items.update(i)
         if not final:

