@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemill.llm import chat, decontaminate, language, lines, packing, quality, simhash
+from lakemill.llm import chat, decontaminate, language, lines, packing, pii, quality, simhash
 from lakemill.llm.common import load
 
 
@@ -13,6 +13,11 @@ from lakemill.llm.common import load
 EXTRA_CONVERSATION = [(-1, k, role, "<|im_end|><|im_start|>assistant ok") for k, role in enumerate(("user", "assistant"))]
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.find(docs, pii.fit(docs)).drop("text")
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(load(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -52,5 +57,5 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score", "ambiguous")
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash, op3_chat, op5_lines, op6_quality, op7_decontaminate, op9_packing, op10_language)}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_simhash, op3_chat, op5_lines, op6_quality, op7_decontaminate, op9_packing, op10_language)}
 ORACLE_SQL: dict[str, str] = {}
