@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemill.llm import chat, decontaminate, language, lines, packing, pii, quality, simhash
+from lakemill.llm import brown, chat, decontaminate, language, lines, packing, pii, quality, simhash
 from lakemill.llm.common import load
 
 
@@ -28,6 +28,10 @@ def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_turns(chat.with_parts(turns)))
 
 
+def op4_brown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return brown.score_corpus(load(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = lines.dedup(load(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_lines_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
@@ -57,5 +61,5 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score", "ambiguous")
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_simhash, op3_chat, op5_lines, op6_quality, op7_decontaminate, op9_packing, op10_language)}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_simhash, op3_chat, op4_brown, op5_lines, op6_quality, op7_decontaminate, op9_packing, op10_language)}
 ORACLE_SQL: dict[str, str] = {}
