@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemill.llm import brown, chat, decontaminate, language, lines, packing, pii, quality, simhash
+from lakemill.llm import brown, chat, decontaminate, language, lines, packing, pii, quality, simhash, substrings
 from lakemill.llm.common import load
 
 
@@ -47,6 +47,10 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_contamination(docs, load(spark, sf_dir, "benchmark")).drop("text")
 
 
+def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(load(spark, sf_dir, "documents").select("doc_id", "text")).drop("kept")
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -61,5 +65,5 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score", "ambiguous")
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_simhash, op3_chat, op4_brown, op5_lines, op6_quality, op7_decontaminate, op9_packing, op10_language)}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_simhash, op3_chat, op4_brown, op5_lines, op6_quality, op7_decontaminate, op8_substrings, op9_packing, op10_language)}
 ORACLE_SQL: dict[str, str] = {}
