@@ -150,28 +150,26 @@ def _verified(candidates: DataFrame, texts: DataFrame, similarity: float, cap: i
     rows = rows.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j", "id").select("band", "i", "j", "side", "id", "body")
 
     def compare(group):
-        """Links of one group: each line against one member after another of the clusters so far."""
+        """Links of one group: each line against the clusters so far, until one of a cluster is similar."""
         across = group[0][0][1] != group[0][0][2]
-        parent = list(range(len(group)))
-
-        def root(x):
-            while parent[x] != x:
-                parent[x] = x = parent[parent[x]]
-            return x
-
-        edges, sets = [], []
-        for k, (_, side, ident, body) in enumerate(group):
-            mine = shingles(body)
-            sets.append(mine)
-            for m in range(k - 1, -1, -1):
-                if across and side == group[m][1]:
-                    continue
-                short, long = sorted((len(mine), len(sets[m])))
-                if short < similarity * long or root(m) == root(k):
-                    continue
-                if jaccard(mine, sets[m]) >= similarity:
-                    parent[root(k)] = root(m)
-                    edges.append((ident, group[m][2]))
+        sets = [shingles(body) for *_, body in group]
+        clusters: list[list[int]] = []
+        edges = []
+        for k, (_, side, ident, _) in enumerate(group):
+            mine, size = sets[k], len(sets[k])
+            own, rest = [k], []
+            for members in clusters:
+                for m in members:
+                    if across and side == group[m][1]:
+                        continue
+                    other = len(sets[m])
+                    if size >= similarity * other and other >= similarity * size and jaccard(mine, sets[m]) >= similarity:
+                        edges.append((ident, group[m][2]))
+                        own = members + own
+                        break
+                else:
+                    rest.append(members)
+            clusters = [*rest, own]
         return edges
 
     def run(batches):
