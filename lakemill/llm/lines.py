@@ -163,7 +163,7 @@ def _verified(candidates: DataFrame, texts: DataFrame, similarity: float, cap: i
                     if across and side == group[m][1]:
                         continue
                     other = len(sets[m])
-                    if size >= similarity * other and other >= similarity * size and jaccard(mine, sets[m]) >= similarity:
+                    if min(size, other) >= similarity * max(size, other) - 1e-6 and jaccard(mine, sets[m]) >= similarity:
                         edges.append((ident, group[m][2]))
                         own = members + own
                         break
