@@ -72,13 +72,13 @@ def first_seen(keys: DataFrame, most_rounds: int = 200) -> DataFrame:
 
 
 def events(keys: DataFrame, decided: DataFrame, ids: DataFrame) -> DataFrame:
-    """One row per removed row: the least id among the kept rows it matches, and the matched keys.
+    """One row per removed row: the least id among the earlier kept rows it matches, and the matched keys.
 
     ``ids`` has (seq, sample_id).
     """
-    kept = decided.where("kept").select("seq").join(ids, "seq").join(keys.distinct(), "seq").select("key", F.col("sample_id").alias("kept_sample_id"))
+    kept = decided.where("kept").select("seq").join(ids, "seq").join(keys.distinct(), "seq").select("key", F.col("seq").alias("kept_seq"), F.col("sample_id").alias("kept_sample_id"))
     gone = decided.where("not kept").select("seq").join(keys.distinct(), "seq")
-    matched = gone.join(kept, "key")
+    matched = gone.join(kept, "key").where("kept_seq < seq")
     per_row = matched.groupBy("seq").agg(F.min("kept_sample_id").alias("kept_sample_id"), F.array_sort(F.collect_set(F.split_part("key", F.lit("|"), F.lit(2)))).alias("matched_on"), F.array_sort(F.collect_set("key")).alias("keys"))
     return per_row.join(ids, "seq").select("seq", F.col("sample_id").alias("removed_sample_id"), "kept_sample_id", "matched_on", "keys")
 

@@ -134,7 +134,7 @@ def calibrate(df: DataFrame, objective: str = "maximize_f1", label: str = "label
     """Thresholds, buckets and warnings of a risk mapping."""
     table = threshold_table(df, label, score).cache()
     chosen = pick_threshold(table, objective).first()
-    if chosen is None:
+    if chosen is None or not chosen["tp"] + chosen["fp"] + chosen["tn"] + chosen["fn"]:
         raise ValueError("no labelled rows with a score")
     binary = float(chosen["threshold"])
     low, high = risk_thresholds(table, binary, most_rate, least_coverage)

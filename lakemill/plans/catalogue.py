@@ -270,7 +270,7 @@ def dedup_keys(spark, d):
     return dedup.first_seen(_document_keys(spark, d))
 
 
-@query(f"{_unrolled()} SELECT k.seq, min(j.seq)::BIGINT AS kept_id, count(DISTINCT k.key) AS n_keys FROM keys k JOIN keys j ON k.key = j.key AND j.seq IN (SELECT seq FROM kept) WHERE k.seq NOT IN (SELECT seq FROM kept) GROUP BY k.seq")
+@query(f"{_unrolled()} SELECT k.seq, min(j.seq)::BIGINT AS kept_id, count(DISTINCT k.key) AS n_keys FROM keys k JOIN keys j ON k.key = j.key AND j.seq < k.seq AND j.seq IN (SELECT seq FROM kept) WHERE k.seq NOT IN (SELECT seq FROM kept) GROUP BY k.seq")
 def dedup_events(spark, d):
     keys = _document_keys(spark, d)
     ids = table(spark, d, "documents").select(F.col("doc_id").alias("seq"), F.col("doc_id").alias("sample_id"))
