@@ -110,7 +110,7 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 
 def _candidates(found: DataFrame) -> DataFrame:
-    """(band, id) of the groups of two and more different lines, equal groups once."""
+    """(band, lo, id, n) of the groups of two and more different lines, equal groups once; lo is a group's least id."""
     rows = found.where("bands is not null").select(F.explode("bands").alias("band"), "id")
     rows = rows.repartition("band").groupBy("band", "id").agg(F.lit(1).alias("one"))
     w = Window.partitionBy("band")
@@ -118,7 +118,7 @@ def _candidates(found: DataFrame) -> DataFrame:
     groups = materialize(rows.select("band", "id", *whole).where("lo <> hi"), "lines-groups")
     name = ["n", "lo", "hi", "x", "y"]
     kept = groups.groupBy(*name).agg(F.min("band").alias("band")).select("band")
-    return groups.join(kept, "band", "left_semi").select("band", "id", "n")
+    return groups.join(kept, "band", "left_semi").select("band", "lo", "id", "n")
 
 
 def _texts(docs: DataFrame, places: DataFrame) -> DataFrame:
@@ -146,46 +146,70 @@ def _verified(candidates: DataFrame, texts: DataFrame, similarity: float, cap: i
     """Edges (a, b) that connect all lines of a group that are similar enough."""
     rows = candidates.withColumn("parts", F.ceil(F.col("n") / cap).cast("int")).withColumn("own", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    rows = rows.select("band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).alias("side"), "id").join(texts, "id")
-    rows = rows.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j", "id").select("band", "i", "j", "side", "id", "body")
-
-    def compare(group):
-        """Links of one group: each line against the clusters so far, until one of a cluster is similar."""
-        across = group[0][0][1] != group[0][0][2]
-        sets = [shingles(body) for *_, body in group]
-        clusters: list[list[int]] = []
-        edges = []
-        for k, (_, side, ident, _) in enumerate(group):
-            mine, size = sets[k], len(sets[k])
-            own, rest = [k], []
-            for members in clusters:
-                for m in members:
-                    if across and side == group[m][1]:
-                        continue
-                    other = len(sets[m])
-                    if min(size, other) >= similarity * max(size, other) - 1e-6 and jaccard(mine, sets[m]) >= similarity:
-                        edges.append((ident, group[m][2]))
-                        own = members + own
-                        break
-                else:
-                    rest.append(members)
-            clusters = [*rest, own]
-        return edges
+    rows = rows.select("lo", "band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).alias("side"), "id").join(texts, "id")
+    # groups with one least id are mostly the same lines again, so they come one after another
+    rows = rows.repartition("lo", "i", "j").sortWithinPartitions("lo", "i", "j", "band", "id").select("lo", "i", "j", "band", "side", "id", "body")
+
+    class Family:
+        """What groups of one least id share: shingles, links and pairs found not similar; all of bounded size."""
+
+        def __init__(self, across: bool):
+            self.across, self.sets, self.parent, self.apart = across, {}, {}, set()
+
+        def root(self, x: int) -> int:
+            while self.parent.get(x, x) != x:
+                x = self.parent[x]
+            return x
+
+        def similar(self, a: int, b: int) -> bool:
+            if (a, b) in self.apart:
+                return False
+            x, y = self.sets[a], self.sets[b]
+            if min(len(x), len(y)) >= similarity * max(len(x), len(y)) - 1e-6 and jaccard(x, y) >= similarity:
+                return True
+            self.apart.add((a, b))
+            return False
+
+        def compare(self, group: list[tuple[bool, int, str]]) -> list[tuple[int, int]]:
+            """New links of a group: each line against the clusters so far, until one of a cluster is similar."""
+            if len(self.sets) > cap:
+                self.sets = {}
+            if len(self.apart) > 50 * cap:
+                self.apart = set()
+            for _, ident, body in group:
+                if ident not in self.sets:
+                    self.sets[ident] = shingles(body)
+            clusters: dict[int, list[tuple[bool, int]]] = {}
+            edges = []
+            for side, ident, _ in group:
+                own = self.root(ident)
+                for r in [r for r in clusters if r != own]:
+                    for other, m in clusters[r]:
+                        if not (self.across and side == other) and self.similar(ident, m):
+                            edges.append((ident, m))
+                            self.parent[r] = own
+                            clusters.setdefault(own, []).extend(clusters.pop(r))
+                            break
+                clusters.setdefault(own, []).append((side, ident))
+            return edges
 
     def run(batches):
-        group, made = [], []
+        family, group, now, made = None, [], None, []
         for batch in batches:
-            band, i, j, side, ids, bodies = (c.to_pylist() for c in batch.columns)
-            for row in zip(zip(band, i, j), side, ids, bodies):
-                if group and group[0][0] != row[0]:
-                    made += compare(group)
-                    group = []
+            lo, i, j, band, side, ids, bodies = (c.to_pylist() for c in batch.columns)
+            for key, row in zip(zip(lo, i, j, band), zip(side, ids, bodies)):
+                if key != now:
+                    if group:
+                        made += family.compare(group)
+                    if now is None or key[:3] != now[:3]:
+                        family = Family(key[1] != key[2])
+                    group, now = [], key
                 group.append(row)
             if made:
                 yield _edges(made)
                 made = []
         if group:
-            made += compare(group)
+            made += family.compare(group)
         if made:
             yield _edges(made)
 
