@@ -43,6 +43,16 @@ def tokens(c: Column) -> Column:
     return F.filter(F.split(c, r"(?U)\s+"), lambda x: x != "")
 
 
+def word_grams(t: Column, sizes: tuple[int, ...] = (1, 2)) -> Column:
+    """N-grams of an array column; pass a column, not an expression, which would be computed per n-gram."""
+
+    def of(n: int) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.size(t) - (n - 1), F.lit(1)))
+        return F.when(F.size(t) >= n, F.transform(starts, lambda i: F.concat_ws(" ", F.slice(t, i, n)))).otherwise(F.array().cast("array<string>"))
+
+    return F.flatten(F.array(*[of(n) for n in sizes]))
+
+
 def urgency_terms(c: Column) -> Column:
     low = F.lower(c)
     return F.array_compact(F.array(*[F.when(low.contains(t), F.lit(t)) for t in URGENCY_TERMS]))

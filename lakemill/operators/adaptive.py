@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakemill.functions.text import word_grams
+
 PROPOSAL_TOKEN = r"(?U)\b[\w\-]{4,}\b"
 
 
@@ -122,16 +124,8 @@ def truth(df: DataFrame) -> Column:
     return F.col("label")
 
 
-def ngrams(text: Column, most: int = 80, sizes: tuple[int, ...] = (1, 2, 3)) -> Column:
-    t = F.slice(F.regexp_extract_all(F.lower(text), F.lit(PROPOSAL_TOKEN), F.lit(0)), 1, most)
-
-    def of(n: int) -> Column:
-        # a size that does not fit gives an empty range, not a descending one
-        starts = F.sequence(F.lit(1), F.greatest(F.size(t) - (n - 1), F.lit(1)))
-        return F.when(F.size(t) >= n, F.transform(starts, lambda i: F.concat_ws(" ", F.slice(t, i, n)))).otherwise(F.array().cast("array<string>"))
-
-    made = [of(n) for n in sizes]
-    return F.flatten(F.array(*made))
+def pattern_words(text: Column, most: int = 80) -> Column:
+    return F.slice(F.regexp_extract_all(F.lower(text), F.lit(PROPOSAL_TOKEN), F.lit(0)), 1, most)
 
 
 def _proposals(df: DataFrame, patterns: Column, kind: str) -> DataFrame:
@@ -143,7 +137,7 @@ def _proposals(df: DataFrame, patterns: Column, kind: str) -> DataFrame:
 
 
 def phrase_proposals(df: DataFrame, k: int = 50, least: int = 3, floor: float = 0.7) -> DataFrame:
-    found = _proposals(df, ngrams(F.col("normalized_text")), "phrase")
+    found = _proposals(df.withColumn("__words", pattern_words(F.col("normalized_text"))), word_grams(F.col("__words"), (1, 2, 3)), "phrase")
     return found.where(F.col("phishing") >= least).orderBy(F.desc("phishing"), "pattern").limit(3 * k).where(F.col("precision_proxy") >= floor)
 
 

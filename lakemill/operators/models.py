@@ -12,6 +12,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakemill.functions.text import word_grams
 from lakemill.operators import metrics
 
 SEED = 42
@@ -27,14 +28,8 @@ def word_border_grams(c: Column, sizes: tuple[int, ...] = (3, 4, 5)) -> Column:
     return F.flatten(F.array(*[of(n) for n in sizes]))
 
 
-def word_grams(c: Column, sizes: tuple[int, ...] = (1, 2)) -> Column:
-    t = F.regexp_extract_all(F.lower(c), F.lit(r"(?U)\b\w\w+\b"), F.lit(0))
-
-    def of(n: int) -> Column:
-        starts = F.sequence(F.lit(1), F.greatest(F.size(t) - (n - 1), F.lit(1)))
-        return F.when(F.size(t) >= n, F.transform(starts, lambda i: F.concat_ws(" ", F.slice(t, i, n)))).otherwise(F.array().cast("array<string>"))
-
-    return F.flatten(F.array(*[of(n) for n in sizes]))
+def words(c: Column) -> Column:
+    return F.regexp_extract_all(F.lower(c), F.lit(r"(?U)\b\w\w+\b"), F.lit(0))
 
 
 def map_terms(c: Column) -> Column:
@@ -104,15 +99,19 @@ class Bundle:
         self.classifier.write().overwrite().save(f"{path}/classifier")
 
 
-def train(df: DataFrame, featurizer: Featurizer, estimator: str) -> Bundle:
-    """Fit on rows with label 0 or 1; raises if there are none."""
+def train(df: DataFrame, featurizer: Featurizer, estimator: str, settings: dict | None = None) -> Bundle:
+    """Fit on rows with label 0 or 1; raises if there are none. ``settings`` replace the estimator's parameters."""
     rows = df.where(F.col("label").isin(0, 1)).withColumn("label", F.col("label").cast("double"))
     n = rows.count()
     if not n:
         raise RuntimeError("no supervised rows")
     rows = class_weights(rows)
     featurizer.fit(rows)
-    return Bundle(featurizer, ESTIMATORS[estimator](n).fit(featurizer.transform(rows)))
+    ready = featurizer.transform(rows).select("features", "label", "weight").cache()
+    try:
+        return Bundle(featurizer, ESTIMATORS[estimator](n).copy().setParams(**(settings or {})).fit(ready))
+    finally:
+        ready.unpersist()
 
 
 def evaluate(bundle: Bundle, df: DataFrame, by: str = "split") -> DataFrame:
@@ -126,7 +125,7 @@ def url_terms(df: DataFrame, url: str = "normalized_url") -> DataFrame:
 
 
 def text_terms(df: DataFrame, text: str = "normalized_text") -> DataFrame:
-    return df.withColumn("terms", word_grams(F.col(text)))
+    return df.withColumn("__words", words(F.col(text))).withColumn("terms", word_grams(F.col("__words"))).drop("__words")
 
 
 def embedding_vector(df: DataFrame, column: str = "embedding") -> DataFrame:

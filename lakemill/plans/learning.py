@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from lakemill.functions.urls import with_url
 from lakemill.operators import models, splits
+from lakemill.operators.dedup import cut
 from lakemill.plans.catalogue import table
 
 QUERIES: dict = {}
@@ -18,10 +19,10 @@ def query(f):
     return f
 
 
-def _fit(df: DataFrame, featurizer: models.Featurizer, estimator: str) -> DataFrame:
-    """Train on the train split and predict all of it."""
-    rows = splits.stratified(df, "sample_id", "label")
-    bundle = models.train(rows.where("split = 'train'"), featurizer, estimator)
+def _fit(df: DataFrame, featurizer: models.Featurizer, estimator: str, **settings) -> DataFrame:
+    """Train on the train split and predict all rows."""
+    rows = cut(splits.stratified(df, "sample_id", "label"), "learning")
+    bundle = models.train(rows.where("split = 'train'"), featurizer, estimator, settings)
     return bundle.predict(rows.withColumn("label", F.col("label").cast("double"))).select("sample_id", "split", F.col("label").cast("int").alias("label"), "predicted", "score", "score_prob")
 
 
@@ -37,12 +38,12 @@ def _urls(spark, d):
 
 @query
 def ml_url_tfidf_logreg(spark, d):
-    return _fit(_urls(spark, d), models.Featurizer("tfidf"), "logistic_regression")
+    return _fit(_urls(spark, d), models.Featurizer("tfidf"), "logistic_regression", maxIter=30)
 
 
 @query
 def ml_text_tfidf_svm(spark, d):
-    return _fit(_texts(spark, d), models.Featurizer("tfidf", 250_000), "linear_svm")
+    return _fit(_texts(spark, d), models.Featurizer("tfidf", 250_000), "linear_svm", maxIter=20)
 
 
 def _parts(spark, d):
@@ -52,15 +53,15 @@ def _parts(spark, d):
 
 @query
 def ml_tabular_forest(spark, d):
-    return _fit(_parts(spark, d), models.Featurizer("terms", numeric=["price"]), "random_forest")
+    return _fit(_parts(spark, d), models.Featurizer("terms", numeric=["price"]), "random_forest", numTrees=20, maxDepth=6)
 
 
 @query
 def ml_tabular_boosting(spark, d):
-    return _fit(_parts(spark, d), models.Featurizer("terms", numeric=["price"]), "gradient_boosting")
+    return _fit(_parts(spark, d), models.Featurizer("terms", numeric=["price"]), "gradient_boosting", maxIter=8, maxDepth=3)
 
 
 @query
 def ml_embedding_logreg(spark, d):
     rows = table(spark, d, "embeddings").select(F.col("vec_id").alias("sample_id"), (F.col("label") % 2).alias("label"), array_to_vector(F.col("embedding").cast("array<double>")).alias("vector"))
-    return _fit(rows, models.Featurizer("vector"), "logistic_regression")
+    return _fit(rows, models.Featurizer("vector"), "logistic_regression", maxIter=30)

@@ -52,7 +52,7 @@ def test_learning_queries(spark, sf):
 
 
 def test_grams(spark):
-    row = spark.createDataFrame([("Ab cde",)], "s string").select(models.word_border_grams(F.col("s")).alias("c"), models.word_grams(F.lit("one two x three")).alias("w")).first()
+    row = spark.createDataFrame([("Ab cde",)], "s string").select(models.word_border_grams(F.col("s")).alias("c"), models.word_grams(models.words(F.lit("one two x three"))).alias("w")).first()
     assert sorted(row["c"]) == sorted([" ab", "ab ", " cd", "cde", "de ", " ab ", " cde", "cde ", " ab ", " cde "])
     assert row["w"] == ["one", "two", "three", "one two", "two three"]
 
