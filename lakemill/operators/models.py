@@ -45,11 +45,12 @@ def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
     return df.withColumn("weight", F.element_at(F.create_map(*pairs), F.col(label).cast("int")))
 
 
+#: Sizes of the reference; a forest's depth is unlimited there, and MLlib stops at 30.
 ESTIMATORS = {
-    "logistic_regression": lambda n: LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight", regParam=1.0 / max(n, 1), standardization=False, maxIter=100),
-    "linear_svm": lambda n: LinearSVC(featuresCol="features", labelCol="label", weightCol="weight", regParam=1.0 / max(n, 1), standardization=False, maxIter=50),
-    "random_forest": lambda n: RandomForestClassifier(featuresCol="features", labelCol="label", weightCol="weight", numTrees=100, maxDepth=10, seed=SEED),
-    "gradient_boosting": lambda n: GBTClassifier(featuresCol="features", labelCol="label", weightCol="weight", maxIter=30, stepSize=0.05, maxDepth=6, seed=SEED),
+    "logistic_regression": lambda n: LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight", regParam=1.0 / max(n, 1), standardization=False, maxIter=3000),
+    "linear_svm": lambda n: LinearSVC(featuresCol="features", labelCol="label", weightCol="weight", regParam=1.0 / max(n, 1), standardization=False, maxIter=1000),
+    "random_forest": lambda n: RandomForestClassifier(featuresCol="features", labelCol="label", weightCol="weight", numTrees=400, maxDepth=30, seed=SEED),
+    "gradient_boosting": lambda n: GBTClassifier(featuresCol="features", labelCol="label", weightCol="weight", maxIter=300, stepSize=0.05, maxDepth=6, seed=SEED),
 }
 
 
@@ -99,8 +100,8 @@ class Bundle:
         self.classifier.write().overwrite().save(f"{path}/classifier")
 
 
-def train(df: DataFrame, featurizer: Featurizer, estimator: str, settings: dict | None = None) -> Bundle:
-    """Fit on rows with label 0 or 1; raises if there are none. ``settings`` replace the estimator's parameters."""
+def train(df: DataFrame, featurizer: Featurizer, estimator: str) -> Bundle:
+    """Fit on rows with label 0 or 1; raises if there are none."""
     rows = df.where(F.col("label").isin(0, 1)).withColumn("label", F.col("label").cast("double"))
     n = rows.count()
     if not n:
@@ -109,7 +110,7 @@ def train(df: DataFrame, featurizer: Featurizer, estimator: str, settings: dict
     featurizer.fit(rows)
     ready = featurizer.transform(rows).select("features", "label", "weight").cache()
     try:
-        return Bundle(featurizer, ESTIMATORS[estimator](n).copy().setParams(**(settings or {})).fit(ready))
+        return Bundle(featurizer, ESTIMATORS[estimator](n).fit(ready))
     finally:
         ready.unpersist()
 

@@ -51,6 +51,15 @@ def test_learning_queries(spark, sf):
     assert got["ml_embedding_logreg"].count() == 500
 
 
+def test_model_sizes(spark, sf, monkeypatch):
+    monkeypatch.setattr(learning, "_fit", lambda df, featurizer, estimator, **settings: (estimator, settings))
+    assert all(q(spark, sf)[1] == {} for q in learning.QUERIES.values())
+    sizes = {"logistic_regression": {"maxIter": 3000}, "linear_svm": {"maxIter": 1000}, "random_forest": {"numTrees": 400, "maxDepth": 30}, "gradient_boosting": {"maxIter": 300, "maxDepth": 6}}
+    for name, want in sizes.items():
+        made = models.ESTIMATORS[name](100)
+        assert {k: made.getOrDefault(k) for k in want} == want, name
+
+
 def test_grams(spark):
     row = spark.createDataFrame([("Ab cde",)], "s string").select(models.word_border_grams(F.col("s")).alias("c"), models.word_grams(models.words(F.lit("one two x three"))).alias("w")).first()
     assert sorted(row["c"]) == sorted([" ab", "ab ", " cd", "cde", "de ", " ab ", " cde", "cde ", " ab ", " cde "])
