@@ -1,15 +1,19 @@
 """Language-model scoring by Brown class-based n-grams.
 
 Words are counted over all training documents. The most common ones are word types of their own, all
-others share types by their ending and length, so every word has a type. Exchange clustering moves types between
-classes while the likelihood of class transitions rises. A token's probability is a mixture:
+others start with types shared by ending and length. Exchange clustering moves types between
+classes until no move raises the likelihood of class transitions. Then each rarer word goes by itself to the
+class that its own counted neighbours make most likely, and the transitions are counted anew over the
+classes of all words. Only words that no training text holds keep their shared type's class.
+A token's probability is a mixture:
 the class's given the class before times the word's given its class, with the add-one unigram model
 as the other part. Each text gets the log10 probability of its words and one end token.
 
 How it runs: texts go to chunks of bounded size by a hash of their id. Every chunk counts its words,
-counts meet by word, and each chunk gets back the words it holds with their counts, so that no table of all
-words is ever in one place. Type bigrams are counted over all training text; their number is bounded by the
-square of the number of types.
+counts meet by word, and each chunk gets back the words it holds with their counts and classes, so that no table of
+all words is ever in one place. Type bigrams are counted over all training text; their number is bounded by the
+square of the number of types. A rarer word's neighbours are counted by class and meet by word, two rows a class at
+most. Texts are kept as classes and counts, from which transitions and then scores come without another shuffle.
 
 Defined results: a null or empty text is its end token alone; without training documents no word is
 known and the model is the uniform one; a null id is a training id; repeated rows are scored and
@@ -18,6 +22,7 @@ counted each. Extra columns are ignored.
 
 from __future__ import annotations
 
+import itertools
 import math
 import zlib
 from collections import Counter
@@ -35,14 +40,14 @@ END = b""
 #: Most common words that are types of their own, and types that all others share.
 COMMON, SHARED = 1000, 250
 CLASSES = 40
-#: Passes of exchange clustering over all types.
-PASSES = 4
 #: Share of the class model in the mixture.
 SHARE = 0.9
 #: Bytes of text that a chunk holds.
 CHUNK_BYTES = 16 << 20
 #: Different words that a task counts before it hands its counts on.
 HELD_WORDS = 400_000
+#: Neighbour counts that a task holds before it hands them on, and rarer words that are placed at once.
+HELD_CONTEXTS, PLACED_WORDS = 1_000_000, 4000
 
 
 def tokens(text: bytes) -> list[bytes]:
@@ -58,9 +63,17 @@ def shared_type(word: bytes, common: int = COMMON, shared: int = SHARED) -> int:
     return common + zlib.crc32(word[:1] + word[-2:] + bytes([min(len(word), 24) // 4])) % shared
 
 
-def exchange(bigrams: np.ndarray, classes: int = CLASSES, passes: int = PASSES) -> np.ndarray:
+def xlogx(x: np.ndarray) -> np.ndarray:
+    return x * np.log(np.maximum(x, 1e-300))
+
+
+def exchange(bigrams: np.ndarray, classes: int = CLASSES, passes: int | None = None) -> np.ndarray:
     """Class of each type: every type in turn moves to the class that gives the highest likelihood.
 
+    Passes go on until no type moves, or for as many as given; a gain within rounding is none. The first ones
+    leave the word's own tokens out of its neighbours' sums, which escapes poor starts, until the likelihood
+    no longer rises; the others use its exact gain.
+
     The likelihood of a clustering is, but for constants, the sum of f(n) over class bigrams less the
     sums of f(n) over class counts on either side, with f(n) = n log n.
     """
@@ -69,11 +82,13 @@ def exchange(bigrams: np.ndarray, classes: int = CLASSES, passes: int = PASSES)
     of = np.zeros(n, np.int64)
     of[order] = np.arange(n) % min(classes, max(n, 1))
     k = int(of.max(initial=0)) + 1
-    f = lambda x: x * np.log(np.maximum(x, 1e-300))
+    f = xlogx
+    least = 1e-9 + 1e-14 * float(f(bigrams.sum()))
     onehot = np.eye(k)
     right, left = bigrams @ onehot[of], (onehot[of].T @ bigrams).T  # (types, classes): to, and from, each class
     table = onehot[of].T @ right
-    for _ in range(passes):
+    best, exact = -math.inf, False
+    for _ in itertools.count() if passes is None else range(passes):
         moved = False
         for w in order:
             self_n, c = bigrams[w, w], of[w]
@@ -84,13 +99,15 @@ def exchange(bigrams: np.ndarray, classes: int = CLASSES, passes: int = PASSES)
             table[:, c] -= into
             table[c, c] -= self_n
             rows, cols = table.sum(1), table.sum(0)
+            if exact:  # w's neighbours count it wherever it goes
+                rows, cols = rows + into, cols + out
             # the gain in each class d: its row gets out, its column into, its corner both and self_n
             gain = (f(table + out) - f(table)).sum(1) + (f(table + into[:, None]) - f(table)).sum(0)
             corner = np.diag(table)
             gain += f(corner + out + into + self_n) - f(corner + out) - f(corner + into) + f(corner)
             gain -= f(rows + out.sum() + self_n) - f(rows) + f(cols + into.sum() + self_n) - f(cols)
             d = int(gain.argmax())
-            if gain[d] <= gain[c] + 1e-9:
+            if gain[d] <= gain[c] + least:
                 d = c
             table[d, :] += out
             table[:, d] += into
@@ -102,8 +119,11 @@ def exchange(bigrams: np.ndarray, classes: int = CLASSES, passes: int = PASSES)
                 right[:, d] += bigrams[:, w]
                 left[:, c] -= bigrams[w]
                 left[:, d] += bigrams[w]
-        if not moved:
+        value = f(table).sum() - f(table.sum(0)).sum() - f(table.sum(1)).sum()
+        if exact and not moved:
             break
+        exact = exact or value <= best + least
+        best = max(best, value)
     return of
 
 
@@ -192,86 +212,237 @@ def count_bigrams(train: DataFrame, types: dict[bytes, int]) -> np.ndarray:
     return out.reshape(n_types, n_types)
 
 
-def fit(docs: DataFrame, counted: DataFrame) -> Model:
-    """The model from (chunk, word, c, n) rows and a second pass over the training text.
+def count_contexts(train: DataFrame, types: dict[bytes, int], of: np.ndarray) -> DataFrame:
+    """(word, key, n): how often each rarer word stands before (key) or after (classes + key) each class.
+
+    A word beside itself is left out, as its neighbour moves with it.
+    """
+    k, n_types = int(of.max(initial=0)) + 1, COMMON + SHARED
+
+    def run(batches):
+        known, rare, class_of = dict(types), [], of.tolist()
+        held, n_held = [], 0
+
+        def number(w):
+            known[w] = len(class_of)
+            class_of.append(class_of[shared_type(w)])
+            rare.append(w)
+            return known[w]
+
+        def flush():
+            codes, at = np.unique(np.concatenate([c for c, _ in held]), return_inverse=True)
+            n = np.bincount(at, np.concatenate([n for _, n in held])).astype(np.int64)
+            words = pa.array(rare, pa.binary())
+            for i in range(0, len(codes), 100_000):
+                part = codes[i : i + 100_000]
+                yield pa.RecordBatch.from_arrays([words.take(pa.array(part // (2 * k))), pa.array(part % (2 * k), pa.int32()), pa.array(n[i : i + 100_000])], ["word", "key", "n"])
+
+        for batch in batches:
+            for part in slices(batch, "text"):
+                ids = []
+                for text in bytes_of(part, "text"):
+                    for w in (END, *tokens(text)):
+                        t = known.get(w)
+                        ids.append(number(w) if t is None else t)
+                    ids.append(-1)
+                if not ids:
+                    continue
+                a, of_ids = np.array(ids, np.int64), np.array(class_of, np.int64)
+                left, right = a[:-1], a[1:]
+                inside = (left >= 0) & (right >= 0) & (left != right)
+                left, right = left[inside], right[inside]
+                before, after = left >= n_types, right >= n_types
+                held.append(np.unique(np.concatenate([(left[before] - n_types) * 2 * k + of_ids[right[before]], (right[after] - n_types) * 2 * k + k + of_ids[left[after]]]), return_counts=True))
+                n_held += len(held[-1][0])
+                if n_held > HELD_CONTEXTS or len(rare) > HELD_WORDS:
+                    yield from flush()
+                    known, rare, class_of, held, n_held = dict(types), [], of.tolist(), [], 0
+        if n_held:
+            yield from flush()
+
+    rows = train.select("text").mapInArrow(run, "word binary, key int, n long")
+    return rows.groupBy("word", "key").agg(F.sum("n").alias("n"))
+
+
+def place(now: np.ndarray, word: np.ndarray, key: np.ndarray, n: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """The best class of each word, in class ``now`` and counted in ``table`` of class bigrams, from its neighbours.
+
+    ``word``, ``key`` and ``n`` are the rows of count_contexts, words by number.
+    """
+    f, k, at = xlogx, len(table), np.arange(len(now))
+    dense = np.zeros((len(now), 2 * k))
+    np.add.at(dense, (word, key), n)
+    out, into = dense[:, :k], dense[:, k:]
+    gain = np.zeros((len(now), k))
+    for side, t, other in ((key < k, table.T, into), (key >= k, table, out)):
+        w, j, m = word[side], key[side] % k, n[side].astype(float)
+        rest = t[j]  # bigrams of each class with the neighbour's, without the word itself
+        rest[np.arange(len(w)), now[w]] -= m
+        own = j == now[w]
+        rest[own] -= other[w[own]]
+        rest = np.maximum(rest, 0)
+        np.add.at(gain, w, f(rest + m[:, None]) - f(rest))
+    corner = np.tile(np.diag(table), (len(now), 1))
+    corner[at, now] -= out[at, now] + into[at, now]
+    corner = np.maximum(corner, 0)
+    gain += f(corner + out + into) - f(corner + out) - f(corner + into) + f(corner)
+    for sums, x in ((table.sum(1), out.sum(1)), (table.sum(0), into.sum(1))):
+        rest = np.tile(sums, (len(now), 1))
+        rest[at, now] -= x
+        rest = np.maximum(rest, 0)
+        gain -= f(rest + x[:, None]) - f(rest)
+    best = gain.argmax(1)
+    return np.where(gain[at, best] > gain[at, now] + 1e-9, best, now)
+
+
+def place_words(contexts: DataFrame, of: np.ndarray, table: np.ndarray) -> DataFrame:
+    """(word, class) of the rarer words whose class is not their shared type's."""
+
+    def run(batches):
+        for batch in batches:
+            for i in range(0, batch.num_rows, PLACED_WORDS):
+                part = batch.slice(i, PLACED_WORDS)
+                words, rows = part.column(0), part.column(1)
+                now = np.array([of[shared_type(w)] for w in words.to_pylist()], np.int64)
+                word, flat = np.repeat(np.arange(len(words)), rows.value_lengths().to_numpy()), rows.flatten()
+                best = place(now, word, flat.field("key").to_numpy(), flat.field("n").to_numpy(), table)
+                moved = np.flatnonzero(best != now)
+                yield pa.RecordBatch.from_arrays([words.take(pa.array(moved)), pa.array(best[moved], pa.int32())], ["word", "class"])
+
+    rows = contexts.groupBy("word").agg(F.collect_list(F.struct("key", "n")).alias("rows"))
+    return rows.mapInArrow(run, "word binary, class int")
+
+
+def fit(docs: DataFrame, counted: DataFrame) -> tuple[Model, DataFrame]:
+    """The model but for its transitions, and (word, class) of the words that left their shared type's class.
 
-    The driver gets the common words, a row per shared type and the type bigrams, all of bounded size.
+    From (chunk, word, c, n) rows and two more passes over the training text. The driver gets the common words,
+    the type bigrams and a row per class, all of bounded size.
     """
     own = counted.where("c > 0").groupBy("word").agg(F.first("c").alias("c"))
     own = materialize(own, "brown-words")
     total, vocabulary = own.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     common = [(bytes(r["word"]), r["c"]) for r in own.orderBy(F.desc("c"), "word").limit(COMMON).collect()]
     types = {w: i for i, (w, _) in enumerate(common)}
-
-    def run(batches):
-        tokens_of, words_of = np.zeros(COMMON + SHARED, np.int64), np.zeros(COMMON + SHARED, np.int64)
-        for batch in batches:
-            ts = np.array([types[w] if w in types else shared_type(w) for w in batch.column(0).to_pylist()], np.int64)
-            np.add.at(tokens_of, ts, batch.column(1).to_numpy())
-            np.add.at(words_of, ts, 1)
-        on = np.flatnonzero(words_of)
-        yield pa.RecordBatch.from_arrays([pa.array(on, pa.int32()), pa.array(tokens_of[on], pa.int64()), pa.array(words_of[on], pa.int64())], ["type", "tokens", "words"])
-
-    held = own.mapInArrow(run, "type int, tokens long, words long").groupBy("type").agg(F.sum("tokens").alias("tokens"), F.sum("words").alias("words")).toArrow()
-    tokens_of, words_of = np.zeros(COMMON + SHARED), np.zeros(COMMON + SHARED)
-    tokens_of[held["type"].to_numpy()] = held["tokens"].to_numpy()
-    words_of[held["type"].to_numpy()] = held["words"].to_numpy()
-    bigrams = count_bigrams(docs.where("not held_out"), types)
+    train = docs.where("not held_out")
+    bigrams = count_bigrams(train, types)
     of = exchange(bigrams)
     k = int(of.max(initial=0)) + 1
     onehot = np.eye(k)[of]
-    table = onehot.T @ bigrams @ onehot
-    prior = (table.sum(0) + 1) / (table.sum() + k)
-    transitions = (table + 5 * prior) / (table.sum(1, keepdims=True) + 5)
-    mass = onehot.T @ (tokens_of + words_of) + 1
-    return Model(int(total), int(vocabulary), types, of, transitions, mass)
+    moved = materialize(place_words(count_contexts(train, types, of), of, onehot.T @ bigrams @ onehot), "brown-classes")
+    model = Model(int(total), int(vocabulary), types, of, np.full((k, k), 1 / k), np.ones(k))
+
+    def run(batches):
+        mass = np.zeros(k, np.int64)
+        for batch in batches:
+            cs = [int(of[model.type_of(w)]) if c is None else c for w, c in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist())]
+            np.add.at(mass, np.array(cs, np.int64), batch.column(1).to_numpy() + 1)
+        on = np.flatnonzero(mass)
+        yield pa.RecordBatch.from_arrays([pa.array(on, pa.int32()), pa.array(mass[on])], ["class", "mass"])
+
+    held = own.join(moved, "word", "left").select("word", "c", "class").mapInArrow(run, "class int, mass long").groupBy("class").agg(F.sum("mass").alias("mass")).toArrow()
+    model.mass[held["class"].to_numpy()] += held["mass"].to_numpy()
+    return model, moved
+
+
+def score_ids(classes: np.ndarray, c: np.ndarray, model: Model) -> tuple[float, float]:
+    """Base score and model score of one text from its words' classes and counts."""
+    base = (c + 1) / (model.total + model.vocabulary + 1)
+    before = np.concatenate([[model.of[model.type_of(END)]], classes[:-1]])
+    by_class = model.log_class[before, classes] * (c + 1) / model.mass[classes]
+    return float(np.log10(base).sum()), float(np.log10(SHARE * by_class + (1 - SHARE) * base).sum())
 
 
 def score_text(words: list[bytes], counts: dict[bytes, int], model: Model, cache: dict[bytes, tuple[int, int]]) -> tuple[int, int, float, float]:
-    """n_tokens, n_known, base score and model score of one text."""
+    """n_tokens, n_known, base score and model score of one text; ``cache`` holds classes and counts by word."""
     for w in words:
         if w not in cache:
             cache[w] = (int(model.of[model.type_of(w)]), counts.get(w, 0))
     classes, c = np.array([cache[w] for w in words], np.int64).T
-    base = (c + 1) / (model.total + model.vocabulary + 1)
-    first = model.of[model.type_of(END)]
-    before = np.concatenate([[first], classes[:-1]])
-    by_class = model.log_class[before, classes] * (c + 1) / model.mass[classes]
-    return len(words), int((c > 0).sum()), float(np.log10(base).sum()), float(np.log10(SHARE * by_class + (1 - SHARE) * base).sum())
+    return len(words), int((c > 0).sum()), *score_ids(classes, c, model)
 
 
 SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, perplexity double"
 SCORED_NAMES = [c.split()[0] for c in SCORED.split(", ")]
-NOTHING_SCORED = pa.table({n: pa.array([], t) for n, t in zip(SCORED_NAMES, (pa.int64(), pa.bool_(), *[pa.int64()] * 3, *[pa.float64()] * 3))})
+ENCODED = "doc_id long, held_out boolean, classes binary, counts binary"
+NOTHING_ENCODED = pa.table({"doc_id": pa.array([], pa.int64()), "held_out": pa.array([], pa.bool_()), "classes": pa.array([], pa.binary()), "counts": pa.array([], pa.binary())})
 
 
-def score(docs: DataFrame, counted: DataFrame, model: Model) -> DataFrame:
-    """One row per document; each chunk meets the counts of its own words."""
+def encode(docs: DataFrame, counted: DataFrame, model: Model, moved: DataFrame) -> DataFrame:
+    """Texts as the classes and counts of their words; each chunk meets those of its own words."""
+    wide = np.dtype("<u4" if model.total < 1 << 32 else "<i8")
 
     def run(left, right):
-        counts: dict[bytes, int] = {}
+        number: dict[bytes, int] = {}
+        classes, counts = [], []
         for batch in right.to_batches():
-            counts.update(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()))
-        cache: dict[bytes, tuple[int, int]] = {}
+            words = batch.column(1).to_pylist()
+            number.update(zip(words, range(len(number), len(number) + len(words))))
+            classes += [int(model.of[model.type_of(w)]) if c is None else c for w, c in zip(words, batch.column(3).to_pylist())]
+            counts.append(batch.column(2).to_numpy())
+        classes, counts = np.array(classes, np.uint8), np.concatenate(counts or [np.zeros(0)]).astype(wide)
         out = []
         for batch in left.to_batches():
             for part in slices(batch, "text"):
                 if not part.num_rows:
                     continue
-                rows = [score_text(tokens(t), counts, model, cache) for t in bytes_of(part, "text")]
-                n, known, base, own = zip(*rows)
-                ppl = [10 ** (-s / m) for m, s in zip(n, own)]
+                ids = [np.array([number[w] for w in tokens(t)], np.int64) for t in bytes_of(part, "text")]
                 names = part.schema.names
-                columns = [part.column(names.index("doc_id")), part.column(names.index("held_out")), pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array([model.total] * len(n), pa.int64()), pa.array(base, pa.float64()), pa.array(own, pa.float64()), pa.array(ppl, pa.float64())]
-                out.append(pa.Table.from_arrays(columns, [*SCORED_NAMES]))
-        return pa.concat_tables(out) if out else NOTHING_SCORED
+                columns = [part.column(names.index("doc_id")), part.column(names.index("held_out")), pa.array([classes[i].tobytes() for i in ids], pa.binary()), pa.array([counts[i].tobytes() for i in ids], pa.binary())]
+                out.append(pa.Table.from_arrays(columns, NOTHING_ENCODED.schema.names))
+        return pa.concat_tables(out) if out else NOTHING_ENCODED
 
+    classed = counted.join(moved, "word", "left").select("chunk", "word", "c", "class")
     texts = docs.select("chunk", "doc_id", "held_out", "text").groupBy("chunk")
-    return texts.cogroup(counted.select("chunk", "word", "c").groupBy("chunk")).applyInArrow(run, SCORED)
+    return texts.cogroup(classed.groupBy("chunk")).applyInArrow(run, ENCODED)
+
+
+def transitions(encoded: DataFrame, model: Model) -> np.ndarray:
+    """Probabilities of class bigrams over all training text, with the classes of all words."""
+    k, first = len(model.mass), int(model.of[model.type_of(END)])
+
+    def run(batches):
+        total = np.zeros(k * k, np.int64)
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                a = np.frombuffer(text, np.uint8).astype(np.int64)
+                total += np.bincount(np.concatenate([[first], a[:-1]]) * k + a, minlength=k * k)
+        on = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(on, pa.int32()), pa.array(total[on])], ["code", "n"])
+
+    sums = encoded.where("not held_out").select("classes").mapInArrow(run, "code int, n long").groupBy("code").agg(F.sum("n").alias("n")).toArrow()
+    table = np.zeros(k * k)
+    table[sums["code"].to_numpy()] = sums["n"].to_numpy()
+    table = table.reshape(k, k)
+    prior = (table.sum(0) + 1) / (table.sum() + k)
+    return (table + 5 * prior) / (table.sum(1, keepdims=True) + 5)
+
+
+def score(encoded: DataFrame, model: Model) -> DataFrame:
+    """One row per document."""
+    wide = np.dtype("<u4" if model.total < 1 << 32 else "<i8")
+
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = []
+            for classes, counts in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                c = np.frombuffer(counts, wide).astype(np.int64)
+                rows.append((len(c), int((c > 0).sum()), *score_ids(np.frombuffer(classes, np.uint8), c, model)))
+            n, known, base, own = zip(*rows)
+            ppl = [10 ** (-s / m) for m, s in zip(n, own)]
+            columns = [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array([model.total] * len(n), pa.int64()), pa.array(base, pa.float64()), pa.array(own, pa.float64()), pa.array(ppl, pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, SCORED_NAMES)
+
+    return encoded.mapInArrow(run, SCORED)
 
 
 def score_corpus(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """Train on the documents that are not held out and score all."""
     docs, chunks = _chunked(docs, chunk_bytes)
     counted = materialize(count_words(docs, chunks), "brown-counted")
-    return score(docs, counted, fit(docs, counted))
+    model, moved = fit(docs, counted)
+    encoded = materialize(encode(docs, counted, model, moved), "brown-encoded")
+    model.log_class = transitions(encoded, model)
+    return score(encoded, model)

@@ -75,3 +75,35 @@ def test_probabilities_of_all_words_sum_to_one():
     known = sum(10 ** brown.score_text([w], counts, model, {})[3] for w in counts)
     unknown = sum((0.9 / 3) / model.mass[k] for k in range(3)) + 0.1 / 16
     assert abs(known + unknown - 1) < 1e-9
+
+
+def test_rarer_words_go_to_the_class_of_their_own_neighbours():
+    rng = np.random.default_rng(1)
+    of = np.arange(12) % 3
+    bigrams = rng.poisson(np.where((of[:, None] + 1) % 3 == of[None, :], 30, 2)).astype(float)
+    np.fill_diagonal(bigrams, 0)
+    bigrams[10, 11] = bigrams[11, 10] = 0
+    table = np.eye(3)[of].T @ bigrams @ np.eye(3)[of]
+    for w in (10, 11):
+        counts = np.concatenate([bigrams[w] @ np.eye(3)[of], bigrams[:, w] @ np.eye(3)[of]])
+        key = np.flatnonzero(counts)
+        got = brown.place(np.array([of[w]]), np.zeros(len(key), np.int64), key, counts[key], table)[0]
+        best = max(range(3), key=lambda c: likelihood(bigrams, np.where(np.arange(12) == w, c, of)))
+        assert got == best
+        wrong = np.where(np.arange(12) == w, (best + 1) % 3, of)
+        moved = np.eye(3)[wrong].T @ bigrams @ np.eye(3)[wrong]
+        assert brown.place(np.array([wrong[w]]), np.zeros(len(key), np.int64), key, counts[key], moved)[0] == best
+
+
+def test_rarer_words_of_one_shared_type_get_classes_of_their_own(spark, monkeypatch):
+    monkeypatch.setattr(brown, "COMMON", 5)
+    monkeypatch.setattr(brown, "shared_type", lambda w: 5)
+    rows = [(i, " ".join(["a b"] * 20 + ["a rare1 a rare1 a", "c d " * 20, "c rare2 c rare2 c"])) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("held_out", brown.held_out())
+    of = np.array([0, 1, 2, 3, 4, 1] + [1] * (brown.SHARED - 1))
+    types = {b"a": 0, b"b": 1, b"c": 2, b"d": 3, b"": 4}
+    big = brown.count_bigrams(docs.where("not held_out"), types)
+    table = np.eye(5)[of].T @ big @ np.eye(5)[of]
+    contexts = brown.count_contexts(docs.where("not held_out"), types, of)
+    got = {bytes(r[0]): r[1] for r in brown.place_words(contexts, of, table).collect()}
+    assert got.get(b"rare1", 1) == 1 and got[b"rare2"] == 3
