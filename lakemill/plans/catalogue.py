@@ -631,6 +631,63 @@ def proposals_from_errors(spark, d):
     return adaptive.error_proposals(_errors(spark, d), 20)
 
 
+# --- the filtered queries over all rows; their SQL is that of the filtered ones without the filter -
+
+
+def whole(name: str, cut: str):
+    """Register a query as ``name``_whole, with the SQL of ``name`` less ``cut``."""
+    if cut not in ORACLE[name]:
+        raise ValueError(f"{name} has no {cut}")
+
+    def add(f):
+        QUERIES[f"{name}_whole"] = f
+        ORACLE[f"{name}_whole"] = ORACLE[name].replace(cut, "")
+        return f
+
+    return add
+
+
+_SIDE_CUT = " WHERE doc_id % 5 <> 1 OR lang = 'en'"
+_PAIR_CUT = " WHERE u.sample_id % 5 <> 0 AND w.sample_id % 7 <> 0"
+
+
+def _all_sides(spark, d) -> DataFrame:
+    docs = table(spark, d, "documents")
+    return adaptive.sides(docs.where("doc_id % 2 = 0"), docs.where("doc_id % 2 <> 0"))
+
+
+def _all_pairs(spark, d) -> DataFrame:
+    p = predictions(spark, d)
+    return fusion.align(p.select("sample_id", "label", "score"), p.select("sample_id", F.col("score_web").alias("score")))
+
+
+@whole("drift_distributions", _SIDE_CUT)
+def drift_distributions_whole(spark, d):
+    return adaptive.distributions(_all_sides(spark, d), ["lang", "source"])
+
+
+@whole("drift_divergence", _SIDE_CUT)
+def drift_divergence_whole(spark, d):
+    return adaptive.divergence(adaptive.distributions(_all_sides(spark, d), ["lang", "source"])).select("dim", r6("js_divergence", "js"))
+
+
+@whole("drift_tokens", _SIDE_CUT)
+def drift_tokens_whole(spark, d):
+    return adaptive.token_shift(_all_sides(spark, d), "text")
+
+
+@whole("fusion_scores", _PAIR_CUT)
+def fusion_scores_whole(spark, d):
+    both = fusion.weighted(_all_pairs(spark, d)).withColumnRenamed("score", "weighted")
+    return fusion.cascade(both).select("sample_id", r6("weighted", "weighted"), r6("score", "cascade"))
+
+
+@whole("fusion_metrics", _PAIR_CUT)
+def fusion_metrics_whole(spark, d):
+    out = fusion.fusion_metrics(fusion.weighted(_all_pairs(spark, d)))
+    return out.select("tn", "fp", "fn", "tp", r6("f1", "f1"), r6("roc_auc", "roc_auc"), r6("pr_auc", "pr_auc"))
+
+
 # --- generic shapes of joins and windows on the star tables --------------------------------------
 
 

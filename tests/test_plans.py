@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lakemill import cli
 from lakemill.functions import html, urls
 from lakemill.operators import models, splits
-from lakemill.plans import build, learning
+from lakemill.plans import build, catalogue, learning
 from lakemill.streaming import scorer
 
 
@@ -60,6 +60,13 @@ def test_model_sizes(spark, sf, monkeypatch):
         assert {k: made.getOrDefault(k) for k in want} == want, name
 
 
+def test_whole_queries_hold_every_row(spark, sf):
+    docs = catalogue.table(spark, sf, "documents").count()
+    sums = catalogue.QUERIES["drift_distributions_whole"](spark, sf).groupBy("dim").agg(F.sum(F.col("reference") + F.col("current"))).collect()
+    assert [r[1] for r in sums] == [docs, docs]
+    assert catalogue.QUERIES["fusion_scores_whole"](spark, sf).count() == catalogue.predictions(spark, sf).count()
+
+
 def test_grams(spark):
     row = spark.createDataFrame([("Ab cde",)], "s string").select(models.word_border_grams(F.col("s")).alias("c"), models.word_grams(models.words(F.lit("one two x three"))).alias("w")).first()
     assert sorted(row["c"]) == sorted([" ab", "ab ", " cd", "cde", "de ", " ab ", " cde", "cde ", " ab ", " cde "])
