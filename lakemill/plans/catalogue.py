@@ -233,6 +233,13 @@ def record_validation(spark, d):
     return rows.groupBy("source_dataset", F.when(F.col("w") == "", "ok").otherwise(F.col("w")).alias("warnings")).agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(r"""SELECT 'parts' AS source_dataset, 'ok' AS warnings, count(*) AS n FROM part UNION ALL SELECT 'web_pages', 'ok', count(*) FROM pages
+UNION ALL SELECT 'oscar_aux', 'ok', count(*) FROM conversations HAVING count(*) > 0 UNION ALL SELECT source, CASE WHEN coalesce(regexp_matches(text, '\S'), false) THEN 'ok' ELSE 'record_has_no_modalities' END, count(*) FROM documents GROUP BY ALL""")
+def record_validation_whole(spark, d):
+    rows = records(spark, d).select("source_dataset", F.array_join("processing_metadata.validation_warnings", ",").alias("w"))
+    return rows.groupBy("source_dataset", F.when(F.col("w") == "", "ok").otherwise(F.col("w")).alias("warnings")).agg(F.count(F.lit(1)).alias("n"))
+
+
 # --- dedup ---------------------------------------------------------------------------------------
 
 

@@ -67,6 +67,19 @@ def test_whole_queries_hold_every_row(spark, sf):
     assert catalogue.QUERIES["fusion_scores_whole"](spark, sf).count() == catalogue.predictions(spark, sf).count()
 
 
+def test_validation_reports_blank_documents(spark, monkeypatch):
+    tables = {
+        "pages": spark.createDataFrame([], "page_id long, url string, html string"),
+        "documents": spark.createDataFrame([(1, None, "en", "s"), (2, " ", "en", "s"), (3, "words", "en", "s")], "doc_id long, text string, lang string, source string"),
+        "labels": spark.createDataFrame([], "doc_id long, toxic int"),
+        "conversations": spark.createDataFrame([("c", 1, "hi")], "conv_id string, turn int, text string"),
+        "part": spark.createDataFrame([], "p_partkey long, p_size int, p_brand string"),
+    }
+    monkeypatch.setattr(catalogue, "table", lambda spark, d, name: tables[name])
+    got = {tuple(r) for r in catalogue.QUERIES["record_validation_whole"](spark, "").collect()}
+    assert got == {("s", "record_has_no_modalities", 2), ("s", "ok", 1), ("oscar_aux", "ok", 1)}
+
+
 def test_grams(spark):
     row = spark.createDataFrame([("Ab cde",)], "s string").select(models.word_border_grams(F.col("s")).alias("c"), models.word_grams(models.words(F.lit("one two x three"))).alias("w")).first()
     assert sorted(row["c"]) == sorted([" ab", "ab ", " cd", "cde", "de ", " ab ", " cde", "cde ", " ab ", " cde "])
