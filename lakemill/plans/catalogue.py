@@ -695,6 +695,12 @@ def fusion_metrics_whole(spark, d):
     return out.select("tn", "fp", "fn", "tp", r6("f1", "f1"), r6("roc_auc", "roc_auc"), r6("pr_auc", "pr_auc"))
 
 
+@whole("proposals_phrases", " WHERE lang = 'en'")
+def proposals_phrases_whole(spark, d):
+    rows = predictions(spark, d).withColumnsRenamed({"text": "normalized_text", "sample_id": "seq"})
+    return _shown(adaptive.phrase_proposals(rows, floor=0.2))
+
+
 # --- generic shapes of joins and windows on the star tables --------------------------------------
 
 
