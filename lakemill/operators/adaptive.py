@@ -157,6 +157,23 @@ def ranked(parts: list[DataFrame], k: int = 50) -> DataFrame:
     return rows.orderBy(F.desc("phishing"), F.desc("precision_proxy"), "kind", "pattern").limit(k)
 
 
+URL_FLAGS = ("is_ip_address", "has_punycode", "has_percent_encoding", "contains_at_symbol", "contains_double_slash_path")
+HTML_FLAGS = ("meta_refresh_present", "has_password_input")
+
+
+def url_proposals(df: DataFrame) -> DataFrame:
+    return flag_proposals(df, {n: F.col("url_features")[n] for n in URL_FLAGS}, "url_style")
+
+
+def html_proposals(df: DataFrame) -> DataFrame:
+    return flag_proposals(df, {n: F.col("html_features")[n] for n in HTML_FLAGS}, "html_pattern")
+
+
+def proposals(df: DataFrame, k: int = 25) -> DataFrame:
+    """The k first proposals of phrases, action texts, URL flags and HTML flags together."""
+    return ranked([phrase_proposals(df, k), cta_proposals(df, k), url_proposals(df), html_proposals(df)], k)
+
+
 def error_proposals(wrong: DataFrame, k: int = 50, least: int = 2) -> DataFrame:
     """Recurring tokens of missed phishing and of false alarms, and domains of missed phishing; in that order."""
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lakemill import cli
 from lakemill.functions import html, urls
-from lakemill.operators import models, splits
+from lakemill.operators import adaptive, models, splits
 from lakemill.plans import build, catalogue, learning
 from lakemill.streaming import scorer
 
@@ -80,6 +80,14 @@ def test_validation_reports_blank_documents(spark, monkeypatch):
     assert got == {("s", "record_has_no_modalities", 2), ("s", "ok", 1), ("oscar_aux", "ok", 1)}
 
 
+def test_proposals_of_all_generators(spark):
+    flags = [*adaptive.URL_FLAGS, *adaptive.HTML_FLAGS]
+    rows = spark.range(3).select(F.col("id").alias("seq"), F.lit(1).alias("label"), F.lit("fr").alias("language"), F.lit("compte").alias("normalized_text"), F.array(F.lit("Go on")).alias("action_texts"), F.struct(*[F.lit(True).alias(n) for n in adaptive.URL_FLAGS]).alias("url_features"), F.struct(*[F.lit(True).alias(n) for n in adaptive.HTML_FLAGS]).alias("html_features"))
+    got = [r["pattern"] for r in adaptive.proposals(rows).collect()]
+    assert sorted(got) == sorted([*flags, "compte", "go on"])
+    assert adaptive.proposals(rows, 2).count() == 2
+
+
 def test_grams(spark):
     row = spark.createDataFrame([("Ab cde",)], "s string").select(models.word_border_grams(F.col("s")).alias("c"), models.word_grams(models.words(F.lit("one two x three"))).alias("w")).first()
     assert sorted(row["c"]) == sorted([" ab", "ab ", " cd", "cde", "de ", " ab ", " cde", "cde ", " ab ", " cde "])
