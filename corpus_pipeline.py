@@ -2,17 +2,17 @@
 
 Every stage works on all that its predecessor kept, which is written as Parquet and read again in
 between. All but the last return the columns of ``documents``; extra columns of the input are left
-out. An empty table passes through all stages. Rows that repeat a doc_id count as one document from
-the near-duplicate stage on, where one of them stays.
+out. An empty table passes through all stages. Rows with a null doc_id, or one that others have, are documents
+of their own; rows equal in doc_id and text are one.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemill.llm import decontaminate, language, lines, packing, simhash
-from lakemill.llm.common import load, materialize
+from lakemill.llm.common import keyed, load, materialize
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: A text that the codes cannot tell apart goes only if its best language has less than this.
@@ -35,12 +35,11 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the least id of every SimHash component."""
-    docs = docs.select(*COLUMNS)
-    found = simhash.near_duplicates(docs.select("doc_id", "text"))
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
-    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi").withColumn("nth", nth).where("nth = 1").select(*COLUMNS)
+    """Keep one document of every SimHash component: the one with the least id, null ids first, then by a hash of the text."""
+    _, distinct = keyed(docs.select(*COLUMNS), "rid")
+    found = simhash.near_duplicates(distinct.select(F.col("rid").alias("doc_id"), "text"))
+    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("rid"))
+    return distinct.join(kept, "rid", "left_semi").select(*COLUMNS)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

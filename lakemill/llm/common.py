@@ -22,9 +22,11 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; a local one is made only where none is configured."""
+    """The folder all executors share. Where none is configured, one is made for a local master alone."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="lakemill-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
@@ -46,7 +48,45 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
             spark.conf.unset(_CLEANUP)
         else:
             spark.conf.set(_CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    written.written_to = path
+    return written
+
+
+def discard(*written: DataFrame) -> None:
+    """Delete what ``materialize`` wrote; nothing that is still to run may read it."""
+    for df in written:
+        jvm = df.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(df.written_to)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def keyed(docs: DataFrame, rid: str) -> tuple[DataFrame, DataFrame]:
+    """``docs`` with a row id that is never null, and one row for each row id.
+
+    Row ids go up with the doc_id, nulls first, and then with a hash of the text; rows equal in doc_id and text share one.
+    They are the doc_ids themselves where those are unique and not null.
+    """
+    ids = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    if not ids.where("n > 1 or doc_id is null").limit(1).count():
+        docs = docs.withColumn(rid, F.col("doc_id"))
+        return docs, docs
+    h, d, g = (fresh(docs, x) for x in ("hash_of_text", "id_of_key", "hash_of_key"))
+    docs = docs.withColumn(h, F.xxhash64(F.coalesce("text", F.lit(""))))
+    keys = docs.select("doc_id", h).distinct().repartitionByRange("doc_id", h).sortWithinPartitions("doc_id", h)
+    # ids go up with the partition, and within it with the row
+    keys = materialize(keys.withColumn(rid, F.monotonically_increasing_id()), "keys").toDF(d, g, rid)
+    docs = docs.join(keys, F.col("doc_id").eqNullSafe(F.col(d)) & (F.col(h) == F.col(g))).drop(d, h, g)
+    docs = materialize(docs, "keyed")
+    return docs, docs.dropDuplicates([rid])
 
 
 def slices(batch: pa.RecordBatch, column: str | None, most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakemill.llm.common import materialize
+from lakemill.llm.common import discard, materialize
 
 
 def components(edges: DataFrame, name: str, most_rounds: int = 60) -> DataFrame:
@@ -18,7 +18,8 @@ def components(edges: DataFrame, name: str, most_rounds: int = 60) -> DataFrame:
     now = materialize(_halves(edges.select("a", "b")), f"{name}-edges")
     before = _digest(now)
     for _ in range(most_rounds):
-        now = materialize(_small_star(_large_star(now)), f"{name}-edges")
+        last, now = now, materialize(_small_star(_large_star(now)), f"{name}-edges")
+        discard(last)
         after = _digest(now)
         if after == before:
             break

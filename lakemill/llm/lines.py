@@ -7,7 +7,7 @@ equal in several bands one is kept, and its texts are compared by exact Jaccard
 shingles, skipping pairs that are linked already. Distributed union-find joins what is linked, and of every
 component the line that comes first (by doc_id, then line number) stays.
 
-Groups over ``CAP`` lines are cut into parts, and each pair of parts is a task of its own.
+Groups over ``CAP`` lines are cut into parts, and each pair of parts is compared by itself.
 
 Defined results: lines shorter than a shingle are never removed; a null text stays null and an empty
 one empty; a document that loses all its lines and had one is left with an empty text; rows that
@@ -22,14 +22,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakemill.llm.common import append_columns, materialize, slices, texts_of
+from lakemill.llm.common import append_columns, discard, fresh, keyed, materialize, slices, texts_of
 from lakemill.llm.components import components
 
 SHINGLE = 8  # characters, a power of two
 SIMILARITY = 0.8
 BANDS, ROWS = 12, 3
-#: Lines of a candidate group that one task compares with each other.
-CAP = 2_000
+#: Lines of a part of a candidate group, and of a group that shares a task with others.
+CAP, SMALL = 512, 64
+#: Bits of a line's sketch, a power of two.
+SKETCH = 2048
 
 _B = np.uint64(0x9E3779B97F4A7C15)
 _C = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -43,8 +45,31 @@ def line_id(line: str) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
-def shingles(line: str) -> set[str]:
-    return {line[i : i + SHINGLE] for i in range(len(line) - SHINGLE + 1)}
+def _codes(line: str) -> np.ndarray | None:
+    """The shingles of a line of characters up to U+00FF, each as the number that its bytes spell."""
+    if line.isascii() or max(line) <= "\xff":
+        return np.ndarray((len(line) - SHINGLE + 1,), "<u8", line.encode("latin-1"), 0, (1,))
+    return None
+
+
+def shingles(line: str) -> set[int | str]:
+    """Exact character shingles, as numbers where they have only characters up to U+00FF."""
+    if len(line) < SHINGLE:
+        return set()
+    if (codes := _codes(line)) is not None:
+        return set(codes.tolist())
+    parts = (line[i : i + SHINGLE] for i in range(len(line) - SHINGLE + 1))
+    return {int.from_bytes(p.encode("latin-1"), "little") if max(p) <= "\xff" else p for p in parts}
+
+
+def sketch(line: str) -> np.ndarray:
+    """SKETCH bits, of which each shingle sets one."""
+    codes = _codes(line)
+    if codes is None:
+        codes = np.array([x if isinstance(x, int) else hash(x) & (1 << 63) - 1 for x in shingles(line)], np.uint64)
+    bits = np.zeros(SKETCH, bool)
+    bits[(codes * _B) >> np.uint64(64 - SKETCH.bit_length() + 1)] = True
+    return np.packbits(bits).view(np.uint64)
 
 
 def jaccard(a: set[str], b: set[str]) -> float:
@@ -85,7 +110,7 @@ def signatures(lines: list[str]) -> np.ndarray:
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, line, id, bands) of every line that has a shingle; bands once for equal lines of a batch."""
+    """(rid, line, id, bands) of every line that has a shingle; bands once for equal lines of a batch."""
 
     def run(batches):
         for batch in batches:
@@ -104,13 +129,13 @@ def _lines(docs: DataFrame) -> DataFrame:
                 keys = signatures(list(seen))
                 offsets = np.concatenate([[0], np.cumsum(np.where(firsts, BANDS, 0))]).astype(np.int32)
                 bands = pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.reshape(-1), pa.int64()), mask=pa.array(~np.array(firsts)))
-                yield pa.RecordBatch.from_arrays([pa.array(docs_, pa.int64()), pa.array(nos, pa.int32()), pa.array(ids, pa.int64()), bands], ["doc_id", "line", "id", "bands"])
+                yield pa.RecordBatch.from_arrays([pa.array(docs_, pa.int64()), pa.array(nos, pa.int32()), pa.array(ids, pa.int64()), bands], ["rid", "line", "id", "bands"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, line int, id long, bands array<long>")
+    return docs.select("rid", "text").mapInArrow(run, "rid long, line int, id long, bands array<long>")
 
 
-def _candidates(found: DataFrame) -> DataFrame:
-    """(band, lo, id, n) of the groups of two and more different lines, equal groups once; lo is a group's least id."""
+def _candidates(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """All groups of two and more different lines, and (band, lo, id, n) of them, equal groups once; lo is a group's least id."""
     rows = found.where("bands is not null").select(F.explode("bands").alias("band"), "id")
     rows = rows.repartition("band").groupBy("band", "id").agg(F.lit(1).alias("one"))
     w = Window.partitionBy("band")
@@ -118,139 +143,152 @@ def _candidates(found: DataFrame) -> DataFrame:
     groups = materialize(rows.select("band", "id", *whole).where("lo <> hi"), "lines-groups")
     name = ["n", "lo", "hi", "x", "y"]
     kept = groups.groupBy(*name).agg(F.min("band").alias("band")).select("band")
-    return groups.join(kept, "band", "left_semi").select("band", "lo", "id", "n")
+    return groups, groups.join(kept, "band", "left_semi").select("band", "lo", "id", "n")
 
 
-def _texts(docs: DataFrame, places: DataFrame) -> DataFrame:
-    """(id, body) of the lines at (doc_id, line, id)."""
-    wanted = places.groupBy("doc_id").agg(F.collect_list(F.struct("line", "id")).alias("wanted"))
-    joined = docs.select("doc_id", "text").join(wanted.withColumnRenamed("doc_id", "d"), F.expr("doc_id <=> d")).select("text", "wanted")
+def _texts(docs: DataFrame, candidates: DataFrame) -> DataFrame:
+    """(lo, band, n, id, body) of the candidates (rid, line, id, groups)."""
+    wanted = candidates.groupBy("rid").agg(F.collect_list(F.struct("line", "id", "groups")).alias("wanted"))
+    joined = docs.select("rid", "text").join(wanted, "rid").select("text", "wanted")
 
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text"):
-                ids, bodies = [], []
+                rows = []
                 for text, wanted in zip(texts_of(part, "text"), part.column(1).to_pylist()):
                     lines = text.split("\n")
                     for w in wanted:
-                        line = lines[w["line"]].strip() if w["line"] < len(lines) else ""
-                        if len(line) >= SHINGLE and line_id(line) == w["id"]:
-                            ids.append(w["id"])
-                            bodies.append(line)
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(bodies, pa.string())], ["id", "body"])
+                        rows.append((w["id"], lines[w["line"]].strip(), w["groups"]))
+                if rows:
+                    ids, bodies, groups = zip(*rows)
+                    yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(bodies, pa.string()), pa.array(groups, part.column(1).type.value_type.field("groups").type)], ["id", "body", "groups"])
+
+    found = joined.mapInArrow(run, "id long, body string, groups array<struct<lo:long,band:long,n:long>>")
+    return found.select("id", "body", F.inline("groups"))
 
-    return joined.mapInArrow(run, "id long, body string").dropDuplicates(["id"])
 
+def _verified(candidates: DataFrame, similarity: float, cap: int) -> DataFrame:
+    """From (lo, band, n, id, body) edges (a, b) that connect all lines of a group that are similar enough.
 
-def _verified(candidates: DataFrame, texts: DataFrame, similarity: float, cap: int) -> DataFrame:
-    """Edges (a, b) that connect all lines of a group that are similar enough."""
+    A line has ``BANDS`` groups and no more, so at most as many share a least id. Those of them that are
+    small go to one task and share shingles; every part, or pair of parts, of a large one goes by itself.
+    """
     rows = candidates.withColumn("parts", F.ceil(F.col("n") / cap).cast("int")).withColumn("own", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    rows = rows.select("lo", "band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).alias("side"), "id").join(texts, "id")
-    # groups with one least id are mostly the same lines again, so they come one after another
-    rows = rows.repartition("lo", "i", "j").sortWithinPartitions("lo", "i", "j", "band", "id").select("lo", "i", "j", "band", "side", "id", "body")
-
-    class Family:
-        """What groups of one least id share: shingles, links and pairs found not similar; all of bounded size."""
-
-        def __init__(self, across: bool):
-            self.across, self.sets, self.parent, self.apart = across, {}, {}, set()
-
-        def root(self, x: int) -> int:
-            while self.parent.get(x, x) != x:
-                x = self.parent[x]
-            return x
-
-        def similar(self, a: int, b: int) -> bool:
-            if (a, b) in self.apart:
-                return False
-            x, y = self.sets[a], self.sets[b]
-            if min(len(x), len(y)) >= similarity * max(len(x), len(y)) - 1e-6 and jaccard(x, y) >= similarity:
-                return True
-            self.apart.add((a, b))
-            return False
-
-        def compare(self, group: list[tuple[bool, int, str]]) -> list[tuple[int, int]]:
-            """New links of a group: each line against the clusters so far, until one of a cluster is similar."""
-            if len(self.sets) > cap:
-                self.sets = {}
-            if len(self.apart) > 50 * cap:
-                self.apart = set()
-            for _, ident, body in group:
-                if ident not in self.sets:
-                    self.sets[ident] = shingles(body)
-            clusters: dict[int, list[tuple[bool, int]]] = {}
-            edges = []
-            for side, ident, _ in group:
-                own = self.root(ident)
-                for r in [r for r in clusters if r != own]:
-                    for other, m in clusters[r]:
-                        if not (self.across and side == other) and self.similar(ident, m):
-                            edges.append((ident, m))
-                            self.parent[r] = own
-                            clusters.setdefault(own, []).extend(clusters.pop(r))
-                            break
-                clusters.setdefault(own, []).append((side, ident))
-            return edges
+    rows = rows.select("lo", F.when(F.col("n") > SMALL, F.col("band")).alias("alone"), F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "band", (F.col("own") > F.col("other")).alias("side"), "id", "body")
+    rows = rows.repartition("lo", "alone", "i", "j").sortWithinPartitions("lo", "alone", "i", "j", "band", "id")
 
     def run(batches):
-        family, group, now, made = None, [], None, []
+        links, group, now, made = None, [], None, []
         for batch in batches:
-            lo, i, j, band, side, ids, bodies = (c.to_pylist() for c in batch.columns)
-            for key, row in zip(zip(lo, i, j, band), zip(side, ids, bodies)):
+            lo, alone, i, j, band, side, ids, bodies = (c.to_pylist() for c in batch.columns)
+            for key, row in zip(zip(lo, alone, i, j, band), zip(side, ids, bodies)):
                 if key != now:
                     if group:
-                        made += family.compare(group)
-                    if now is None or key[:3] != now[:3]:
-                        family = Family(key[1] != key[2])
+                        made += links.compare(group)
+                    if now is None or key[:4] != now[:4]:
+                        links = Links(similarity, key[2] != key[3])
                     group, now = [], key
                 group.append(row)
             if made:
                 yield _edges(made)
                 made = []
         if group:
-            made += family.compare(group)
+            made += links.compare(group)
         if made:
             yield _edges(made)
 
     return rows.mapInArrow(run, "a long, b long")
 
 
+class Links:
+    """Finds the links of candidate groups that share lines; what it holds is bounded by those groups.
+
+    The bits of two sketches differ in no more places than the lines' shingles do, so most pairs are ruled out
+    by their sketches. A line's links go to lines of other clusters only. ``across``: only lines of different sides are compared.
+    """
+
+    def __init__(self, similarity: float, across: bool):
+        self.similarity, self.across = similarity, across
+        self.sketches: dict[int, tuple[np.ndarray, int]] = {}
+        self.sets: dict[int, set] = {}
+        self.parent: dict[int, int] = {}
+        self.apart: set[tuple[int, int]] = set()
+
+    def root(self, x: int) -> int:
+        while (up := self.parent.get(x, x)) != x:
+            self.parent[x] = self.parent.get(up, up)
+            x = up
+        return x
+
+    def shingles(self, ident: int, body: str) -> set:
+        if ident not in self.sets:
+            self.sets[ident] = shingles(body)
+        return self.sets[ident]
+
+    def compare(self, group: list[tuple[bool, int, str]]) -> list[tuple[int, int]]:
+        """New links of a group of (side, id, line)."""
+        for _, ident, body in group:
+            if ident not in self.sketches:
+                self.sketches[ident] = sketch(body), len(body) - SHINGLE + 1
+        bits, sizes = (np.array(x) for x in zip(*(self.sketches[i] for _, i, _ in group)))
+        sizes = sizes * (1 - self.similarity) / (1 + self.similarity) + 1e-6
+        edges = []
+        for k, (side, ident, body) in enumerate(group):
+            differing = np.bitwise_count(bits[:k] ^ bits[k]).sum(1)
+            own = self.root(ident)
+            for m in np.flatnonzero(differing <= sizes[:k] + sizes[k]).tolist():
+                other_side, other, other_body = group[m]
+                if self.across and side == other_side or (ident, other) in self.apart or (r := self.root(other)) == own:
+                    continue
+                if jaccard(self.shingles(ident, body), self.shingles(other, other_body)) >= self.similarity:
+                    edges.append((ident, other))
+                    self.parent[r] = own
+                else:
+                    self.apart.add((ident, other))
+        return edges
+
+
 def _edges(rows):
     a, b = zip(*rows)
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
 def removals(docs: DataFrame, similarity: float = SIMILARITY, cap: int = CAP) -> DataFrame:
-    """(doc_id, removed array<struct<line, id>>) of the documents that lose lines."""
+    """(rid, removed array<int>): numbers of the lines that documents (rid, text) lose; rids are unique."""
     found = materialize(_lines(docs), "lines-found")
-    distinct = found.groupBy("id").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count(F.lit(1)).alias("n"))
-    distinct = materialize(distinct.select("id", "first.doc_id", "first.line", "n"), "lines-distinct")
-    candidates = materialize(_candidates(found), "lines-candidates")
-    places = distinct.join(candidates.select("id").distinct(), "id", "left_semi").select("doc_id", "line", "id")
-    texts = materialize(_texts(docs, places), "lines-texts")
-    linked = components(materialize(_verified(candidates, texts, similarity, cap), "lines-links"), "lines")
-    grouped = distinct.join(linked, distinct["id"] == linked["node"], "left").where("n > 1 or root is not null").select("id", "doc_id", "line", F.coalesce("root", "id").alias("root"))
+    distinct = found.groupBy("id").agg(F.min(F.struct("rid", "line")).alias("first"), F.count(F.lit(1)).alias("n"))
+    distinct = materialize(distinct.select("id", "first.rid", "first.line", "n"), "lines-distinct")
+    groups, candidates = _candidates(found)
+    candidates = candidates.groupBy("id").agg(F.collect_list(F.struct("lo", "band", "n")).alias("groups"))
+    candidates = distinct.select("id", "rid", "line").join(candidates, "id")
+    edges = materialize(_verified(_texts(docs, candidates), similarity, cap), "lines-links")
+    discard(groups)
+    linked = components(edges, "lines")
+    discard(edges)
+    grouped = distinct.join(linked, distinct["id"] == linked["node"], "left").where("n > 1 or root is not null").select("id", "rid", "line", F.coalesce("root", "id").alias("root"))
     grouped = materialize(grouped, "lines-grouped")
-    first = grouped.groupBy("root").agg(F.min(F.struct("doc_id", "line")).alias("keep"))
+    first = grouped.groupBy("root").agg(F.min(F.struct("rid", "line")).alias("keep"))
     keeper = grouped.join(first, "root").select("id", "keep")
-    gone = found.select("doc_id", "line", "id").join(keeper, "id").where(~F.struct("doc_id", "line").eqNullSafe(F.col("keep")))
-    return gone.groupBy("doc_id").agg(F.collect_list(F.struct("line", "id")).alias("removed"))
+    gone = found.select("rid", "line", "id").join(keeper, "id").where(~F.struct("rid", "line").eqNullSafe(F.col("keep")))
+    gone = materialize(gone.groupBy("rid").agg(F.collect_list("line").alias("removed")), "lines-gone")
+    discard(found, distinct, grouped)
+    return gone
 
 
 def dedup(docs: DataFrame, similarity: float = SIMILARITY, cap: int = CAP) -> DataFrame:
     """``docs`` with text rewritten and n_lines, n_lines_removed added."""
-    gone = materialize(removals(docs, similarity, cap), "lines-gone").withColumnRenamed("doc_id", "__doc")
-    joined = docs.join(gone.withColumnRenamed("removed", "__removed"), F.col("doc_id").eqNullSafe(F.col("__doc")), "left").drop("__doc")
-    joined = joined.withColumnRenamed("text", "__text")
+    rid, before, out_name = (fresh(docs, x) for x in ("rid", "text_before", "lines_removed"))
+    rows, distinct = keyed(docs, rid)
+    gone = removals(distinct.select(F.col(rid).alias("rid"), "text"), similarity, cap).toDF(rid, out_name)
+    joined = rows.join(gone, rid, "left").drop(rid).withColumnRenamed("text", before)
 
     def start():
         def f(batch):
             texts, counts, removed = [], [], []
             names = batch.schema.names
-            for text, gone in zip(batch.column(names.index("__text")).to_pylist(), batch.column(names.index("__removed")).to_pylist()):
-                lines = (text or "").split("\n")
-                out = {g["line"] for g in gone or () if g["line"] < len(lines) and line_id(lines[g["line"]].strip()) == g["id"]}
+            for text, gone in zip(batch.column(names.index(before)).to_pylist(), batch.column(names.index(out_name)).to_pylist()):
+                lines, out = (text or "").split("\n"), set(gone or ())
                 texts.append(text if not out else "\n".join(x for k, x in enumerate(lines) if k not in out))
                 counts.append(len(lines))
                 removed.append(len(out))
@@ -259,5 +297,4 @@ def dedup(docs: DataFrame, similarity: float = SIMILARITY, cap: int = CAP) -> Da
         return f
 
     fields = [T.StructField("text", T.StringType()), T.StructField("n_lines", T.LongType()), T.StructField("n_lines_removed", T.LongType())]
-    return append_columns(joined, fields, start, "__text").drop("__text", "__removed")
-
+    return append_columns(joined, fields, start, before).drop(before, out_name)

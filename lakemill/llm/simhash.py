@@ -23,7 +23,7 @@ import itertools
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakemill.llm.common import bytes_of, materialize, slices
@@ -200,8 +200,8 @@ def links(fps: DataFrame, bits: int = BITS, cap: int = CAP) -> DataFrame:
     rows = fps.select(F.explode(F.array(*turned)).alias("x")).select("x.block", "x.r")
     width = F.element_at(F.array(*[F.lit(w) for _, w in orders]), F.col("block") + 1)
     rows = rows.withColumn("bucket", F.call_function("shiftrightunsigned", "r", 64 - width))
-    size = F.count(F.lit(1)).over(Window.partitionBy("block", "bucket"))
-    rows = rows.withColumn("n", size).where("n > 1").withColumn("parts", F.ceil(F.col("n") / cap).cast("int"))
+    sizes = rows.groupBy("block", "bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    rows = rows.join(sizes, ["block", "bucket"]).withColumn("parts", F.ceil(F.col("n") / cap).cast("int"))
     rows = rows.withColumn("own", F.pmod(F.xxhash64("r"), F.col("parts")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     rows = rows.select("block", "bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"), "r")

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakemill.llm.common import append_columns, bytes_of, materialize, slices
+from lakemill.llm.common import append_columns, bytes_of, keyed, materialize, slices
 from lakemill.llm.gsaca import suffix_arrays
 
 LENGTH = 100
@@ -140,24 +140,6 @@ def _anchors_of(held):
     return text, at - first[piece] + offset, h[at], c, reach
 
 
-def _keyed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, rid, text) of all rows, and of one row for each rid.
-
-    The rid orders the texts; it is the doc_id if those are unique and not null.
-    """
-    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    ids = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-    if not ids.where("n > 1 or doc_id is null").limit(1).count():
-        docs = docs.select("doc_id", F.col("doc_id").alias("rid"), "text")
-        return docs, docs
-    docs = docs.withColumn("h", F.xxhash64("text"))
-    keys = docs.select("doc_id", "h").distinct().repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h")
-    # ids go up with the partition, and within it with the row
-    keys = materialize(keys.withColumn("rid", F.monotonically_increasing_id()), "substrings-keys").toDF("d", "g", "rid")
-    docs = materialize(docs.join(keys, F.expr("doc_id <=> d and h = g")).select("doc_id", "rid", "text"), "substrings-docs")
-    return docs, docs.dropDuplicates(["rid"])
-
-
 def _anchor_rows(docs: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
@@ -329,9 +311,10 @@ FIELDS = [T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.L
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept, kept_sha256), kept being the remaining bytes."""
-    keyed, distinct = _keyed(docs)
+    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    rows, distinct = keyed(docs, "rid")
     spans = materialize(repeated_spans(distinct), "substrings-spans")
-    joined = keyed.join(spans.withColumnRenamed("rid", "r"), F.col("rid") == F.col("r"), "left").select("doc_id", "text", "spans")
+    joined = rows.join(spans.withColumnRenamed("rid", "r"), F.col("rid") == F.col("r"), "left").select("doc_id", "text", "spans")
 
     def start():
         def f(batch):

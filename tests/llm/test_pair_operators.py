@@ -125,6 +125,37 @@ def test_line_dedup_equals_all_pairs(spark, sf, cap):
     assert len(near) > 50 and any(r["n_lines_removed"] for r in got)
 
 
+def test_line_dedup_keeps_columns_and_rows_without_an_id(spark):
+    rows = [(None, "a line that is long enough\nanother one of the first text", 1), (None, "something else entirely here\na line that is long enough", 2), (3, "a line that is long enough", 3), (3, "not the same text as the other", 4)]
+    names = ["doc_id", "text", "rid", "text_before", "lines_removed", "__text", "__removed", "__doc", "n_lines"]
+    docs = spark.createDataFrame([(*r, *range(6)) for r in rows], "doc_id long, text string, " + ", ".join(f"{n} long" for n in names[2:]))
+    got = lines.dedup(docs).collect()
+    assert sorted(got[0].asDict()) == sorted([*names, "n_lines_removed"])
+    text = {r["rid"]: r["text"] for r in got}
+    assert text[3] == "" and text[4] == rows[3][1] and sum("a line that" in t for t in text.values()) == 1
+
+
+@pytest.mark.parametrize("cap", [4, 512])
+def test_lines_of_a_large_group_are_linked_as_all_pairs_are(cap):
+    rng = random.Random(5)
+    made, pool = [], ["ßtraße ☃ und so weiter, ein ganz anderer Satz mit Zeichen", "plain words in a row that go on and on until the end of it"]
+    pool = [x + " " + x[::-1] + " " + x.upper() for x in pool]
+    for i in range(150):
+        x = rng.choice(pool)
+        k = rng.randrange(len(x) - 6)
+        made.append(x[:k] + rng.choice(["☃", "é", "z"]) * rng.randint(1, 4) + x[k + 2 :])
+        pool.append(made[-1])
+    sets = [{x[i : i + 8] for i in range(len(x) - 7)} for x in made]
+    near = [(i, j) for i in range(150) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    edges = []
+    for i in range(-(-150 // cap)):
+        for j in range(i, -(-150 // cap)):
+            part = [(k // cap == j and i != j, k, made[k]) for k in range(150) if k // cap in (i, j)]
+            edges += lines.Links(0.8, i != j).compare(part)
+    assert set(edges) <= {(i, j) for i, j in near} | {(j, i) for i, j in near}
+    assert groups_of(range(150), edges) == groups_of(range(150), near) and len(near) > 200
+
+
 def test_line_dedup_of_odd_and_empty_tables(spark, odd_dir, empty_dir):
     assert queries.op5_lines(spark, empty_dir).count() == 0
     rows = lines.dedup(spark.read.parquet(f"{odd_dir}/documents.parquet")).collect()

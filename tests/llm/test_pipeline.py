@@ -44,3 +44,10 @@ def test_odd_and_empty_tables_pass(spark, odd_dir, empty_dir):
     assert corpus_pipeline.run(spark, empty_dir).count() == 0
     got = {r["doc_id"] for r in corpus_pipeline.run(spark, odd_dir).collect()}
     assert got == {None, 4, 6, 7, 8, 9}  # the others have no letter, or (50) hold a benchmark item
+
+
+def test_documents_without_an_id_of_their_own_stay(spark):
+    texts = ["the quick brown fox jumps over the lazy dog near a river", "all of them went home before it rained over the hills", "nobody could say where the old keys had been put away", "seven ships sailed out of the harbour early one morning"]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in zip([None, None, None, 7, 7, 7, 8], [*texts, "a letter from abroad was lying on the kitchen table", texts[3], "we counted every star that we could see that night"])], "doc_id long, text string, lang string, source string, n_chars long")
+    got = Counter((r["doc_id"], r["text"]) for r in corpus_pipeline.dedup_documents(spark, docs, "").collect())
+    assert got == Counter({(r["doc_id"], r["text"]): 1 for r in docs.collect()})
