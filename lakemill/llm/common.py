@@ -42,7 +42,8 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     before = spark.conf.get(_CLEANUP, None)
     spark.conf.set(_CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        # keys are hashes, of which a dictionary would be as long as the column
+        df.write.option("parquet.enable.dictionary", "false").parquet(path)
     finally:
         if before is None:
             spark.conf.unset(_CLEANUP)

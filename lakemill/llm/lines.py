@@ -21,8 +21,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from xxhash import xxh64_intdigest
 
-from lakemill.llm.common import append_columns, discard, fresh, keyed, materialize, slices, texts_of
+from lakemill.llm.common import BATCH_BYTES, append_columns, discard, fresh, keyed, materialize, slices, texts_of
 from lakemill.llm.components import components
 
 SHINGLE = 8  # characters, a power of two
@@ -30,8 +31,12 @@ SIMILARITY = 0.8
 BANDS, ROWS = 12, 3
 #: Lines of a part of a candidate group, and of a group that shares a task with others.
 CAP, SMALL = 512, 64
+#: Shingles that a task holds as sets.
+HELD_SHINGLES = 2_000_000
+#: Lines that a task remembers as signed already.
+REMEMBERED = 1_000_000
 #: Bits of a line's sketch, a power of two.
-SKETCH = 2048
+SKETCH = 4096
 
 _B = np.uint64(0x9E3779B97F4A7C15)
 _C = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -39,65 +44,53 @@ _C = np.uint64(0xC2B2AE3D27D4EB4F)
 
 def line_id(line: str) -> int:
     """Signed 64-bit name of a stripped line."""
-    from xxhash import xxh64_intdigest
-
     h = xxh64_intdigest(line.encode("utf-8", "surrogatepass"), 0)
     return h - (1 << 64) if h >> 63 else h
 
 
-def _codes(line: str) -> np.ndarray | None:
-    """The shingles of a line of characters up to U+00FF, each as the number that its bytes spell."""
-    if line.isascii() or max(line) <= "\xff":
-        return np.ndarray((len(line) - SHINGLE + 1,), "<u8", line.encode("latin-1"), 0, (1,))
-    return None
-
-
 def shingles(line: str) -> set[int | str]:
     """Exact character shingles, as numbers where they have only characters up to U+00FF."""
     if len(line) < SHINGLE:
         return set()
-    if (codes := _codes(line)) is not None:
-        return set(codes.tolist())
+    if line.isascii() or max(line) <= "\xff":
+        return set(np.ndarray((len(line) - SHINGLE + 1,), "<u8", line.encode("latin-1"), 0, (1,)).tolist())
     parts = (line[i : i + SHINGLE] for i in range(len(line) - SHINGLE + 1))
     return {int.from_bytes(p.encode("latin-1"), "little") if max(p) <= "\xff" else p for p in parts}
 
 
-def sketch(line: str) -> np.ndarray:
-    """SKETCH bits, of which each shingle sets one."""
-    codes = _codes(line)
-    if codes is None:
-        codes = np.array([x if isinstance(x, int) else hash(x) & (1 << 63) - 1 for x in shingles(line)], np.uint64)
-    bits = np.zeros(SKETCH, bool)
-    bits[(codes * _B) >> np.uint64(64 - SKETCH.bit_length() + 1)] = True
-    return np.packbits(bits).view(np.uint64)
-
-
 def jaccard(a: set[str], b: set[str]) -> float:
     both = len(a & b)
     return both / (len(a) + len(b) - both)
 
 
+def _hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """A hash of the shingle at each character of the joined lines, and the characters where none starts."""
+    codes = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    h, power, width = codes * _C, _B, 1
+    while width < SHINGLE:
+        wider = h[:-width] * power
+        wider += h[width:]
+        h, power, width = wider, power * power, 2 * width
+    h ^= h >> np.uint64(29)
+    h *= _C
+    h ^= h >> np.uint64(32)
+    ends = np.cumsum([len(x) for x in lines])
+    return h, (ends[:-1, None] - np.arange(1, SHINGLE)).ravel()
+
+
 def signatures(lines: list[str]) -> np.ndarray:
     """(lines, BANDS) of 64-bit band keys; every line has a shingle at least."""
-    lengths = np.array([len(x) for x in lines])
-    codes = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    bins, empty = BANDS * ROWS, np.uint64(2**64 - 1)
     with np.errstate(over="ignore"):
-        h, power, width = codes * _C, _B, 1
-        while width < SHINGLE:
-            h = h[:-width] * power + h[width:]
-            power, width = power * power, 2 * width
-        h ^= h >> np.uint64(29)
-        h *= _C
-        h ^= h >> np.uint64(32)
-        counts = lengths - SHINGLE + 1
-        own = np.repeat(np.arange(len(lines)), counts)
-        at = np.arange(len(own)) + np.repeat(np.cumsum(lengths) - lengths - (np.cumsum(counts) - counts), counts)
-        h = h[at]
-        bins = BANDS * ROWS
-        slot = (((h >> np.uint64(32)) * np.uint64(bins)) >> np.uint64(32)).astype(np.int64)
-        empty = np.uint64(2**64 - 1)
+        h, none = _hashes(lines)
+        place = h >> np.uint64(32)
+        place *= np.uint64(bins)
+        place >>= np.uint64(32)
+        place += np.repeat(np.arange(len(lines), dtype=np.uint64) * np.uint64(bins), [len(x) for x in lines])[: len(h)]
+        h *= _B
+        h[none] = empty
         sig = np.full((len(lines), bins), empty)
-        np.minimum.at(sig.reshape(-1), own * bins + slot, h * _B)
+        np.minimum.at(sig.reshape(-1), place.view(np.int64), h)
         for _ in range(2):
             for j in range(bins - 1, -1, -1):
                 lent = sig[:, (j + 1) % bins] + _C
@@ -109,41 +102,100 @@ def signatures(lines: list[str]) -> np.ndarray:
     return keys.view(np.int64)
 
 
+def sketches(lines: list[str]) -> np.ndarray:
+    """(lines, SKETCH / 64): bits, of which each shingle sets one."""
+    if len(lines) > 1 and sum(map(len, lines)) > BATCH_BYTES:
+        half = len(lines) // 2
+        return np.concatenate([sketches(lines[:half]), sketches(lines[half:])])
+    bits = np.zeros(len(lines) * SKETCH + 1, bool)
+    with np.errstate(over="ignore"):
+        h, none = _hashes(lines)
+    h >>= np.uint64(64 - SKETCH.bit_length() + 1)
+    h += np.repeat(np.arange(len(lines), dtype=np.uint64) * np.uint64(SKETCH), [len(x) for x in lines])[: len(h)]
+    h[none] = len(bits) - 1
+    bits[h.view(np.int64)] = True
+    return np.packbits(bits[:-1]).view(np.uint64).reshape(len(lines), -1)
+
+
 def _lines(docs: DataFrame) -> DataFrame:
-    """(rid, line, id, bands) of every line that has a shingle; bands once for equal lines of a batch."""
+    """(rid, line, more, id, bands): the different lines that have a shingle, with the numbers of the first and of further ones.
+
+    A task gives a line's bands once, as far back as it remembers lines.
+    """
 
     def run(batches):
+        known: set[int] = set()
         for batch in batches:
             for part in slices(batch, "text"):
-                docs_, nos, ids, firsts, seen = [], [], [], [], {}
-                for doc, text in zip(part.column(0).to_pylist(), texts_of(part, "text")):
+                rids, nos, more, ids, new, seen = [], [], [], [], [], {}
+                for rid, text in zip(part.column(0).to_pylist(), texts_of(part, "text")):
+                    own: dict[str, int] = {}
                     for k, line in enumerate(text.split("\n")):
                         line = line.strip()
-                        if len(line) >= SHINGLE:
-                            docs_.append(doc)
-                            nos.append(k)
-                            firsts.append(line not in seen)
-                            ids.append(seen.get(line) or seen.setdefault(line, line_id(line)))
+                        if len(line) < SHINGLE:
+                            continue
+                        if (at := own.get(line)) is not None:
+                            more[at] = [*(more[at] or ()), k]
+                            continue
+                        own[line] = len(rids)
+                        ident = seen.get(line)
+                        if ident is None:
+                            ident = seen[line] = line_id(line)
+                            first = ident not in known
+                            known.add(ident)
+                        else:
+                            first = False
+                        rids.append(rid)
+                        nos.append(k)
+                        more.append(None)
+                        ids.append(ident)
+                        new.append(line if first else None)
                 if not ids:
                     continue
-                keys = signatures(list(seen))
-                offsets = np.concatenate([[0], np.cumsum(np.where(firsts, BANDS, 0))]).astype(np.int32)
-                bands = pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.reshape(-1), pa.int64()), mask=pa.array(~np.array(firsts)))
-                yield pa.RecordBatch.from_arrays([pa.array(docs_, pa.int64()), pa.array(nos, pa.int32()), pa.array(ids, pa.int64()), bands], ["rid", "line", "id", "bands"])
+                lines = [x for x in new if x is not None]
+                keys = signatures(lines) if lines else np.zeros((0, BANDS), np.int64)
+                none = np.array([x is None for x in new])
+                offsets = np.concatenate([[0], np.cumsum(np.where(none, 0, BANDS))]).astype(np.int32)
+                bands = pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.reshape(-1), pa.int64()), mask=pa.array(none))
+                columns = [pa.array(rids, pa.int64()), pa.array(nos, pa.int32()), pa.array(more, pa.list_(pa.int32())), pa.array(ids, pa.int64()), bands]
+                yield pa.RecordBatch.from_arrays(columns, ["rid", "line", "more", "id", "bands"])
+                if len(known) > REMEMBERED:
+                    known.clear()
 
-    return docs.select("rid", "text").mapInArrow(run, "rid long, line int, id long, bands array<long>")
+    return docs.select("rid", "text").mapInArrow(run, "rid long, line int, more array<int>, id long, bands array<long>")
 
 
 def _candidates(found: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """All groups of two and more different lines, and (band, lo, id, n) of them, equal groups once; lo is a group's least id."""
+    """(band, id) of all groups of two and more lines, and (band, lo, id, n) of them, equal groups once; lo is a group's least id.
+
+    All rows are dealt and sorted by band once, and few have a neighbour of their band. Those are counted
+    with partial sums, so that a very common band is no task of its own.
+    """
+
+    def shared(batches):
+        """Rows with a neighbour of the same band; the last row waits for the next batch."""
+        last_band, last_id, last_shared = None, None, False
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            band, ident = (np.asarray(c) for c in batch.columns)
+            if last_band is not None:
+                band, ident = np.concatenate([[last_band], band]), np.concatenate([[last_id], ident])
+            same = band[1:] == band[:-1]
+            keep = np.concatenate([[last_shared], same]) | np.concatenate([same, [False]])
+            last_band, last_id, last_shared = band[-1], ident[-1], bool(keep[-1])
+            keep[-1] = False
+            yield pa.RecordBatch.from_arrays([pa.array(band[keep]), pa.array(ident[keep])], ["band", "id"])
+        if last_shared:
+            yield pa.RecordBatch.from_arrays([pa.array([last_band]), pa.array([last_id])], ["band", "id"])
+
     rows = found.where("bands is not null").select(F.explode("bands").alias("band"), "id")
-    rows = rows.repartition("band").groupBy("band", "id").agg(F.lit(1).alias("one"))
-    w = Window.partitionBy("band")
-    whole = [F.count(F.lit(1)).over(w).alias("n"), F.min("id").over(w).alias("lo"), F.max("id").over(w).alias("hi"), F.bit_xor(F.xxhash64("id")).over(w).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).over(w).alias("y")]
-    groups = materialize(rows.select("band", "id", *whole).where("lo <> hi"), "lines-groups")
-    name = ["n", "lo", "hi", "x", "y"]
-    kept = groups.groupBy(*name).agg(F.min("band").alias("band")).select("band")
-    return groups, groups.join(kept, "band", "left_semi").select("band", "lo", "id", "n")
+    rows = rows.repartition("band").sortWithinPartitions("band").mapInArrow(shared, "band long, id long").distinct()
+    rows = materialize(rows, "lines-groups")
+    x, y = F.bit_xor(F.xxhash64("id")), F.bit_xor(F.xxhash64("id", F.lit(1)))
+    groups = rows.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("lo"), F.max("id").alias("hi"), x.alias("x"), y.alias("y")).where("n > 1")
+    kept = groups.groupBy("n", "lo", "hi", "x", "y").agg(F.min("band").alias("band")).select("band", "lo", "n")
+    return rows, rows.join(kept, "band").select("band", "lo", "id", "n")
 
 
 def _texts(docs: DataFrame, candidates: DataFrame) -> DataFrame:
@@ -181,18 +233,20 @@ def _verified(candidates: DataFrame, similarity: float, cap: int) -> DataFrame:
     def run(batches):
         links, group, now, made = None, [], None, []
         for batch in batches:
-            lo, alone, i, j, band, side, ids, bodies = (c.to_pylist() for c in batch.columns)
-            for key, row in zip(zip(lo, alone, i, j, band), zip(side, ids, bodies)):
-                if key != now:
-                    if group:
-                        made += links.compare(group)
-                    if now is None or key[:4] != now[:4]:
-                        links = Links(similarity, key[2] != key[3])
-                    group, now = [], key
-                group.append(row)
-            if made:
-                yield _edges(made)
-                made = []
+            for part in slices(batch, "body", BATCH_BYTES // 2):
+                keys = zip(*(c.to_pylist() for c in part.columns[:5]))
+                side, ids, bodies = (c.to_pylist() for c in part.columns[5:])
+                for key, *row in zip(keys, side, ids, bodies, sketches(bodies)):
+                    if key != now:
+                        if group:
+                            made += links.compare(group)
+                        if now is None or key[:4] != now[:4]:
+                            links = Links(similarity, key[2] != key[3])
+                        group, now = [], key
+                    group.append(row)
+                if made:
+                    yield _edges(made)
+                    made = []
         if group:
             made += links.compare(group)
         if made:
@@ -210,8 +264,8 @@ class Links:
 
     def __init__(self, similarity: float, across: bool):
         self.similarity, self.across = similarity, across
-        self.sketches: dict[int, tuple[np.ndarray, int]] = {}
         self.sets: dict[int, set] = {}
+        self.held = 0
         self.parent: dict[int, int] = {}
         self.apart: set[tuple[int, int]] = set()
 
@@ -222,23 +276,35 @@ class Links:
         return x
 
     def shingles(self, ident: int, body: str) -> set:
-        if ident not in self.sets:
-            self.sets[ident] = shingles(body)
-        return self.sets[ident]
-
-    def compare(self, group: list[tuple[bool, int, str]]) -> list[tuple[int, int]]:
-        """New links of a group of (side, id, line)."""
-        for _, ident, body in group:
-            if ident not in self.sketches:
-                self.sketches[ident] = sketch(body), len(body) - SHINGLE + 1
-        bits, sizes = (np.array(x) for x in zip(*(self.sketches[i] for _, i, _ in group)))
-        sizes = sizes * (1 - self.similarity) / (1 + self.similarity) + 1e-6
+        found = self.sets.get(ident)
+        if found is None:
+            if self.held > HELD_SHINGLES:
+                self.sets, self.held = {}, 0
+            found = self.sets[ident] = shingles(body)
+            self.held += len(found)
+        return found
+
+    def near(self, bits: list[np.ndarray], sizes: list[float]):
+        """For each line those before it whose sketches allow the similarity."""
+        if len(bits) <= 16:
+            whole = [int.from_bytes(x.tobytes()) for x in bits]
+            for k, x in enumerate(whole):
+                yield [m for m in range(k) if (x ^ whole[m]).bit_count() <= sizes[k] + sizes[m]]
+            return
+        bits, sizes = np.array(bits), np.array(sizes)
+        for k in range(len(bits)):
+            yield np.flatnonzero(np.bitwise_count(bits[:k] ^ bits[k]).sum(1) <= sizes[:k] + sizes[k]).tolist()
+
+    def compare(self, group: list[tuple[bool, int, str, np.ndarray]]) -> list[tuple[int, int]]:
+        """New links of a group of (side, id, line, sketch)."""
+        # a pair's shingles may differ by this share of both lines' number of them
+        share = (1 - self.similarity) / (1 + self.similarity)
+        sizes = [share * (len(body) - SHINGLE + 1) + 1e-6 for _, _, body, _ in group]
         edges = []
-        for k, (side, ident, body) in enumerate(group):
-            differing = np.bitwise_count(bits[:k] ^ bits[k]).sum(1)
+        for (side, ident, body, _), near in zip(group, self.near([bits for *_, bits in group], sizes)):
             own = self.root(ident)
-            for m in np.flatnonzero(differing <= sizes[:k] + sizes[k]).tolist():
-                other_side, other, other_body = group[m]
+            for m in near:
+                other_side, other, other_body, _ = group[m]
                 if self.across and side == other_side or (ident, other) in self.apart or (r := self.root(other)) == own:
                     continue
                 if jaccard(self.shingles(ident, body), self.shingles(other, other_body)) >= self.similarity:
@@ -257,8 +323,9 @@ def _edges(rows):
 def removals(docs: DataFrame, similarity: float = SIMILARITY, cap: int = CAP) -> DataFrame:
     """(rid, removed array<int>): numbers of the lines that documents (rid, text) lose; rids are unique."""
     found = materialize(_lines(docs), "lines-found")
-    distinct = found.groupBy("id").agg(F.min(F.struct("rid", "line")).alias("first"), F.count(F.lit(1)).alias("n"))
-    distinct = materialize(distinct.select("id", "first.rid", "first.line", "n"), "lines-distinct")
+    copies = F.count(F.lit(1)) + F.count("more")
+    distinct = found.groupBy("id").agg(F.min("rid").alias("rid"), F.min_by("line", "rid").alias("line"), copies.alias("n"))
+    distinct = materialize(distinct, "lines-distinct")
     groups, candidates = _candidates(found)
     candidates = candidates.groupBy("id").agg(F.collect_list(F.struct("lo", "band", "n")).alias("groups"))
     candidates = distinct.select("id", "rid", "line").join(candidates, "id")
@@ -270,8 +337,11 @@ def removals(docs: DataFrame, similarity: float = SIMILARITY, cap: int = CAP) ->
     grouped = materialize(grouped, "lines-grouped")
     first = grouped.groupBy("root").agg(F.min(F.struct("rid", "line")).alias("keep"))
     keeper = grouped.join(first, "root").select("id", "keep")
-    gone = found.select("rid", "line", "id").join(keeper, "id").where(~F.struct("rid", "line").eqNullSafe(F.col("keep")))
-    gone = materialize(gone.groupBy("rid").agg(F.collect_list("line").alias("removed")), "lines-gone")
+    kept_here = F.struct("rid", "line").eqNullSafe(F.col("keep"))
+    others = F.coalesce("more", F.array().cast("array<int>"))
+    gone = found.select("rid", "line", "more", "id").join(keeper, "id").where(~kept_here | F.col("more").isNotNull())
+    gone = gone.groupBy("rid").agg(F.flatten(F.collect_list(F.when(kept_here, others).otherwise(F.concat(F.array("line"), others)))).alias("removed"))
+    gone = materialize(gone, "lines-gone")
     discard(found, distinct, grouped)
     return gone
 
@@ -281,7 +351,7 @@ def dedup(docs: DataFrame, similarity: float = SIMILARITY, cap: int = CAP) -> Da
     rid, before, out_name = (fresh(docs, x) for x in ("rid", "text_before", "lines_removed"))
     rows, distinct = keyed(docs, rid)
     gone = removals(distinct.select(F.col(rid).alias("rid"), "text"), similarity, cap).toDF(rid, out_name)
-    joined = rows.join(gone, rid, "left").drop(rid).withColumnRenamed("text", before)
+    joined = rows.join(gone.hint("merge"), rid, "left").drop(rid).withColumnRenamed("text", before)
 
     def start():
         def f(batch):

@@ -150,7 +150,7 @@ def test_lines_of_a_large_group_are_linked_as_all_pairs_are(cap):
     edges = []
     for i in range(-(-150 // cap)):
         for j in range(i, -(-150 // cap)):
-            part = [(k // cap == j and i != j, k, made[k]) for k in range(150) if k // cap in (i, j)]
+            part = [(k // cap == j and i != j, k, made[k], sketch) for k, sketch in enumerate(lines.sketches(made)) if k // cap in (i, j)]
             edges += lines.Links(0.8, i != j).compare(part)
     assert set(edges) <= {(i, j) for i, j in near} | {(j, i) for i, j in near}
     assert groups_of(range(150), edges) == groups_of(range(150), near) and len(near) > 200
