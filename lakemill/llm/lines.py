@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh64_intdigest
 
-from lakemill.llm.common import BATCH_BYTES, append_columns, discard, fresh, keyed, materialize, slices, texts_of
+from lakemill.llm.common import append_columns, discard, fresh, keyed, materialize, slices, texts_of
 from lakemill.llm.components import components
 
 SHINGLE = 8  # characters, a power of two
@@ -31,10 +31,12 @@ SIMILARITY = 0.8
 BANDS, ROWS = 12, 3
 #: Lines of a part of a candidate group, and of a group that shares a task with others.
 CAP, SMALL = 512, 64
+#: Bytes of text whose shingles are hashed at once.
+SLICE_BYTES = 1 << 20
 #: Shingles that a task holds as sets.
-HELD_SHINGLES = 2_000_000
+HELD_SHINGLES = 1_000_000
 #: Lines that a task remembers as signed already.
-REMEMBERED = 1_000_000
+REMEMBERED = 500_000
 #: Bits of a line's sketch, a power of two.
 SKETCH = 4096
 
@@ -104,7 +106,7 @@ def signatures(lines: list[str]) -> np.ndarray:
 
 def sketches(lines: list[str]) -> np.ndarray:
     """(lines, SKETCH / 64): bits, of which each shingle sets one."""
-    if len(lines) > 1 and sum(map(len, lines)) > BATCH_BYTES:
+    if len(lines) > 1 and sum(map(len, lines)) > SLICE_BYTES:
         half = len(lines) // 2
         return np.concatenate([sketches(lines[:half]), sketches(lines[half:])])
     bits = np.zeros(len(lines) * SKETCH + 1, bool)
@@ -126,7 +128,7 @@ def _lines(docs: DataFrame) -> DataFrame:
     def run(batches):
         known: set[int] = set()
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE_BYTES):
                 rids, nos, more, ids, new, seen = [], [], [], [], [], {}
                 for rid, text in zip(part.column(0).to_pylist(), texts_of(part, "text")):
                     own: dict[str, int] = {}
@@ -135,7 +137,9 @@ def _lines(docs: DataFrame) -> DataFrame:
                         if len(line) < SHINGLE:
                             continue
                         if (at := own.get(line)) is not None:
-                            more[at] = [*(more[at] or ()), k]
+                            if more[at] is None:
+                                more[at] = []
+                            more[at].append(k)
                             continue
                         own[line] = len(rids)
                         ident = seen.get(line)
@@ -233,7 +237,7 @@ def _verified(candidates: DataFrame, similarity: float, cap: int) -> DataFrame:
     def run(batches):
         links, group, now, made = None, [], None, []
         for batch in batches:
-            for part in slices(batch, "body", BATCH_BYTES // 2):
+            for part in slices(batch, "body", SLICE_BYTES):
                 keys = zip(*(c.to_pylist() for c in part.columns[:5]))
                 side, ids, bodies = (c.to_pylist() for c in part.columns[5:])
                 for key, *row in zip(keys, side, ids, bodies, sketches(bodies)):
