@@ -6,8 +6,9 @@ hash names the windows to compare directly. Many places of a batch are scanned i
 each with its own pointer, so skipping is kept while Python's cost is shared.
 
 Defined results: a null or wordless text has no words and no hits; a null or wordless item has no
-window; items with equal text all count; repeated rows are judged each on their own; an empty
-benchmark leaves every document clean. Extra columns pass through, columns with the name of an
+window; an item without an id counts under the empty id; items with equal text all count; repeated rows
+are judged each on their own; very long texts are read whole, one to a batch; an empty benchmark leaves every
+document clean and an empty table has no rows. Extra columns pass through, columns with the name of an
 output are replaced.
 """
 
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakemill.llm.common import append_columns, bytes_of
+from lakemill.llm.common import append_columns, bytes_of, fresh, materialize, slices
 
 #: Words of a window.
 WINDOW = 10
@@ -140,47 +141,75 @@ def covered(ranges: list[tuple[int, int]]) -> int:
     return total
 
 
+RESULT = [
+    T.StructField("n_words", T.LongType()),
+    T.StructField("n_hit", T.LongType()),
+    T.StructField("n_items", T.LongType()),
+    T.StructField("items_sha256", T.StringType()),
+    T.StructField("contaminated", T.BooleanType()),
+]
+
+
 def find_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` with n_words, n_hit, n_items, items_sha256, contaminated.
 
-    The benchmark's size is measured first. Up to ``block_bytes`` it goes to the tasks in one piece,
-    beyond that the documents are passed by one block of items after another, without a shuffle.
+    The benchmark's size is measured first. Up to ``block_bytes`` it goes to the tasks in one piece. A larger one is
+    searched block by block, the driver holding one block at a time; each pass keeps the hits alone, which meet in the end.
     """
-    items = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("binary").alias("body")).where("item is not null and body is not null")
+    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), F.col("text").cast("binary").alias("body")).where("body is not null")
     total = items.agg(F.sum(F.length("body"))).first()[0] or 0
     blocks = max(1, math.ceil(total / block_bytes))
-    last = [
-        T.StructField("n_words", T.LongType()),
-        T.StructField("n_hit", T.LongType()),
-        T.StructField("n_items", T.LongType()),
-        T.StructField("items_sha256", T.StringType()),
-        T.StructField("contaminated", T.BooleanType()),
-    ]
-    before: list[str] = []
-    for k in range(blocks):
-        mine = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == k)
-        rows = [(r["item"], bytes(r["body"])) for r in mine.toLocalIterator()]
-        held = [f"__ranges_{k}", f"__items_{k}"]
-        fields = last if k == blocks - 1 else [T.StructField(held[0], T.BinaryType()), T.StructField(held[1], T.ArrayType(T.StringType()))]
-        docs = append_columns(docs, fields, lambda rows=rows, before=before, final=k == blocks - 1: _scanner(rows, window, text_col, before, final), text_col)
-        docs, before = docs.drop(*before), held
-    return docs
-
-
-def _scanner(rows, window, text_col, before, final):
-    matcher = Matcher(rows, window)
-
-    def scan(batch):
-        got = matcher.scan(bytes_of(batch, text_col))
-        if before:
-            names = batch.schema.names
-            for (_, ranges, items), r, i in zip(got, *(batch.column(names.index(c)).to_pylist() for c in before)):
-                ranges.extend(map(tuple, np.frombuffer(r, "<i8").reshape(-1, 2).tolist()))
-                items.update(i)
-        if not final:
-            return [pa.array([np.array(r, "<i8").tobytes() for _, r, _ in got], pa.binary()), pa.array([sorted(i) for _, _, i in got], pa.list_(pa.string()))]
-        hits = [covered(r) for _, r, _ in got]
-        digests = [hashlib.sha256(",".join(sorted(i)).encode()).hexdigest() for _, _, i in got]
-        return [pa.array([n for n, _, _ in got], pa.int64()), pa.array(hits, pa.int64()), pa.array([len(i) for _, _, i in got], pa.int64()), pa.array(digests, pa.string()), pa.array([h > 0 for h in hits], pa.bool_())]
-
-    return scan
+    block = F.pmod(F.xxhash64("item", "body"), F.lit(blocks))
+    held = (items if blocks == 1 else items.where(block == k) for k in range(blocks))
+    rows = ([(r["item"], bytes(r["body"])) for r in mine.toLocalIterator()] for mine in held)
+    if blocks == 1:
+        return append_columns(docs, RESULT, _scanner(next(rows), window, text_col), text_col)
+    rid = fresh(docs, "rid")
+    docs = materialize(docs.withColumn(rid, F.monotonically_increasing_id()), "decontaminate-docs")
+    texts = docs.select(F.col(rid).alias("rid"), F.col(f"`{text_col}`").alias("text"))
+    found = [materialize(_hits(texts, mine, window), "decontaminate-hits").written_to for mine in rows]
+    hits = docs.sparkSession.read.schema(HITS).parquet(*found).groupBy("rid").agg(F.collect_list("ranges").alias("ranges"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
+    ranges, names = fresh(docs, "ranges"), fresh(docs, "items_found")
+    joined = docs.join(hits.toDF(rid, ranges, names), rid, "left").drop(rid)
+
+    def start():
+        def judge(batch):
+            columns = batch.schema.names
+            at, ids = (batch.column(columns.index(c)).to_pylist() for c in (ranges, names))
+            return _judged([(len(normalize(t)), np.frombuffer(b"".join(a or ()), "<i8").reshape(-1, 2).tolist(), i or ()) for t, a, i in zip(bytes_of(batch, text_col), at, ids)])
+
+        return judge
+
+    return append_columns(joined, RESULT, start, text_col).drop(ranges, names)
+
+
+HITS = "rid long, ranges binary, items array<string>"
+
+
+def _hits(texts: DataFrame, items: list[tuple[str, bytes]], window: int) -> DataFrame:
+    """(rid, ranges, items) of the documents in which windows of these items occur."""
+
+    def run(batches):
+        matcher = Matcher(items, window)
+        for batch in batches:
+            for part in slices(batch, "text"):
+                rows = [(rid, np.array(r, "<i8").tobytes(), sorted(i)) for rid, (_, r, i) in zip(part.column(0).to_pylist(), matcher.scan(bytes_of(part, "text"))) if r]
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), (pa.int64(), pa.binary(), pa.list_(pa.string())))], ["rid", "ranges", "items"])
+
+    return texts.mapInArrow(run, HITS)
+
+
+def _judged(got) -> list[pa.Array]:
+    """The columns of RESULT from (number of words, hit ranges, items) of each document."""
+    hits = [covered(r) for _, r, _ in got]
+    digests = [hashlib.sha256(",".join(sorted(i)).encode()).hexdigest() for _, _, i in got]
+    return [pa.array([n for n, _, _ in got], pa.int64()), pa.array(hits, pa.int64()), pa.array([len(i) for _, _, i in got], pa.int64()), pa.array(digests, pa.string()), pa.array([h > 0 for h in hits], pa.bool_())]
+
+
+def _scanner(items, window, text_col):
+    def start():
+        matcher = Matcher(items, window)
+        return lambda batch: _judged(matcher.scan(bytes_of(batch, text_col)))
+
+    return start

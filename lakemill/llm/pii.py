@@ -5,13 +5,15 @@ gives each a score for every label, a CRF adds scores for label transitions. It
 gradient descent on the CRF likelihood, on spans labelled by the rules in a bounded sample of
 documents and on made snippets in many more formats, set among the sample's own words.
 
-Texts are cut into windows that overlap by half, each window is decoded, and the spans of all windows
-of a text are reconciled globally: of overlapping ones the set of the highest total score stays.
+Texts are cut into windows that overlap by half and each window is decoded. The parts of a span that goes beyond
+a window are joined, spans that overlap a base span go, and those left of all windows of a text are reconciled
+globally: of overlapping ones the set of the highest total score stays.
 Every kind needs a digit or an at sign by definition, so windows without one, and without a neighbour
-that has one, decode to nothing and are not run. Added spans must pass their kind's check and overlap no base span.
+that has one, decode to nothing and are not run. Added spans must pass their kind's check.
 
 Defined results: a null text is empty and has no spans; equal spans are given once; a table without
-digits trains on made snippets among filler words; repeated rows get a row each.
+digits trains on made snippets among filler words; repeated rows get a row each; very long texts are read whole,
+one to a batch, and their windows by hundreds; an empty table has no rows. Columns that have the name of an added one are replaced.
 """
 
 from __future__ import annotations
@@ -260,7 +262,7 @@ def _decoy(rng: random.Random) -> str:
 def training_windows(sample: list[str], n: int, seed: int = 5) -> tuple[list[str], np.ndarray]:
     """Windows of text and their labels: half around rule spans of the sample, half made."""
     rng = random.Random(seed)
-    words = [w for t in sample for w in t.split()[:400] if not _TRIGGER.search(w)][:20_000] or "the of and to in we are on for with by at it as is that".split()
+    words = [w for t in sample for w in t.split() if not _TRIGGER.search(w)] or "the of and to in we are on for with by at it as is that".split()
     found = [(t, spans) for t in sample if (spans := base_spans(t))]
     texts, labels = [], np.zeros((n, WINDOW), np.int64)
     for row in labels:
@@ -347,6 +349,8 @@ def added_spans(texts: list[str], bases: list[list[tuple[int, int, int]]], tagge
     """What the model adds to the base spans of each text."""
     jobs = [(d, s) for d, text in enumerate(texts) for s in window_starts(text)]
     found: list[list[tuple[float, int, int, int]]] = [[] for _ in texts]
+    # (text, window, kind) -> start and gain of a span that goes on beyond the window's end
+    going_on: dict[tuple[int, int, int], tuple[int, float]] = {}
     for at in range(0, len(jobs), at_once):
         part = jobs[at : at + at_once]
         labels, e = tagger.decode(codes([texts[d][s : s + WINDOW] for d, s in part]))
@@ -357,24 +361,26 @@ def added_spans(texts: list[str], bases: list[list[tuple[int, int, int]]], tagge
                 if row[t] == 0:
                     t += 1
                     continue
-                a, kind = t, (row[t] - 1) // 2
+                a, kind = t, int((row[t] - 1) // 2)
                 t += 1
                 while t < WINDOW and row[t] == 2 + 2 * kind:
                     t += 1
-                # a span at an inner edge is whole in the next window
-                if a == 0 and s > 0 or t == WINDOW and s + WINDOW < len(texts[d]):
+                start, gain = s + a, float((e[np.arange(a, t), w, row[a:t]] - e[a:t, w, 0]).sum())
+                if a == 0 and s > 0:
+                    # it began before: the window before has its first part, or has it whole
+                    before = going_on.pop((d, s - STRIDE, kind), None)
+                    if before is None:
+                        continue
+                    start, gain = before[0], gain + before[1]
+                if t == WINDOW and s + WINDOW < len(texts[d]):
+                    going_on[d, s, kind] = start, gain
                     continue
-                body = texts[d][s + a : s + t]
-                left = len(body) - len(body.lstrip(" .,;:'\""))
+                body = texts[d][start : s + t]
+                start += len(body) - len(body.lstrip(" .,;:'\""))
                 body = body.strip(" .,;:'\"")
-                if body and passes(int(kind), body):
-                    gain = float((e[np.arange(a, t), w, row[a:t]] - e[a:t, w, 0]).sum())
-                    if gain > 0:
-                        found[d].append((gain, s + a + left, int(kind), s + a + left + len(body)))
-    out = []
-    for spans, base in zip(found, bases):
-        out.append([x for x in reconcile(spans) if not any(x[0] < b and a < x[2] for a, _, b in base)])
-    return out
+                if body and gain > 0 and passes(kind, body):
+                    found[d].append((gain, start, kind, start + len(body)))
+    return [reconcile([x for x in spans if not any(x[1] < b and a < x[3] for a, _, b in base)]) for spans, base in zip(found, bases)]
 
 
 FIELDS = [

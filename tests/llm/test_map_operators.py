@@ -59,6 +59,17 @@ def test_decontamination_equals_plain_search(spark, sf, odd_dir, block_bytes):
         assert any(r[-1] for r in got)
 
 
+def test_decontamination_by_many_blocks_and_with_items_without_an_id(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").selectExpr("doc_id", "text", "1 AS rid", "2 AS ranges")
+    texts = docs_of(spark, sf)
+    items = [(k, " ".join(WORD7.findall(t)[5:18])) for k, (_, t) in enumerate(texts[:60])] + [(None, texts[70][1]), (None, texts[71][1])]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.find_contamination(docs, bench, block_bytes=sum(len(t.encode()) for _, t in items) // 50)
+    got = sorted((r["doc_id"], r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"], r["contaminated"]) for r in got.collect())
+    assert got == sorted((i, *plain_decontamination(t, [("" if k is None else k, x) for k, x in items])) for i, t in texts)
+    assert next(r for r in got if r[0] == texts[70][0])[-1]
+
+
 WORD = re.compile("[^\x20\x09-\x0d]+")
 
 
