@@ -17,7 +17,8 @@ most. Texts are kept as classes and counts, from which transitions and then scor
 
 Defined results: a null or empty text is its end token alone; without training documents no word is
 known and the model is the uniform one; a null id is a training id; repeated rows are scored and
-counted each. Extra columns are ignored.
+counted each; common words of equal count come in order of their bytes; a very long text is read whole and
+fills a chunk of its own or more; an empty table has no rows. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,10 +31,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakemill.llm.common import bytes_of, materialize, slices
+from lakemill.llm.common import bytes_of, discard, materialize, slices
 
 #: The end token; no word is empty.
 END = b""
@@ -144,12 +145,12 @@ class Model:
 def _chunked(docs: DataFrame, chunk_bytes: int) -> tuple[DataFrame, int]:
     docs = docs.select("doc_id", "text", held_out().alias("held_out"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    chunks = max(1, math.ceil(size / chunk_bytes))
+    chunks = max(docs.sparkSession.sparkContext.defaultParallelism, math.ceil(size / chunk_bytes))
     return docs.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int")), chunks
 
 
 def count_words(docs: DataFrame, chunks: int) -> DataFrame:
-    """(chunk, word, c): the words of each chunk with their count in all training documents."""
+    """(chunk, word, n): the words of each chunk with their count in its training documents."""
 
     def run(batches):
         counts: dict[int, Counter] = {}
@@ -176,8 +177,7 @@ def count_words(docs: DataFrame, chunks: int) -> DataFrame:
         yield from flush()
 
     by_chunk = docs.select("text", "held_out", "chunk").repartition(chunks, "chunk")
-    rows = by_chunk.mapInArrow(run, "chunk int, word binary, n long")
-    return rows.select("chunk", "word", F.sum("n").over(Window.partitionBy("word")).alias("c"), "n")
+    return by_chunk.mapInArrow(run, "chunk int, word binary, n long")
 
 
 def count_bigrams(train: DataFrame, types: dict[bytes, int]) -> np.ndarray:
@@ -314,13 +314,13 @@ def place_words(contexts: DataFrame, of: np.ndarray, table: np.ndarray) -> DataF
 
 
 def fit(docs: DataFrame, counted: DataFrame) -> tuple[Model, DataFrame]:
-    """The model but for its transitions, and (word, class) of the words that left their shared type's class.
+    """The model but for its transitions, and (word, c, class) of all words, c being their count in all training documents.
 
-    From (chunk, word, c, n) rows and two more passes over the training text. The driver gets the common words,
+    The class is null for words that did not leave their shared type's. From (chunk, word, n) rows and two more passes over the training text. The driver gets the common words,
     the type bigrams and a row per class, all of bounded size.
     """
-    own = counted.where("c > 0").groupBy("word").agg(F.first("c").alias("c"))
-    own = materialize(own, "brown-words")
+    every = materialize(counted.groupBy("word").agg(F.sum("n").alias("c")), "brown-words")
+    own = every.where("c > 0")
     total, vocabulary = own.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     common = [(bytes(r["word"]), r["c"]) for r in own.orderBy(F.desc("c"), "word").limit(COMMON).collect()]
     types = {w: i for i, (w, _) in enumerate(common)}
@@ -340,9 +340,11 @@ def fit(docs: DataFrame, counted: DataFrame) -> tuple[Model, DataFrame]:
         on = np.flatnonzero(mass)
         yield pa.RecordBatch.from_arrays([pa.array(on, pa.int32()), pa.array(mass[on])], ["class", "mass"])
 
-    held = own.join(moved, "word", "left").select("word", "c", "class").mapInArrow(run, "class int, mass long").groupBy("class").agg(F.sum("mass").alias("mass")).toArrow()
+    classed = materialize(every.join(moved, "word", "left").select("word", "c", "class"), "brown-classed")
+    held = classed.where("c > 0").mapInArrow(run, "class int, mass long").groupBy("class").agg(F.sum("mass").alias("mass")).toArrow()
     model.mass[held["class"].to_numpy()] += held["mass"].to_numpy()
-    return model, moved
+    discard(every, moved)
+    return model, classed
 
 
 def score_ids(classes: np.ndarray, c: np.ndarray, model: Model) -> tuple[float, float]:
@@ -368,7 +370,7 @@ ENCODED = "doc_id long, held_out boolean, classes binary, counts binary"
 NOTHING_ENCODED = pa.table({"doc_id": pa.array([], pa.int64()), "held_out": pa.array([], pa.bool_()), "classes": pa.array([], pa.binary()), "counts": pa.array([], pa.binary())})
 
 
-def encode(docs: DataFrame, counted: DataFrame, model: Model, moved: DataFrame) -> DataFrame:
+def encode(docs: DataFrame, counted: DataFrame, model: Model, classed: DataFrame, chunks: int) -> DataFrame:
     """Texts as the classes and counts of their words; each chunk meets those of its own words."""
     wide = np.dtype("<u4" if model.total < 1 << 32 else "<i8")
 
@@ -377,7 +379,7 @@ def encode(docs: DataFrame, counted: DataFrame, model: Model, moved: DataFrame)
         classes, counts = [], []
         for batch in right.to_batches():
             words = batch.column(1).to_pylist()
-            number.update(zip(words, range(len(number), len(number) + len(words))))
+            number.update(zip(words, range(len(classes), len(classes) + len(words))))  # a word that comes again counts where it came last
             classes += [int(model.of[model.type_of(w)]) if c is None else c for w, c in zip(words, batch.column(3).to_pylist())]
             counts.append(batch.column(2).to_numpy())
         classes, counts = np.array(classes, np.uint8), np.concatenate(counts or [np.zeros(0)]).astype(wide)
@@ -392,9 +394,10 @@ def encode(docs: DataFrame, counted: DataFrame, model: Model, moved: DataFrame)
                 out.append(pa.Table.from_arrays(columns, NOTHING_ENCODED.schema.names))
         return pa.concat_tables(out) if out else NOTHING_ENCODED
 
-    classed = counted.join(moved, "word", "left").select("chunk", "word", "c", "class")
-    texts = docs.select("chunk", "doc_id", "held_out", "text").groupBy("chunk")
-    return texts.cogroup(classed.groupBy("chunk")).applyInArrow(run, ENCODED)
+    # a chunk is a task, so the tasks grow in number with the chunks
+    words = counted.select("chunk", "word").join(classed, "word").select("chunk", "word", "c", "class").repartition(chunks, "chunk")
+    texts = docs.select("chunk", "doc_id", "held_out", "text").repartition(chunks, "chunk")
+    return texts.groupBy("chunk").cogroup(words.groupBy("chunk")).applyInArrow(run, ENCODED)
 
 
 def transitions(encoded: DataFrame, model: Model) -> np.ndarray:
@@ -438,11 +441,18 @@ def score(encoded: DataFrame, model: Model) -> DataFrame:
     return encoded.mapInArrow(run, SCORED)
 
 
-def score_corpus(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """Train on the documents that are not held out and score all."""
+def train(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> tuple[Model, DataFrame, DataFrame]:
+    """The model, (word, c, class) of all words, and all texts encoded."""
     docs, chunks = _chunked(docs, chunk_bytes)
     counted = materialize(count_words(docs, chunks), "brown-counted")
-    model, moved = fit(docs, counted)
-    encoded = materialize(encode(docs, counted, model, moved), "brown-encoded")
+    model, classed = fit(docs, counted)
+    encoded = materialize(encode(docs, counted, model, classed, chunks), "brown-encoded")
     model.log_class = transitions(encoded, model)
+    discard(counted)
+    return model, classed, encoded
+
+
+def score_corpus(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """Train on the documents that are not held out and score all."""
+    model, _, encoded = train(docs, chunk_bytes)
     return score(encoded, model)

@@ -34,6 +34,37 @@ def test_base_equals_plain_counts(spark, sf, odd_dir, chunk_bytes):
         assert all(r["score"] < 0 for r in got)
 
 
+def test_score_equals_its_definition(spark, sf):
+    """Classes are taken from the model; masses, transitions and scores are counted anew."""
+    table = spark.read.parquet(f"{sf}/documents.parquet")
+    model, classed, encoded = brown.train(table)
+    docs = [(r[0], (r[1] or "").encode()) for r in table.select("doc_id", "text").collect()]
+    held = lambda i: zlib.crc32(str(i).encode()) % 7 == 2
+    moved = {bytes(r["word"]): r["class"] for r in classed.where("class is not null").collect()}
+    of = lambda w: moved.get(w, int(model.of[model.types.get(w, brown.shared_type(w))]))
+    tokens = {i: [*(w.encode() for w in words_of(t.decode())[:-1]), b""] for i, t in docs}
+    counts = Counter(w for i, _ in docs if not held(i) for w in tokens[i])
+    k = len(model.mass)
+    mass = [1 + sum(c + 1 for w, c in counts.items() if of(w) == j) for j in range(k)]
+    pairs = Counter((of(a), of(b)) for i, _ in docs if not held(i) for a, b in zip([b"", *tokens[i]], tokens[i]))
+    after, to = Counter(), Counter()
+    for (a, b), n in pairs.items():
+        after[a] += n
+        to[b] += n
+    total, v = counts.total(), len(counts)
+    assert {bytes(r["word"]): r["c"] for r in classed.where("c > 0").collect()} == counts and any(w in counts for w in moved)
+
+    def probability(before, w):
+        a, b = of(before), of(w)
+        prior = (to[b] + 1) / (sum(to.values()) + k)
+        return 0.9 * (pairs[a, b] + 5 * prior) / (after[a] + 5) * (counts[w] + 1) / mass[b] + 0.1 * (counts[w] + 1) / (total + v + 1)
+
+    got = {r["doc_id"]: r["score"] for r in brown.score(encoded, model).collect()}
+    for i, ts in tokens.items():
+        want = sum(math.log10(probability(a, w)) for a, w in zip([b"", *ts], ts))
+        assert abs(got[i] - want) < 1e-6 * max(1, abs(want)), i
+
+
 def test_held_out_text_is_less_perplexing_than_under_the_base(spark):
     rows = queries.op4_brown(spark, "/root/testdata/sf0.01").where("held_out").collect()
     assert sum(r["score"] for r in rows) > sum(r["base_score"] for r in rows) + 100
