@@ -9,28 +9,30 @@ A token's probability is a mixture:
 the class's given the class before times the word's given its class, with the add-one unigram model
 as the other part. Each text gets the log10 probability of its words and one end token.
 
-How it runs: texts go to chunks of bounded size by a hash of their id. Every chunk counts its words,
-counts meet by word, and each chunk gets back the words it holds with their counts and classes, so that no table of
+How it runs: texts are read once, without a shuffle. Each task cuts its texts into segments of bounded size and
+writes every segment as its different words and the numbers of its tokens among them. All later passes work on those numbers.
+Counts meet by word, and each segment gets back the counts and classes of the words it holds, so that no table of
 all words is ever in one place. Type bigrams are counted over all training text; their number is bounded by the
-square of the number of types. A rarer word's neighbours are counted by class and meet by word, two rows a class at
-most. Texts are kept as classes and counts, from which transitions and then scores come without another shuffle.
+square of the number of types. A rarer word's neighbours are counted by class: a segment hands on one row a word,
+rows of a word are merged in groups of bounded size, and a word has two counts a class at most.
 
 Defined results: a null or empty text is its end token alone; without training documents no word is
 known and the model is the uniform one; a null id is a training id; repeated rows are scored and
 counted each; common words of equal count come in order of their bytes; a very long text is read whole and
-fills a chunk of its own or more; an empty table has no rows. Extra columns are ignored.
+fills a segment of its own; an empty table has no rows. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import itertools
 import math
-import zlib
-from collections import Counter
+from collections import defaultdict
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,12 +45,10 @@ COMMON, SHARED = 1000, 250
 CLASSES = 40
 #: Share of the class model in the mixture.
 SHARE = 0.9
-#: Bytes of text that a chunk holds.
-CHUNK_BYTES = 16 << 20
-#: Different words that a task counts before it hands its counts on.
-HELD_WORDS = 400_000
-#: Neighbour counts that a task holds before it hands them on, and rarer words that are placed at once.
-HELD_CONTEXTS, PLACED_WORDS = 1_000_000, 4000
+#: Bytes of text and different words with which a segment ends.
+CHUNK_BYTES, HELD_WORDS = 8 << 20, 400_000
+#: Rows of a word's neighbours that are merged at once, and rarer words that are placed at once.
+MERGED, PLACED_WORDS = 4096, 4000
 
 
 def tokens(text: bytes) -> list[bytes]:
@@ -59,9 +59,19 @@ def held_out(doc_id: Column | str = "doc_id") -> Column:
     return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(7)) == 2, F.lit(False))
 
 
-def shared_type(word: bytes, common: int = COMMON, shared: int = SHARED) -> int:
-    """Type of a word that has none of its own: by its first byte, last two bytes and length."""
-    return common + zlib.crc32(word[:1] + word[-2:] + bytes([min(len(word), 24) // 4])) % shared
+def shared_types(words: list[bytes], common: int = COMMON, shared: int = SHARED) -> np.ndarray:
+    """Types of words that have none of their own: by first byte, last two bytes and length."""
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    ends = np.cumsum(lengths) + 2
+    letters = np.frombuffer(b"\0\0" + b"".join(words) + b"\0", np.uint8).astype(np.uint64)
+    code = np.where(lengths > 0, letters[ends - lengths], 0) | np.where(lengths > 0, letters[ends - 1], 0) << np.uint64(8) | np.where(lengths > 1, letters[ends - 2], 0) << np.uint64(16)
+    code |= (np.minimum(lengths, 24) // 4).astype(np.uint64) << np.uint64(24)
+    with np.errstate(over="ignore"):
+        return common + ((code * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)) % np.uint64(shared)).astype(np.int64)
+
+
+def shared_type(word: bytes) -> int:
+    return int(shared_types([word])[0])
 
 
 def xlogx(x: np.ndarray) -> np.ndarray:
@@ -142,155 +152,228 @@ class Model:
         return shared_type(word) if t is None else t
 
 
-def _chunked(docs: DataFrame, chunk_bytes: int) -> tuple[DataFrame, int]:
-    docs = docs.select("doc_id", "text", held_out().alias("held_out"))
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    chunks = max(docs.sparkSession.sparkContext.defaultParallelism, math.ceil(size / chunk_bytes))
-    return docs.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int")), chunks
+SEGMENT = "segment long, words binary, n binary, docs array<long>, held binary, lengths binary, ids binary"
 
 
-def count_words(docs: DataFrame, chunks: int) -> DataFrame:
-    """(chunk, word, n): the words of each chunk with their count in its training documents."""
+def segments(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """Texts cut into segments: the different words (the end token first, left out of ``words``), how often
+    training documents have each, and for each document its tokens' numbers among the words.
+    """
+    names = [c.split()[0] for c in SEGMENT.split(", ")]
 
     def run(batches):
-        counts: dict[int, Counter] = {}
+        task, made = TaskContext.get().partitionId(), 0
+        number: defaultdict[bytes, int] = defaultdict()
+        number.default_factory = number.__len__
+        ids, docs_, held_, size = [], [], [], 0
 
         def flush():
-            for chunk, c in counts.items():
-                words, ns = list(c), list(c.values())
-                for at in range(0, len(words), 50_000):
-                    part = words[at : at + 50_000]
-                    yield pa.RecordBatch.from_arrays([pa.array([chunk] * len(part), pa.int32()), pa.array(part, pa.binary()), pa.array(ns[at : at + 50_000], pa.int64())], ["chunk", "word", "n"])
-            counts.clear()
+            lengths = np.array([len(x) for x in ids])
+            joined = np.concatenate(ids)
+            n = np.bincount(joined[~np.repeat(held_, lengths)], minlength=len(number))
+            words = list(number)
+            columns = [pa.array([task << 33 | made]), *(pa.array([x], pa.binary()) for x in (b" ".join(words[1:]), n.astype("<u4").tobytes())), pa.array([docs_], pa.list_(pa.int64()))]
+            columns += [pa.array([x], pa.binary()) for x in (bytes(held_), lengths.astype("<u4").tobytes(), joined.tobytes())]
+            return pa.RecordBatch.from_arrays(columns, names)
 
         for batch in batches:
             for part in slices(batch, "text"):
-                for chunk, text, held in zip(part.column(2).to_pylist(), bytes_of(part, "text"), part.column(1).to_pylist()):
-                    c = counts.setdefault(chunk, Counter())
-                    if held:
-                        for w in tokens(text):
-                            c.setdefault(w, 0)
-                    else:
-                        c.update(tokens(text))
-                if sum(map(len, counts.values())) > HELD_WORDS:
-                    yield from flush()
-        yield from flush()
-
-    by_chunk = docs.select("text", "held_out", "chunk").repartition(chunks, "chunk")
-    return by_chunk.mapInArrow(run, "chunk int, word binary, n long")
-
-
-def count_bigrams(train: DataFrame, types: dict[bytes, int]) -> np.ndarray:
+                for doc, text, held in zip(part.column(0).to_pylist(), bytes_of(part, "text"), part.column(2).to_pylist()):
+                    if not ids:
+                        number[END]
+                    ids.append(np.array(list(map(number.__getitem__, tokens(text))), "<u4"))
+                    docs_.append(doc)
+                    held_.append(held)
+                    size += len(text)
+                    if size > chunk_bytes or len(number) > HELD_WORDS:
+                        yield flush()
+                        made += 1
+                        number.clear()
+                        ids, docs_, held_, size = [], [], [], 0
+        if ids:
+            yield flush()
+
+    return docs.select("doc_id", "text", held_out().alias("held_out")).mapInArrow(run, SEGMENT)
+
+
+def _read(batches, *columns):
+    """Segments as tuples of the named columns, one after another."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield tuple(_decoded(c, batch.column(batch.schema.get_field_index(c))[i].as_py()) for c in columns)
+
+
+def _decoded(name, x):
+    if name == "words":
+        return [END, *x.split()]
+    if name in ("n", "lengths", "ids"):
+        return np.frombuffer(x, "<u4")
+    return np.frombuffer(x, np.uint8).astype(bool) if name == "held" else x
+
+
+def count_words(segs: DataFrame) -> DataFrame:
+    """(word, c): all words with their count in all training documents."""
+
+    def run(batches):
+        for words, n in _read(batches, "words", "n"):
+            for at in range(0, len(words), 50_000):
+                yield pa.RecordBatch.from_arrays([pa.array(words[at : at + 50_000], pa.binary()), pa.array(n[at : at + 50_000].astype(np.int64))], ["word", "n"])
+
+    return segs.select("words", "n").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("c"))
+
+
+def _types(words: list[bytes], types: dict[bytes, int]) -> np.ndarray:
+    out = shared_types(words)
+    own = [(k, types[w]) for k, w in enumerate(words) if w in types]
+    if own:
+        k, t = zip(*own)
+        out[list(k)] = t
+    return out
+
+
+def _training(ids, lengths, held) -> np.ndarray:
+    """The tokens of training documents, each document opened by an end token."""
+    last = np.cumsum(lengths)[~held] - 1
+    keep = ids[np.repeat(~held, lengths)]
+    return np.concatenate([[0], keep]) if len(last) else np.zeros(0, np.int64)
+
+
+def _sums(codes: DataFrame, size: int) -> np.ndarray:
+    """Sums of n by code, as an array on the driver; the number of codes is bounded."""
+    out = np.zeros(size)
+    for batch in codes.groupBy("code").agg(F.sum("n").alias("n")).toArrow().to_batches():
+        out[batch.column(0).to_numpy()] = batch.column(1).to_numpy()
+    return out
+
+
+def _nonzero(total: np.ndarray):
+    on = np.flatnonzero(total)
+    return pa.RecordBatch.from_arrays([pa.array(on, pa.int32()), pa.array(total[on].astype(np.int64))], ["code", "n"])
+
+
+def count_bigrams(segs: DataFrame, types: dict[bytes, int]) -> np.ndarray:
     """Bigrams of types over all training text, each text opened by its end token's type."""
     n_types = COMMON + SHARED
-    opening = types.get(END, shared_type(END))
 
     def run(batches):
-        total: Counter = Counter()
-        known = dict(types)
-        for batch in batches:
-            for part in slices(batch, "text"):
-                ids = []
-                for text in bytes_of(part, "text"):
-                    ids.append(opening)
-                    for w in tokens(text):
-                        t = known.get(w)
-                        if t is None:
-                            t = shared_type(w)
-                        ids.append(t)
-                    ids.append(-1)
-                a = np.array(ids, np.int64)
-                inside = (a[:-1] >= 0) & (a[1:] >= 0)
-                codes, n = np.unique((a[:-1] * n_types + a[1:])[inside], return_counts=True)
-                total.update(dict(zip(codes.tolist(), n.tolist())))
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array(list(total.values()), pa.int64())], ["code", "n"])
-
-    sums = train.select("text").mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
-    out = np.zeros(n_types * n_types)
-    for batch in sums.select(F.col("code").cast("int"), "n").toArrow().to_batches():
-        out[batch.column(0).to_numpy()] = batch.column(1).to_numpy()
-    return out.reshape(n_types, n_types)
+        total = np.zeros(n_types * n_types, np.int64)
+        for words, lengths, held, ids in _read(batches, "words", "lengths", "held", "ids"):
+            a = _types(words, types)[_training(ids, lengths, held)]
+            total += np.bincount(a[:-1] * n_types + a[1:], minlength=len(total))
+        yield _nonzero(total)
+
+    return _sums(segs.select("words", "lengths", "held", "ids").mapInArrow(run, "code int, n long"), n_types * n_types).reshape(n_types, n_types)
+
 
+#: A count of a class before a word (key) or after it (classes + key).
+NEIGHBOUR = np.dtype([("key", "u1"), ("n", "<u4")])
 
-def count_contexts(train: DataFrame, types: dict[bytes, int], of: np.ndarray) -> DataFrame:
-    """(word, key, n): how often each rarer word stands before (key) or after (classes + key) each class.
+
+def _packed(word: np.ndarray, key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """The different words of rows sorted by word, and the neighbours of each in one binary value."""
+    first = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]])) if len(word) else np.zeros(0, np.int64)
+    rows = np.empty(len(word), NEIGHBOUR)
+    rows["key"], rows["n"] = key, n
+    offsets = (np.concatenate([first, [len(word)]]) * NEIGHBOUR.itemsize).astype("<i4")
+    return word[first], pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(rows)])
+
+
+def _unpacked(values: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(word, key, n) rows, words by number, of one list of binary values for each word."""
+    flat = values.flatten()
+    sizes = pa.compute.binary_length(flat).to_numpy() // NEIGHBOUR.itemsize
+    word = np.repeat(np.repeat(np.arange(len(values)), values.value_lengths().to_numpy()), sizes)
+    rows = np.frombuffer(b"".join(flat.to_pylist()), NEIGHBOUR)
+    return word, rows["key"].astype(np.int64), rows["n"].astype(np.int64)
+
+
+def _merged(word: np.ndarray, key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows with equal word and key as one, sorted."""
+    codes, at = np.unique(word << 8 | key, return_inverse=True)
+    return codes >> 8, codes & 255, np.bincount(at, n, len(codes)).astype(np.int64)
+
+
+def count_contexts(segs: DataFrame, types: dict[bytes, int], of: np.ndarray, merged: int = MERGED) -> DataFrame:
+    """(word, rows): for each rarer word ``merged`` NEIGHBOUR values at most, which add up to its counts.
 
     A word beside itself is left out, as its neighbour moves with it.
     """
     k, n_types = int(of.max(initial=0)) + 1, COMMON + SHARED
+    if 2 * k > 256:
+        raise ValueError("a neighbour's key takes a byte")
 
     def run(batches):
-        known, rare, class_of = dict(types), [], of.tolist()
-        held, n_held = [], 0
-
-        def number(w):
-            known[w] = len(class_of)
-            class_of.append(class_of[shared_type(w)])
-            rare.append(w)
-            return known[w]
-
-        def flush():
-            codes, at = np.unique(np.concatenate([c for c, _ in held]), return_inverse=True)
-            n = np.bincount(at, np.concatenate([n for _, n in held])).astype(np.int64)
-            words = pa.array(rare, pa.binary())
-            for i in range(0, len(codes), 100_000):
-                part = codes[i : i + 100_000]
-                yield pa.RecordBatch.from_arrays([words.take(pa.array(part // (2 * k))), pa.array(part % (2 * k), pa.int32()), pa.array(n[i : i + 100_000])], ["word", "key", "n"])
-
+        for segment, words, lengths, held, ids in _read(batches, "segment", "words", "lengths", "held", "ids"):
+            type_of = _types(words, types)
+            rare = np.array([w not in types for w in words])
+            a, of_ids = _training(ids, lengths, held), of[type_of]
+            left, right = a[:-1].astype(np.int64), a[1:].astype(np.int64)
+            inside = left != right
+            left, right = left[inside], right[inside]
+            before, after = rare[left], rare[right]
+            codes = np.concatenate([left[before] << 8 | of_ids[right[before]], right[after] << 8 | of_ids[left[after]] + k])
+            codes, n = np.unique(codes, return_counts=True)
+            word, rows = _packed(codes >> 8, codes & 255, n)
+            names = pa.array(words, pa.binary()).take(pa.array(word))
+            for i in range(0, len(word), 50_000):
+                yield pa.RecordBatch.from_arrays([names[i : i + 50_000], rows[i : i + 50_000], pa.array(np.full(len(word[i : i + 50_000]), segment))], ["word", "rows", "segment"])
+
+    def merge(batches):
         for batch in batches:
-            for part in slices(batch, "text"):
-                ids = []
-                for text in bytes_of(part, "text"):
-                    for w in (END, *tokens(text)):
-                        t = known.get(w)
-                        ids.append(number(w) if t is None else t)
-                    ids.append(-1)
-                if not ids:
-                    continue
-                a, of_ids = np.array(ids, np.int64), np.array(class_of, np.int64)
-                left, right = a[:-1], a[1:]
-                inside = (left >= 0) & (right >= 0) & (left != right)
-                left, right = left[inside], right[inside]
-                before, after = left >= n_types, right >= n_types
-                held.append(np.unique(np.concatenate([(left[before] - n_types) * 2 * k + of_ids[right[before]], (right[after] - n_types) * 2 * k + k + of_ids[left[after]]]), return_counts=True))
-                n_held += len(held[-1][0])
-                if n_held > HELD_CONTEXTS or len(rare) > HELD_WORDS:
-                    yield from flush()
-                    known, rare, class_of, held, n_held = dict(types), [], of.tolist(), [], 0
-        if n_held:
-            yield from flush()
-
-    rows = train.select("text").mapInArrow(run, "word binary, key int, n long")
-    return rows.groupBy("word", "key").agg(F.sum("n").alias("n"))
+            for i in range(0, batch.num_rows, PLACED_WORDS):
+                part = batch.slice(i, PLACED_WORDS)
+                word, rows = _packed(*_merged(*_unpacked(part.column(1))))
+                yield pa.RecordBatch.from_arrays([part.column(0), rows], ["word", "rows"])
+
+    rows = segs.select("segment", "words", "lengths", "held", "ids").mapInArrow(run, "word binary, rows binary, segment long")
+    salts = math.ceil(segs.count() / merged)
+    while salts > 1:
+        salt = F.pmod(F.xxhash64("segment"), F.lit(salts)) if "segment" in rows.columns else F.pmod(F.xxhash64("rows"), F.lit(salts))
+        rows = rows.groupBy("word", salt.alias("salt")).agg(F.collect_list("rows").alias("rows")).select("word", "rows").mapInArrow(merge, "word binary, rows binary")
+        salts = math.ceil(salts / merged) if salts > merged else 1
+    return rows.groupBy("word").agg(F.collect_list("rows").alias("rows"))
 
 
 def place(now: np.ndarray, word: np.ndarray, key: np.ndarray, n: np.ndarray, table: np.ndarray) -> np.ndarray:
     """The best class of each word, in class ``now`` and counted in ``table`` of class bigrams, from its neighbours.
 
-    ``word``, ``key`` and ``n`` are the rows of count_contexts, words by number.
+    ``word``, ``key`` and ``n`` are counts of neighbours, words by number, rows with equal word and key merged and sorted.
     """
     f, k, at = xlogx, len(table), np.arange(len(now))
     dense = np.zeros((len(now), 2 * k))
-    np.add.at(dense, (word, key), n)
+    dense[word, key] = n
     out, into = dense[:, :k], dense[:, k:]
     gain = np.zeros((len(now), k))
     for side, t, other in ((key < k, table.T, into), (key >= k, table, out)):
         w, j, m = word[side], key[side] % k, n[side].astype(float)
-        rest = t[j]  # bigrams of each class with the neighbour's, without the word itself
-        rest[np.arange(len(w)), now[w]] -= m
-        own = j == now[w]
-        rest[own] -= other[w[own]]
-        rest = np.maximum(rest, 0)
-        np.add.at(gain, w, f(rest + m[:, None]) - f(rest))
+        if not len(w):
+            continue
+        # what the neighbour's class gains from each class, by number of bigrams, then for each row
+        sizes, which = np.unique(m, return_inverse=True)
+        pair, row = np.unique(which * k + j, return_inverse=True)
+        base = t[pair % k]
+        part = (f(base + sizes[pair // k][:, None]) - f(base))[row]
+        # the class the word is in: its own bigrams are counted there already
+        held = np.maximum(t[j, now[w]] - m, 0)
+        own = np.flatnonzero(j == now[w])
+        part[np.arange(len(w)), now[w]] = f(held + m) - f(held)
+        if len(own):
+            rest = t[j[own]]
+            rest[np.arange(len(own)), now[w[own]]] -= m[own]
+            rest = np.maximum(rest - other[w[own]], 0)
+            part[own] = f(rest + m[own][:, None]) - f(rest)
+        first = np.flatnonzero(np.concatenate([[True], w[1:] != w[:-1]]))
+        gain[w[first]] += np.add.reduceat(part, first, axis=0)
     corner = np.tile(np.diag(table), (len(now), 1))
     corner[at, now] -= out[at, now] + into[at, now]
     corner = np.maximum(corner, 0)
     gain += f(corner + out + into) - f(corner + out) - f(corner + into) + f(corner)
     for sums, x in ((table.sum(1), out.sum(1)), (table.sum(0), into.sum(1))):
-        rest = np.tile(sums, (len(now), 1))
-        rest[at, now] -= x
-        rest = np.maximum(rest, 0)
-        gain -= f(rest + x[:, None]) - f(rest)
+        size, row = np.unique(x, return_inverse=True)
+        part = (f(sums[None, :] + size[:, None]) - f(sums[None, :]))[row]
+        rest = np.maximum(sums[now] - x, 0)
+        part[at, now] = f(rest + x) - f(rest)
+        gain -= part
     best = gain.argmax(1)
     return np.where(gain[at, best] > gain[at, now] + 1e-9, best, now)
 
@@ -302,48 +385,43 @@ def place_words(contexts: DataFrame, of: np.ndarray, table: np.ndarray) -> DataF
         for batch in batches:
             for i in range(0, batch.num_rows, PLACED_WORDS):
                 part = batch.slice(i, PLACED_WORDS)
-                words, rows = part.column(0), part.column(1)
-                now = np.array([of[shared_type(w)] for w in words.to_pylist()], np.int64)
-                word, flat = np.repeat(np.arange(len(words)), rows.value_lengths().to_numpy()), rows.flatten()
-                best = place(now, word, flat.field("key").to_numpy(), flat.field("n").to_numpy(), table)
+                words = part.column(0)
+                now = of[shared_types(words.to_pylist())]
+                best = place(now, *_merged(*_unpacked(part.column(1))), table)
                 moved = np.flatnonzero(best != now)
                 yield pa.RecordBatch.from_arrays([words.take(pa.array(moved)), pa.array(best[moved], pa.int32())], ["word", "class"])
 
-    rows = contexts.groupBy("word").agg(F.collect_list(F.struct("key", "n")).alias("rows"))
-    return rows.mapInArrow(run, "word binary, class int")
+    return contexts.mapInArrow(run, "word binary, class int")
 
 
-def fit(docs: DataFrame, counted: DataFrame) -> tuple[Model, DataFrame]:
+def fit(segs: DataFrame) -> tuple[Model, DataFrame]:
     """The model but for its transitions, and (word, c, class) of all words, c being their count in all training documents.
 
-    The class is null for words that did not leave their shared type's. From (chunk, word, n) rows and two more passes over the training text. The driver gets the common words,
-    the type bigrams and a row per class, all of bounded size.
+    The driver gets the common words, the type bigrams and a row per class, all of bounded size.
     """
-    every = materialize(counted.groupBy("word").agg(F.sum("n").alias("c")), "brown-words")
+    every = materialize(count_words(segs), "brown-words")
     own = every.where("c > 0")
     total, vocabulary = own.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     common = [(bytes(r["word"]), r["c"]) for r in own.orderBy(F.desc("c"), "word").limit(COMMON).collect()]
     types = {w: i for i, (w, _) in enumerate(common)}
-    train = docs.where("not held_out")
-    bigrams = count_bigrams(train, types)
+    bigrams = count_bigrams(segs, types)
     of = exchange(bigrams)
     k = int(of.max(initial=0)) + 1
     onehot = np.eye(k)[of]
-    moved = materialize(place_words(count_contexts(train, types, of), of, onehot.T @ bigrams @ onehot), "brown-classes")
+    moved = place_words(count_contexts(segs, types, of), of, onehot.T @ bigrams @ onehot)
     model = Model(int(total), int(vocabulary), types, of, np.full((k, k), 1 / k), np.ones(k))
 
     def run(batches):
-        mass = np.zeros(k, np.int64)
         for batch in batches:
-            cs = [int(of[model.type_of(w)]) if c is None else c for w, c in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist())]
-            np.add.at(mass, np.array(cs, np.int64), batch.column(1).to_numpy() + 1)
-        on = np.flatnonzero(mass)
-        yield pa.RecordBatch.from_arrays([pa.array(on, pa.int32()), pa.array(mass[on])], ["class", "mass"])
+            words, moved_to = batch.column(0).to_pylist(), batch.column(2)
+            classes = np.where(np.asarray(moved_to.is_null()), of[_types(words, types)], np.asarray(moved_to.fill_null(0)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(classes, pa.int32())], ["word", "c", "class"])
 
-    classed = materialize(every.join(moved, "word", "left").select("word", "c", "class"), "brown-classed")
-    held = classed.where("c > 0").mapInArrow(run, "class int, mass long").groupBy("class").agg(F.sum("mass").alias("mass")).toArrow()
+    classed = every.join(moved, "word", "left").select("word", "c", "class").mapInArrow(run, "word binary, c long, class int")
+    classed = materialize(classed, "brown-classed")
+    held = classed.where("c > 0").groupBy("class").agg(F.sum(F.col("c") + 1).alias("mass")).toArrow()
     model.mass[held["class"].to_numpy()] += held["mass"].to_numpy()
-    discard(every, moved)
+    discard(every)
     return model, classed
 
 
@@ -366,89 +444,96 @@ def score_text(words: list[bytes], counts: dict[bytes, int], model: Model, cache
 
 SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, perplexity double"
 SCORED_NAMES = [c.split()[0] for c in SCORED.split(", ")]
-ENCODED = "doc_id long, held_out boolean, classes binary, counts binary"
-NOTHING_ENCODED = pa.table({"doc_id": pa.array([], pa.int64()), "held_out": pa.array([], pa.bool_()), "classes": pa.array([], pa.binary()), "counts": pa.array([], pa.binary())})
+ENCODED = "docs array<long>, held binary, lengths binary, ids binary, counts binary, classes binary"
+NO_TEXT = pa.table({"docs": pa.array([], pa.list_(pa.int64())), **{c: pa.array([], pa.binary()) for c in ("held", "lengths", "ids", "counts", "classes")}})
+
 
+def encode(segs: DataFrame, classed: DataFrame) -> DataFrame:
+    """Segments with the counts and classes of their words in place of the words."""
 
-def encode(docs: DataFrame, counted: DataFrame, model: Model, classed: DataFrame, chunks: int) -> DataFrame:
-    """Texts as the classes and counts of their words; each chunk meets those of its own words."""
-    wide = np.dtype("<u4" if model.total < 1 << 32 else "<i8")
+    def words_of(batches):
+        for segment, words in _read(batches, "segment", "words"):
+            for at in range(0, len(words), 50_000):
+                part = words[at : at + 50_000]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), segment)), pa.array(np.arange(at, at + len(part)), pa.int32()), pa.array(part, pa.binary())], ["segment", "number", "word"])
 
     def run(left, right):
-        number: dict[bytes, int] = {}
-        classes, counts = [], []
-        for batch in right.to_batches():
-            words = batch.column(1).to_pylist()
-            number.update(zip(words, range(len(classes), len(classes) + len(words))))  # a word that comes again counts where it came last
-            classes += [int(model.of[model.type_of(w)]) if c is None else c for w, c in zip(words, batch.column(3).to_pylist())]
-            counts.append(batch.column(2).to_numpy())
-        classes, counts = np.array(classes, np.uint8), np.concatenate(counts or [np.zeros(0)]).astype(wide)
-        out = []
-        for batch in left.to_batches():
-            for part in slices(batch, "text"):
-                if not part.num_rows:
-                    continue
-                ids = [np.array([number[w] for w in tokens(t)], np.int64) for t in bytes_of(part, "text")]
-                names = part.schema.names
-                columns = [part.column(names.index("doc_id")), part.column(names.index("held_out")), pa.array([classes[i].tobytes() for i in ids], pa.binary()), pa.array([counts[i].tobytes() for i in ids], pa.binary())]
-                out.append(pa.Table.from_arrays(columns, NOTHING_ENCODED.schema.names))
-        return pa.concat_tables(out) if out else NOTHING_ENCODED
+        if not left.num_rows:
+            return NO_TEXT
+        number, c, cls = (right.column(x).to_numpy() for x in ("number", "c", "class"))
+        counts, classes = np.zeros(len(number), "<i8"), np.zeros(len(number), np.uint8)
+        counts[number], classes[number] = c, cls
+        return pa.table([*(left.column(x) for x in NO_TEXT.schema.names[:4]), pa.array([counts.tobytes()], pa.binary()), pa.array([classes.tobytes()], pa.binary())], NO_TEXT.schema.names)
 
-    # a chunk is a task, so the tasks grow in number with the chunks
-    words = counted.select("chunk", "word").join(classed, "word").select("chunk", "word", "c", "class").repartition(chunks, "chunk")
-    texts = docs.select("chunk", "doc_id", "held_out", "text").repartition(chunks, "chunk")
-    return texts.groupBy("chunk").cogroup(words.groupBy("chunk")).applyInArrow(run, ENCODED)
+    words = segs.select("segment", "words").mapInArrow(words_of, "segment long, number int, word binary")
+    words = words.join(classed, "word").select("segment", "number", "c", "class")
+    # a segment is a task, so that tasks grow in number with the segments
+    n = max(1, segs.count())
+    texts = segs.select("segment", "docs", "held", "lengths", "ids").repartition(n, "segment")
+    return texts.groupBy("segment").cogroup(words.repartition(n, "segment").groupBy("segment")).applyInArrow(run, ENCODED)
 
 
 def transitions(encoded: DataFrame, model: Model) -> np.ndarray:
     """Probabilities of class bigrams over all training text, with the classes of all words."""
-    k, first = len(model.mass), int(model.of[model.type_of(END)])
+    k = len(model.mass)
 
     def run(batches):
         total = np.zeros(k * k, np.int64)
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                a = np.frombuffer(text, np.uint8).astype(np.int64)
-                total += np.bincount(np.concatenate([[first], a[:-1]]) * k + a, minlength=k * k)
-        on = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(on, pa.int32()), pa.array(total[on])], ["code", "n"])
-
-    sums = encoded.where("not held_out").select("classes").mapInArrow(run, "code int, n long").groupBy("code").agg(F.sum("n").alias("n")).toArrow()
-    table = np.zeros(k * k)
-    table[sums["code"].to_numpy()] = sums["n"].to_numpy()
-    table = table.reshape(k, k)
+        for held, lengths, ids, classes in _read(batches, "held", "lengths", "ids", "classes"):
+            a = np.frombuffer(classes, np.uint8).astype(np.int64)[_training(ids, lengths, held)]
+            total += np.bincount(a[:-1] * k + a[1:], minlength=k * k)
+        yield _nonzero(total)
+
+    table = _sums(encoded.select("held", "lengths", "ids", "classes").mapInArrow(run, "code int, n long"), k * k).reshape(k, k)
     prior = (table.sum(0) + 1) / (table.sum() + k)
     return (table + 5 * prior) / (table.sum(1, keepdims=True) + 5)
 
 
 def score(encoded: DataFrame, model: Model) -> DataFrame:
     """One row per document."""
-    wide = np.dtype("<u4" if model.total < 1 << 32 else "<i8")
 
     def run(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            rows = []
-            for classes, counts in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                c = np.frombuffer(counts, wide).astype(np.int64)
-                rows.append((len(c), int((c > 0).sum()), *score_ids(np.frombuffer(classes, np.uint8), c, model)))
-            n, known, base, own = zip(*rows)
-            ppl = [10 ** (-s / m) for m, s in zip(n, own)]
-            columns = [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array([model.total] * len(n), pa.int64()), pa.array(base, pa.float64()), pa.array(own, pa.float64()), pa.array(ppl, pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, SCORED_NAMES)
+        for docs, held, lengths, ids, counts, classes in _read(batches, "docs", "held", "lengths", "ids", "counts", "classes"):
+            c, cls = np.frombuffer(counts, "<i8"), np.frombuffer(classes, np.uint8).astype(np.int64)
+            first = np.cumsum(lengths, dtype=np.int64) - lengths
+            base = np.log10((c + 1) / (model.total + model.vocabulary + 1))
+            by_word = np.log10((c + 1) / model.mass[cls]), 10**base
+            known, sums, own = (np.zeros(len(docs)) for _ in range(3))
+            # documents are taken together up to a bounded number of tokens
+            for a, b in _runs(lengths):
+                tokens_, at = ids[first[a] : first[b - 1] + lengths[b - 1]], first[a:b] - first[a]
+                now = cls[tokens_]
+                before = np.concatenate([[0], now[:-1]])
+                before[at] = cls[0]
+                by_class = model.log_class[before, now] * 10 ** by_word[0][tokens_]
+                known[a:b] = np.add.reduceat((c > 0)[tokens_].astype(np.int64), at)
+                sums[a:b] = np.add.reduceat(base[tokens_], at)
+                own[a:b] = np.add.reduceat(np.log10(SHARE * by_class + (1 - SHARE) * by_word[1][tokens_]), at)
+            columns = [pa.array(docs, pa.int64()), pa.array(held), pa.array(lengths.astype(np.int64)), pa.array(known.astype(np.int64)), pa.array(np.full(len(docs), model.total, np.int64))]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(sums), pa.array(own), pa.array(10 ** (-own / lengths))], SCORED_NAMES)
 
     return encoded.mapInArrow(run, SCORED)
 
 
+def _runs(lengths: np.ndarray, most: int = 1 << 20):
+    """Ranges of documents of about ``most`` tokens, one document at least."""
+    start = held = 0
+    for k, n in enumerate(lengths.tolist()):
+        if held and held + n > most:
+            yield start, k
+            start, held = k, 0
+        held += n
+    if held:
+        yield start, len(lengths)
+
+
 def train(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> tuple[Model, DataFrame, DataFrame]:
     """The model, (word, c, class) of all words, and all texts encoded."""
-    docs, chunks = _chunked(docs, chunk_bytes)
-    counted = materialize(count_words(docs, chunks), "brown-counted")
-    model, classed = fit(docs, counted)
-    encoded = materialize(encode(docs, counted, model, classed, chunks), "brown-encoded")
+    segs = materialize(segments(docs, chunk_bytes), "brown-segments")
+    model, classed = fit(segs)
+    encoded = materialize(encode(segs, classed), "brown-encoded")
     model.log_class = transitions(encoded, model)
-    discard(counted)
+    discard(segs)
     return model, classed, encoded
 
 
