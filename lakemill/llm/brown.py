@@ -172,8 +172,8 @@ def segments(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
             joined = np.concatenate(ids)
             n = np.bincount(joined[~np.repeat(held_, lengths)], minlength=len(number))
             words = list(number)
-            columns = [pa.array([task << 33 | made]), *(pa.array([x], pa.binary()) for x in (b" ".join(words[1:]), n.astype("<u4").tobytes())), pa.array([docs_], pa.list_(pa.int64()))]
-            columns += [pa.array([x], pa.binary()) for x in (bytes(held_), lengths.astype("<u4").tobytes(), joined.tobytes())]
+            columns = [pa.array([task << 33 | made]), *(pa.array([x], pa.binary()) for x in (b" ".join(words[1:]), _planes(n))), pa.array([docs_], pa.list_(pa.int64()))]
+            columns += [pa.array([x], pa.binary()) for x in (bytes(held_), _planes(lengths), _planes(joined))]
             return pa.RecordBatch.from_arrays(columns, names)
 
         for batch in batches:
@@ -196,6 +196,11 @@ def segments(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     return docs.select("doc_id", "text", held_out().alias("held_out")).mapInArrow(run, SEGMENT)
 
 
+def _planes(x: np.ndarray) -> bytes:
+    """32-bit numbers with all first bytes first: most are small, so that the last bytes pack to nothing."""
+    return x.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
 def _read(batches, *columns):
     """Segments as tuples of the named columns, one after another."""
     for batch in batches:
@@ -207,7 +212,7 @@ def _decoded(name, x):
     if name == "words":
         return [END, *x.split()]
     if name in ("n", "lengths", "ids"):
-        return np.frombuffer(x, "<u4")
+        return np.frombuffer(x, np.uint8).reshape(4, -1).T.copy().view("<u4").ravel()
     return np.frombuffer(x, np.uint8).astype(bool) if name == "held" else x
 
 
@@ -444,8 +449,7 @@ def score_text(words: list[bytes], counts: dict[bytes, int], model: Model, cache
 
 SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, perplexity double"
 SCORED_NAMES = [c.split()[0] for c in SCORED.split(", ")]
-ENCODED = "docs array<long>, held binary, lengths binary, ids binary, counts binary, classes binary"
-NO_TEXT = pa.table({"docs": pa.array([], pa.list_(pa.int64())), **{c: pa.array([], pa.binary()) for c in ("held", "lengths", "ids", "counts", "classes")}})
+ENCODED = ["docs", "held", "lengths", "ids", "counts", "classes"]
 
 
 def encode(segs: DataFrame, classed: DataFrame) -> DataFrame:
@@ -457,20 +461,18 @@ def encode(segs: DataFrame, classed: DataFrame) -> DataFrame:
                 part = words[at : at + 50_000]
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), segment)), pa.array(np.arange(at, at + len(part)), pa.int32()), pa.array(part, pa.binary())], ["segment", "number", "word"])
 
-    def run(left, right):
-        if not left.num_rows:
-            return NO_TEXT
-        number, c, cls = (right.column(x).to_numpy() for x in ("number", "c", "class"))
+    def marks_of(rows):
+        number, c, cls = (rows.column(x).to_numpy() for x in ("number", "c", "class"))
         counts, classes = np.zeros(len(number), "<i8"), np.zeros(len(number), np.uint8)
         counts[number], classes[number] = c, cls
-        return pa.table([*(left.column(x) for x in NO_TEXT.schema.names[:4]), pa.array([counts.tobytes()], pa.binary()), pa.array([classes.tobytes()], pa.binary())], NO_TEXT.schema.names)
+        return pa.table([rows.column("segment").slice(0, 1), pa.array([counts.tobytes()], pa.binary()), pa.array([classes.tobytes()], pa.binary())], ["segment", "counts", "classes"])
 
     words = segs.select("segment", "words").mapInArrow(words_of, "segment long, number int, word binary")
     words = words.join(classed, "word").select("segment", "number", "c", "class")
     # a segment is a task, so that tasks grow in number with the segments
-    n = max(1, segs.count())
-    texts = segs.select("segment", "docs", "held", "lengths", "ids").repartition(n, "segment")
-    return texts.groupBy("segment").cogroup(words.repartition(n, "segment").groupBy("segment")).applyInArrow(run, ENCODED)
+    words = words.repartition(max(1, segs.count()), "segment").groupBy("segment")
+    marks = materialize(words.applyInArrow(marks_of, "segment long, counts binary, classes binary"), "brown-marks")
+    return segs.drop("words", "n").join(marks, "segment").select(*ENCODED)
 
 
 def transitions(encoded: DataFrame, model: Model) -> np.ndarray:
