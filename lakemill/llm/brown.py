@@ -46,7 +46,7 @@ CLASSES = 40
 #: Share of the class model in the mixture.
 SHARE = 0.9
 #: Bytes of text and different words with which a segment ends.
-CHUNK_BYTES, HELD_WORDS = 8 << 20, 400_000
+CHUNK_BYTES, HELD_WORDS = 4 << 20, 300_000
 #: Rows of a word's neighbours that are merged at once, and rarer words that are placed at once.
 MERGED, PLACED_WORDS = 4096, 4000
 

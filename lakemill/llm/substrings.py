@@ -39,6 +39,8 @@ REACH = LENGTH - ANCHOR
 UNIT = 16
 #: Bytes of contexts whose suffix arrays are built in step.
 TOGETHER = 1 << 20
+#: Anchors of a task whose contexts meet before they are dealt out.
+MET_TOGETHER = 250_000
 #: Bytes hashed at once; positions in a piece fit in POSITION_BITS.
 PIECE = 4 << 20
 POSITION_BITS = 23
@@ -141,14 +143,38 @@ def _anchors_of(held):
 
 
 def _anchor_rows(docs: DataFrame) -> DataFrame:
+    """(h, c, rid, p, again): the anchors with their contexts.
+
+    Of equal contexts that a task meets close together the first goes on. The others are repeats whatever other tasks
+    have (again), so that a very common context is a few rows a task; their h only deals them out.
+    """
+
     def run(batches):
+        held, size = [], 0
+
+        def flush():
+            h, c, rid, p = (np.concatenate(x) for x in zip(*held))
+            order = np.lexsort((p, rid, c, h))
+            h, c, rid, p = (x[order] for x in (h, c, rid, p))
+            again = np.concatenate([[False], (h[1:] == h[:-1]) & (c[1:] == c[:-1])]) if len(h) else np.zeros(0, bool)
+            with np.errstate(over="ignore"):
+                spread = _mix((rid.astype(np.uint64) * _B) ^ p.astype(np.uint64))
+            h = np.where(again, spread, h)
+            return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(np.where(again, h, c).view(np.int64)), pa.array(rid), pa.array(p), pa.array(again)], ["h", "c", "rid", "p", "again"])
+
         for batch in batches:
             for part in slices(batch, "text", 2 << 20):
                 rid = part.column(0).to_numpy()
                 text, at, h, c, reach = anchors(bytes_of(part, "text"))
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(c.view(np.int64)), pa.array(rid[text]), pa.array(at << 14 | reach)], ["h", "c", "rid", "p"])
+                held.append((h, c, rid[text], at << 14 | reach))
+                size += len(h)
+                if size > MET_TOGETHER:
+                    yield flush()
+                    held, size = [], 0
+        if held:
+            yield flush()
 
-    return docs.select("rid", "text").mapInArrow(run, "h long, c long, rid long, p long")
+    return docs.select("rid", "text").mapInArrow(run, "h long, c long, rid long, p long, again boolean")
 
 
 def _contexts(docs: DataFrame, firsts: DataFrame) -> DataFrame:
@@ -286,7 +312,8 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     rows = rows.withColumn("nth", F.row_number().over(by_context))
     by_anchor = Window.partitionBy("h")
     rows = rows.withColumn("n", F.count(F.lit(1)).over(by_anchor)).withColumn("several", F.min("c").over(by_anchor) != F.max("c").over(by_anchor))
-    met = materialize(rows.where("n > 1 and (nth > 1 or several)").select("h", "rid", "p", "nth"), "substrings-met")
+    met = rows.where("again or n > 1 and (nth > 1 or several)").select("h", "rid", "p", F.when(F.col("again"), 2).otherwise(F.col("nth")).alias("nth"))
+    met = materialize(met, "substrings-met")
     left, right = F.expr("(p >> 7) & 127"), F.expr("p & 127")
     at = F.expr("p >> 14")
     same = met.where("nth > 1").select("rid", (at - left).alias("start"), (at + ANCHOR + right).alias("end")).where(F.col("end") - F.col("start") >= LENGTH)
