@@ -8,7 +8,8 @@ id, or before it in its own.
    twice matter. An anchor's context is all strings that can have it as theirs.
 2. Anchors meet by hash. Of equal contexts all but the first are repeats throughout.
 3. Anchors with different contexts go on with the first of each. The contexts of one anchor form a text,
-   and its suffix array has equal strings side by side; all but the first of them are repeats.
+   and its suffix array has equal strings side by side; all but the first of them are repeats. Contexts that
+   have too few bytes around the anchor in common with any other are left out.
    Contexts come in order of occurrence and ``UNIT`` at a time; strings seen in earlier ones of the
    anchor are remembered by a 128-bit hash.
 4. Each document's repeats are merged and cut out.
@@ -22,6 +23,7 @@ order of a hash of their text, and rows equal in both are one text and share the
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +37,8 @@ from lakemill.llm.gsaca import suffix_arrays
 LENGTH = 100
 ANCHOR = 32  # a power of two
 REACH = LENGTH - ANCHOR
+#: Coarseness of the test whether contexts may share a string.
+STEP = REACH // 2
 #: Contexts in one suffix array.
 UNIT = 16
 #: Bytes of contexts whose suffix arrays are built in step.
@@ -230,11 +234,28 @@ def repeats_in_units(units: list[list[bytes]]) -> list[tuple[np.ndarray, np.ndar
     return [(context[x:y] - firsts[k], start[x:y], label[x:y]) for k, (x, y) in enumerate(zip(ends, ends[1:]))]
 
 
+def sharing(rows: list[tuple[int, int, int, bytes]]) -> list[tuple[int, int, int, bytes]]:
+    """The contexts (rid, at, left, context) of an anchor that may share a string of LENGTH bytes with another.
+
+    Such a string reaches a bytes before the anchor and REACH - a after it. Rounded down and up to a multiple of STEP,
+    some a is one for which both have the bytes from there to STEP less than REACH - a after the anchor.
+    """
+    kept = np.zeros(len(rows), bool)
+    for a in range(0, REACH + 1, STEP):
+        b = max(0, REACH - a - STEP)
+        keys = [c[left - a : left + ANCHOR + b] if a <= left and len(c) >= left + ANCHOR + b else None for _, _, left, c in rows]
+        n = Counter(keys)
+        n[None] = 0
+        kept |= [n[k] > 1 for k in keys]
+    return [r for r, k in zip(rows, kept) if k]
+
+
 def _repeats(contexts: DataFrame) -> DataFrame:
     """(rid, start, end) of the repeats among the different contexts of each anchor."""
 
     def flush(groups):
         """Groups are lists of (rid, at, left, context), in order; all are cut into units."""
+        groups = [g for rows in groups if len(g := sharing(rows)) > 1]
         units = [(g, k, rows[k : k + UNIT]) for g, rows in enumerate(groups) for k in range(0, len(rows), UNIT)]
         units.sort(key=lambda u: sum(len(r[3]) for r in u[2]))
         found: dict[tuple[int, int], tuple] = {}
