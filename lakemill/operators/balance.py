@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakemill.functions.scalars import hash_fraction, hash_hex
 from lakemill.functions.text import canonical_language, label_bucket
+from lakemill.operators.ranks import ranked
 
 ENGLISH_SHARE, LEAST_ENGLISH = 0.60, 50_000
 
@@ -43,10 +44,9 @@ def top_by_hash(df: DataFrame, id_col: str, label_col: str, targets: dict[str, i
     """Of each label the target number of rows with the least hash of their id."""
     if not targets:
         return df.limit(0)
-    w = Window.partitionBy(label_col).orderBy(hash_hex(F.col(id_col)), F.col(id_col).desc())
     wanted = F.create_map(*[F.lit(x) for kv in targets.items() for x in kv])
-    most = max(targets.values())
-    return df.withColumn("__r", F.row_number().over(w)).where(F.col("__r") <= most).where(F.col("__r") <= F.coalesce(F.try_element_at(wanted, F.col(label_col)), F.lit(0))).drop("__r")
+    rows = ranked(df, [label_col], hash_hex(F.col(id_col)), [F.col(id_col).desc()], "__r", "__n")
+    return rows.where(F.col("__r") <= F.coalesce(F.try_element_at(wanted, F.col(label_col)), F.lit(0))).drop("__r", "__n")
 
 
 def rebalance(df: DataFrame, id_col: str = "sample_id", lang_col: str = "language", label_col: str = "normalized_label", share: float = ENGLISH_SHARE, least: int = LEAST_ENGLISH) -> DataFrame:
@@ -63,12 +63,10 @@ def rebalance(df: DataFrame, id_col: str = "sample_id", lang_col: str = "languag
 def oversample(df: DataFrame, id_col: str, group_cols: list[str], target: int) -> DataFrame:
     """Fill every group up to ``target`` rows with copies taken round robin in hash order.
 
-    Copies get the suffix ``::dup::k``. How often a row is copied follows from its rank, so nothing is joined.
+    Copies get the suffix ``::dup::k``. How often a row is copied follows from its rank.
     """
-    w = Window.partitionBy(*group_cols)
-    n = F.count(F.lit(1)).over(w)
-    rank = F.row_number().over(w.orderBy(hash_hex(F.col(id_col)), id_col)) - 1
-    rows = df.withColumns({"__n": n, "__r": rank}).withColumn("__need", F.greatest(F.lit(target) - F.col("__n"), F.lit(0)))
+    rows = ranked(df, group_cols, hash_hex(F.col(id_col)), [id_col], "__r", "__n").withColumn("__r", F.col("__r") - 1)
+    rows = rows.withColumn("__need", F.greatest(F.lit(target) - F.col("__n"), F.lit(0)))
     copies = F.when(F.col("__need") > F.col("__r"), F.ceil((F.col("__need") - F.col("__r")) / F.col("__n"))).otherwise(0).cast("int")
     rows = rows.withColumn("__k", F.explode(F.sequence(F.lit(0), copies)))
     number = F.col("__r") + (F.col("__k") - 1) * F.col("__n") + 1

@@ -2,30 +2,20 @@
 
 A row goes if it shares a key with an earlier row that stays; keys of rows that go do not count. Rounds:
 a row that is first among the undecided at every key of its own stays, and rows that share a key with
-it go. That is the order-first greedy set, whatever the partitioning.
+it go. That is the order-first greedy set, whatever the partitioning. Long chains, in which each row waits for
+the one before, would take a round for every other row: what is open after some rounds is passed in order, component by component.
 """
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-KEY_TYPES = ("source_original_id", "original_url", "normalized_url", "raw_html_hash", "normalized_text_hash")
-
+from lakemill.operators.components import components
+from lakemill.operators.storage import cut, discard
 
-def cut(df: DataFrame, name: str) -> DataFrame:
-    """Write to the shared folder and read again, which cuts the lineage of a round."""
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="lakemill-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    path = f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+KEY_TYPES = ("source_original_id", "original_url", "normalized_url", "raw_html_hash", "normalized_text_hash")
 
 
 def scope(flags: Column, is_auxiliary: Column) -> Column:
@@ -46,7 +36,11 @@ def canonical_keys(df: DataFrame, key_types: tuple[str, ...] = KEY_TYPES) -> Dat
     return df.select("seq", F.explode(keys).alias("key"))
 
 
-def first_seen(keys: DataFrame, most_rounds: int = 200) -> DataFrame:
+#: Rounds before what is left is passed in order.
+ROUNDS = 12
+
+
+def first_seen(keys: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """(seq, kept) of all rows of (seq, key) that hold a key; rows without one always stay.
 
     Keys that occur once decide nothing and are left out first.
@@ -55,20 +49,47 @@ def first_seen(keys: DataFrame, most_rounds: int = 200) -> DataFrame:
     repeated = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
     open_rows = cut(keys.join(repeated, "key", "left_semi"), "dedup-open")
     alone = keys.select("seq").distinct().join(open_rows.select("seq").distinct(), "seq", "left_anti")
-    decided = alone.withColumn("kept", F.lit(True))
-    for _ in range(most_rounds):
-        if not open_rows.limit(1).count():
-            return decided
+    decided = [cut(alone.select(F.col("seq").cast("long"), F.lit(True).alias("kept")), "dedup-decided")]
+    for _ in range(rounds):
+        if open_rows.isEmpty():
+            break
         first = open_rows.groupBy("key").agg(F.min("seq").alias("least"))
         stay = open_rows.join(first, "key").groupBy("seq").agg(F.bool_and(F.col("seq") == F.col("least")).alias("kept")).where("kept").select("seq")
         stay = cut(stay, "dedup-stay")
         used = open_rows.join(stay, "seq", "left_semi").select("key").distinct()
-        go = open_rows.join(used, "key", "left_semi").select("seq").distinct().join(stay, "seq", "left_anti")
-        go = cut(go, "dedup-go")
-        decided = decided.union(stay.withColumn("kept", F.lit(True))).union(go.withColumn("kept", F.lit(False)))
-        done = stay.union(go)
-        open_rows = cut(open_rows.join(done, "seq", "left_anti"), "dedup-open")
-    raise RuntimeError("dedup did not settle")
+        hit = open_rows.join(used, "key", "left_semi").select("seq").distinct()
+        done = cut(hit.join(stay.withColumn("kept", F.lit(True)), "seq", "left").select(F.col("seq").cast("long"), F.coalesce("kept", F.lit(False)).alias("kept")), "dedup-decided")
+        decided.append(done)
+        before, open_rows = open_rows, cut(open_rows.join(done, "seq", "left_anti"), "dedup-open")
+        discard(before, stay)
+    if not open_rows.isEmpty():
+        decided.append(cut(_in_order(open_rows), "dedup-decided"))
+    out = keys.sparkSession.read.schema("seq long, kept boolean").parquet(*[d.written_to for d in decided])
+    return out.select(F.col("seq").cast(keys.schema["seq"].dataType).alias("seq"), "kept")
+
+
+def _in_order(open_rows: DataFrame) -> DataFrame:
+    """(seq, kept) by a sequential pass over the rows of each component; a task holds the keys that one component has used."""
+    least = open_rows.groupBy("key").agg(F.min("seq").alias("least"))
+    edges = open_rows.join(least, "key").select(F.col("seq").alias("a"), F.col("least").alias("b"))
+    roots = components(edges, "dedup").withColumnRenamed("node", "seq")
+    rows = open_rows.groupBy("seq").agg(F.collect_list("key").alias("keys")).join(roots, "seq")
+    rows = rows.repartition("root").sortWithinPartitions("root", "seq").select("root", F.col("seq").cast("long"), "keys")
+
+    def run(batches):
+        now, used = None, set()
+        for batch in batches:
+            seqs, kept = [], []
+            for root, seq, keys in zip(*(c.to_pylist() for c in batch.columns)):
+                if root != now:
+                    now, used = root, set()
+                seqs.append(seq)
+                kept.append(used.isdisjoint(keys))
+                if kept[-1]:
+                    used.update(keys)
+            yield pa.RecordBatch.from_arrays([pa.array(seqs, pa.int64()), pa.array(kept, pa.bool_())], ["seq", "kept"])
+
+    return rows.mapInArrow(run, "seq long, kept boolean")
 
 
 def events(keys: DataFrame, decided: DataFrame, ids: DataFrame) -> DataFrame:

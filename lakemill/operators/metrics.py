@@ -1,14 +1,16 @@
 """Binary classification metrics, threshold tables, risk buckets and threshold choice.
 
 Predictions have label (0/1) and score; group columns, if any, get a row each. All curves come from
-one histogram of scores, so ties are handled as one point and the work is a window over distinct scores.
+one histogram of scores, so ties are handled as one point, and from running sums over its distinct scores.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakemill.operators.ranks import running, score_bucket
+
 MOST_THRESHOLDS = 200
 
 
@@ -45,12 +47,15 @@ def histogram(df: DataFrame, groups: list[str] = [], label: str = "label", score
     return rows.groupBy(*groups, F.col(score).alias("score")).agg(F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg"))
 
 
+def _cumulated(h: DataFrame, groups: list[str] = []) -> DataFrame:  # noqa: B006
+    """Histogram rows with the positives and negatives from their score up (tp, fp) and in all (p, q)."""
+    return running(h, groups, score_bucket(F.col("score")), [F.desc("score")], {"tp": "pos", "fp": "neg"}, {"p": "pos", "q": "neg"}, descending=True)
+
+
 def curve_areas(df: DataFrame, groups: list[str] = [], label: str = "label", score: str = "score") -> DataFrame:  # noqa: B006
     """roc_auc by ranks with ties halved, pr_auc as step-wise average precision; null with one class."""
     h = histogram(df, groups, label, score)
-    part = Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(0))
-    down = part.orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
-    h = h.withColumns({"tp": F.sum("pos").over(down), "fp": F.sum("neg").over(down), "p": F.sum("pos").over(part), "q": F.sum("neg").over(part)})
+    h = _cumulated(h, groups)
     one = F.col("pos") * (F.col("q") - F.col("fp") + F.col("neg") / 2.0)
     step = F.col("pos") / F.col("p") * F.col("tp") / (F.col("tp") + F.col("fp"))
     out = h.groupBy(*groups).agg(F.first("p").alias("p"), F.first("q").alias("q"), F.sum(one).alias("a"), F.sum(F.when(F.col("p") > 0, step)).alias("b"))
@@ -76,10 +81,7 @@ def threshold_table(df: DataFrame, label: str = "label", score: str = "score", m
     h = histogram(df, [], label, score)
     t = thresholds(h, most).select(F.col("threshold").alias("score"), F.lit(0).cast("long").alias("pos"), F.lit(0).cast("long").alias("neg"), F.lit(True).alias("t"))
     both = h.select(F.col("score").cast("double").alias("score"), "pos", "neg", F.lit(False).alias("t")).union(t).groupBy("score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.bool_or("t").alias("t"))
-    down = Window.partitionBy(F.lit(0)).orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
-    everything = Window.partitionBy(F.lit(0))
-    both = both.withColumns({"tp": F.sum("pos").over(down), "fp": F.sum("neg").over(down), "p": F.sum("pos").over(everything), "q": F.sum("neg").over(everything)})
-    out = both.where("t").select(F.round("score", 6).alias("threshold"), "tp", "fp", (F.col("q") - F.col("fp")).alias("tn"), (F.col("p") - F.col("tp")).alias("fn"))
+    out = _cumulated(both).where("t").select(F.round("score", 6).alias("threshold"), "tp", "fp", (F.col("q") - F.col("fp")).alias("tn"), (F.col("p") - F.col("tp")).alias("fn"))
     tp, fp, tn, fn = (F.col(c) for c in ("tp", "fp", "tn", "fn"))
     out = out.withColumns(rates(tp, fp, tn, fn))
     return out.withColumns({"low_count": tn + fn, "high_count": tp + fp, "low_rate": ratio(fn, tn + fn), "high_precision": ratio(tp, tp + fp), "low_npv": ratio(tn, tn + fn)})
@@ -153,6 +155,4 @@ def score_histogram(df: DataFrame, bins: int = 29, score: str = "score", groups:
 def curve_points(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """The data of precision-recall and ROC plots: one point per distinct score."""
     h = histogram(df, [], label, score)
-    down, everything = Window.partitionBy(F.lit(0)).orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0), Window.partitionBy(F.lit(0))
-    h = h.withColumns({"tp": F.sum("pos").over(down), "fp": F.sum("neg").over(down), "p": F.sum("pos").over(everything), "q": F.sum("neg").over(everything)})
-    return h.select("score", ratio(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"), ratio(F.col("tp"), F.col("p")).alias("recall"), ratio(F.col("fp"), F.col("q")).alias("false_positive_rate"))
+    return _cumulated(h).select("score", ratio(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"), ratio(F.col("tp"), F.col("p")).alias("recall"), ratio(F.col("fp"), F.col("q")).alias("false_positive_rate"))

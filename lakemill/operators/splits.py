@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakemill.operators.dedup import cut
+from lakemill.operators.ranks import ranked
+from lakemill.operators.storage import cut
 
 TEST, VALIDATION, SEED = 0.2, 0.1, 42
 
@@ -35,9 +36,7 @@ def _global_rank(df: DataFrame, order: list, name: str) -> DataFrame:
 
 def stratified(df: DataFrame, id_col: str, label_col: str, test: float = TEST, validation: float = VALIDATION, seed: int = SEED) -> DataFrame:
     """Exact sizes within every label."""
-    w = Window.partitionBy(label_col)
-    n, rank = F.count(F.lit(1)).over(w), F.row_number().over(w.orderBy(_ordering(id_col, seed), id_col))
-    rows = df.withColumns({"__n": n, "__r": rank})
+    rows = ranked(df, [label_col], _ordering(id_col, seed), [id_col], "__r", "__n")
     return rows.withColumn("split", _named(F.col("__r"), _round_even(F.col("__n"), test), _round_even(F.col("__n"), validation))).drop("__n", "__r")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from lakemill.functions.urls import with_url
 from lakemill.operators import models, splits
-from lakemill.operators.dedup import cut
+from lakemill.operators.storage import cut
 from lakemill.plans.catalogue import table
 
 QUERIES: dict = {}

@@ -99,3 +99,37 @@ def test_selection_ignores_missing_metrics(spark):
     assert got == {"a": 0.0, "b": 0.6, "c": 0.7}
     with pytest.raises(ValueError):
         fusion.align(runs, runs)
+
+
+def test_first_seen_settles_long_chains(spark):
+    """Row i has keys i and i + 1, so every other row stays; a second chain has gaps."""
+    from lakemill.operators import dedup
+
+    rows = [(i, f"k{j}") for i in range(10_000) for j in (i, i + 1)] + [(20_000 + i, f"g{j}") for i in range(500) if i % 7 for j in (i, i + 1)]
+    got = {r["seq"]: r["kept"] for r in dedup.first_seen(spark.createDataFrame(rows, "seq long, key string")).collect()}
+    used, want = set(), {}
+    by_seq = {}
+    for seq, key in rows:
+        by_seq.setdefault(seq, []).append(key)
+    for seq in sorted(by_seq):
+        want[seq] = used.isdisjoint(by_seq[seq])
+        if want[seq]:
+            used.update(by_seq[seq])
+    assert got == want
+
+
+def test_running_sums_equal_a_window(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from lakemill.operators.ranks import ranked, running, score_bucket
+
+    df = spark.range(3000).select("id", F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("g"), ((F.col("id") * 7919 % 3001 - 900) / 1000.0).alias("x"))
+    w = Window.partitionBy("g").orderBy(F.desc("x"))
+    got = running(df, ["g"], score_bucket(F.col("x")), [F.desc("x")], {"s": "id"}, {"t": "id"}, descending=True)
+    want = df.withColumns({"s": F.sum("id").over(w), "t": F.sum("id").over(Window.partitionBy("g"))})
+    assert sorted(map(str, got.select("id", "s", "t").collect())) == sorted(map(str, want.select("id", "s", "t").collect()))
+    digest = F.sha2(F.col("id").cast("string"), 256)
+    got = ranked(df, ["g"], digest, ["id"], "r", "n")
+    want = df.withColumns({"r": F.row_number().over(Window.partitionBy("g").orderBy(digest)), "n": F.count(F.lit(1)).over(Window.partitionBy("g"))})
+    assert sorted(map(str, got.select("id", "r", "n").collect())) == sorted(map(str, want.select("id", "r", "n").collect()))
