@@ -107,9 +107,10 @@ def events(keys: DataFrame, decided: DataFrame, ids: DataFrame) -> DataFrame:
 def deduplicate(df: DataFrame, enabled: bool = True, key_types: tuple[str, ...] = KEY_TYPES) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Kept canonical records (with seq), removal events and a summary per scope and key type."""
     ids = df.select("seq", "sample_id")
+    marks = df.select("seq", F.struct(F.col("url_features.registered_domain").alias("registered_domain"), F.col("processing_metadata.text_prefix_hash").alias("normalized_text_prefix_hash")).alias("candidate_signatures"))
     keys = canonical_keys(df, key_types)
     decided = first_seen(keys) if enabled else df.select("seq", F.lit(True).alias("kept"))
     kept = df.join(decided.where("not kept").select("seq"), "seq", "left_anti")
-    found = events(keys, decided, ids)
+    found = events(keys, decided, ids).join(marks, "seq")
     by = found.select(F.explode("keys").alias("key")).select(F.split_part("key", F.lit("|"), F.lit(1)).alias("scope"), F.split_part("key", F.lit("|"), F.lit(2)).alias("matched_on"))
     return kept, found, by.groupBy("scope", "matched_on").agg(F.count(F.lit(1)).alias("removed"))

@@ -50,6 +50,7 @@ ESTIMATORS = {
     "logistic_regression": lambda n: LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight", regParam=1.0 / max(n, 1), standardization=False, maxIter=3000),
     "linear_svm": lambda n: LinearSVC(featuresCol="features", labelCol="label", weightCol="weight", regParam=1.0 / max(n, 1), standardization=False, maxIter=1000),
     "random_forest": lambda n: RandomForestClassifier(featuresCol="features", labelCol="label", weightCol="weight", numTrees=400, maxDepth=30, seed=SEED),
+    "url_forest": lambda n: RandomForestClassifier(featuresCol="features", labelCol="label", weightCol="weight", numTrees=300, maxDepth=30, seed=SEED),
     "gradient_boosting": lambda n: GBTClassifier(featuresCol="features", labelCol="label", weightCol="weight", maxIter=300, stepSize=0.05, maxDepth=6, seed=SEED),
 }
 
@@ -97,7 +98,12 @@ class Bundle:
 
     def save(self, path: str) -> None:
         self.featurizer.model.write().overwrite().save(f"{path}/features")
-        self.classifier.write().overwrite().save(f"{path}/classifier")
+        PipelineModel([self.classifier]).write().overwrite().save(f"{path}/classifier")
+
+    @classmethod
+    def load(cls, path: str, kind: str) -> Bundle:
+        """What ``save`` wrote; ``kind`` is the featurizer's."""
+        return cls(Featurizer(kind, model=PipelineModel.load(f"{path}/features")), PipelineModel.load(f"{path}/classifier").stages[0])
 
 
 def train(df: DataFrame, featurizer: Featurizer, estimator: str) -> Bundle:
@@ -129,13 +135,17 @@ def text_terms(df: DataFrame, text: str = "normalized_text") -> DataFrame:
     return df.withColumn("__words", words(F.col(text))).withColumn("terms", word_grams(F.col("__words"))).drop("__words")
 
 
+def tabular_terms(df: DataFrame, column: str = "tabular_features") -> DataFrame:
+    return df.withColumn("terms", F.coalesce(map_terms(F.col(column)), F.array().cast("array<string>")))
+
+
 def embedding_vector(df: DataFrame, column: str = "embedding") -> DataFrame:
     """Mean-pooled encoder states, precomputed; any encoder that yields arrays fits."""
     return df.withColumn("vector", array_to_vector(F.col(column).cast("array<double>")))
 
 
-def predict_one(bundle: Bundle, spark, sample: dict) -> dict:
+def predict_one(bundle: Bundle, spark, sample: dict, terms=lambda df: df) -> dict:
     """Score a single sample given the columns its featurizer needs; the echo is cut to 100 characters."""
     df = spark.createDataFrame([sample | {"sample_id": "one", "label": 0.0}])
-    row = bundle.predict(df).first()
+    row = bundle.predict(terms(df)).first()
     return {"score": round(row["score_prob"], 6), "predicted": row["predicted"], "input": {k: str(v)[:100] for k, v in sample.items()}}

@@ -40,3 +40,12 @@ def source_summary(canonical: DataFrame, kept: DataFrame) -> DataFrame:
 def label_counts(df: DataFrame, by: str = "split") -> DataFrame:
     b = label_bucket(F.col("label"))
     return df.groupBy(by).agg(*[F.count_if(b == k).alias(f"n_{k}") for k in ("phishing", "benign", "null")], F.count(F.lit(1)).alias("n"))
+
+
+def exclusions(canonical: DataFrame, kept: DataFrame) -> DataFrame:
+    """(source_dataset, reason, n): why records are in no view, from one pass over each side."""
+    lost = canonical.groupBy("source_dataset").agg(F.count(F.lit(1)).alias("n")).withColumn("kept", F.lit(0).cast("long"))
+    stay = kept.groupBy("source_dataset").agg(F.lit(0).cast("long").alias("n"), F.count(F.lit(1)).alias("kept"))
+    duplicates = lost.union(stay).groupBy("source_dataset").agg((F.sum("n") - F.sum("kept")).alias("n")).select("source_dataset", F.lit("duplicate").alias("reason"), "n")
+    no_view = kept.where(F.size("views") == 0).groupBy("source_dataset").agg(F.count(F.lit(1)).alias("n")).select("source_dataset", F.lit("no_view").alias("reason"), "n")
+    return duplicates.union(no_view).where("n > 0")

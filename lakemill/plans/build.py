@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from lakemill.functions.scalars import hash_fraction
 from lakemill.functions.text import VIEWS, canonical_language, supervised_only
 from lakemill.operators import adaptive, balance, dedup, fusion, metrics, models, splits, stats
+from lakemill.operators.storage import cut
 from lakemill.plans.canonical import canonicalize
-from lakemill.sources import adapters, sinks
+from lakemill.sources import adapters, export, sinks
 
 
 def preview(spark: SparkSession, snapshots: dict[str, str], n: int = 5, views: list[str] | None = None) -> DataFrame:
@@ -26,7 +27,7 @@ def _ordered(raw: DataFrame) -> DataFrame:
     Written once, so that the order is the same wherever it is used.
     """
     rows = canonicalize(raw, carry=("source_rank",)).repartitionByRange("source_rank", "source_original_id", "sample_id").sortWithinPartitions("source_rank", "source_original_id", "sample_id")
-    return dedup.cut(rows.withColumn("seq", F.monotonically_increasing_id()).drop("source_rank"), "build")
+    return cut(rows.withColumn("seq", F.monotonically_increasing_id()).drop("source_rank"), "build")
 
 
 def build(spark: SparkSession, snapshots: dict[str, str], root: str, views: list[str] | None = None, prefilter: float | None = 0.32, dedupe: bool = True, rebalance: bool = True, fmt: str = "parquet", caps: dict[str, int] | None = None) -> dict:
@@ -42,7 +43,7 @@ def build(spark: SparkSession, snapshots: dict[str, str], root: str, views: list
         raw = raw.where(~F.coalesce(drop, F.lit(False)))
     canonical = _ordered(raw)
     kept, events, removed = dedup.deduplicate(canonical, dedupe)
-    kept = dedup.cut(kept, "build-kept")
+    kept = cut(kept, "build-kept")
     n = kept.count()
     if not n:
         sinks.write_document(spark, {"state": "failed", "reason": "no records kept"}, f"{root}/state")
@@ -61,6 +62,9 @@ def build(spark: SparkSession, snapshots: dict[str, str], root: str, views: list
         "kept_records": n,
         "sources": [r.asDict() for r in stats.source_summary(canonical, kept).orderBy("source_dataset").collect()],
         "dedupe": [r.asDict() for r in removed.orderBy("scope", "matched_on").collect()],
+        "kept_and_removed": {"kept": n, "removed": events.count()},
+        "exclusions": [r.asDict() for r in stats.exclusions(canonical, kept).orderBy("source_dataset", "reason").collect()],
+        "storage": export.storage_estimate(spark, snapshots, root, views),
         "view_stats": [r.asDict() for r in stats.view_stats(kept).orderBy("view", "source_dataset").collect()],
     }
     sinks.write_document(spark, report, f"{root}/reports/summary")
@@ -74,40 +78,58 @@ TRACKS = {
     "url_tfidf_svm": ("unified_url_dataset", "normalized_url", models.url_terms, "tfidf", "linear_svm"),
     "text_tfidf_logreg": ("unified_webpage_dataset", "normalized_text", models.text_terms, "tfidf", "logistic_regression"),
     "text_tfidf_svm": ("unified_webpage_dataset", "normalized_text", models.text_terms, "tfidf", "linear_svm"),
+    "url_random_forest": ("unified_url_dataset", "normalized_url", models.url_terms, "tfidf", "url_forest"),
+    "tabular_random_forest": ("unified_tabular_dataset", "tabular_features", models.tabular_terms, "terms", "random_forest"),
+    "tabular_gradient_boosting": ("unified_tabular_dataset", "tabular_features", models.tabular_terms, "terms", "gradient_boosting"),
 }
 
 
 def train_track(spark: SparkSession, root: str, name: str, out: str, strategy: str = "stratified") -> dict:
     """Train one track on its view, save predictions of the test rows, metrics and the split."""
     view, text, terms, kind, estimator = TRACKS[name]
-    rows, left_out = supervised_only(spark.read.parquet(f"{root}/{view}"), "normalized_label", F.col(text).isNotNull())
+    filled = F.size(text) > 0 if text == "tabular_features" else F.col(text).isNotNull()
+    rows, left_out = supervised_only(sinks.read_view(spark, f"{root}/{view}"), "normalized_label", F.coalesce(filled, F.lit(False)))
     rows = rows.withColumn("label", F.col("normalized_label"))
     group = splits.domain_group(F.col("url_features.registered_domain"), F.col("url_features.hostname"), F.col("source_dataset"))
-    rows = dedup.cut(splits.split(rows, strategy, "sample_id", "label", group=group, ts_text=F.col("timestamp")), "train")
+    rows = cut(splits.split(rows, strategy, "sample_id", "label", group=group, ts_text=F.col("timestamp")), "train")
     bundle = models.train(terms(rows.where("split = 'train'"), text), models.Featurizer(kind), estimator)
     scored = terms(rows, text).withColumn("label", F.col("label").cast("double"))
     sinks.write_parquet(bundle.predict(scored), f"{out}/{name}/predictions")
     sinks.write_split(rows, f"{out}/{name}/split")
     by_split = {r["split"]: {k: v for k, v in r.asDict().items() if k != "split"} for r in models.evaluate(bundle, scored).collect()}
     summary = {"model_name": name, "track": view, "run_dir": f"{out}/{name}", "metrics": by_split, "excluded_counts": left_out.first().asDict()}
-    sinks.write_document(spark, summary, f"{out}/{name}/summary")
+    bundle.save(f"{out}/{name}/model")
+    sinks.write_document(spark, {"labels": {"0": "benign", "1": "phishing"}, "text": text, "features": kind, "estimator": estimator}, f"{out}/{name}/label_metadata")
+    sinks.write_document(spark, {"pyspark": spark.version, "strategy": strategy, "seed": splits.SEED}, f"{out}/{name}/versions")
+    sinks.write_document(spark, summary, f"{out}/{name}/run_summary.json")
     return summary
 
 
+def predict(spark: SparkSession, run_dir: str, sample: dict) -> dict:
+    """Score one sample with a saved run."""
+    summary = sinks.read_document(spark, f"{run_dir}/run_summary.json")
+    _, _, terms, kind, _ = TRACKS[summary["model_name"]]
+    return models.predict_one(models.Bundle.load(f"{run_dir}/model", kind), spark, sample, terms) | {"model_name": summary["model_name"], "track": summary["track"]}
+
+
+def compare(spark: SparkSession, root: str) -> list[dict]:
+    """All runs under a folder, ranked by track."""
+    runs = export.read_runs(spark, root)
+    return [r.asDict() for r in fusion.rank_runs(export.comparison_rows(spark, runs)).orderBy("track", "rank").collect()] if runs else []
+
+
 def evaluate_all(spark: SparkSession, root: str, out: str, names: list[str] | None = None, weights: dict[str, float] | None = None) -> dict:
     """Train what is missing, compare, recommend, calibrate the best of each track and analyse its errors."""
     runs, failed = [], {}
     for name in names or list(TRACKS):
         try:
-            done = sinks.is_complete(spark, f"{out}/{name}/summary")
-            runs.append(sinks.read_document(spark, f"{out}/{name}/summary") if done else train_track(spark, root, name, out))
+            done = sinks.is_complete(spark, f"{out}/{name}/run_summary.json")
+            runs.append(sinks.read_document(spark, f"{out}/{name}/run_summary.json") if done else train_track(spark, root, name, out))
         except Exception as e:  # noqa: BLE001  a failing track must not stop the others; it is reported
             failed[name] = f"{type(e).__name__}: {e}"[:300]
     if not runs:
         return {"comparison": None, "errors": failed}
-    fields = ("accuracy", "precision", "recall", "f1", "false_positive_rate", "roc_auc", "pr_auc")
-    flat = [(r["model_name"], r["track"], *[r["metrics"].get("test", {}).get(f) for f in fields]) for r in runs]
-    table = spark.createDataFrame(flat, "run string, track string, " + ", ".join(f"{f} double" for f in fields))
+    table = export.comparison_rows(spark, runs)
     ranked = fusion.rank_runs(table)
     sinks.write_comparison(ranked, f"{out}/comparison")
     best = fusion.recommend(table, weights or {"f1": 0.4, "pr_auc": 0.4, "false_positive_rate": -0.2}).collect()
@@ -121,4 +143,8 @@ def evaluate_all(spark: SparkSession, root: str, out: str, names: list[str] | No
             sinks.write_jsonl(wrong, f"{out}/{r['run']}/errors")
             sinks.write_jsonl(adaptive.opportunities(wrong), f"{out}/{r['run']}/opportunities")
     sinks.write_document(spark, result, f"{out}/report")
+    cells = list(result["comparison"][0])
+    sinks.write_text(spark, "# Comparison\n\n" + sinks.markdown_table(result["comparison"], cells) + "\n\n# Recommendation\n\n" + sinks.markdown_table(result["recommended"], list(result["recommended"][0]) if result["recommended"] else cells), f"{out}/report.md")
+    bounds = {k: {t: c[t] for t in ("low_threshold", "high_threshold", "binary_threshold")} for k, c in result["calibration"].items()}
+    result["integration"] = export.export_integration(spark, f"{out}/integration", result["recommended"], bounds, result["calibration"])
     return result

@@ -32,8 +32,9 @@ def _texts(spark, d):
 
 
 def _urls(spark, d):
-    rows = with_url(table(spark, d, "pages"), "url").select(F.col("page_id").alias("sample_id"), F.col("url_features.path_depth").cast("int").alias("depth"), "normalized_url")
-    return models.url_terms(rows.withColumn("label", (F.col("depth") > 1).cast("int")))
+    """Whether a page asks for a password, from its URL alone."""
+    rows = with_url(table(spark, d, "pages"), "url").select(F.col("page_id").alias("sample_id"), "normalized_url", F.lower("html").rlike("type=[\"']?password").cast("int").alias("label"))
+    return models.url_terms(rows.where("label is not null"))
 
 
 @query
@@ -46,19 +47,27 @@ def ml_text_tfidf_svm(spark, d):
     return _fit(_texts(spark, d), models.Featurizer("tfidf", 250_000), "linear_svm")
 
 
+NUMBERS = ["chars", "lines", "symbols", "digits", "capitals", "mean_word"]
+
+
 def _parts(spark, d):
-    rows = table(spark, d, "part").select(F.col("p_partkey").alias("sample_id"), (F.col("p_size") % 2).alias("label"), F.create_map(F.lit("brand"), F.col("p_brand"), F.lit("type"), F.col("p_type"), F.lit("odd"), (F.col("p_size") % 2).cast("string")).alias("m"), F.col("p_retailprice").alias("price"))
+    """Quality of documents from counts and the source; the label is no feature, nor made from one."""
+    text, n = F.coalesce("text", F.lit("")), F.greatest(F.length(F.coalesce("text", F.lit(""))), F.lit(1))
+    share = lambda pattern: F.length(F.regexp_replace(text, pattern, "")) / n
+    numbers = [F.log1p(F.length(text)), F.log1p(F.size(F.split(text, "\n"))), share("[\\p{L}\\p{N}\\s]"), share("[^0-9]"), share("[^A-Z]"), n / F.size(F.split(text, "\\s+"))]
+    rows = table(spark, d, "labels").join(table(spark, d, "documents"), "doc_id")
+    rows = rows.select(F.col("doc_id").alias("sample_id"), F.col("quality").alias("label"), F.create_map(F.lit("lang"), F.coalesce("lang", F.lit(""))).alias("m"), *[x.cast("double").alias(c) for x, c in zip(numbers, NUMBERS)])
     return rows.withColumn("terms", models.map_terms(F.col("m")))
 
 
 @query
 def ml_tabular_forest(spark, d):
-    return _fit(_parts(spark, d), models.Featurizer("terms", numeric=["price"]), "random_forest")
+    return _fit(_parts(spark, d), models.Featurizer("terms", numeric=NUMBERS), "random_forest")
 
 
 @query
 def ml_tabular_boosting(spark, d):
-    return _fit(_parts(spark, d), models.Featurizer("terms", numeric=["price"]), "gradient_boosting")
+    return _fit(_parts(spark, d), models.Featurizer("terms", numeric=NUMBERS), "gradient_boosting")
 
 
 @query

@@ -77,18 +77,15 @@ def read_xml(spark: SparkSession, path: str, tag: str = "entry") -> DataFrame:
 
 def read_arff(spark: SparkSession, path: str) -> DataFrame:
     """Attributes from the header; short rows are filled up with empty strings, sparse rows are refused."""
-    names = []
-    for line in head(spark, path, 10_000):
-        low = line.strip().lower()
-        if low.startswith("@attribute"):
-            names.append(shlex.split(line)[1])
-        if low.startswith("@data"):
-            break
-    if not names:
-        raise ValueError("no attributes in the ARFF header")
     lines = read_lines(spark, path, skip_comments=False).where(~F.col("line").startswith("%"))
     start = lines.where(F.lower("line").startswith("@data")).groupBy("path").agg(F.min("line_number").alias("start"))
-    data = lines.join(start, "path").where(F.col("line_number") > F.col("start"))
+    rows = lines.join(start, "path")
+    first = start.agg(F.min("path")).first()[0]
+    header = rows.where((F.col("path") == first) & (F.col("line_number") < F.col("start")) & F.lower("line").startswith("@attribute"))
+    names = [shlex.split(r["line"])[1] for r in header.orderBy("line_number").select("line").collect()]
+    if not names:
+        raise ValueError("no attributes in the ARFF header")
+    data = rows.where(F.col("line_number") > F.col("start"))
     data = data.withColumn("line", F.when(F.col("line").startswith("{"), F.raise_error(F.lit("sparse ARFF rows are not supported"))).otherwise(F.col("line")))
     parsed = F.from_csv("line", ", ".join(f"`{n}` string" for n in names), {"quote": "'", "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"})
     return data.select(parsed.alias("r")).select("r.*").na.fill("")

@@ -44,6 +44,27 @@ def write_document(spark: SparkSession, doc: dict | list, path: str) -> None:
     spark.createDataFrame([(json.dumps(doc, sort_keys=True, default=str),)], "value string").coalesce(1).write.mode("overwrite").text(path)
 
 
+def write_text(spark: SparkSession, text: str, path: str) -> None:
+    """A text as one file in a folder."""
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
+def read_view(spark: SparkSession, path: str) -> DataFrame:
+    """A processed view as Parquet, or as JSON lines where there is no Parquet."""
+    if is_complete(spark, path):
+        return spark.read.parquet(path)
+    if is_complete(spark, path + "_jsonl"):
+        return spark.read.json(path + "_jsonl")
+    raise FileNotFoundError(f"no processed view at {path}; build it first")
+
+
+def write_feedback(df: DataFrame, path: str) -> None:
+    """Feedback records as JSON lines, in the columns of FEEDBACK_SCHEMA."""
+    have = set(df.columns)
+    names = [f.split(" ")[0] for f in FEEDBACK_SCHEMA.replace("map<string,string>", "map").split(", ")]
+    df.select(*[F.col(n) for n in names if n in have]).write.mode("append").json(path)
+
+
 def read_document(spark: SparkSession, path: str):
     return json.loads(spark.read.text(path, wholetext=True).first()["value"])
 
@@ -80,6 +101,3 @@ def read_predictions(spark: SparkSession, path: str) -> DataFrame:
 def read_feedback(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(FEEDBACK_SCHEMA).json(path)
 
-
-def read_run_summaries(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "run_summary.json").option("multiLine", True).json(root)

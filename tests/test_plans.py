@@ -9,6 +9,7 @@ from lakemill import cli
 from lakemill.functions import html, urls
 from lakemill.operators import adaptive, models, splits
 from lakemill.plans import build, catalogue, learning
+from lakemill.sources import export, sinks
 from lakemill.streaming import scorer
 
 
@@ -38,15 +39,30 @@ def test_build_train_evaluate(spark, snapshots, tmp_path):
     assert {r["run"] for r in result["comparison"]} == {"url_tfidf_logreg", "text_tfidf_svm"} and "missing" in result["errors"]
     assert result["calibration"] and all(0 <= c["low_threshold"] <= c["binary_threshold"] <= 1 for c in result["calibration"].values())
     assert build.preview(spark, snapshots, 3).count() == 3
+    # runs are found again, saved models give what they gave, and the service gets its files
+    found = export.read_runs(spark, out)
+    assert [r["model_name"] for r in found] == ["text_tfidf_svm", "url_tfidf_logreg"] and all(r["run_dir"].startswith("file:") for r in found)
+    assert {r["run"] for r in build.compare(spark, out)} == {"url_tfidf_logreg", "text_tfidf_svm"} and build.compare(spark, str(tmp_path)) != []
+    first = spark.read.parquet(f"{root}/unified_url_dataset").join(spark.read.parquet(f"{out}/url_tfidf_logreg/predictions"), "sample_id").first()
+    got = build.predict(spark, f"{out}/url_tfidf_logreg", {"normalized_url": first["normalized_url"]})
+    assert got["predicted"] == first["predicted"] and abs(got["score"] - first["score_prob"]) < 1e-5
+    files = result["integration"]
+    assert len(files) == 6 and sinks.read_document(spark, files["prediction_schema_json"])["risk_level"] == "high"
+    assert "server_side_only: true" in spark.read.text(files["prediction_schema_yaml"], wholetext=True).first()[0]
+    assert report["storage"]["raw_snapshot_bytes"] > 1000 and report["storage"]["estimated_required_bytes"] > 128 << 20
+    assert sum(r["n"] for r in report["exclusions"] if r["reason"] == "duplicate") == report["kept_and_removed"]["removed"]
+    assert all(r["candidate_signatures"] for r in spark.read.json(f"{root}/reports/duplicates_sample").collect())
+    with pytest.raises(FileNotFoundError):
+        sinks.read_view(spark, f"{root}/none")
     with pytest.raises(ValueError):
         build.build(spark, snapshots, root, ["nope"])
 
 
 def test_learning_queries(spark, sf):
     got = {n: q(spark, sf).cache() for n, q in learning.QUERIES.items()}
-    for name in ("ml_tabular_forest", "ml_tabular_boosting", "ml_url_tfidf_logreg"):
-        test = got[name].where("split = 'test'")
-        assert test.where("label = predicted").count() / test.count() > 0.8, name
+    for name in ("ml_tabular_forest", "ml_tabular_boosting", "ml_text_tfidf_svm"):
+        mean = {r[0]: r[1] for r in got[name].where("split = 'test'").groupBy("label").agg(F.avg("score_prob")).collect()}
+        assert mean[1] > mean[0], name
     assert got["ml_text_tfidf_svm"].where("score_prob between 0 and 1").count() == got["ml_text_tfidf_svm"].count()
     assert got["ml_embedding_logreg"].count() == 500
 
@@ -134,4 +150,8 @@ def test_command_line(spark, snapshots, capsys, tmp_path):
     assert cli.main(["list-datasets"]) == 0 and "openphish" in capsys.readouterr().out
     assert cli.main(["validate-raw-dataset", "--source", f"openphish={snapshots['openphish']}"]) == 0
     assert cli.main(["validate-raw-dataset", "--source", f"openphish={tmp_path}/none.csv"]) == 1
+    assert cli.main(["show-config"]) == 0 and "tabular_random_forest" in capsys.readouterr().out
+    assert cli.main(["estimate-storage", "--root", str(tmp_path), "--source", f"openphish={snapshots['openphish']}"]) == 0 and "free_bytes" in capsys.readouterr().out
+    assert cli.main(["inspect-adapter", "--source", f"openphish={snapshots['openphish']}"]) == 0 and '"ready"' in capsys.readouterr().out
+    assert cli.main(["compare-runs", "--out", str(tmp_path)]) == 0
     assert cli.main(["show-manifest", "--root", str(tmp_path)]) == 1 and "error" in capsys.readouterr().out.rsplit("{", 1)[-1]
