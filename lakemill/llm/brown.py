@@ -46,9 +46,9 @@ CLASSES = 40
 #: Share of the class model in the mixture.
 SHARE = 0.9
 #: Bytes of text and different words with which a segment ends.
-CHUNK_BYTES, HELD_WORDS = 4 << 20, 300_000
+CHUNK_BYTES, HELD_WORDS = 4 << 20, 200_000
 #: Rows of a word's neighbours that are merged at once, and rarer words that are placed at once.
-MERGED, PLACED_WORDS = 4096, 4000
+MERGED, PLACED_WORDS = 4096, 1000
 
 
 def tokens(text: bytes) -> list[bytes]:
@@ -177,7 +177,7 @@ def segments(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
             return pa.RecordBatch.from_arrays(columns, names)
 
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", 1 << 20):
                 for doc, text, held in zip(part.column(0).to_pylist(), bytes_of(part, "text"), part.column(2).to_pylist()):
                     if not ids:
                         number[END]
