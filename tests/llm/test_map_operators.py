@@ -1,6 +1,7 @@
 """Language ID, quality rules, decontamination and packing against plain versions."""
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter
@@ -164,3 +165,69 @@ def test_codewords_are_apart(n):
     code = language.codewords(n).astype(int)
     gap = (code.shape[1] - code @ code.T) // 2
     assert gap[~np.eye(n, dtype=bool)].min() >= max(1, code.shape[1] // 4)
+
+
+def test_language_equals_a_plain_version(spark, sf):
+    """Counts, weights, losses and the nearest codeword, document by document."""
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang").collect()]
+    held = lambda i: zlib.crc32(str(i).encode()) % 4 == 2
+    counts = {}
+    for i, t, lang in rows:
+        if not held(i) and lang is not None and t and language.has_letter(t):
+            counts.setdefault(lang, np.zeros(language.SLOTS))
+            np.add.at(counts[lang], language.grams([t])[0].ravel(), 1)
+    langs = sorted(counts)
+    code = language.codewords(len(langs)).astype(float)
+    freq = []
+    for lang in langs:
+        of_order = (counts[lang] + 0.1).reshape(len(language.ORDERS), -1)
+        freq.append(np.concatenate([x / x.sum() for x in of_order]))
+    yes = [np.mean([f for f, c in zip(freq, code[:, b]) if c > 0], axis=0) for b in range(code.shape[1])]
+    no = [np.mean([f for f, c in zip(freq, code[:, b]) if c < 0], axis=0) for b in range(code.shape[1])]
+    rely = np.array([((y - n) * np.log(y / n)).sum() for y, n in zip(yes, no)])
+    rely /= rely.mean()
+    got = {r["doc_id"]: r for r in queries.op10_language(spark, sf).collect()}
+    assert len(got) == len(rows)
+    for i, t, _ in rows:
+        if not t or not language.has_letter(t):
+            assert (got[i]["lang_pred"], got[i]["score"]) == ("und", 0)
+            continue
+        slots = language.grams([t])[0].ravel()
+        margins = np.clip([np.log(y / n)[slots].sum() / language.TEMPERATURE for y, n in zip(yes, no)], -20, 20)
+        loss = [(np.log1p(np.exp(-margins * c)) * rely).sum() for c in code]
+        share = np.exp(-np.array(loss) + min(loss))
+        share /= share.sum()
+        assert got[i]["lang_pred"] == langs[int(share.argmax())] and abs(got[i]["score"] - share.max()) < 2e-3, i
+
+
+def test_quality_verdict_equals_its_definition(spark, sf):
+    """Distances to reference histograms that are counted anew, and the verdict from them."""
+    from lakemill.llm import quality
+
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang").collect()]
+    classes, words = {}, {}
+    for _, t, lang in rows:
+        if t is not None and lang is not None:
+            classes[lang] = classes.get(lang, 0) + quality.class_counts(t.encode()).astype(float)
+            words.setdefault(lang, Counter()).update(quality.plain_words(t.encode()))
+    common = {lang: [w for w, _ in sorted(c.items(), key=lambda x: (-x[1], x[0]))[: quality.COMMON_WORDS]] for lang, c in words.items()}
+
+    def js(p, q):
+        p, q = np.array(p, float), np.array(q, float)
+        p, q = p / max(p.sum(), 1), q / max(q.sum(), 1)
+        m, d = (p + q) / 2, 0.0
+        for x in (p, q):
+            d += sum(a * math.log2(a / b) for a, b in zip(x, m) if a > 0)
+        return math.sqrt(max(0.0, d / 2))
+
+    got = {r["doc_id"]: r for r in queries.op6_quality(spark, sf).collect()}
+    for i, t, _ in rows:
+        r, text = got[i], (t or "").encode()
+        n = Counter(quality.plain_words(text))
+        hist = lambda c, lang: [*(c[w] for w in common[lang]), sum(c.values()) - sum(c[w] for w in common[lang])]
+        by_class = min(js(quality.class_counts(text), classes[x]) for x in classes)
+        by_word = min(js(hist(n, x), hist(words[x], x)) for x in words)
+        fits = (r["n_words"] < quality.LEAST_WORDS_FOR_CLASSES or by_class <= quality.MOST_CLASS_DISTANCE) and (r["n_words"] < quality.LEAST_WORDS_FOR_COMMON or by_word <= quality.MOST_WORD_DISTANCE)
+        assert r["kept"] == (fits and not r["base_failed"]), i
+        assert r["class_distance"] is None or abs(r["class_distance"] - by_class) < 1e-9
+        assert r["word_distance"] is None or abs(r["word_distance"] - by_word) < 1e-9
