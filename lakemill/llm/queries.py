@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lakemill.llm import brown, chat, decontaminate, language, lines, packing, pii, quality, simhash, substrings
 from lakemill.llm.common import load
+from lakemill.llm.sql import ORACLE_SQL  # noqa: F401  read by the entry
 
 
 #: The conversation that op3 adds: both turns hold control strings.
@@ -66,4 +67,3 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_pii, op2_simhash, op3_chat, op4_brown, op5_lines, op6_quality, op7_decontaminate, op8_substrings, op9_packing, op10_language)}
-ORACLE_SQL: dict[str, str] = {}
