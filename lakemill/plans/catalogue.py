@@ -227,15 +227,9 @@ def view_stats(spark, d):
     return stats.view_stats(records(spark, d)).select("view", "source_dataset", "n", "n_phishing", "n_benign", "n_null")
 
 
-@query("SELECT 'parts' AS source_dataset, 'ok' AS warnings, count(*) AS n FROM part UNION ALL SELECT 'web_pages', 'ok', count(*) FROM pages")
-def record_validation(spark, d):
-    rows = records(spark, d).where("source_dataset in ('parts', 'web_pages')").select("source_dataset", F.array_join("processing_metadata.validation_warnings", ",").alias("w"))
-    return rows.groupBy("source_dataset", F.when(F.col("w") == "", "ok").otherwise(F.col("w")).alias("warnings")).agg(F.count(F.lit(1)).alias("n"))
-
-
 @query(r"""SELECT 'parts' AS source_dataset, 'ok' AS warnings, count(*) AS n FROM part UNION ALL SELECT 'web_pages', 'ok', count(*) FROM pages
 UNION ALL SELECT 'oscar_aux', 'ok', count(*) FROM conversations HAVING count(*) > 0 UNION ALL SELECT source, CASE WHEN coalesce(regexp_matches(text, '\S'), false) THEN 'ok' ELSE 'record_has_no_modalities' END, count(*) FROM documents GROUP BY ALL""")
-def record_validation_whole(spark, d):
+def record_validation(spark, d):
     rows = records(spark, d).select("source_dataset", F.array_join("processing_metadata.validation_warnings", ",").alias("w"))
     return rows.groupBy("source_dataset", F.when(F.col("w") == "", "ok").otherwise(F.col("w")).alias("warnings")).agg(F.count(F.lit(1)).alias("n"))
 
@@ -449,15 +443,17 @@ def curve_points(spark, d):
 
 def _pair(spark, d):
     p = predictions(spark, d)
-    return p.where("sample_id % 5 <> 0").select("sample_id", "label", "score"), p.where("sample_id % 7 <> 0").select("sample_id", F.col("score_web").alias("score"))
+    return p.select("sample_id", "label", "score"), p.select("sample_id", F.col("score_web").alias("score"))
 
 
-_PAIR = f"WITH {PRED}, j AS (SELECT u.sample_id, u.label, u.score AS score_url, w.score_web AS score_webpage FROM p u JOIN p w USING (sample_id) WHERE u.sample_id % 5 <> 0 AND w.sample_id % 7 <> 0)"
+_PAIR = f"WITH {PRED}, j AS (SELECT u.sample_id, u.label, u.score AS score_url, w.score_web AS score_webpage FROM p u JOIN p w USING (sample_id))"
 
 
-@query(f"{_PAIR} SELECT (SELECT count(*) FROM p WHERE sample_id % 5 <> 0) AS total_url, (SELECT count(*) FROM p WHERE sample_id % 7 <> 0) AS total_webpage, (SELECT count(*) FROM j) AS intersected, (SELECT count(*) FROM p WHERE sample_id % 5 <> 0 AND sample_id % 7 = 0) AS dropped_url, (SELECT count(*) FROM p WHERE sample_id % 5 = 0 AND sample_id % 7 <> 0) AS dropped_webpage")
+@query(f"WITH {PRED} SELECT (SELECT count(*) FROM p) AS total_url, (SELECT count(*) FROM pages) AS total_webpage, (SELECT count(*) FROM p JOIN pages ON sample_id = page_id) AS intersected, (SELECT count(*) FROM p WHERE sample_id NOT IN (SELECT page_id FROM pages)) AS dropped_url, (SELECT count(*) FROM pages WHERE page_id NOT IN (SELECT sample_id FROM p)) AS dropped_webpage")
 def fusion_stats(spark, d):
-    return fusion.alignment_stats(*_pair(spark, d)).select(*long("total_url", "total_webpage", "intersected", "dropped_url", "dropped_webpage"))
+    """Labelled documents against pages: the ids of neither side cover the other's."""
+    pages = table(spark, d, "pages").select(F.col("page_id").alias("sample_id"), F.lit(0.5).alias("score"))
+    return fusion.alignment_stats(_pair(spark, d)[0], pages).select(*long("total_url", "total_webpage", "intersected", "dropped_url", "dropped_webpage"))
 
 
 @query(f"{_PAIR} SELECT sample_id, round(0.4 * score_url + 0.6 * score_webpage, 6) AS weighted, round(CASE WHEN score_url >= 0.9 OR score_url <= 0.1 THEN score_url ELSE score_webpage END, 6) AS cascade FROM j")
@@ -538,11 +534,11 @@ def error_opportunities(spark, d):
     return adaptive.opportunities(_errors(spark, d).withColumn("action_texts", F.array().cast("array<string>")))
 
 
-_SIDES = "b AS (SELECT *, CASE WHEN doc_id % 2 = 0 THEN 'reference' ELSE 'current' END AS side FROM documents WHERE doc_id % 5 <> 1 OR lang = 'en')"
+_SIDES = "b AS (SELECT *, CASE WHEN doc_id % 2 = 0 THEN 'reference' ELSE 'current' END AS side FROM documents)"
 
 
 def _sides(spark, d) -> DataFrame:
-    docs = table(spark, d, "documents").where("doc_id % 5 <> 1 or lang = 'en'")
+    docs = table(spark, d, "documents")
     return adaptive.sides(docs.where("doc_id % 2 = 0"), docs.where("doc_id % 2 <> 0"))
 
 
@@ -597,11 +593,11 @@ def _shown(df: DataFrame) -> DataFrame:
     return df.select("pattern", "phishing", "benign", r6("precision_proxy", "proxy"))
 
 
-@query(rf"""WITH t AS (SELECT toxic AS y, regexp_extract_all(lower(text), '[\p{{L}}0-9_-]{{4,}}')[1:80] AS t FROM labels JOIN documents USING (doc_id) WHERE lang = 'en'),
+@query(rf"""WITH t AS (SELECT toxic AS y, regexp_extract_all(lower(text), '[\p{{L}}0-9_-]{{4,}}')[1:80] AS t FROM labels JOIN documents USING (doc_id)),
 r AS (SELECT y, unnest(t) AS pattern FROM t UNION ALL SELECT y, unnest(list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1])) FROM t UNION ALL SELECT y, unnest(list_transform(range(1, len(t) - 1), lambda i: t[i] || ' ' || t[i + 1] || ' ' || t[i + 2])) FROM t), {_PROP}
 SELECT * FROM (SELECT * FROM q WHERE phishing >= 3 ORDER BY phishing DESC, pattern LIMIT 150) WHERE proxy >= 0.2""")
 def proposals_phrases(spark, d):
-    rows = predictions(spark, d).where("language = 'en'").withColumnsRenamed({"text": "normalized_text", "sample_id": "seq"})
+    rows = predictions(spark, d).withColumnsRenamed({"text": "normalized_text", "sample_id": "seq"})
     return _shown(adaptive.phrase_proposals(rows, floor=0.2))
 
 
@@ -615,16 +611,36 @@ def proposals_actions(spark, d):
     return _shown(adaptive.cta_proposals(_pages(spark, d), floor=0.5))
 
 
-@query(f"WITH r AS (SELECT page_id % 2 AS y, unnest(list_filter([CASE WHEN contains(regexp_extract(url, '^[a-z]+://([^/?#]*)', 1), '-') THEN 'hyphenated_host' END, CASE WHEN contains(url, '@') THEN 'at_symbol' END, CASE WHEN regexp_matches(url, '%[0-9a-fA-F]{{2}}') THEN 'percent_encoding' END], lambda x: x IS NOT NULL)) AS pattern FROM pages), {_PROP} SELECT * FROM q WHERE phishing >= 2")
+_HOST, _PATH = (f"regexp_extract(url, '^[a-z]+://([^/?#]*)([^?#]*)', {k})" for k in (1, 2))
+_URL_FLAGS = f"""list_filter([CASE WHEN regexp_matches({_HOST}, '^[0-9]+(\\.[0-9]+){{3}}(:|$)') THEN 'is_ip_address' END, CASE WHEN contains({_HOST}, 'xn--') THEN 'has_punycode' END, CASE WHEN regexp_matches(url, '%[0-9a-fA-F]{{2}}') THEN 'has_percent_encoding' END,
+CASE WHEN contains(url, '@') THEN 'contains_at_symbol' END, CASE WHEN contains({_PATH}, '//') THEN 'contains_double_slash_path' END, CASE WHEN contains({_HOST}, '-') THEN 'contains_hyphenated_hostname' END], lambda x: x IS NOT NULL)"""
+_HTML_FLAGS = r"list_filter([CASE WHEN regexp_matches(html, '(?i)http-equiv=.?refresh') THEN 'meta_refresh_present' END, CASE WHEN regexp_matches(html, '(?i)<input[^>]*password') THEN 'has_password_input' END, CASE WHEN regexp_matches(html, '(?i)<script\b') THEN 'scripts' END], lambda x: x IS NOT NULL)"
+
+
+def _flags(spark, d) -> tuple[DataFrame, DataFrame]:
+    """URL and HTML flags; one that pages do have is added to each list."""
+    rows, u, h = _pages(spark, d), F.col("url_features"), F.col("html_features")
+    styles = {n: u[n] for n in (*adaptive.URL_FLAGS, "contains_hyphenated_hostname")}
+    patterns = {n: h[n] for n in adaptive.HTML_FLAGS} | {"scripts": h["script_count"] > 0}
+    return adaptive.flag_proposals(rows, styles, "url_style"), adaptive.flag_proposals(rows, patterns, "html_pattern")
+
+
+@query(f"WITH r AS (SELECT page_id % 2 AS y, unnest({_URL_FLAGS}) AS pattern FROM pages), {_PROP} SELECT * FROM q WHERE phishing >= 2")
 def proposals_url_style(spark, d):
-    f = F.col("url_features")
-    return _shown(adaptive.flag_proposals(_pages(spark, d), {"hyphenated_host": f["contains_hyphenated_hostname"], "at_symbol": f["contains_at_symbol"], "percent_encoding": f["has_percent_encoding"]}, "url_style"))
+    return _shown(_flags(spark, d)[0])
 
 
-@query(f"WITH r AS (SELECT page_id % 2 AS y, unnest(list_filter([CASE WHEN regexp_matches(html, '(?i)<script\\b') THEN 'scripts' END, CASE WHEN regexp_matches(html, '(?i)<form\\b') THEN 'forms' END], lambda x: x IS NOT NULL)) AS pattern FROM pages), {_PROP} SELECT * FROM q WHERE phishing >= 2")
+@query(f"WITH r AS (SELECT page_id % 2 AS y, unnest({_HTML_FLAGS}) AS pattern FROM pages), {_PROP} SELECT * FROM q WHERE phishing >= 2")
 def proposals_html_pattern(spark, d):
-    f = F.col("html_features")
-    return _shown(adaptive.flag_proposals(_pages(spark, d), {"scripts": f["script_count"] > 0, "forms": f["form_count"] > 0}, "html_pattern"))
+    return _shown(_flags(spark, d)[1])
+
+
+@query(f"""WITH s AS (SELECT page_id % 2 AS y, 'url_style' AS kind, unnest({_URL_FLAGS}) AS pattern FROM pages UNION ALL SELECT page_id % 2, 'html_pattern', unnest({_HTML_FLAGS}) FROM pages UNION ALL SELECT page_id % 2, 'cta', lower(unnest({_ACTS})) FROM pages),
+g AS (SELECT kind, pattern, count(*) FILTER (y = 1) AS phishing, count(*) FILTER (y = 0) AS benign FROM s GROUP BY ALL), q AS (SELECT *, phishing::DOUBLE / greatest(1, phishing + benign) AS p FROM g WHERE phishing >= 2),
+c AS (SELECT * FROM (SELECT * FROM q WHERE kind = 'cta' ORDER BY phishing DESC, pattern LIMIT 50) WHERE p >= 0.5), u AS (SELECT * FROM q WHERE kind <> 'cta' UNION ALL SELECT * FROM c)
+SELECT kind, pattern, phishing, benign FROM u ORDER BY phishing DESC, p DESC, kind, pattern LIMIT 20""")
+def proposals_ranked(spark, d):
+    return adaptive.ranked([adaptive.cta_proposals(_pages(spark, d), floor=0.5), *_flags(spark, d)], 20).select("kind", "pattern", "phishing", "benign")
 
 
 _TOK = r"list_filter(regexp_extract_all(lower(text_snippet), '[\p{L}0-9_-]{4,}'), lambda t: length(t) >= 5)"
@@ -638,69 +654,6 @@ def proposals_from_errors(spark, d):
     return adaptive.error_proposals(_errors(spark, d), 20)
 
 
-# --- the filtered queries over all rows; their SQL is that of the filtered ones without the filter -
-
-
-def whole(name: str, cut: str):
-    """Register a query as ``name``_whole, with the SQL of ``name`` less ``cut``."""
-    if cut not in ORACLE[name]:
-        raise ValueError(f"{name} has no {cut}")
-
-    def add(f):
-        QUERIES[f"{name}_whole"] = f
-        ORACLE[f"{name}_whole"] = ORACLE[name].replace(cut, "")
-        return f
-
-    return add
-
-
-_SIDE_CUT = " WHERE doc_id % 5 <> 1 OR lang = 'en'"
-_PAIR_CUT = " WHERE u.sample_id % 5 <> 0 AND w.sample_id % 7 <> 0"
-
-
-def _all_sides(spark, d) -> DataFrame:
-    docs = table(spark, d, "documents")
-    return adaptive.sides(docs.where("doc_id % 2 = 0"), docs.where("doc_id % 2 <> 0"))
-
-
-def _all_pairs(spark, d) -> DataFrame:
-    p = predictions(spark, d)
-    return fusion.align(p.select("sample_id", "label", "score"), p.select("sample_id", F.col("score_web").alias("score")))
-
-
-@whole("drift_distributions", _SIDE_CUT)
-def drift_distributions_whole(spark, d):
-    return adaptive.distributions(_all_sides(spark, d), ["lang", "source"])
-
-
-@whole("drift_divergence", _SIDE_CUT)
-def drift_divergence_whole(spark, d):
-    return adaptive.divergence(adaptive.distributions(_all_sides(spark, d), ["lang", "source"])).select("dim", r6("js_divergence", "js"))
-
-
-@whole("drift_tokens", _SIDE_CUT)
-def drift_tokens_whole(spark, d):
-    return adaptive.token_shift(_all_sides(spark, d), "text")
-
-
-@whole("fusion_scores", _PAIR_CUT)
-def fusion_scores_whole(spark, d):
-    both = fusion.weighted(_all_pairs(spark, d)).withColumnRenamed("score", "weighted")
-    return fusion.cascade(both).select("sample_id", r6("weighted", "weighted"), r6("score", "cascade"))
-
-
-@whole("fusion_metrics", _PAIR_CUT)
-def fusion_metrics_whole(spark, d):
-    out = fusion.fusion_metrics(fusion.weighted(_all_pairs(spark, d)))
-    return out.select("tn", "fp", "fn", "tp", r6("f1", "f1"), r6("roc_auc", "roc_auc"), r6("pr_auc", "pr_auc"))
-
-
-@whole("proposals_phrases", " WHERE lang = 'en'")
-def proposals_phrases_whole(spark, d):
-    rows = predictions(spark, d).withColumnsRenamed({"text": "normalized_text", "sample_id": "seq"})
-    return _shown(adaptive.phrase_proposals(rows, floor=0.2))
-
-
 # --- generic shapes of joins and windows on the star tables --------------------------------------
 
 

@@ -78,9 +78,9 @@ def test_model_sizes(spark, sf, monkeypatch):
 
 def test_whole_queries_hold_every_row(spark, sf):
     docs = catalogue.table(spark, sf, "documents").count()
-    sums = catalogue.QUERIES["drift_distributions_whole"](spark, sf).groupBy("dim").agg(F.sum(F.col("reference") + F.col("current"))).collect()
+    sums = catalogue.QUERIES["drift_distributions"](spark, sf).groupBy("dim").agg(F.sum(F.col("reference") + F.col("current"))).collect()
     assert [r[1] for r in sums] == [docs, docs]
-    assert catalogue.QUERIES["fusion_scores_whole"](spark, sf).count() == catalogue.predictions(spark, sf).count()
+    assert catalogue.QUERIES["fusion_scores"](spark, sf).count() == catalogue.predictions(spark, sf).count()
 
 
 def test_validation_reports_blank_documents(spark, monkeypatch):
@@ -92,7 +92,7 @@ def test_validation_reports_blank_documents(spark, monkeypatch):
         "part": spark.createDataFrame([], "p_partkey long, p_size int, p_brand string"),
     }
     monkeypatch.setattr(catalogue, "table", lambda spark, d, name: tables[name])
-    got = {tuple(r) for r in catalogue.QUERIES["record_validation_whole"](spark, "").collect()}
+    got = {tuple(r) for r in catalogue.QUERIES["record_validation"](spark, "").collect()}
     assert got == {("s", "record_has_no_modalities", 2), ("s", "ok", 1), ("oscar_aux", "ok", 1)}
 
 
