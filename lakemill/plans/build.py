@@ -22,12 +22,13 @@ def preview(spark: SparkSession, snapshots: dict[str, str], n: int = 5, views: l
 
 
 def _ordered(raw: DataFrame) -> DataFrame:
-    """Canonical records with a ``seq`` that orders them by source and row.
+    """Canonical records with a ``seq`` that orders them by source, file and row.
 
     Written once, so that the order is the same wherever it is used.
     """
-    rows = canonicalize(raw, carry=("source_rank",)).repartitionByRange("source_rank", "source_original_id", "sample_id").sortWithinPartitions("source_rank", "source_original_id", "sample_id")
-    return cut(rows.withColumn("seq", F.monotonically_increasing_id()).drop("source_rank"), "build")
+    order = ["source_rank", *adapters.in_order(), "sample_id"]
+    rows = canonicalize(raw, carry=("source_rank", "path", "row")).repartitionByRange(*order).sortWithinPartitions(*order)
+    return cut(rows.withColumn("seq", F.monotonically_increasing_id()).drop("source_rank", "path", "row"), "build")
 
 
 def build(spark: SparkSession, snapshots: dict[str, str], root: str, views: list[str] | None = None, prefilter: float | None = 0.32, dedupe: bool = True, rebalance: bool = True, fmt: str = "parquet", caps: dict[str, int] | None = None) -> dict:

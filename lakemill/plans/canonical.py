@@ -9,7 +9,7 @@ from lakemill.functions import scalars, text
 from lakemill.functions.html import with_html
 from lakemill.functions.urls import KEYWORDS, host_of, with_url
 
-RAW_SCHEMA = "source string, original_id string, original_label string, given_label int, url string, html string, text string, tabular map<string,string>, timestamp string, language string, split string, metadata map<string,string>"
+RAW_SCHEMA = "source string, original_id string, original_label string, given_label int, url string, html string, text string, tabular map<string,string>, timestamp string, language string, split string, metadata map<string,string>, path string, row long"
 
 
 def raw(df: DataFrame, **columns) -> DataFrame:

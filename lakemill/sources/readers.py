@@ -5,10 +5,12 @@ from __future__ import annotations
 import csv
 import shlex
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakemill.operators import ranks
+
 DELIMITERS = ",\t;|"
 #: Keys under which a JSON document may hold its rows.
 ROW_KEYS = ("data", "records", "items", "entries", "results")
@@ -59,15 +61,30 @@ def read_json(spark: SparkSession, path: str) -> DataFrame:
     return _strings(doc)
 
 
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_parquet(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    paths = path if isinstance(path, list) else [path]
+    return spark.read.option("mergeSchema", len(paths) > 1).parquet(*paths)
+
+
+def positioned(df: DataFrame) -> DataFrame:
+    """``df``, as read from files, with __path, __file and __row: the file and the row's number in it, from 1.
 
+    Rows of a split of a file are numbered as they come, and the splits' counts say where each begins; so numbers
+    do not depend on how files are split, and no file is one task.
+    """
+    here = [F.col("_metadata.file_path").alias("__path"), F.col("_metadata.file_name").alias("__file"), F.col("_metadata.file_block_start").alias("__block")]
+    rows = df.select("*", *here, F.monotonically_increasing_id().alias("__id"))
+    blocks = rows.groupBy(F.col("__path").alias("__p"), F.col("__block").alias("__b")).agg(F.min("__id").alias("__first"), F.count(F.lit(1)).alias("__n"))
+    earlier = Window.partitionBy("__p").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    starts = blocks.select("__p", "__b", (F.coalesce(F.sum("__n").over(earlier), F.lit(0)) - F.col("__first") + 1).alias("__shift"))
+    joined = rows.join(starts, (F.col("__path") == F.col("__p")) & (F.col("__block") == F.col("__b")))
+    return joined.withColumn("__row", F.col("__id") + F.col("__shift")).drop("__p", "__b", "__block", "__id", "__shift")
 
-def read_lines(spark: SparkSession, path: str, skip_comments: bool = True) -> DataFrame:
+
+def read_lines(spark: SparkSession, path: str | list[str], skip_comments: bool = True) -> DataFrame:
     """(path, line_number, line): trimmed, blank and comment lines dropped; numbers count every physical line."""
-    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
-    lines = whole.select("path", F.posexplode(F.split(F.regexp_replace("value", r"\r?\n$", ""), r"\r?\n")).alias("k", "line"))
-    lines = lines.select("path", (F.col("k") + 1).alias("line_number"), F.trim("line").alias("line")).where("line <> ''")
+    lines = positioned(spark.read.text(path, lineSep="\n"))
+    lines = lines.select(F.col("__path").alias("path"), F.col("__row").alias("line_number"), F.trim(F.regexp_replace("value", r"\r$", "")).alias("line")).where("line <> ''")
     return lines.where(~F.col("line").startswith("#")) if skip_comments else lines
 
 
@@ -75,8 +92,7 @@ def read_xml(spark: SparkSession, path: str, tag: str = "entry") -> DataFrame:
     return spark.read.format("xml").option("rowTag", tag).option("inferSchema", False).load(path)
 
 
-def read_arff(spark: SparkSession, path: str) -> DataFrame:
-    """Attributes from the header; short rows are filled up with empty strings, sparse rows are refused."""
+def _arff(spark: SparkSession, path: str) -> DataFrame:
     lines = read_lines(spark, path, skip_comments=False).where(~F.col("line").startswith("%"))
     start = lines.where(F.lower("line").startswith("@data")).groupBy("path").agg(F.min("line_number").alias("start"))
     rows = lines.join(start, "path")
@@ -88,7 +104,14 @@ def read_arff(spark: SparkSession, path: str) -> DataFrame:
     data = rows.where(F.col("line_number") > F.col("start"))
     data = data.withColumn("line", F.when(F.col("line").startswith("{"), F.raise_error(F.lit("sparse ARFF rows are not supported"))).otherwise(F.col("line")))
     parsed = F.from_csv("line", ", ".join(f"`{n}` string" for n in names), {"quote": "'", "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"})
-    return data.select(parsed.alias("r")).select("r.*").na.fill("")
+    numbered = ranks.running(data.withColumn("__one", F.lit(1)), ["path"], F.floor(F.col("line_number") / 100_000), ["line_number"], {"__row": "__one"}, {})
+    rows = numbered.select(parsed.alias("r"), F.col("path").alias("__path"), F.regexp_extract("path", r"([^/]*)$", 1).alias("__file"), "__row")
+    return rows.select("r.*", "__path", "__file", "__row").na.fill("", names)
+
+
+def read_arff(spark: SparkSession, path: str) -> DataFrame:
+    """Attributes from the header; short rows are filled up with empty strings, sparse rows are refused."""
+    return _arff(spark, path).drop("__path", "__file", "__row")
 
 
 def read_raw_files(spark: SparkSession, path: str) -> DataFrame:
@@ -102,20 +125,49 @@ def read_raw_files(spark: SparkSession, path: str) -> DataFrame:
 READERS = {"csv": read_csv, "tsv": lambda s, p: read_csv(s, p, "\t"), "jsonl": read_jsonl, "json": read_json, "parquet": read_parquet, "xml": read_xml, "arff": read_arff}
 
 
-def suffix_of(path: str) -> str:
+#: Formats of which many files are one read; of the others each file has its own header or shape.
+TOGETHER = ("parquet", "jsonl", "txt")
+
+
+def suffix_of(path: str | list[str]) -> str:
+    if isinstance(path, list):
+        path = path[0]
     parts = path.rstrip("/").rsplit("/", 1)[-1].lower().split(".")
     return parts[-2] if len(parts) > 2 and parts[-1] in ("gz", "bz2") else parts[-1]
 
 
-def read_any(spark: SparkSession, path: str) -> DataFrame:
-    """By suffix, compression aside."""
+def _reader(path: str | list[str]):
     suffix = suffix_of(path)
     if suffix not in READERS:
         raise ValueError(f"unsupported format {suffix!r}")
-    return READERS[suffix](spark, path)
+    return READERS[suffix]
+
+
+def read_any(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """By suffix, compression aside."""
+    return _reader(path)(spark, path)
+
+
+def read_rows(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """As ``read_any``, with each row's place: __path, __file, __row."""
+    return _arff(spark, path) if suffix_of(path) == "arff" else positioned(_reader(path)(spark, path))
 
 
 def list_snapshot(spark: SparkSession, root: str, pattern: str = "*") -> list[str]:
-    """Sorted paths of a folder's files, which defines the order of rows."""
+    """Sorted paths of a folder's files, which defines the order of rows; folders are compared name by name."""
     rows = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root).select("path").collect()
-    return sorted(r["path"] for r in rows)
+    return sorted((r["path"] for r in rows), key=lambda p: p.split("/"))
+
+
+def snapshot_reads(spark: SparkSession, path: str) -> list[str | list[str]]:
+    """What to read of a snapshot: the file itself, or a folder's files of known formats, together where they can be."""
+    if suffix_of(path) in (*READERS, "txt"):
+        return [path]
+    reads, together = [], {}
+    for p in list_snapshot(spark, path):
+        suffix = suffix_of(p)
+        if suffix in TOGETHER:
+            together.setdefault(suffix, []).append(p)
+        elif suffix in READERS:
+            reads.append(p)
+    return reads + list(together.values())

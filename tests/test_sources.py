@@ -41,7 +41,7 @@ def test_arff(spark, tmp_path):
 
 
 def test_lines_keep_physical_numbers(spark, tmp_path):
-    got = readers.read_lines(spark, put(tmp_path / "f.txt", "# c\n\n http://a.b/c, \nhttps://x.y 2024-01-02T03:04\nnope\n")).collect()
+    got = readers.read_lines(spark, put(tmp_path / "f.txt", "# c\n\n http://a.b/c, \nhttps://x.y 2024-01-02T03:04\nnope\n")).orderBy("line_number").collect()
     assert [(r["line_number"], r["line"]) for r in got] == [(3, "http://a.b/c,"), (4, "https://x.y 2024-01-02T03:04"), (5, "nope")]
     feed = {r["url"]: r for r in adapters.adapter("openphish")(spark, str(tmp_path / "f.txt")).collect()}
     assert set(feed) == {"http://a.b/c", "https://x.y"}
@@ -80,6 +80,30 @@ def test_pages(spark, tmp_path):
     assert (got["benign/b.txt"]["text"], got["benign/b.txt"]["given_label"]) == ("hello", 0)
 
 
+def test_places_do_not_depend_on_splits(spark, tmp_path):
+    lines = [f"http://a.b/{k}" if k % 7 else "" for k in range(2000)]
+    put(tmp_path / "in/b/x.txt", "\n".join(lines))
+    put(tmp_path / "in/b.c/y.csv", "url,id\n" + "\n".join(f"http://c.d/{k}," for k in range(50)))
+    put(tmp_path / "in/a.jsonl", "\n".join(f'{{"url": "http://e.f/{k}"}}' for k in range(500)))
+    spark.range(300).selectExpr("concat('http://g.h/', id) AS url").repartition(1).write.parquet(str(tmp_path / "in/p.parquet"))
+    found = []
+    for size in ("1000", "134217728"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        rows = adapters.load_sources(spark, {"openphish": str(tmp_path / "in")}).orderBy(*adapters.in_order()).collect()
+        found.append([(r["original_id"], r["url"]) for r in rows])
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert found[0] == found[1] and len(found[0]) == sum(1 for x in lines if x) + 850
+    want = [(f"a.jsonl:{k + 1}", f"http://e.f/{k}") for k in range(500)] + [(f"x.txt:{k + 1}", x) for k, x in enumerate(lines) if x] + [(f"y.csv:{k + 1}", f"http://c.d/{k}") for k in range(50)]
+    assert found[0][: len(want)] == want  # "b" before "b.c", as folders, though "/" comes after "."
+    assert [u for _, u in found[0][len(want) :]] == [f"http://g.h/{k}" for k in range(300)]
+
+
+def test_arff_places(spark, tmp_path):
+    text = "@relation r\n@attribute a numeric\n@attribute Result {1,-1}\n@data\n% skip\n1,1\n\n2,-1\n"
+    rows = adapters.adapter("uci_phishing")(spark, put(tmp_path / "t.arff", text)).orderBy("row").collect()
+    assert [(r["original_id"], r["tabular"], r["given_label"]) for r in rows] == [("t.arff:1", {"a": "1"}, 0), ("t.arff:2", {"a": "2"}, 1)]
+
+
 def test_registry_and_readiness(spark, tmp_path):
     assert {"mendeley", "openphish", "oscar_aux", "phishtank", "phreshphish", "uci_phishing"} <= set(adapters.names())
     with pytest.raises(ValueError):
