@@ -17,7 +17,8 @@ _ACTION = r"""(?is)<(?:button|a)[^>]*>(.*?)</(?:button|a)>|<input[^>]+(?:value|a
 
 
 def collapse(c: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(c, r"(?U)\s+", " "), "^ | $", "")
+    """White space to single spaces, none at the ends."""
+    return F.trim(F.regexp_replace(c, r"(?U)\s+", " "))
 
 
 def visible_text(html: Column | str) -> Column:

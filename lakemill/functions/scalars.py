@@ -34,9 +34,13 @@ def filled(c: Column | str) -> Column:
     return F.coalesce(col(c) != "", F.lit(False))
 
 
+#: Unicode's white space.
+WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
 def squeeze(c: Column | str) -> Column:
     """Trim all white space, Unicode included."""
-    return F.regexp_replace(col(c), r"(?U)^\s+|\s+$", "")
+    return F.btrim(col(c).cast("string"), F.lit(WHITE))
 
 
 def is_null_like(c: Column | str) -> Column:

@@ -66,7 +66,7 @@ def text_features(original: Column, normalized: Column) -> Column:
         F.coalesce(F.length(normalized), F.lit(0)).alias("normalized_length"),
         F.coalesce(F.size(tokens(normalized)), F.lit(0)).alias("token_count"),
         F.regexp_count(trimmed, F.lit(URL)).alias("url_count"),
-        F.regexp_count(trimmed, F.lit(EMAIL)).alias("email_count"),
+        F.when(trimmed.contains("@"), F.regexp_count(trimmed, F.lit(EMAIL))).otherwise(0).alias("email_count"),
         urgency_terms(normalized).alias("urgency_terms"),
     )
     return F.when(filled(trimmed), made)
