@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemill.llm import brown, chat, decontaminate, language, lines, packing, pii, quality, simhash, substrings
+from lakemill.llm import brown, chat, debruijn, decontaminate, language, lines, packing, pii, quality, simhash, substrings
 from lakemill.llm.common import load
 from lakemill.llm.sql import ORACLE_SQL  # noqa: F401  read by the entry
 
@@ -66,4 +66,8 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score", "ambiguous")
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_simhash, op3_chat, op4_brown, op5_lines, op6_quality, op7_decontaminate, op8_substrings, op9_packing, op10_language)}
+def op11_debruijn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return debruijn.remove_repeats(load(spark, sf_dir, "documents").select("doc_id", "text")).drop("kept")
+
+
+QUERIES = {f.__name__: f for f in (op1_pii, op2_simhash, op3_chat, op4_brown, op5_lines, op6_quality, op7_decontaminate, op8_substrings, op9_packing, op10_language, op11_debruijn)}

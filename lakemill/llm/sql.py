@@ -51,4 +51,17 @@ c AS (SELECT doc_id, sum(z - a) AS n_removed, count(*) AS n_spans FROM runs GROU
 SELECT b.doc_id, b.n::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(kept.h)) AS kept_sha256
 FROM b JOIN kept USING (doc_id) LEFT JOIN c USING (doc_id)"""
 
-ORACLE_SQL = {"op3_chat": OP3_CHAT, "op7_decontaminate": OP7_DECONTAMINATE, "op8_substrings": OP8_SUBSTRINGS}
+OP11_DEBRUIJN = r"""
+WITH d AS MATERIALIZED (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS MATERIALIZED (
+  SELECT doc_id, k, md5_number(array_to_string(w[k:k + 12], ' ')) AS words
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS k FROM d WHERE len(w) >= 13)),
+r AS (SELECT doc_id, k FROM (SELECT doc_id, k, min(doc_id) OVER (PARTITION BY words) AS first FROM s) WHERE first < doc_id),
+g AS (SELECT DISTINCT doc_id, unnest(range(k, k + 13)) AS pos FROM r),
+l AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+a AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS pos, unnest(w) AS word FROM d),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY pos) AS t FROM a ANTI JOIN g USING (doc_id, pos) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN l USING (doc_id) LEFT JOIN kept USING (doc_id)"""
+
+ORACLE_SQL = {"op3_chat": OP3_CHAT, "op7_decontaminate": OP7_DECONTAMINATE, "op8_substrings": OP8_SUBSTRINGS, "op11_debruijn": OP11_DEBRUIJN}
