@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemill.llm import brown, chat, debruijn, decontaminate, language, lines, packing, pii, quality, simhash, substrings, whitening
+from lakemill.llm import brown, chat, debruijn, decontaminate, language, lines, packing, phrases, pii, quality, simhash, substrings, whitening
 from lakemill.llm.common import load
 from lakemill.llm.sql import ORACLE_SQL  # noqa: F401  read by the entry
 
@@ -74,4 +74,8 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(load(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vector")))
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_simhash, op3_chat, op4_brown, op5_lines, op6_quality, op7_decontaminate, op8_substrings, op9_packing, op10_language, op11_debruijn, op12_whitening)}
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine(load(spark, sf_dir, "documents").select("lang", "text"))
+
+
+QUERIES = {f.__name__: f for f in (op1_pii, op2_simhash, op3_chat, op4_brown, op5_lines, op6_quality, op7_decontaminate, op8_substrings, op9_packing, op10_language, op11_debruijn, op12_whitening, op13_phrases)}

@@ -64,4 +64,29 @@ kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY pos) AS t FROM a ANTI JOIN
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
 FROM d LEFT JOIN l USING (doc_id) LEFT JOIN kept USING (doc_id)"""
 
-ORACLE_SQL = {"op3_chat": OP3_CHAT, "op7_decontaminate": OP7_DECONTAMINATE, "op8_substrings": OP8_SUBSTRINGS, "op11_debruijn": OP11_DEBRUIJN}
+OP13_PHRASES = rf"""
+WITH p AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), x -> x <> '') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER.format("coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+f AS MATERIALIZED (
+  SELECT lang, size, w[k:k + size - 1] AS words, count(*) AS f
+  FROM (SELECT lang, size, w, unnest(range(1, len(w) - size + 2)) AS k FROM p, range(1, 5) AS s(size) WHERE len(w) >= size)
+  GROUP BY ALL),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE size = 1 GROUP BY lang),
+c AS MATERIALIZED (SELECT * FROM f WHERE size > 1 AND f >= 30),
+cut AS (SELECT lang, size, words, f AS a, unnest(range(1, size)) AS k FROM c),
+s AS (
+  SELECT c.lang, c.words, c.size, c.a, c.k, x.f AS l, y.f AS r, (2000000::HUGEINT * c.a) // (x.f + y.f) AS score
+  FROM cut AS c JOIN f AS x ON x.lang = c.lang AND x.words = c.words[:c.k] JOIN f AS y ON y.lang = c.lang AND y.words = c.words[c.k + 1:]),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, k) = 1),
+inside AS (
+  SELECT lang, part, max(f) AS longer
+  FROM (SELECT lang, f, words[k:k + m - 1] AS part FROM (SELECT lang, f, words, m, unnest(range(1, size - m + 2)) AS k FROM c, range(2, 4) AS x(m) WHERE m < size))
+  GROUP BY lang, part),
+t AS (
+  SELECT b.lang, array_to_string(b.words, ' ') AS phrase, a, l, r, score::BIGINT AS score FROM b LEFT JOIN inside AS i ON i.lang = b.lang AND i.part = b.words
+  WHERE coalesce(100::HUGEINT * longer < 80::HUGEINT * a, true))
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM t JOIN n USING (lang) QUALIFY rank <= 2000"""
+
+ORACLE_SQL = {"op3_chat": OP3_CHAT, "op7_decontaminate": OP7_DECONTAMINATE, "op8_substrings": OP8_SUBSTRINGS, "op11_debruijn": OP11_DEBRUIJN, "op13_phrases": OP13_PHRASES}
