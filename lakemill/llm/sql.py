@@ -66,7 +66,7 @@ FROM d LEFT JOIN l USING (doc_id) LEFT JOIN kept USING (doc_id)"""
 
 OP13_PHRASES = rf"""
 WITH p AS (
-  SELECT lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), x -> x <> '') AS w
+  SELECT lang, regexp_extract_all(piece, '[^ \t]+') AS w
   FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER.format("coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
 f AS MATERIALIZED (
   SELECT lang, size, w[k:k + size - 1] AS words, count(*) AS f
