@@ -42,7 +42,7 @@ UNDETERMINED = "und"
 BREAKS = byte_set(b".,;:!?\n\x0b\x0c\r")
 SPACE = BREAKS | byte_set(b" \t")
 #: Words in one trie.
-SHARD = 2_000_000
+SHARD = 1_000_000
 #: Bytes of text for each prefix range.
 RANGE_BYTES = 6 << 20
 #: The sample that borders come from: so many texts, of each so many characters.
@@ -60,13 +60,13 @@ class Level(NamedTuple):
 def _grouped(code: np.ndarray, count: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(distinct codes in order, the number of each code among them, sums of counts)."""
     if not len(code):
-        return code, np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return code, np.zeros(0, np.int32), np.zeros(0, np.int64)
     order = np.argsort(code, kind="stable")  # merges runs that are in order
     in_order = code[order]
     new = np.concatenate([[True], in_order[1:] != in_order[:-1]])
     starts = np.flatnonzero(new)
-    of = np.empty(len(code), np.int64)
-    of[order] = np.cumsum(new) - 1
+    of = np.empty(len(code), np.int32)
+    of[order] = np.cumsum(new, dtype=np.int32) - 1
     sums = np.diff(np.append(starts, len(code))) if count is None else np.add.reduceat(count[order], starts)
     return in_order[starts], of, sums.astype(np.int64)
 
@@ -75,15 +75,15 @@ def count_trie(words: np.ndarray, piece: np.ndarray, limit: int | None = None) -
     """(symbols in order, first word with each, levels) of the phrases within pieces that start before word ``limit``."""
     limit = len(words) if limit is None else limit
     symbols, first, ids = np.unique(words, return_index=True, return_inverse=True)
-    v = len(symbols)
-    levels = [Level(np.zeros(v, np.int64), np.arange(v), np.bincount(ids[:limit], minlength=v))]
+    v, first, ids = len(symbols), first.astype(np.int32), ids.astype(np.int32)
+    levels = [Level(np.zeros(v, np.int32), np.arange(v, dtype=np.int32), np.bincount(ids[:limit], minlength=v))]
     node = ids
     for n in range(2, DEPTH + 1):
         m = max(0, min(limit, len(words) - n + 1))
         inside = np.flatnonzero(piece[:m] == piece[n - 1 : n - 1 + m])
-        code, of, count = _grouped(node[inside] * v + ids[n - 1 :][inside])
-        levels.append(Level(code // v, code % v, count))
-        node = np.zeros(m, np.int64)
+        code, of, count = _grouped(node[inside] * np.int64(v) + ids[n - 1 :][inside])
+        levels.append(Level((code // v).astype(np.int32), (code % v).astype(np.int32), count.astype(np.int32)))
+        node = np.zeros(m, np.int32)
         node[inside] = of
     return symbols, first, levels
 
@@ -165,7 +165,7 @@ def merged(runs: list[bytes], least: int) -> dict[str, list]:
                 children = r[1][d][0]
                 numbers.append(np.repeat(of[at : at + len(children)], children))
                 at += len(children)
-            code = np.concatenate(numbers) * v + symbol
+            code = np.concatenate(numbers) * np.int64(v) + symbol
         nodes, of, total = _grouped(code, count)
         paths = [nodes] if d == 0 else [p[nodes // v] for p in paths] + [nodes % v]
         keep = np.flatnonzero(total >= least)
