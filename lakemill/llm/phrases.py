@@ -45,7 +45,7 @@ SPACE = BREAKS | byte_set(b" \t")
 SHARD = 1_000_000
 #: Bytes of text for each prefix range.
 RANGE_BYTES = 6 << 20
-#: The sample that borders come from: so many texts, of each so many characters.
+#: The sample that borders come from: so many texts on average, of each so many characters.
 SAMPLE_TEXTS, SAMPLE_CHARS = 500, 4000
 
 
@@ -290,10 +290,10 @@ NODES = "depth int, f long, u1 long, u2 long, u3 long, u4 long, word string, lan
 def frequent(docs: DataFrame, least: int = LEAST, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """All phrases of up to four words with ``least`` occurrences, and each language's number of words in parts (depth 0)."""
     docs = docs.select(F.coalesce("lang", F.lit(UNDETERMINED)).alias("lang"), F.coalesce("text", F.lit("")).alias("text")).withColumn("salt", F.xxhash64("lang"))
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    spread = F.xxhash64("text")
-    window = F.substring("text", F.lit(1) + F.pmod(spread, F.greatest(F.lit(1), F.length("text") - SAMPLE_CHARS)).cast("int"), F.lit(SAMPLE_CHARS))
-    sample = docs.select("salt", window.alias("text"), spread.alias("spread")).orderBy("spread").limit(SAMPLE_TEXTS).collect()
+    size, n = docs.agg(F.sum(F.octet_length("text")), F.count(F.lit(1))).first()
+    size = size or 0
+    place = F.pmod(F.xxhash64("text"), F.greatest(F.lit(1), F.length("text") - SAMPLE_CHARS)).cast("int")
+    sample = docs.sample(min(1.0, SAMPLE_TEXTS / max(1, n)), seed=13).select("salt", F.substring("text", F.lit(1) + place, F.lit(SAMPLE_CHARS)).alias("text")).collect()
     borders = borders_of([r["text"].encode() for r in sample], [r["salt"] for r in sample], max(1, size // range_bytes))
 
     def merge(batches):
@@ -313,7 +313,7 @@ def frequent(docs: DataFrame, least: int = LEAST, range_bytes: int = RANGE_BYTES
         columns = [pa.array(rows[c], t) for c, t in zip(ROWS, kinds)]
         return pa.RecordBatch.from_arrays([c.cast(pa.string()) if c.type == pa.binary() else c for c in columns], ROWS)
 
-    runs = _runs(docs, borders).repartition(len(borders) + 1, "part").sortWithinPartitions("part")
+    runs = _runs(docs, borders).repartitionById(len(borders) + 1, "part").sortWithinPartitions("part")
     return runs.mapInArrow(merge, NODES)
 
 
