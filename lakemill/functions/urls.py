@@ -12,6 +12,12 @@ from lakemill.functions.scalars import col, squeeze
 # Keywords that make a URL suspicious.
 KEYWORDS = ("login", "verify", "update", "secure", "account", "signin", "confirm", "password", "wallet", "bank", "auth")
 
+# The features that URL models learn from.
+MODEL_FEATURES = (
+    "is_ip_address", "has_punycode", "has_percent_encoding", "url_length", "path_length", "query_length", "num_subdomains", "suspicious_keyword_count",
+    "digit_count", "digit_ratio", "hostname_digit_count", "contains_at_symbol", "contains_double_slash_path", "contains_hyphenated_hostname", "path_depth", "query_param_count",
+)
+
 _PARTS = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
 _IPV4 = r"^(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?:\.|$)){4}(?<!\.)$"
 _IPV6 = r"^(?=.*:)(?:(?:[0-9a-f]{1,4}:){7}[0-9a-f]{1,4}|(?=(?:[0-9a-f]{0,4}:){0,7}[0-9a-f]{0,4}$)(?:(?:[0-9a-f]{1,4}(?::[0-9a-f]{1,4})*)?::(?:[0-9a-f]{1,4}(?::[0-9a-f]{1,4})*)?))$"
@@ -87,7 +93,7 @@ def with_url(df: DataFrame, source: str, prefix: str = "", keywords: Sequence[st
         F.col("__hits").alias("suspicious_keyword_hits"),
         F.when(found, F.size("__hits")).alias("suspicious_keyword_count"),
         F.col("__digits").alias("digit_count"),
-        (F.col("__digits") / F.length(u)).alias("digit_ratio"),
+        F.bround(F.col("__digits") / F.length(u), 6).alias("digit_ratio"),
         F.when(found, digits(host)).alias("hostname_digit_count"),
         F.when(found, u.contains("@")).alias("contains_at_symbol"),
         F.when(found, path.contains("//")).alias("contains_double_slash_path"),
@@ -121,6 +127,12 @@ def with_url(df: DataFrame, source: str, prefix: str = "", keywords: Sequence[st
     return df.drop("__u", "__assumed", "__e", *names, "__host", "__port_text", "__port", "__ip", "__labels", "__domain", "__sub", "__suffix", "__hits", "__digits")
 
 
+def model_features(features: str | Column = "url_features") -> Column:
+    """The features that URL models learn from, as a struct; null without a URL."""
+    features = F.col(features) if isinstance(features, str) else features
+    return F.when(features.isNotNull(), F.struct(*[features[n].alias(n) for n in MODEL_FEATURES]))
+
+
 def host_of(url: Column) -> Column:
     """Lower-case host of an absolute or ``//`` URL, else null."""
     return _null_if_empty(F.lower(F.regexp_extract(col(url), r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?(\[[^\]]*\]|[^:/?#]*)", 1)))

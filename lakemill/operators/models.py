@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakemill.functions.text import word_grams
-from lakemill.operators import metrics
+from lakemill.functions.urls import model_features, with_url
+from lakemill.operators import metrics, vectorizer
 
 SEED = 42
 
@@ -57,15 +58,19 @@ ESTIMATORS = {
 
 @dataclass
 class Featurizer:
-    """Turns ``terms`` (array<string>) or ``vector`` into ``features``; fitted on the training rows."""
+    """Turns ``terms`` (array<string>), ``numbers`` and ``terms``, or ``vector`` into ``features``; fitted on the training rows."""
 
-    kind: str  # "tfidf", "terms" or "vector"
+    kind: str  # "tfidf", "terms", "dictionary" or "vector"
     vocabulary: int = 200_000
     min_df: float = 2.0
     numeric: list[str] = field(default_factory=list)
     model: PipelineModel | None = None
+    names: list[str] = field(default_factory=list)
 
     def fit(self, df: DataFrame) -> Featurizer:
+        if self.kind == "dictionary":
+            self.model, self.names = vectorizer.fit(df)
+            return self
         if self.kind == "vector":
             stages = []
         else:
@@ -136,7 +141,15 @@ def text_terms(df: DataFrame, text: str = "normalized_text") -> DataFrame:
 
 
 def tabular_terms(df: DataFrame, column: str = "tabular_features") -> DataFrame:
-    return df.withColumn("terms", F.coalesce(map_terms(F.col(column)), F.array().cast("array<string>")))
+    """Of a map, a struct or a VARIANT object of features."""
+    return vectorizer.dictionary_terms(df, column)
+
+
+def url_feature_terms(df: DataFrame, column: str = "url_features") -> DataFrame:
+    """The features of a URL that models learn from; ``column`` names the struct of all of them, made here if missing."""
+    if column not in df.columns:
+        df = with_url(df, "normalized_url" if "normalized_url" in df.columns else "url")
+    return vectorizer.dictionary_terms(df.withColumn("__selected", model_features(column)), "__selected").drop("__selected")
 
 
 def embedding_vector(df: DataFrame, column: str = "embedding") -> DataFrame:

@@ -79,9 +79,9 @@ TRACKS = {
     "url_tfidf_svm": ("unified_url_dataset", "normalized_url", models.url_terms, "tfidf", "linear_svm"),
     "text_tfidf_logreg": ("unified_webpage_dataset", "normalized_text", models.text_terms, "tfidf", "logistic_regression"),
     "text_tfidf_svm": ("unified_webpage_dataset", "normalized_text", models.text_terms, "tfidf", "linear_svm"),
-    "url_random_forest": ("unified_url_dataset", "normalized_url", models.url_terms, "tfidf", "url_forest"),
-    "tabular_random_forest": ("unified_tabular_dataset", "tabular_features", models.tabular_terms, "terms", "random_forest"),
-    "tabular_gradient_boosting": ("unified_tabular_dataset", "tabular_features", models.tabular_terms, "terms", "gradient_boosting"),
+    "url_random_forest": ("unified_url_dataset", "url_features", models.url_feature_terms, "dictionary", "url_forest"),
+    "tabular_random_forest": ("unified_tabular_dataset", "tabular_features", models.tabular_terms, "dictionary", "random_forest"),
+    "tabular_gradient_boosting": ("unified_tabular_dataset", "tabular_features", models.tabular_terms, "dictionary", "gradient_boosting"),
 }
 
 
@@ -100,7 +100,7 @@ def train_track(spark: SparkSession, root: str, name: str, out: str, strategy: s
     by_split = {r["split"]: {k: v for k, v in r.asDict().items() if k != "split"} for r in models.evaluate(bundle, scored).collect()}
     summary = {"model_name": name, "track": view, "run_dir": f"{out}/{name}", "metrics": by_split, "excluded_counts": left_out.first().asDict()}
     bundle.save(f"{out}/{name}/model")
-    sinks.write_document(spark, {"labels": {"0": "benign", "1": "phishing"}, "text": text, "features": kind, "estimator": estimator}, f"{out}/{name}/label_metadata")
+    sinks.write_document(spark, {"labels": {"0": "benign", "1": "phishing"}, "text": text, "features": kind, "feature_names_used": bundle.featurizer.names or [text], "estimator": estimator}, f"{out}/{name}/label_metadata")
     sinks.write_document(spark, {"pyspark": spark.version, "strategy": strategy, "seed": splits.SEED}, f"{out}/{name}/versions")
     sinks.write_document(spark, summary, f"{out}/{name}/run_summary.json")
     return summary
