@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakemill.functions.scalars import sample_id
 from lakemill.functions.text import word_grams
 
 PROPOSAL_TOKEN = r"(?U)\b[\w\-]{4,}\b"
@@ -128,28 +129,72 @@ def pattern_words(text: Column, most: int = 80) -> Column:
     return F.slice(F.regexp_extract_all(F.lower(text), F.lit(PROPOSAL_TOKEN), F.lit(0)), 1, most)
 
 
-def _proposals(df: DataFrame, patterns: Column, kind: str) -> DataFrame:
-    """Counts of each pattern among phishing and benign rows, its languages and where it is seen first."""
-    rows = df.select(truth(df).alias("y"), "language", "seq", F.explode(patterns).alias("pattern")).where("y in (0, 1)")
-    out = rows.groupBy("pattern").agg(F.count_if(F.col("y") == 1).alias("phishing"), F.count_if(F.col("y") == 0).alias("benign"), F.array_sort(F.collect_set(F.when(F.col("y") == 1, F.col("language")))).alias("languages"), F.min(F.when(F.col("y") == 1, F.col("seq"))).alias("first_seq"))
-    precision = F.col("phishing") / F.greatest(F.lit(1), F.col("phishing") + F.col("benign"))
-    return out.withColumns({"kind": F.lit(kind), "precision_proxy": precision, "status": F.lit("proposed")})
+def _counted(df: DataFrame, patterns: Column, kind: str) -> DataFrame:
+    """Counts of each pattern among phishing and benign rows."""
+    rows = df.select(truth(df).alias("y"), F.explode(patterns).alias("pattern")).where("y in (0, 1)")
+    out = rows.groupBy("pattern").agg(F.count_if(F.col("y") == 1).alias("phishing"), F.count_if(F.col("y") == 0).alias("benign"))
+    return out.withColumns({"kind": F.lit(kind), "precision_proxy": F.col("phishing") / F.greatest(F.lit(1), F.col("phishing") + F.col("benign")), "status": F.lit("proposed")})
 
 
-def phrase_proposals(df: DataFrame, k: int = 50, least: int = 3, floor: float = 0.7) -> DataFrame:
-    found = _proposals(df.withColumn("__words", pattern_words(F.col("normalized_text"))), word_grams(F.col("__words"), (1, 2, 3)), "phrase")
-    return found.where(F.col("phishing") >= least).orderBy(F.desc("phishing"), "pattern").limit(3 * k).where(F.col("precision_proxy") >= floor)
+#: Rows that a proposal shows.
+EXAMPLES = 3
 
 
-def cta_proposals(df: DataFrame, k: int = 50, least: int = 2, floor: float = 0.65) -> DataFrame:
-    found = _proposals(df, F.transform("action_texts", F.lower), "cta")
-    return found.where(F.col("phishing") >= least).orderBy(F.desc("phishing"), "pattern").limit(2 * max(10, k // 2)).where(F.col("precision_proxy") >= floor)
+def with_evidence(chosen: DataFrame, df: DataFrame, patterns: Column, whole_languages: bool = False) -> DataFrame:
+    """``chosen`` with ``source_support`` (occurrences by source), ``examples`` (the first EXAMPLES phishing rows by ``seq``) and ``languages``.
 
+    ``chosen`` is as small as its generator's limit makes it, and is broadcast. Sources are counted with map-side sums, first rows
+    are picked within partitions before they meet, and only the examples' rows are read for their texts. Languages
+    are those of the examples, or of all phishing rows. Sources and languages that are missing count as ``unknown`` and as none.
+    """
+    for c in ("source_dataset", "normalized_url", "original_url", "normalized_text", "extracted_text", "sample_id"):
+        if c not in df.columns:
+            df = df.withColumn(c, F.lit(None).cast("string"))
+    phishing = df.where(truth(df) == 1)
+    source = F.coalesce(F.nullif("source_dataset", F.lit("")), F.lit("unknown"))
+    found = phishing.select("seq", source.alias("source"), F.posexplode(patterns).alias("at", "pattern")).join(F.broadcast(chosen.select("pattern")), "pattern")
+    by_source = found.groupBy("pattern", "source").agg(F.count(F.lit(1)).alias("n")).groupBy("pattern")
+    support = by_source.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("source", "n")))).alias("source_support"))
+    nth = F.row_number().over(Window.partitionBy("pattern").orderBy("seq", "at"))
+    first = found.withColumn("nth", nth).where(F.col("nth") <= EXAMPLES).select("pattern", "nth", F.col("seq").alias("of"))
+    shown = F.struct("sample_id", "source_dataset", "language", F.coalesce("normalized_url", "original_url").alias("url"), F.substring(F.coalesce("normalized_text", "extracted_text", F.lit("")), 1, 240).alias("text_snippet"))
+    examples = phishing.select("seq", shown.alias("example")).join(F.broadcast(first), F.col("seq") == F.col("of"))
+    examples = examples.groupBy("pattern").agg(F.transform(F.array_sort(F.collect_list(F.struct("nth", "example"))), lambda x: x["example"]).alias("examples"))
+    out = chosen.join(support, "pattern", "left").join(examples, "pattern", "left")
+    if whole_languages:
+        languages = F.array(*[F.lit(r[0]) for r in phishing.select("language").distinct().collect() if r[0]]).cast("array<string>")
+    else:
+        languages = F.filter(F.array_distinct(F.transform("examples", lambda e: e["language"])), lambda x: x.isNotNull() & (x != ""))
+    return out.withColumn("languages", F.array_sort(F.coalesce(languages, F.array().cast("array<string>"))))
 
-def flag_proposals(df: DataFrame, flags: dict[str, Column], kind: str, least: int = 2) -> DataFrame:
+
+def _phrases(df: DataFrame) -> tuple[DataFrame, Column]:
+    return df.withColumn("__words", pattern_words(F.col("normalized_text"))), word_grams(F.col("__words"), (1, 2, 3))
+
+
+def _actions() -> Column:
+    return F.filter(F.transform("action_texts", lambda t: F.lower(F.trim(t))), lambda t: t != "")
+
+
+def _flagged(flags: dict[str, Column]) -> Column:
+    return F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in flags.items()]))
+
+
+def phrase_proposals(df: DataFrame, k: int = 50, least: int = 3, floor: float = 0.7, evidence: bool = False) -> DataFrame:
+    df, grams = _phrases(df)
+    found = _counted(df, grams, "phrase").where(F.col("phishing") >= least).orderBy(F.desc("phishing"), "pattern").limit(3 * k).where(F.col("precision_proxy") >= floor)
+    return with_evidence(found, df, F.array_distinct(grams)) if evidence else found
+
+
+def cta_proposals(df: DataFrame, k: int = 50, least: int = 2, floor: float = 0.65, evidence: bool = False) -> DataFrame:
+    found = _counted(df, _actions(), "cta").where(F.col("phishing") >= least).orderBy(F.desc("phishing"), "pattern").limit(2 * max(10, k // 2)).where(F.col("precision_proxy") >= floor)
+    return with_evidence(found, df, _actions()) if evidence else found
+
+
+def flag_proposals(df: DataFrame, flags: dict[str, Column], kind: str, least: int = 2, evidence: bool = False) -> DataFrame:
     """Proposals from boolean features, each a pattern of its own."""
-    patterns = F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in flags.items()]))
-    return _proposals(df, patterns, kind).where(F.col("phishing") >= least)
+    found = _counted(df, _flagged(flags), kind).where(F.col("phishing") >= least)
+    return with_evidence(found, df, _flagged(flags), whole_languages=True) if evidence else found
 
 
 def ranked(parts: list[DataFrame], k: int = 50) -> DataFrame:
@@ -161,17 +206,34 @@ URL_FLAGS = ("is_ip_address", "has_punycode", "has_percent_encoding", "contains_
 HTML_FLAGS = ("meta_refresh_present", "has_password_input")
 
 
-def url_proposals(df: DataFrame) -> DataFrame:
-    return flag_proposals(df, {n: F.col("url_features")[n] for n in URL_FLAGS}, "url_style")
+def url_proposals(df: DataFrame, evidence: bool = False) -> DataFrame:
+    return flag_proposals(df, {n: F.col("url_features")[n] for n in URL_FLAGS}, "url_style", evidence=evidence)
 
 
-def html_proposals(df: DataFrame) -> DataFrame:
-    return flag_proposals(df, {n: F.col("html_features")[n] for n in HTML_FLAGS}, "html_pattern")
+def html_proposals(df: DataFrame, evidence: bool = False) -> DataFrame:
+    return flag_proposals(df, {n: F.col("html_features")[n] for n in HTML_FLAGS}, "html_pattern", evidence=evidence)
 
 
-def proposals(df: DataFrame, k: int = 25) -> DataFrame:
+def proposals(df: DataFrame, k: int = 25, evidence: bool = True) -> DataFrame:
     """The k first proposals of phrases, action texts, URL flags and HTML flags together."""
-    return ranked([phrase_proposals(df, k), cta_proposals(df, k), url_proposals(df), html_proposals(df)], k)
+    return ranked([phrase_proposals(df, k, evidence=evidence), cta_proposals(df, k, evidence=evidence), url_proposals(df, evidence), html_proposals(df, evidence)], k)
+
+
+# Names of the kinds in records of proposals.
+RULE_TYPES = {"phrase": "text_phrase", "cta": "cta_pattern", "url_style": "url_obfuscation", "html_pattern": "html_pattern"}
+
+
+def proposal_records(found: DataFrame, created_at: str) -> DataFrame:
+    """Records of proposals with evidence, to be written as JSON lines; ``created_at`` is an ISO time and part of their ids."""
+    rule = F.element_at(F.create_map(*[F.lit(x) for pair in RULE_TYPES.items() for x in pair]), "kind")
+    none = F.lit(None).cast("string")
+    seen = F.format_string("%d of %d labelled occurrences are in phishing rows, from %d sources.", F.col("phishing"), F.col("phishing") + F.col("benign"), F.size("source_support"))
+    return found.select(
+        sample_id(F.lit("heuristic_proposal"), F.concat_ws(":", rule, "pattern", F.lit(created_at)), none, none, none).alias("proposal_id"),
+        rule.alias("rule_type"), F.col("pattern").alias("candidate_pattern"), seen.alias("rationale"), F.col("examples").alias("supporting_examples"), F.col("phishing").alias("supporting_count"),
+        F.bround("precision_proxy", 4).alias("estimated_precision_proxy"), "languages", "source_support", "status", F.lit("review before use").alias("recommended_action"),
+        F.lit(created_at).alias("created_at"), F.lit(False).alias("derived_from_errors"),
+    )
 
 
 def error_proposals(wrong: DataFrame, k: int = 50, least: int = 2) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lakemill.functions import html, scalars, text, urls
 from lakemill.operators import adaptive, balance, dedup, fusion, metrics, splits, stats
 from lakemill.plans.canonical import canonicalize, raw
+from lakemill.plans.samples import ODD_PAGES, odd_pages
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -54,7 +55,7 @@ def predictions(spark: SparkSession, d: str) -> DataFrame:
     return rows.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
-def records(spark: SparkSession, d: str, unicode: bool = False) -> DataFrame:
+def records(spark: SparkSession, d: str, unicode: bool = True) -> DataFrame:
     """Pages, documents and conversations as canonical records with a ``seq``."""
     pages = raw(table(spark, d, "pages"), source=F.lit("web_pages"), original_id=F.col("page_id"), url=F.col("url"), html=F.col("html"), given_label=F.col("page_id") % 2)
     docs = table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id", "left")
@@ -67,26 +68,28 @@ def records(spark: SparkSession, d: str, unicode: bool = False) -> DataFrame:
 # --- scalars, labels, languages ------------------------------------------------------------------
 
 VALUES = ["", " NA ", "n/a", "NaN", "none", "NULL", "x", " Phish ", "legit", "malicious", "1", "0", "-1", "ham", "other", "https://a.b/c,; t 2024-01-02", "see HTTP://x.y;", "<DIV>"]
-VALUES_SQL = "v(k, s) AS (VALUES " + ", ".join(f"({k}, '{s}')" for k, s in enumerate(VALUES)) + ")"
+#: Of every second document a value by its number, of the others their source.
+VALUES_SQL = f"v AS (SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN {VALUES!r}[doc_id // 2 % {len(VALUES)} + 1] ELSE source END AS s, text FROM documents)"
 
 
-def values(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(enumerate(VALUES)), "k int, s string")
+def values(spark: SparkSession, d: str) -> DataFrame:
+    of = F.element_at(F.array(*map(F.lit, VALUES)), (F.floor(F.col("doc_id") / 2) % len(VALUES) + 1).cast("int"))
+    return table(spark, d, "documents").select("doc_id", F.when(F.col("doc_id") % 2 == 0, of).otherwise(F.col("source")).alias("s"), "text")
 
 
-@query(f"WITH {VALUES_SQL} SELECT k, lower(trim(s)) IN ('', 'na', 'n/a', 'nan', 'none', 'null') AS missing, CASE WHEN lower(trim(s)) NOT IN ('', 'na', 'n/a', 'nan', 'none', 'null') THEN trim(s) END AS cleaned, regexp_matches(lower(s), '<(html|body|head|form|script|div)') AS markup FROM v")
+@query(f"WITH {VALUES_SQL} SELECT doc_id, lower(trim(s)) IN ('', 'na', 'n/a', 'nan', 'none', 'null') AS missing, CASE WHEN lower(trim(s)) NOT IN ('', 'na', 'n/a', 'nan', 'none', 'null') THEN trim(s) END AS cleaned, regexp_matches(lower(s), '<(html|body|head|form|script|div)') AS markup FROM v")
 def scalar_null_like(spark, d):
-    return values(spark).select("k", scalars.is_null_like("s").alias("missing"), scalars.clean_text("s").alias("cleaned"), scalars.looks_like_html("s").alias("markup"))
+    return values(spark, d).select("doc_id", scalars.is_null_like("s").alias("missing"), scalars.clean_text("s").alias("cleaned"), scalars.looks_like_html("s").alias("markup"))
 
 
-@query(f"WITH {VALUES_SQL} SELECT k, CASE WHEN lower(trim(s)) IN ('phish','phishing','malicious','fraud','fraudulent','bad') THEN 1 WHEN lower(trim(s)) IN ('benign','legitimate','legit','safe','good','ham') THEN 0 END AS label FROM v")
+@query(f"WITH {VALUES_SQL} SELECT doc_id, CASE WHEN lower(trim(s)) IN ('phish','phishing','malicious','fraud','fraudulent','bad') THEN 1 WHEN lower(trim(s)) IN ('benign','legitimate','legit','safe','good','ham') THEN 0 END AS label FROM v")
 def scalar_binary_label(spark, d):
-    return values(spark).select("k", scalars.binary_label("s").alias("label"))
+    return values(spark, d).select("doc_id", scalars.binary_label("s").alias("label"))
 
 
-@query(f"WITH {VALUES_SQL} SELECT k, nullif(rtrim(regexp_extract(s, '(?i)https?://\\S+'), ',;'), '') AS url, CASE WHEN regexp_matches(s, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') THEN trim(s) END AS ts FROM v")
+@query(f"WITH {VALUES_SQL} SELECT doc_id, nullif(rtrim(regexp_extract(s, '(?i)https?://\\S+'), ',;'), '') AS url, CASE WHEN regexp_matches(s, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') THEN trim(s) END AS ts FROM v")
 def scalar_url_and_time(spark, d):
-    return values(spark).select("k", scalars.first_url("s").alias("url"), scalars.timestamp_text("s").alias("ts"))
+    return values(spark, d).select("doc_id", scalars.first_url("s").alias("url"), scalars.timestamp_text("s").alias("ts"))
 
 
 @query("SELECT doc_id, sha256(source || '||' || doc_id::VARCHAR || '||||||' || CASE WHEN text = '' THEN '' ELSE sha256(text) END) AS sample_id, CASE WHEN text <> '' THEN sha256(substr(text, 1, 512)) END AS prefix_hash FROM documents")
@@ -108,14 +111,15 @@ def label_rules(spark, d):
     return rows.select("doc_id", made["normalized_label"].alias("label"), made["mapping_reason"].alias("reason"))
 
 
-_LANG = "(VALUES (1,'Eng'),(2,'fr_CA'),(3,'und'),(4,'arabic'),(5,' EN-us '),(6,'de'),(7,'')) t(k, s)"
+_LANG = "(SELECT doc_id, CASE doc_id % 7 WHEN 0 THEN 'Eng' WHEN 1 THEN lang || '_CA' WHEN 2 THEN 'und' WHEN 3 THEN 'arabic' WHEN 4 THEN ' ' || upper(lang) || '-us ' WHEN 5 THEN lang ELSE '' END AS s FROM documents) t"
 
 
-@query(f"""WITH x AS (SELECT k, replace(lower(trim(s)), '_', '-') AS l FROM {_LANG}), y AS (SELECT k, l, split_part(CASE l WHEN 'eng' THEN 'en' WHEN 'english' THEN 'en' WHEN 'arabic' THEN 'ar' WHEN 'ara' THEN 'ar' ELSE l END, '-', 1) AS m FROM x)
-SELECT k, CASE WHEN l IN ('', 'none', 'null', 'nan', 'unknown', 'und') THEN 'unknown' ELSE m END AS language FROM y""")
+@query(f"""WITH x AS (SELECT doc_id, replace(lower(trim(s)), '_', '-') AS l FROM {_LANG}), y AS (SELECT doc_id, l, split_part(CASE l WHEN 'eng' THEN 'en' WHEN 'english' THEN 'en' WHEN 'arabic' THEN 'ar' WHEN 'ara' THEN 'ar' ELSE l END, '-', 1) AS m FROM x)
+SELECT doc_id, CASE WHEN l IN ('', 'none', 'null', 'nan', 'unknown', 'und') THEN 'unknown' ELSE m END AS language FROM y""")
 def language_names(spark, d):
-    rows = spark.createDataFrame([(1, "Eng"), (2, "fr_CA"), (3, "und"), (4, "arabic"), (5, " EN-us "), (6, "de"), (7, "")], "k int, s string")
-    return rows.select("k", text.canonical_language("s").alias("language"))
+    k, lang = F.col("doc_id") % 7, F.col("lang")
+    named = F.when(k == 0, "Eng").when(k == 1, F.concat(lang, F.lit("_CA"))).when(k == 2, "und").when(k == 3, "arabic").when(k == 4, F.concat(F.lit(" "), F.upper(lang), F.lit("-us "))).when(k == 5, lang).otherwise("")
+    return table(spark, d, "documents").select("doc_id", text.canonical_language(named).alias("language"))
 
 
 @query("SELECT lang AS language, count(*) AS n FROM (SELECT CASE WHEN doc_id % 3 = 0 THEN lang ELSE 'unknown' END AS lang FROM documents) GROUP BY 1")
@@ -139,33 +143,20 @@ def url_features(spark, d):
     return rows.select("page_id", "normalized_url", f["hostname"].alias("hostname"), f["registered_domain"].alias("registered_domain"), f["url_length"].cast("long").alias("url_length"), f["path_length"].cast("long").alias("path_length"), f["path_depth"].cast("long").alias("path_depth"), f["query_param_count"].cast("long").alias("query_params"), f["digit_count"].cast("long").alias("digits"), f["contains_double_slash_path"].alias("double_slash"), f["contains_hyphenated_hostname"].alias("hyphen"))
 
 
-ODD_URLS = {
-    1: "HTTP://User:pw@Ex.COM:8080/A//b?x=1&y=2#f",
-    2: "login-bank.example.co.uk/verify",
-    3: "http://192.168.0.1/update%20now?",
-    4: "https://[2001:db8::1]:443/x",
-    5: "http://xn--80ak6aa92e.com",
-    6: "http://host:99999/",
-    7: "mailto:a@b.co",
-    8: "ex.com:8080/p",
-    9: "",
-}
-
-
-@query("""SELECT * FROM (VALUES
-(1, 'http://User:pw@ex.com:8080/A//b?x=1&y=2#f', 'ex.com', 8080::BIGINT, false, '', ''),
-(2, '//login-bank.example.co.uk/verify', 'login-bank.example.co.uk', NULL, false, 'bank,login,verify', 'scheme_missing_assumed_network_location'),
-(3, 'http://192.168.0.1/update%20now', '192.168.0.1', NULL, true, 'update', ''),
-(4, 'https://2001:db8::1:443/x', '2001:db8::1', 443, true, '', ''),
-(5, 'http://xn--80ak6aa92e.com', 'xn--80ak6aa92e.com', NULL, false, '', ''),
-(6, 'http://host/', 'host', NULL, false, '', 'invalid_port'),
-(7, '//mailto:a@b.co', 'b.co', NULL, false, '', 'scheme_missing_assumed_network_location'),
-(8, '//ex.com:8080/p', 'ex.com', 8080, false, '', 'scheme_missing_assumed_network_location'),
-(9, NULL, NULL, NULL, NULL, NULL, 'missing_url')) t(k, normalized_url, hostname, port, is_ip, hits, warnings)""")
+#: The parts of the derived pages' URLs, for queries in SQL.
+ODD_PARTS = f"""y AS (SELECT *, regexp_extract(url, '^(?:([a-z]+)://)?([^/?#]*)([^?#]*)(?:\\?([^#]*))?(?:#(.*))?$', ['scheme', 'auth', 'path', 'query', 'frag']) AS u FROM {ODD_PAGES}),
+x AS (SELECT *, lower(regexp_replace(regexp_replace(u.auth, '^.*@', ''), ':.*$', '')) AS host, regexp_extract(u.auth, ':([0-9]+)$', 1) AS port FROM y)"""
+IS_IP = r"regexp_matches(host, '^[0-9]+(\.[0-9]+){3}$')"
+KEYWORDS = "['account', 'auth', 'bank', 'confirm', 'login', 'password', 'secure', 'signin', 'update', 'verify', 'wallet']"
+
+
+@query(f"""WITH {ODD_PARTS} SELECT page_id, CASE WHEN u.scheme = '' THEN '' ELSE u.scheme || ':' END || '//' || regexp_extract(u.auth, '^(.*@)?', 1) || host || CASE WHEN port = '8080' THEN ':8080' ELSE '' END || u.path || CASE WHEN u.query <> '' THEN '?' || u.query ELSE '' END || CASE WHEN u.frag <> '' THEN '#' || u.frag ELSE '' END AS normalized_url,
+host AS hostname, CASE WHEN port = '8080' THEN 8080 END::BIGINT AS port, {IS_IP} AS is_ip, array_to_string(list_filter({KEYWORDS}, lambda w: contains(lower(url), w)), ',') AS hits,
+array_to_string(list_filter([CASE WHEN u.scheme = '' THEN 'scheme_missing_assumed_network_location' END, CASE WHEN port = '99999' THEN 'invalid_port' END], lambda w: w IS NOT NULL), ',') AS warnings FROM x""")
 def url_odd(spark, d):
-    rows = urls.with_url(spark.createDataFrame(list(ODD_URLS.items()), "k int, u string"), "u")
+    rows = urls.with_url(odd_pages(table(spark, d, "pages")), "url")
     f = F.col("url_features")
-    return rows.select("k", "normalized_url", f["hostname"].alias("hostname"), f["port"].cast("long").alias("port"), f["is_ip_address"].alias("is_ip"), F.array_join(f["suspicious_keyword_hits"], ",").alias("hits"), F.array_join("url_warnings", ",").alias("warnings"))
+    return rows.select("page_id", "normalized_url", f["hostname"].alias("hostname"), f["port"].cast("long").alias("port"), f["is_ip_address"].alias("is_ip"), F.array_join(f["suspicious_keyword_hits"], ",").alias("hits"), F.array_join("url_warnings", ",").alias("warnings"))
 
 
 _VISIBLE = "nullif(trim(regexp_replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g')), '')"
@@ -185,25 +176,24 @@ def html_counts(spark, d):
     return rows.select("page_id", F.length("html").cast("long").alias("html_length"), *counts, html.external_links("html", urls.host_of(F.col("url"))).cast("long").alias("external"))
 
 
-_ACTS = "list_filter(list_transform(regexp_extract_all(html, '(?is)<(?:button|a)[^>]*>(.*?)</(?:button|a)>', 1), lambda t: trim(regexp_replace(t, '\\s+', ' ', 'g'))), lambda t: t <> '')[1:20]"
+_ACTION = r"""(?is)<(?:button|a)[^>]*>(.*?)</(?:button|a)>|<input[^>]+(?:value|aria-label)=[''"]([^''"]+)[''"]"""
+_ACTS = f"list_filter(list_transform(regexp_extract_all(html, '{_ACTION}'), lambda m: trim(regexp_replace(regexp_extract(m, '{_ACTION}', 1) || regexp_extract(m, '{_ACTION}', 2), '\\s+', ' ', 'g'))), lambda t: t <> '')[1:20]"
 
 
-@query(f"SELECT page_id, array_to_string({_ACTS}, '|') AS texts, array_to_string(list_filter(['login', 'sign in', 'verify', 'confirm', 'submit', 'continue', 'unlock', 'update'], lambda w: len(list_filter({_ACTS}, lambda t: contains(lower(t), w))) > 0), '|') AS hits FROM pages")
+@query(f"WITH t AS (SELECT page_id, {_ACTS} AS t FROM {ODD_PAGES}) SELECT page_id, array_to_string(t, '|') AS texts, array_to_string(list_filter(['login', 'sign in', 'verify', 'confirm', 'submit', 'continue', 'unlock', 'update'], lambda w: contains(lower(array_to_string(t, chr(1))), w)), '|') AS hits FROM t")
 def html_actions(spark, d):
-    rows = table(spark, d, "pages").select("page_id", html.action_texts("html").alias("t"))
+    rows = odd_pages(table(spark, d, "pages")).select("page_id", html.action_texts("html").alias("t"))
     return rows.select("page_id", F.array_join("t", "|").alias("texts"), F.array_join(html.action_word_hits(F.col("t")), "|").alias("hits"))
 
 
-GOLDEN_PAGE = """<html lang="en_US"><title> Log\n in </title><script>x=1</script><form><input type="password"><input type=hidden><INPUT TYPE='hidden' value="Go"></form><a href="/in">Verify <b>now</b></a><a href="https://evil.com/x">Out</a><button>Continue</button><meta http-equiv="refresh"></html>"""
-
-
-@query("SELECT 'Log in x=1 Verify now Out Continue' AS text, 'Log in' AS title, 'en' AS language, 1::BIGINT AS forms, 1::BIGINT AS passwords, 1::BIGINT AS hidden, 1::BIGINT AS external, true AS refresh, 'Go|Verify <b>now</b>|Out|Continue' AS texts, 'verify|continue' AS hits")
+@query(rf"""SELECT page_id, len(regexp_extract_all(html, '(?i)<input[^>]+type=["'']password["'']'))::BIGINT AS passwords, len(regexp_extract_all(html, '(?i)<input[^>]+type=["'']hidden["'']'))::BIGINT AS hidden, len(regexp_extract_all(html, '(?i)<form\b'))::BIGINT AS forms,
+regexp_matches(html, '(?i)<meta[^>]+http-equiv=["'']refresh["'']') AS refresh, sha256({_VISIBLE}) AS text FROM {ODD_PAGES}""")
 def html_golden(spark, d):
-    rows = spark.createDataFrame([(GOLDEN_PAGE,)], "h string")
+    """Password fields, hidden fields and redirections, of pages that have them."""
+    made = html.with_html(odd_pages(table(spark, d, "pages")), "html", F.lit("ex.com"))
     f = F.col("html_features")
-    made = html.with_html(rows, "h", F.lit("ex.com"))
-    names = {"form_count": "forms", "password_input_count": "passwords", "hidden_input_count": "hidden", "external_link_count": "external"}
-    return made.select(F.col("visible_text").alias("text"), f["title"].alias("title"), f["document_language"].alias("language"), *[f[k].cast("long").alias(v) for k, v in names.items()], f["meta_refresh_present"].alias("refresh"), F.array_join(f["action_texts"], "|").alias("texts"), F.array_join(f["action_word_hits"], "|").alias("hits"))
+    names = {"password_input_count": "passwords", "hidden_input_count": "hidden", "form_count": "forms"}
+    return made.select("page_id", *[f[k].cast("long").alias(v) for k, v in names.items()], f["meta_refresh_present"].alias("refresh"), F.sha2("visible_text", 256).alias("text"))
 
 
 @query("SELECT doc_id, length(trim(text))::BIGINT AS chars, len(list_filter(string_split_regex(text, '\\s+'), lambda x: x <> ''))::BIGINT AS tokens, len(regexp_extract_all(text, '(?i)https?://\\S+'))::BIGINT AS urls, (length(text) - length(replace(text, '@', '')))::BIGINT AS emails, array_to_string(list_filter(['urgent','verify','confirm','suspend','login','password','reset','security'], lambda t: contains(lower(text), t)), ',') AS terms FROM documents")
@@ -284,7 +274,7 @@ def dedup_by_source(spark, d):
     docs = table(spark, d, "documents")
     rows = raw(docs, source=F.col("source"), original_id=F.col("doc_id"), text=F.col("text"))
     # the table's texts are trimmed and collapsed nowhere, so the exact text is the only key used
-    canonical = canonicalize(rows.withColumn("seq", F.col("original_id").cast("long")), unicode=False, carry=("seq",))
+    canonical = canonicalize(rows.withColumn("seq", F.col("original_id").cast("long")), carry=("seq",))
     canonical = canonical.withColumn("processing_metadata", F.col("processing_metadata").withField("normalized_text_hash", F.sha2("extracted_text", 256)))
     kept, _, _ = dedup.deduplicate(canonical, key_types=("normalized_text_hash",))
     return stats.source_summary(canonical, kept).select("source_dataset", *long("records", "kept", "duplicates"))
@@ -323,10 +313,12 @@ def oversample(spark, d):
     return balance.oversample(docs, "doc_id", ["lang"], most).select("doc_id", "lang", "resampled")
 
 
-@query("SELECT * FROM (VALUES ('a1', 'benign', 3::BIGINT), ('a1', 'null', 2), ('a1', 'phishing', 5), ('a2', 'a', 0), ('a2', 'b', 1), ('a2', 'c', 1)) t(example, label, target)")
+@query("""WITH n AS (SELECT lang AS label, count(*) AS n FROM documents GROUP BY lang), t AS (SELECT sum(n) AS total, sum(n) // 3 AS target FROM n), e AS (SELECT label, target, target * n / total::DOUBLE AS exact FROM n, t),
+f AS (SELECT label, floor(exact)::BIGINT AS base, row_number() OVER (ORDER BY exact - floor(exact) DESC, label DESC) AS r, target - sum(floor(exact)) OVER () AS left_over FROM e) SELECT label, base + (r <= left_over)::BIGINT AS target FROM f""")
 def allocate_remainders(spark, d):
-    made = [("a1", {"phishing": 7, "benign": 5, "null": 3}, 10), ("a2", {"a": 1, "b": 1, "c": 1}, 2)]
-    return spark.createDataFrame([(e, k, n) for e, c, t in made for k, n in balance.allocate(c, t).items()], "example string, label string, target long")
+    """A third of all documents dealt out to the languages; a row a language reaches the driver."""
+    counts = {r["lang"]: r["n"] for r in table(spark, d, "documents").groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return spark.createDataFrame(list(balance.allocate(counts, sum(counts.values()) // 3).items()), "label string, target long")
 
 
 _STRAT = "CASE WHEN r <= greatest(1, round_even(n * 0.2, 0)) THEN 'test' WHEN r <= greatest(1, round_even(n * 0.2, 0)) + greatest(1, round_even(n * 0.1, 0)) THEN 'validation' ELSE 'train' END"
@@ -504,7 +496,7 @@ def runs_recommended(spark, d):
 
 def _errors(spark, d) -> DataFrame:
     p = predictions(spark, d)
-    record = p.select("sample_id", F.col("sample_id").alias("seq"), F.col("text").alias("normalized_text"), F.concat("source", F.lit(".com")).alias("registered_domain"))
+    record = p.select("sample_id", F.col("sample_id").alias("seq"), F.col("text").alias("normalized_text"), F.concat("source", F.lit(".com")).alias("registered_domain"), F.slice(F.split("text", " "), 1, 2).alias("action_texts"))
     return adaptive.errors(p.drop("text"), record)
 
 
@@ -529,9 +521,10 @@ def error_top_tokens(spark, d):
     return adaptive.top_tokens(_errors(spark, d), "text_snippet")
 
 
-@query(f"{_ERR} SELECT 'domain' AS kind, registered_domain AS value, n FROM (SELECT registered_domain, count(*) AS n FROM e WHERE error_type = 'false_negative' GROUP BY 1 ORDER BY n DESC, registered_domain LIMIT 5) UNION ALL SELECT 'guardrail', 'review_false_positives', count(*) FROM e WHERE error_type = 'false_positive' HAVING count(*) > 0")
+@query(f"""{_ERR}, a AS (SELECT lower(unnest(string_split(text, ' ')[1:2])) AS value FROM e WHERE error_type = 'false_negative') SELECT * FROM (SELECT 'cta' AS kind, value, count(*) AS n FROM a GROUP BY value ORDER BY n DESC, value LIMIT 5)
+UNION ALL SELECT 'domain', registered_domain, n FROM (SELECT registered_domain, count(*) AS n FROM e WHERE error_type = 'false_negative' GROUP BY 1 ORDER BY n DESC, registered_domain LIMIT 5) UNION ALL SELECT * FROM (SELECT 'guardrail', 'review_false_positives', count(*) FROM e WHERE error_type = 'false_positive' HAVING count(*) > 0) LIMIT 10""")
 def error_opportunities(spark, d):
-    return adaptive.opportunities(_errors(spark, d).withColumn("action_texts", F.array().cast("array<string>")))
+    return adaptive.opportunities(_errors(spark, d))
 
 
 _SIDES = "b AS (SELECT *, CASE WHEN doc_id % 2 = 0 THEN 'reference' ELSE 'current' END AS side FROM documents)"
@@ -602,45 +595,40 @@ def proposals_phrases(spark, d):
 
 
 def _pages(spark, d) -> DataFrame:
-    rows = html.with_html(urls.with_url(table(spark, d, "pages"), "url"), "html", F.lit(None).cast("string"))
-    return rows.select(F.col("page_id").alias("seq"), (F.col("page_id") % 2).cast("int").alias("label"), F.col("html_features.document_language").alias("language"), F.col("html_features.action_texts").alias("action_texts"), "url_features", "html_features")
+    rows = html.with_html(urls.with_url(odd_pages(table(spark, d, "pages")), "url"), "html", F.lit(None).cast("string"))
+    source = F.concat(F.lit("web"), (F.col("page_id") % 3).cast("string"))
+    return rows.select(F.col("page_id").alias("seq"), F.col("page_id").cast("string").alias("sample_id"), source.alias("source_dataset"), "normalized_url", (F.floor(F.col("page_id") / 5) % 2).cast("int").alias("label"), F.col("html_features.document_language").alias("language"), F.col("visible_text").alias("normalized_text"), F.col("html_features.action_texts").alias("action_texts"), "url_features", "html_features")
 
 
-@query(f"WITH r AS (SELECT page_id % 2 AS y, unnest({_ACTS}) AS p0, lower(p0) AS pattern FROM pages), {_PROP} SELECT * FROM (SELECT * FROM q WHERE phishing >= 2 ORDER BY phishing DESC, pattern LIMIT 50) WHERE proxy >= 0.5")
+@query(f"WITH r AS (SELECT page_id // 5 % 2 AS y, unnest({_ACTS}) AS p0, lower(p0) AS pattern FROM {ODD_PAGES}), {_PROP} SELECT * FROM (SELECT * FROM q WHERE phishing >= 2 ORDER BY phishing DESC, pattern LIMIT 50) WHERE proxy >= 0.5")
 def proposals_actions(spark, d):
     return _shown(adaptive.cta_proposals(_pages(spark, d), floor=0.5))
 
 
-_HOST, _PATH = (f"regexp_extract(url, '^[a-z]+://([^/?#]*)([^?#]*)', {k})" for k in (1, 2))
-_URL_FLAGS = f"""list_filter([CASE WHEN regexp_matches({_HOST}, '^[0-9]+(\\.[0-9]+){{3}}(:|$)') THEN 'is_ip_address' END, CASE WHEN contains({_HOST}, 'xn--') THEN 'has_punycode' END, CASE WHEN regexp_matches(url, '%[0-9a-fA-F]{{2}}') THEN 'has_percent_encoding' END,
-CASE WHEN contains(url, '@') THEN 'contains_at_symbol' END, CASE WHEN contains({_PATH}, '//') THEN 'contains_double_slash_path' END, CASE WHEN contains({_HOST}, '-') THEN 'contains_hyphenated_hostname' END], lambda x: x IS NOT NULL)"""
-_HTML_FLAGS = r"list_filter([CASE WHEN regexp_matches(html, '(?i)http-equiv=.?refresh') THEN 'meta_refresh_present' END, CASE WHEN regexp_matches(html, '(?i)<input[^>]*password') THEN 'has_password_input' END, CASE WHEN regexp_matches(html, '(?i)<script\b') THEN 'scripts' END], lambda x: x IS NOT NULL)"
-
-
-def _flags(spark, d) -> tuple[DataFrame, DataFrame]:
-    """URL and HTML flags; one that pages do have is added to each list."""
-    rows, u, h = _pages(spark, d), F.col("url_features"), F.col("html_features")
-    styles = {n: u[n] for n in (*adaptive.URL_FLAGS, "contains_hyphenated_hostname")}
-    patterns = {n: h[n] for n in adaptive.HTML_FLAGS} | {"scripts": h["script_count"] > 0}
-    return adaptive.flag_proposals(rows, styles, "url_style"), adaptive.flag_proposals(rows, patterns, "html_pattern")
+URL_FLAGS = f"""list_filter([CASE WHEN {IS_IP} THEN 'is_ip_address' END, CASE WHEN contains(host, 'xn--') THEN 'has_punycode' END, CASE WHEN regexp_matches(url, '%[0-9a-fA-F]{{2}}') THEN 'has_percent_encoding' END,
+CASE WHEN contains(url, '@') THEN 'contains_at_symbol' END, CASE WHEN contains(u.path, '//') THEN 'contains_double_slash_path' END], lambda x: x IS NOT NULL)"""
+HTML_FLAGS = r"""list_filter([CASE WHEN regexp_matches(html, '(?i)<meta[^>]+http-equiv=["'']refresh["'']') THEN 'meta_refresh_present' END, CASE WHEN regexp_matches(html, '(?i)<input[^>]+type=["'']password["'']') THEN 'has_password_input' END], lambda x: x IS NOT NULL)"""
 
 
-@query(f"WITH r AS (SELECT page_id % 2 AS y, unnest({_URL_FLAGS}) AS pattern FROM pages), {_PROP} SELECT * FROM q WHERE phishing >= 2")
+@query(f"WITH {ODD_PARTS}, r AS (SELECT page_id // 5 % 2 AS y, unnest({URL_FLAGS}) AS pattern FROM x), {_PROP} SELECT * FROM q WHERE phishing >= 2")
 def proposals_url_style(spark, d):
-    return _shown(_flags(spark, d)[0])
+    return _shown(adaptive.url_proposals(_pages(spark, d)))
 
 
-@query(f"WITH r AS (SELECT page_id % 2 AS y, unnest({_HTML_FLAGS}) AS pattern FROM pages), {_PROP} SELECT * FROM q WHERE phishing >= 2")
+@query(f"WITH r AS (SELECT page_id // 5 % 2 AS y, unnest({HTML_FLAGS}) AS pattern FROM {ODD_PAGES}), {_PROP} SELECT * FROM q WHERE phishing >= 2")
 def proposals_html_pattern(spark, d):
-    return _shown(_flags(spark, d)[1])
+    return _shown(adaptive.html_proposals(_pages(spark, d)))
 
 
-@query(f"""WITH s AS (SELECT page_id % 2 AS y, 'url_style' AS kind, unnest({_URL_FLAGS}) AS pattern FROM pages UNION ALL SELECT page_id % 2, 'html_pattern', unnest({_HTML_FLAGS}) FROM pages UNION ALL SELECT page_id % 2, 'cta', lower(unnest({_ACTS})) FROM pages),
+@query(rf"""WITH {ODD_PARTS}, w AS (SELECT page_id // 5 % 2 AS y, regexp_extract_all(lower({_VISIBLE}), '[\p{{L}}\p{{M}}\p{{N}}_-]{{4,}}')[1:80] AS t FROM {ODD_PAGES}),
+s AS (SELECT page_id // 5 % 2 AS y, 'url_style' AS kind, unnest({URL_FLAGS}) AS pattern FROM x UNION ALL SELECT page_id // 5 % 2, 'html_pattern', unnest({HTML_FLAGS}) FROM x UNION ALL SELECT page_id // 5 % 2, 'cta', lower(unnest({_ACTS})) FROM x
+  UNION ALL SELECT y, 'phrase', unnest(t) FROM w UNION ALL SELECT y, 'phrase', unnest(list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1])) FROM w UNION ALL SELECT y, 'phrase', unnest(list_transform(range(1, len(t) - 1), lambda i: t[i] || ' ' || t[i + 1] || ' ' || t[i + 2])) FROM w),
 g AS (SELECT kind, pattern, count(*) FILTER (y = 1) AS phishing, count(*) FILTER (y = 0) AS benign FROM s GROUP BY ALL), q AS (SELECT *, phishing::DOUBLE / greatest(1, phishing + benign) AS p FROM g WHERE phishing >= 2),
-c AS (SELECT * FROM (SELECT * FROM q WHERE kind = 'cta' ORDER BY phishing DESC, pattern LIMIT 50) WHERE p >= 0.5), u AS (SELECT * FROM q WHERE kind <> 'cta' UNION ALL SELECT * FROM c)
-SELECT kind, pattern, phishing, benign FROM u ORDER BY phishing DESC, p DESC, kind, pattern LIMIT 20""")
+c AS (SELECT * FROM (SELECT * FROM q WHERE kind = 'cta' ORDER BY phishing DESC, pattern LIMIT 50) WHERE p >= 0.65), f AS (SELECT * FROM (SELECT * FROM q WHERE kind = 'phrase' AND phishing >= 3 ORDER BY phishing DESC, pattern LIMIT 75) WHERE p >= 0.7),
+u AS (SELECT * FROM q WHERE kind IN ('url_style', 'html_pattern') UNION ALL SELECT * FROM c UNION ALL SELECT * FROM f)
+SELECT kind, pattern, phishing, benign FROM u ORDER BY phishing DESC, p DESC, kind, pattern LIMIT 25""")
 def proposals_ranked(spark, d):
-    return adaptive.ranked([adaptive.cta_proposals(_pages(spark, d), floor=0.5), *_flags(spark, d)], 20).select("kind", "pattern", "phishing", "benign")
+    return adaptive.proposals(_pages(spark, d), evidence=False).select("kind", "pattern", "phishing", "benign")
 
 
 _TOK = r"list_filter(regexp_extract_all(lower(text_snippet), '[\p{L}0-9_-]{4,}'), lambda t: length(t) >= 5)"

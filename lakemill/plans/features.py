@@ -6,45 +6,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakemill.functions import urls
-from lakemill.operators import models, vectorizer
-from lakemill.plans.catalogue import query, table
-
-# --- pages with every kind of URL ----------------------------------------------------------------
-
-#: Hosts, paths and user names that the table's URLs lack, by the page's number.
-_ODD_SQL = """CASE page_id % 8 WHEN 1 THEN regexp_replace(url, '^([a-z]+)://[^/?#]*', '\\1://10.0.' || (page_id % 200)::VARCHAR || '.7') WHEN 2 THEN replace(url, '://', '://xn--')
-  WHEN 3 THEN replace(url, '://', '://user' || page_id::VARCHAR || '@') WHEN 4 THEN regexp_replace(url, '^([a-z]+://[^/?#]*)', '\\1//verify-login%2F') WHEN 5 THEN replace(url, '.example.', '.my-example' || (page_id % 10)::VARCHAR || '.') ELSE url END"""
-
-
-def odd_pages(spark, d) -> DataFrame:
-    """``pages`` with addresses as hosts, punycode, user names, escapes and hyphens put into five URLs of eight."""
-    k, url = F.col("page_id") % 8, F.col("url")
-    scheme, rest = F.regexp_extract(url, r"^([a-z]+)://", 1), F.regexp_replace(url, r"^[a-z]+://[^/?#]*", "")
-    made = (
-        F.when(k == 1, F.concat(scheme, F.lit("://10.0."), (F.col("page_id") % 200).cast("string"), F.lit(".7"), rest))
-        .when(k == 2, F.replace(url, F.lit("://"), F.lit("://xn--")))
-        .when(k == 3, F.replace(url, F.lit("://"), F.concat(F.lit("://user"), F.col("page_id").cast("string"), F.lit("@"))))
-        .when(k == 4, F.regexp_replace(url, r"^([a-z]+://[^/?#]*)", "$1//verify-login%2F"))
-        .when(k == 5, F.replace(url, F.lit(".example."), F.concat(F.lit(".my-example"), (F.col("page_id") % 10).cast("string"), F.lit("."))))
-        .otherwise(url)
-    )
-    return table(spark, d, "pages").withColumn("url", made)
-
+from lakemill.operators import adaptive, models, vectorizer
+from lakemill.plans.catalogue import _ACTS, _VISIBLE, HTML_FLAGS, IS_IP, KEYWORDS, ODD_PARTS, URL_FLAGS, _pages, predictions, query, r6, table
+from lakemill.plans.samples import odd_pages
 
-_ODD_PARTS = f"""o AS (SELECT page_id, html, {_ODD_SQL} AS url FROM pages),
-y AS (SELECT *, regexp_extract(url, '^([a-z]+)://([^/?#]*)([^?#]*)(?:\\?([^#]*))?(?:#(.*))?$', ['scheme', 'auth', 'path', 'query', 'frag']) AS u FROM o), x AS (SELECT *, lower(regexp_replace(u.auth, '^.*@', '')) AS host FROM y)"""
+# --- vectors -------------------------------------------------------------------------------------
 
-_WORDS = "['login', 'verify', 'update', 'secure', 'account', 'signin', 'confirm', 'password', 'wallet', 'bank', 'auth']"
-_IS_IP = r"regexp_matches(host, '^[0-9]+(\.[0-9]+){3}$')"
 _MODEL_FEATURES = {
-    "is_ip_address": f"{_IS_IP}::INT",
+    "is_ip_address": f"{IS_IP}::INT",
     "has_punycode": "contains(host, 'xn--')::INT",
     "has_percent_encoding": "regexp_matches(url, '%[0-9a-fA-F]{2}')::INT",
     "url_length": "length(url)",
     "path_length": "length(u.path)",
     "query_length": "length(u.query)",
-    "num_subdomains": f"CASE WHEN {_IS_IP} THEN 0 ELSE greatest(len(string_split(host, '.')) - 2, 0) END",
-    "suspicious_keyword_count": f"len(list_filter({_WORDS}, lambda w: contains(lower(url), w)))",
+    "num_subdomains": f"CASE WHEN {IS_IP} THEN 0 ELSE greatest(len(string_split(host, '.')) - 2, 0) END",
+    "suspicious_keyword_count": f"len(list_filter({KEYWORDS}, lambda w: contains(lower(url), w)))",
     "digit_count": "len(regexp_extract_all(url, '[0-9]'))",
     "digit_ratio": "round_even(len(regexp_extract_all(url, '[0-9]')) / length(url)::DOUBLE, 6)",
     "hostname_digit_count": "len(regexp_extract_all(host, '[0-9]'))",
@@ -57,11 +33,11 @@ _MODEL_FEATURES = {
 _ENTRIES = ", ".join(f"{{'k': '{k}', 'v': ({v})::DOUBLE}}" for k, v in _MODEL_FEATURES.items())
 
 
-@query(f"""WITH {_ODD_PARTS}, e AS (SELECT page_id, unnest([{_ENTRIES}]) AS e FROM x), n AS (SELECT k, row_number() OVER (ORDER BY k) - 1 AS position FROM (SELECT DISTINCT e.k AS k FROM e))
+@query(f"""WITH {ODD_PARTS}, e AS (SELECT page_id, unnest([{_ENTRIES}]) AS e FROM x), n AS (SELECT k, row_number() OVER (ORDER BY k) - 1 AS position FROM (SELECT DISTINCT e.k AS k FROM e))
 SELECT page_id, position::INT AS position, e.k AS feature, e.v AS value FROM e JOIN n ON e.k = n.k WHERE e.v <> 0""")
 def url_vectors(spark, d):
     """The vectors that the URL forest learns from."""
-    rows = models.url_feature_terms(urls.with_url(odd_pages(spark, d), "url"))
+    rows = models.url_feature_terms(urls.with_url(odd_pages(table(spark, d, "pages")), "url"))
     model, names = vectorizer.fit(rows)
     return vectorizer.long_form(model.transform(rows), "page_id", names)
 
@@ -79,3 +55,60 @@ def dictionary_vectors(spark, d):
     rows = vectorizer.dictionary_terms(table(spark, d, "part").select("p_partkey", F.parse_json(text).alias("object")), "object")
     model, names = vectorizer.fit(rows)
     return vectorizer.long_form(model.transform(rows), "p_partkey", names)
+
+
+# --- evidence of proposals -----------------------------------------------------------------------
+
+
+def _evidence_sql(parts: str, rows: str, chosen: str, once: bool, whole_languages: bool = False) -> str:
+    """``rows``: (seq, y, source, language, t), t being a row's patterns in order; ``chosen`` picks from q."""
+    own = "list_distinct(t)" if once else "t"
+    languages = "(SELECT string_agg(DISTINCT language, ',' ORDER BY language) FROM w WHERE y = 1 AND language <> '')" if whole_languages else "e.languages"
+    return f"""WITH {parts}w AS MATERIALIZED ({rows}), r AS (SELECT y, unnest(t) AS pattern FROM w WHERE y IN (0, 1)),
+g AS (SELECT pattern, count(*) FILTER (y = 1) AS phishing, count(*) FILTER (y = 0) AS benign FROM r GROUP BY pattern), q AS (SELECT *, phishing::DOUBLE / greatest(1, phishing + benign) AS proxy FROM g),
+c AS MATERIALIZED ({chosen}), o AS (SELECT seq, source, language, unnest({own}) AS pattern, generate_subscripts({own}, 1) AS pos FROM w WHERE y = 1), f AS MATERIALIZED (SELECT o.* FROM o JOIN c USING (pattern)),
+s AS (SELECT pattern, string_agg(source || ':' || n::VARCHAR, ',' ORDER BY source) AS support FROM (SELECT pattern, source, count(*) AS n FROM f GROUP BY ALL) GROUP BY pattern),
+e AS (SELECT pattern, string_agg(seq::VARCHAR, ',' ORDER BY k) AS examples, string_agg(DISTINCT language, ',' ORDER BY language) FILTER (language <> '') AS languages FROM (SELECT *, row_number() OVER (PARTITION BY pattern ORDER BY seq, pos) AS k FROM f) WHERE k <= 3 GROUP BY pattern)
+SELECT c.pattern, phishing, benign, round(proxy, 6) AS proxy, coalesce({languages}, '') AS languages, support, examples FROM c JOIN s USING (pattern) JOIN e USING (pattern)"""
+
+
+def _shown(found: DataFrame) -> DataFrame:
+    support = F.array_join(F.transform(F.array_sort(F.map_entries("source_support")), lambda e: F.concat_ws(":", e["key"], e["value"].cast("string"))), ",")
+    examples = F.array_join(F.transform("examples", lambda e: e["sample_id"]), ",")
+    return found.select("pattern", "phishing", "benign", r6("precision_proxy", "proxy"), F.array_join("languages", ",").alias("languages"), support.alias("support"), examples.alias("examples"))
+
+
+_GRAMS = "t || list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1]) || list_transform(range(1, len(t) - 1), lambda i: t[i] || ' ' || t[i + 1] || ' ' || t[i + 2])"
+
+
+@query(
+    _evidence_sql(
+        "",
+        rf"SELECT seq, y, source, language, {_GRAMS} AS t FROM (SELECT doc_id AS seq, toxic AS y, source, lang AS language, regexp_extract_all(lower(text), '[\p{{L}}0-9_-]{{4,}}')[1:80] AS t FROM labels JOIN documents USING (doc_id))",
+        "SELECT * FROM (SELECT * FROM q WHERE phishing >= 3 ORDER BY phishing DESC, pattern LIMIT 150) WHERE proxy >= 0.2",
+        once=True,
+    )
+)
+def evidence_phrases(spark, d):
+    rows = predictions(spark, d).withColumnsRenamed({"text": "normalized_text", "source": "source_dataset"})
+    rows = rows.withColumns({"seq": F.col("sample_id"), "sample_id": F.col("sample_id").cast("string")})
+    return _shown(adaptive.phrase_proposals(rows, floor=0.2, evidence=True))
+
+
+_PAGE_ROWS = "SELECT page_id AS seq, page_id // 5 % 2 AS y, 'web' || (page_id % 3)::VARCHAR AS source, nullif(split_part(replace(lower(regexp_extract(html, '(?i)<html[^>]*\\blang=[''\"]?([a-zA-Z_-]+)', 1)), '_', '-'), '-', 1), '') AS language, {} AS t FROM x"
+_TWO = "SELECT * FROM q WHERE phishing >= 2"
+
+
+@query(_evidence_sql(f"{ODD_PARTS}, ", _PAGE_ROWS.format(f"list_transform({_ACTS}, lambda z: lower(z))"), "SELECT * FROM (SELECT * FROM q WHERE phishing >= 2 ORDER BY phishing DESC, pattern LIMIT 50) WHERE proxy >= 0.65", once=False))
+def evidence_actions(spark, d):
+    return _shown(adaptive.cta_proposals(_pages(spark, d), evidence=True))
+
+
+@query(_evidence_sql(f"{ODD_PARTS}, ", _PAGE_ROWS.format(URL_FLAGS), _TWO, once=False, whole_languages=True))
+def evidence_url_style(spark, d):
+    return _shown(adaptive.url_proposals(_pages(spark, d), evidence=True))
+
+
+@query(_evidence_sql(f"{ODD_PARTS}, ", _PAGE_ROWS.format(HTML_FLAGS), _TWO, once=False, whole_languages=True))
+def evidence_html_pattern(spark, d):
+    return _shown(adaptive.html_proposals(_pages(spark, d), evidence=True))

@@ -10,6 +10,7 @@ from lakemill.functions.urls import with_url
 from lakemill.operators import models, splits
 from lakemill.operators.storage import cut
 from lakemill.plans.catalogue import table
+from lakemill.plans.samples import odd_pages
 
 QUERIES: dict = {}
 
@@ -33,7 +34,7 @@ def _texts(spark, d):
 
 def _urls(spark, d):
     """Whether a page asks for a password, from its URL alone."""
-    rows = with_url(table(spark, d, "pages"), "url").select(F.col("page_id").alias("sample_id"), "normalized_url", F.lower("html").rlike("type=[\"']?password").cast("int").alias("label"))
+    rows = with_url(odd_pages(table(spark, d, "pages")), "url").select(F.col("page_id").alias("sample_id"), "normalized_url", F.lower("html").rlike("type=[\"']?password").cast("int").alias("label"))
     return models.url_terms(rows.where("label is not null"))
 
 
