@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakemill.functions.scalars import col, squeeze
+from lakemill.functions.suffixes import COMMON, SuffixRules
 
 # Keywords that make a URL suspicious.
 KEYWORDS = ("login", "verify", "update", "secure", "account", "signin", "confirm", "password", "wallet", "bank", "auth")
@@ -42,8 +43,8 @@ def keyword_hits(c: Column, keywords: Sequence[str] = KEYWORDS) -> Column:
     return F.array_compact(F.array(*[F.when(low.contains(k), F.lit(k)) for k in sorted(set(keywords))])) if keywords else F.array().cast("array<string>")
 
 
-def with_url(df: DataFrame, source: str, prefix: str = "", keywords: Sequence[str] = KEYWORDS) -> DataFrame:
-    """``df`` with columns original_url, normalized_url, url_features and url_warnings.
+def with_url(df: DataFrame, source: str, prefix: str = "", keywords: Sequence[str] = KEYWORDS, rules: SuffixRules = COMMON) -> DataFrame:
+    """``df`` with columns original_url, normalized_url, url_features and url_warnings; ``rules`` say what a public suffix is.
 
     Works in narrow projections, so that each piece is computed once. A text without a scheme and ``//`` is
     taken as an authority. Never fails: what cannot be parsed leaves nulls and a warning.
@@ -61,15 +62,17 @@ def with_url(df: DataFrame, source: str, prefix: str = "", keywords: Sequence[st
     df = df.withColumn("__port", F.when(number.between(0, 65535), number))
     labels = F.filter(F.split("__host", r"\."), lambda x: x != "")
     df = df.withColumns({"__ip": F.coalesce(is_ip(F.col("__host")), F.lit(False)), "__labels": labels})
-    n = F.size("__labels")
+    df = df.withColumn("__known", rules.labels_of_suffix("__labels"))
+    n, known = F.size("__labels"), F.col("__known")
     several = (n >= 2) & ~F.col("__ip")
+    whole = several & (n <= known)  # the host is a suffix itself
     u, host, path, query = (F.col(c) for c in ("__u", "__host", "__path", "__query"))
     found = host.isNotNull()
     df = df.withColumns(
         {
-            "__domain": F.when(several, F.concat_ws(".", F.slice("__labels", F.greatest(n - 1, F.lit(1)), 2))).otherwise(host),
-            "__sub": F.when(several & (n > 2), F.concat_ws(".", F.slice("__labels", 1, F.greatest(n - 2, F.lit(0))))),
-            "__suffix": F.when(several, F.element_at("__labels", -1)),
+            "__domain": F.when(several & ~whole, F.concat_ws(".", F.slice("__labels", F.greatest(n - known, F.lit(1)), known + 1))).when(several, F.concat_ws(".", "__labels")).otherwise(host),
+            "__sub": F.when(several & (n > known + 1), F.concat_ws(".", F.slice("__labels", 1, F.greatest(n - known - 1, F.lit(0))))),
+            "__suffix": F.when(several, F.concat_ws(".", F.slice("__labels", F.greatest(n - known + 1, F.lit(1)), known))),
             "__hits": keyword_hits(u, keywords),
             "__digits": digits(u),
         }
@@ -87,7 +90,7 @@ def with_url(df: DataFrame, source: str, prefix: str = "", keywords: Sequence[st
         F.length(u).alias("url_length"),
         F.length(path).alias("path_length"),
         F.length(query).alias("query_length"),
-        F.when(F.col("__sub").isNull(), 0).otherwise(n - 2).alias("num_subdomains"),
+        F.when(F.col("__sub").isNull(), 0).otherwise(n - known - 1).alias("num_subdomains"),
         F.when(found, F.size(F.filter(F.split(path, "/"), lambda x: x != ""))).alias("path_depth"),
         F.when(found, F.when(query == "", 0).otherwise(F.regexp_count(query, F.lit("&")) + 1)).alias("query_param_count"),
         F.col("__hits").alias("suspicious_keyword_hits"),
@@ -124,7 +127,7 @@ def with_url(df: DataFrame, source: str, prefix: str = "", keywords: Sequence[st
             f"{prefix}url_warnings": warnings,
         }
     )
-    return df.drop("__u", "__assumed", "__e", *names, "__host", "__port_text", "__port", "__ip", "__labels", "__domain", "__sub", "__suffix", "__hits", "__digits")
+    return df.drop("__u", "__assumed", "__e", *names, "__host", "__port_text", "__port", "__ip", "__labels", "__known", "__domain", "__sub", "__suffix", "__hits", "__digits")
 
 
 def model_features(features: str | Column = "url_features") -> Column:

@@ -225,7 +225,7 @@ RULE_TYPES = {"phrase": "text_phrase", "cta": "cta_pattern", "url_style": "url_o
 
 def proposal_records(found: DataFrame, created_at: str) -> DataFrame:
     """Records of proposals with evidence, to be written as JSON lines; ``created_at`` is an ISO time and part of their ids."""
-    rule = F.element_at(F.create_map(*[F.lit(x) for pair in RULE_TYPES.items() for x in pair]), "kind")
+    rule = F.element_at(F.create_map(*[F.lit(x) for pair in RULE_TYPES.items() for x in pair]), F.col("kind"))
     none = F.lit(None).cast("string")
     seen = F.format_string("%d of %d labelled occurrences are in phishing rows, from %d sources.", F.col("phishing"), F.col("phishing") + F.col("benign"), F.size("source_support"))
     return found.select(

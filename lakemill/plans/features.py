@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakemill.functions import urls
+from lakemill.functions.suffixes import COMMON_RULES
 from lakemill.operators import adaptive, models, vectorizer
 from lakemill.plans.catalogue import _ACTS, _VISIBLE, HTML_FLAGS, IS_IP, KEYWORDS, ODD_PARTS, URL_FLAGS, _pages, predictions, query, r6, table
 from lakemill.plans.samples import odd_pages
@@ -57,6 +58,30 @@ def dictionary_vectors(spark, d):
     return vectorizer.long_form(model.transform(rows), "p_partkey", names)
 
 
+# --- domains -------------------------------------------------------------------------------------
+
+#: What the page's number makes of the last two labels of its host.
+TOPS = ("co.uk", "kobe.jp", "city.kobe.jp", "shop.kobe.jp", "ck", "www.ck", "beds.sch.uk", "uk", "com", "com.br", "gov.np", "a.b.c.mm", "unlisted", "sch.uk")
+_HOST_SQL = f"regexp_replace(regexp_extract(url, '^[a-z]+://([^/?#]*)', 1), '[^.]+\\.[^.]+$', '') || CASE WHEN page_id % 3 = 0 THEN '' ELSE 'site.' END || {list(TOPS)!r}[page_id % {len(TOPS)} + 1]"
+_RULES = ", ".join(f"('{r}')" for r in COMMON_RULES)
+
+
+@query(f"""WITH p AS (SELECT page_id, ltrim(replace({_HOST_SQL}, '..', '.'), '.') AS host FROM pages), h AS (SELECT page_id, host, string_split(host, '.') AS l FROM p), r AS (SELECT ltrim(rule, '!') AS rule, starts_with(rule, '!') AS excepted FROM (VALUES {_RULES}) AS t(rule)),
+t AS (SELECT page_id, k, array_to_string(l[len(l) - k + 1:], '.') AS tail, '*.' || array_to_string(l[len(l) - k + 2:], '.') AS above FROM (SELECT *, unnest(range(1, len(l) + 1)) AS k FROM h)),
+m AS (SELECT page_id, max(k - 1) FILTER (excepted) AS e, max(k) FILTER (NOT excepted) AS n FROM t JOIN r ON rule = tail OR NOT excepted AND rule = above GROUP BY page_id),
+s AS (SELECT h.*, coalesce(e, n, 1) AS k FROM h LEFT JOIN m USING (page_id))
+SELECT page_id, host, CASE WHEN len(l) > 1 THEN array_to_string(l[greatest(len(l) - k, 0) + 1:], '.') END AS suffix, array_to_string(l[greatest(len(l) - k - 1, 0) + 1:], '.') AS registered_domain, CASE WHEN len(l) > k + 1 THEN array_to_string(l[:len(l) - k - 1], '.') END AS subdomain, greatest(len(l) - k - 1, 0)::BIGINT AS subdomains FROM s""")
+def url_domains(spark, d):
+    """Registered domains under rules with wildcards and exceptions."""
+    k = F.col("page_id")
+    front = F.regexp_replace(F.regexp_extract("url", "^[a-z]+://([^/?#]*)", 1), r"[^.]+\.[^.]+$", "")
+    top = F.element_at(F.array(*map(F.lit, TOPS)), (k % len(TOPS) + 1).cast("int"))
+    host = F.ltrim(F.replace(F.concat(front, F.when(k % 3 == 0, "").otherwise("site."), top), F.lit(".."), F.lit(".")), F.lit("."))
+    rows = urls.with_url(table(spark, d, "pages").select("page_id", F.concat(F.lit("http://"), host, F.lit("/")).alias("u")), "u")
+    f = F.col("url_features")
+    return rows.select("page_id", f["hostname"].alias("host"), *[f[n].alias(n) for n in ("suffix", "registered_domain", "subdomain")], f["num_subdomains"].cast("long").alias("subdomains"))
+
+
 # --- evidence of proposals -----------------------------------------------------------------------
 
 
