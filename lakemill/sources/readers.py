@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakemill.operators import ranks
+from lakemill.sources import csv_splits
 
 DELIMITERS = ",\t;|"
 #: Keys under which a JSON document may hold its rows.
@@ -27,11 +28,13 @@ def sniff_delimiter(spark: SparkSession, path: str, default: str = ",") -> str:
         return default
 
 
+def _csv(spark: SparkSession, path: str, delimiter: str | None = None) -> DataFrame:
+    return csv_splits.read_records(spark, path, delimiter or sniff_delimiter(spark, path))
+
+
 def read_csv(spark: SparkSession, path: str, delimiter: str | None = None) -> DataFrame:
-    """All columns as strings, empty fields as empty strings; compression by suffix."""
-    sep = delimiter or sniff_delimiter(spark, path)
-    out = spark.read.csv(path, header=True, sep=sep, inferSchema=False, multiLine=True, escape='"', nullValue="\0", emptyValue="")
-    return out.na.fill("")
+    """All columns as strings, empty fields as empty strings; compression by suffix. Quoted line feeds do not make a file one task."""
+    return _csv(spark, path, delimiter).drop("__path", "__file", "__row")
 
 
 def _strings(df: DataFrame) -> DataFrame:
@@ -150,7 +153,10 @@ def read_any(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 def read_rows(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """As ``read_any``, with each row's place: __path, __file, __row."""
-    return _arff(spark, path) if suffix_of(path) == "arff" else positioned(_reader(path)(spark, path))
+    own = {"arff": _arff, "csv": _csv, "tsv": lambda s, p: _csv(s, p, "\t")}
+    if (suffix := suffix_of(path)) in own:
+        return own[suffix](spark, path)
+    return positioned(_reader(path)(spark, path))
 
 
 def list_snapshot(spark: SparkSession, root: str, pattern: str = "*") -> list[str]:
