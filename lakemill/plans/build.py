@@ -92,7 +92,8 @@ def train_track(spark: SparkSession, root: str, name: str, out: str, strategy: s
     rows, left_out = supervised_only(sinks.read_view(spark, f"{root}/{view}"), "normalized_label", F.coalesce(filled, F.lit(False)))
     rows = rows.withColumn("label", F.col("normalized_label"))
     group = splits.domain_group(F.col("url_features.registered_domain"), F.col("url_features.hostname"), F.col("source_dataset"))
-    rows = cut(splits.split(rows, strategy, "sample_id", "label", group=group, ts_text=F.col("timestamp")), "train")
+    rows, split_report = splits.split_with_report(rows, strategy, "sample_id", "label", group=group, ts_text=F.col("timestamp"))
+    rows = cut(rows, "train")
     bundle = models.train(terms(rows.where("split = 'train'"), text), models.Featurizer(kind), estimator)
     scored = terms(rows, text).withColumn("label", F.col("label").cast("double"))
     sinks.write_parquet(bundle.predict(scored), f"{out}/{name}/predictions")
@@ -102,6 +103,7 @@ def train_track(spark: SparkSession, root: str, name: str, out: str, strategy: s
     bundle.save(f"{out}/{name}/model")
     sinks.write_document(spark, {"labels": {"0": "benign", "1": "phishing"}, "text": text, "features": kind, "feature_names_used": bundle.featurizer.names or [text], "estimator": estimator}, f"{out}/{name}/label_metadata")
     sinks.write_document(spark, {"pyspark": spark.version, "strategy": strategy, "seed": splits.SEED}, f"{out}/{name}/versions")
+    sinks.write_document(spark, split_report, f"{out}/{name}/split_manifest")
     sinks.write_document(spark, summary, f"{out}/{name}/run_summary.json")
     return summary
 

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from lakemill.functions import urls
 from lakemill.functions.suffixes import COMMON_RULES
-from lakemill.operators import adaptive, models, vectorizer
+from lakemill.functions.times import normalized_time
+from lakemill.operators import adaptive, models, splits, vectorizer
 from lakemill.plans.catalogue import _ACTS, _VISIBLE, HTML_FLAGS, IS_IP, KEYWORDS, ODD_PARTS, URL_FLAGS, _pages, predictions, query, r6, table
 from lakemill.plans.samples import odd_pages
 
@@ -137,3 +138,63 @@ def evidence_url_style(spark, d):
 @query(_evidence_sql(f"{ODD_PARTS}, ", _PAGE_ROWS.format(HTML_FLAGS), _TWO, once=False, whole_languages=True))
 def evidence_html_pattern(spark, d):
     return _shown(adaptive.html_proposals(_pages(spark, d), evidence=True))
+
+
+# --- times and splits ----------------------------------------------------------------------------
+
+
+def _times(spark, d) -> DataFrame:
+    """``events`` with their times written in six forms, left out, or not times at all."""
+    ts, k = F.col("ts"), F.col("event_id") % 8
+    date, clock = F.date_format(ts, "yyyy-MM-dd"), F.date_format(ts, "HH:mm:ss")
+    text = (
+        F.when(k == 0, date).when(k == 1, F.concat(date, F.lit("T"), clock, F.lit("Z"))).when(k == 2, F.concat(F.lit(" "), date, F.lit(" "), F.date_format(ts, "HH:mm:ss.SSS")))
+        .when(k == 3, F.date_format(ts, "yyyyMMdd'T'HHmmss'+0530'")).when(k == 4, F.concat(date, F.lit("T"), F.date_format(ts, "HH:mm"))).when(k == 5, F.concat(F.lit("late "), F.col("event_id").cast("string"))).when(k == 6, _week_date(ts))
+    )
+    return table(spark, d, "events").withColumn("text", text)
+
+
+def _week_date(ts):
+    """A week date."""
+    return F.concat(F.extract(F.lit("YEAROFWEEK"), ts).cast("string"), F.lit("-W"), F.lpad(F.weekofyear(ts).cast("string"), 2, "0"), F.lit("-"), (F.weekday(ts) + 1).cast("string"))
+
+
+_TIMES = """t AS (SELECT event_id, strftime(ts, '%Y-%m-%d') AS d, strftime(ts, '%H:%M:%S') AS c, strftime(ts, '%g') AS ms, ts FROM events),
+n AS (SELECT event_id, CASE event_id % 8 WHEN 0 THEN d || 'T00:00:00' WHEN 1 THEN d || 'T' || c || '+00:00' WHEN 2 THEN d || 'T' || c || CASE WHEN ms = '000' THEN '' ELSE '.' || ms || '000' END WHEN 3 THEN d || 'T' || c || '+05:30'
+  WHEN 4 THEN d || 'T' || strftime(ts, '%H:%M') || ':00' WHEN 5 THEN 'late ' || event_id::VARCHAR WHEN 6 THEN d || 'T00:00:00' END AS normal FROM t)"""
+
+
+@query(f"WITH {_TIMES} SELECT event_id, normal FROM n")
+def times_normalized(spark, d):
+    return _times(spark, d).select("event_id", normalized_time(F.col("text")).alias("normal"))
+
+
+@query(f"""WITH {_TIMES}, x AS (SELECT event_id, count(*) OVER () AS n, row_number() OVER (ORDER BY normal IS NULL, coalesce(normal, event_id::VARCHAR), event_id) AS r FROM n)
+SELECT event_id, CASE WHEN r > n - greatest(1, round_even(n * 0.2, 0)) THEN 'test' WHEN r > n - greatest(1, round_even(n * 0.2, 0)) - greatest(1, round_even(n * 0.1, 0)) THEN 'validation' ELSE 'train' END AS split FROM x""")
+def split_by_mixed_times(spark, d):
+    return splits.time_aware(_times(spark, d), "event_id", F.col("text")).select("event_id", "split")
+
+
+_RANDOM_SQL = """SELECT {0} AS asked, {1} AS reason, split, count(*) AS n FROM (SELECT CASE WHEN r <= t THEN 'test' WHEN r <= t + v THEN 'validation' ELSE 'train' END AS split
+  FROM (SELECT {2}, row_number() OVER ({3} ORDER BY sha256('42:' || doc_id::VARCHAR), doc_id) AS r FROM labels {4})) GROUP BY split"""
+_EVEN = "greatest(1, round_even(count(*) OVER (PARTITION BY toxic) * 0.2, 0)) AS t, greatest(1, round_even(count(*) OVER (PARTITION BY toxic) * 0.1, 0)) AS v"
+_UNEVEN = "ceil(count(*) OVER () * 0.2) AS t, ceil((count(*) OVER () - ceil(count(*) OVER () * 0.2)) * (0.1 / (1 - 0.2))) AS v"
+
+
+@query(
+    " UNION ALL ".join(
+        [
+            _RANDOM_SQL.format("'group'", "'insufficient_distinct_groups'", _EVEN, "PARTITION BY toxic", ""),
+            _RANDOM_SQL.format("'predefined'", "'missing_or_incomplete_source_splits'", _EVEN, "PARTITION BY toxic", ""),
+            _RANDOM_SQL.format("'stratified'", "NULL", _UNEVEN, "", ""),
+        ]
+    )
+)
+def split_fallbacks(spark, d):
+    """A single group, sources that name no test rows, and labels other than 0 and 1; a row a split comes back from each."""
+    rows = table(spark, d, "labels").withColumns({"own": F.when(F.col("doc_id") % 3 == 0, "train").otherwise("valid"), "three": F.col("toxic") + F.col("quality")})
+    found = []
+    for strategy, label in (("group", "toxic"), ("predefined", "toxic"), ("stratified", "three")):
+        made, report = splits.split_with_report(rows, strategy, "doc_id", label, group=F.lit("all"), split_col="own")
+        found.append(made.groupBy("split").agg(F.count(F.lit(1)).alias("n")).select(F.lit(strategy).alias("asked"), F.lit(report["fallback_reason"]).cast("string").alias("reason"), "split", "n"))
+    return found[0].union(found[1]).union(found[2])

@@ -33,8 +33,11 @@ def _csv(spark: SparkSession, path: str, delimiter: str | None = None) -> DataFr
 
 
 def read_csv(spark: SparkSession, path: str, delimiter: str | None = None) -> DataFrame:
-    """All columns as strings, empty fields as empty strings; compression by suffix. Quoted line feeds do not make a file one task."""
-    return _csv(spark, path, delimiter).drop("__path", "__file", "__row")
+    """All columns as strings, empty fields as empty strings, rows in file order; compression by suffix.
+
+    Quoted line feeds do not make a file one task. ``read_rows`` gives the places of rows instead of a sort by them.
+    """
+    return _csv(spark, path, delimiter).orderBy("__path", "__row").drop("__path", "__file", "__row")
 
 
 def _strings(df: DataFrame) -> DataFrame:

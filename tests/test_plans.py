@@ -155,3 +155,22 @@ def test_command_line(spark, snapshots, capsys, tmp_path):
     assert cli.main(["inspect-adapter", "--source", f"openphish={snapshots['openphish']}"]) == 0 and '"ready"' in capsys.readouterr().out
     assert cli.main(["compare-runs", "--out", str(tmp_path)]) == 0
     assert cli.main(["show-manifest", "--root", str(tmp_path)]) == 1 and "error" in capsys.readouterr().out.rsplit("{", 1)[-1]
+
+
+def test_split_fallbacks(spark):
+    df = spark.range(60).select(F.col("id").alias("sample_id"), (F.col("id") % 2).alias("label"), (F.col("id") % 3).alias("g"), F.when(F.col("id") % 5 == 0, " Test ").when(F.col("id") % 5 == 1, "valid").alias("source_split"))
+    ask = lambda d, s, **k: splits.split_with_report(d, s, "sample_id", "label", **k)[1]
+    one = ask(df, "group", group=F.lit("x"))
+    assert one["fallback_reason"] == splits.ONE_GROUP and one["strategy"] == "stratified" and one["counts"] == {"train": 42, "validation": 6, "test": 12}
+    assert "fallback_reason" not in ask(df, "group", group=F.col("g"))
+    # two groups: test takes one, and the other's rows are split
+    two = ask(df, "group", group=F.col("sample_id") < 40)
+    assert min(two["counts"].values()) > 0 and two["group_count"] == 2 and two["counts"]["test"] in (20, 40)
+    assert ask(df.limit(2), "time_aware", ts_text=F.lit("2024-01-01"))["fallback_reason"] == splits.TOO_FEW_ROWS
+    own = ask(df, "predefined")
+    assert own["counts"]["test"] == 12 and own["passthrough_count"] == 12 and own["counts"]["validation"] == 1
+    assert ask(df.where("sample_id % 5 <> 0"), "predefined")["fallback_reason"] == splits.NO_SOURCE_SPLITS
+    odd = ask(df.withColumn("label", F.when(F.col("sample_id") > 3, F.col("label"))), "stratified")
+    assert odd["strategy"] == "unstratified" and odd["counts"] == {"train": 42, "validation": 6, "test": 12} and sum(v["null"] for v in odd["label_counts"].values()) == 4
+    with pytest.raises(ValueError):
+        ask(df, "other")
