@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, Normalizer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from lakemill.functions.text import word_grams
 from lakemill.functions.urls import model_features, with_url
 from lakemill.operators import metrics, vectorizer
+from lakemill.operators.linear_svm import SquaredHingeSVM
 
 SEED = 42
 
@@ -49,7 +50,7 @@ def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
 #: Sizes of the reference; a forest's depth is unlimited there, and MLlib stops at 30.
 ESTIMATORS = {
     "logistic_regression": lambda n: LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight", regParam=1.0 / max(n, 1), standardization=False, maxIter=3000),
-    "linear_svm": lambda n: LinearSVC(featuresCol="features", labelCol="label", weightCol="weight", regParam=1.0 / max(n, 1), standardization=False, maxIter=1000),
+    "linear_svm": lambda n: SquaredHingeSVM(C=1.0, maxIter=1000),
     "random_forest": lambda n: RandomForestClassifier(featuresCol="features", labelCol="label", weightCol="weight", numTrees=400, maxDepth=30, seed=SEED),
     "url_forest": lambda n: RandomForestClassifier(featuresCol="features", labelCol="label", weightCol="weight", numTrees=300, maxDepth=30, seed=SEED),
     "gradient_boosting": lambda n: GBTClassifier(featuresCol="features", labelCol="label", weightCol="weight", maxIter=300, stepSize=0.05, maxDepth=6, seed=SEED),
