@@ -18,11 +18,12 @@ def commands(spark: SparkSession) -> dict:
     from lakemill.functions.text import VIEWS
     from lakemill.operators import adaptive, balance, fusion, metrics, splits
     from lakemill.plans import build
-    from lakemill.sources import adapters, export, sinks
+    from lakemill.sources import adapters, export, readers, sinks
 
     rows = lambda df, n=20: [r.asDict(recursive=True) for r in df.limit(n).collect()]
     scores = lambda p: spark.read.parquet(p).withColumn("score", F.col("score_prob"))
     processed = lambda p: sinks.read_view(spark, p).select("sample_id", "language", "normalized_text", F.col("url_features.registered_domain").alias("registered_domain"), F.coalesce(F.col("html_features.action_texts"), F.array().cast("array<string>")).alias("action_texts"), "seq")
+    any_rows = lambda p: readers.read_any(spark, p) if readers.suffix_of(p) in readers.READERS else sinks.read_view(spark, p)
     return {
         "list-datasets": lambda a: {"adapters": adapters.names(), "views": list(VIEWS)},
         "inspect-adapter": lambda a: [adapters.readiness(spark, k, p) | {"columns": adapters.adapter(k)(spark, p).columns, "snapshot_bytes": export.size_of(spark, p)} for k, p in _pairs(a.source).items()],
@@ -49,7 +50,7 @@ def commands(spark: SparkSession) -> dict:
         "show-recommendation": lambda a: sinks.read_document(spark, f"{a.out}/report")["recommended"],
         "calibrate-thresholds": lambda a: metrics.calibrate(scores(a.predictions), a.objective),
         "run-fusion-experiment": lambda a: rows(fusion.fusion_metrics(fusion.weighted(fusion.align(scores(a.predictions), scores(a.other))))),
-        "show-drift-report": lambda a: rows(adaptive.divergence(adaptive.distributions(adaptive.sides(spark.read.parquet(a.predictions), spark.read.parquet(a.other)), ["label", "language", "source_dataset"]))),
+        "show-drift-report": lambda a: adaptive.drift_document(adaptive.drift_report(any_rows(a.predictions), any_rows(a.other))),
         "export-retraining-candidates": lambda a: rows(adaptive.retraining_candidates(scores(a.predictions), sinks.read_feedback(spark, a.other).withColumn("seq", F.monotonically_increasing_id())), a.limit),
     }
 

@@ -92,6 +92,69 @@ def token_shift(both: DataFrame, text: str, k: int = 25) -> DataFrame:
     return counts.withColumn("delta", F.col("current") - F.col("reference")).orderBy(F.abs("delta").desc(), "token").limit(k)
 
 
+DRIFT_DIMENSIONS = ("label", "language", "source", "tld")
+
+
+def _field(df: DataFrame, *names: str) -> Column:
+    """The first column there is, as text; ``a.b`` is a field of a struct or of a JSON text."""
+    for name in names:
+        column, _, inner = name.partition(".")
+        if column in df.columns:
+            if not inner:
+                return F.col(column).cast("string")
+            kind = dict(df.dtypes)[column]
+            return F.get_json_object(column, f"$.{inner}") if kind == "string" else F.col(column)[inner].cast("string") if f"{inner}:" in kind else F.lit(None).cast("string")
+    return F.lit(None).cast("string")
+
+
+def drift_rows(df: DataFrame) -> DataFrame:
+    """(label, language, source, tld, score, text) of records or predictions of any kind; a missing label is ``None``, other values ``unknown``."""
+    known = lambda c: F.coalesce(F.nullif(c, F.lit("")), F.lit("unknown"))
+    text = F.coalesce(F.nullif(_field(df, "normalized_text"), F.lit("")), _field(df, "extracted_text"))
+    return df.select(
+        F.coalesce(_field(df, "normalized_label", "label"), F.lit("None")).alias("label"), known(_field(df, "language")).alias("language"), known(_field(df, "source_dataset", "source")).alias("source"),
+        known(_field(df, "url_features.suffix", "tld")).alias("tld"), _field(df, "score").try_cast("double").alias("score"), text.alias("text"),
+    )
+
+
+def drift_report(reference: DataFrame, current: DataFrame, k: int = 25) -> DataFrame:
+    """One table of everything that may have shifted: (section, item, reference, current, measure).
+
+    Section ``rows`` counts both sides; a distribution has a row for each value, its counts, and the Jensen-Shannon divergence in bits
+    of the whole dimension; ``score`` has mean and standard deviation and their differences (no rows unless both
+    sides have scores); ``token`` the ``k`` tokens whose counts differ most, and by how much.
+    """
+    both = sides(drift_rows(reference), drift_rows(current))
+    number = lambda c: F.col(c).cast("double").alias(c)
+    counts = both.agg(F.count_if(F.col("side") == "reference").alias("reference"), F.count_if(F.col("side") == "current").alias("current"))
+    counts = counts.select(F.lit("rows").alias("section"), F.lit("count").alias("item"), number("reference"), number("current"), (F.col("current") - F.col("reference")).cast("double").alias("measure"))
+    values = distributions(both, list(DRIFT_DIMENSIONS))
+    values = values.join(divergence(values), "dim").select(F.col("dim").alias("section"), F.col("value").alias("item"), number("reference"), number("current"), F.col("js_divergence").alias("measure"))
+    shift = score_shift(both).where("available")
+    score = shift.select(F.inline(F.array(*[F.struct(F.lit("score").alias("section"), F.lit(x).alias("item"), F.col(f"reference_{x}").alias("reference"), F.col(f"current_{x}").alias("current"), (F.col(f"current_{x}") - F.col(f"reference_{x}")).alias("measure")) for x in ("mean", "std")])))
+    tokens = token_shift(both, "text", k).select(F.lit("token").alias("section"), F.col("token").alias("item"), number("reference"), number("current"), F.col("delta").cast("double").alias("measure"))
+    return counts.union(values).union(score).union(tokens)
+
+
+def drift_document(report: DataFrame) -> dict:
+    """A report as one nested document, to be written as JSON; as large as the dimensions' values."""
+    out: dict = {f"{d}_distribution": {"reference": {}, "current": {}, "js_divergence": 0.0} for d in DRIFT_DIMENSIONS} | {"score_distribution": {"available": False}, "top_token_shift": []}
+    for r in report.collect():
+        if r["section"] == "rows":
+            out |= {"reference_count": int(r["reference"]), "current_count": int(r["current"])}
+        elif r["section"] == "score":
+            out["score_distribution"] |= {"available": True, f"reference_{r['item']}": r["reference"], f"current_{r['item']}": r["current"]}
+        elif r["section"] == "token":
+            out["top_token_shift"].append({"token": r["item"], "reference_count": int(r["reference"]), "current_count": int(r["current"]), "delta": int(r["measure"])})
+        else:
+            at = out[f"{r['section']}_distribution"]
+            at["js_divergence"] = r["measure"]
+            for side in ("reference", "current"):
+                if r[side]:
+                    at[side][r["item"]] = int(r[side])
+    return out
+
+
 # --- retraining and proposals --------------------------------------------------------------------
 
 
@@ -215,7 +278,11 @@ def html_proposals(df: DataFrame, evidence: bool = False) -> DataFrame:
 
 
 def proposals(df: DataFrame, k: int = 25, evidence: bool = True) -> DataFrame:
-    """The k first proposals of phrases, action texts, URL flags and HTML flags together."""
+    """The k first proposals of phrases, action texts, URL flags and HTML flags together; records of a view will do."""
+    if "label" not in df.columns:
+        df = df.withColumn("label", F.col("normalized_label"))
+    if "action_texts" not in df.columns:
+        df = df.withColumn("action_texts", F.coalesce(F.col("html_features.action_texts"), F.array().cast("array<string>")))
     return ranked([phrase_proposals(df, k, evidence=evidence), cta_proposals(df, k, evidence=evidence), url_proposals(df, evidence), html_proposals(df, evidence)], k)
 
 

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from lakemill.functions import urls
 from lakemill.functions.suffixes import COMMON_RULES
 from lakemill.functions.times import normalized_time
-from lakemill.operators import adaptive, models, splits, vectorizer
-from lakemill.plans.catalogue import _ACTS, _VISIBLE, HTML_FLAGS, IS_IP, KEYWORDS, ODD_PARTS, URL_FLAGS, _pages, predictions, query, r6, table
+from lakemill.operators import adaptive, metrics, models, splits, vectorizer
+from lakemill.plans.catalogue import _ACTS, _VISIBLE, HTML_FLAGS, IS_IP, KEYWORDS, ODD_PARTS, PRED, URL_FLAGS, _pages, predictions, query, r6, table
 from lakemill.plans.samples import odd_pages
 
 # --- vectors -------------------------------------------------------------------------------------
@@ -140,6 +140,40 @@ def evidence_html_pattern(spark, d):
     return _shown(adaptive.html_proposals(_pages(spark, d), evidence=True))
 
 
+# --- drift ---------------------------------------------------------------------------------------
+
+_TOP_SQL = f"CASE WHEN doc_id % 5 = 0 THEN NULL ELSE {list(TOPS)!r}[(doc_id // 2) % {len(TOPS)} + 1] END"
+_DRIFT_ROWS = f"""b AS (SELECT CASE WHEN doc_id % 2 = 0 THEN 'reference' ELSE 'current' END AS side, coalesce(toxic::VARCHAR, 'None') AS label, coalesce(lang, 'unknown') AS language, source, coalesce({_TOP_SQL}, 'unknown') AS tld, CASE WHEN toxic IS NOT NULL THEN doc_id % 97 / 96.0::DOUBLE END AS score, text FROM documents LEFT JOIN labels USING (doc_id))"""
+_LONG = "list_filter(string_split_regex(lower(text), '\\s+'), lambda t: length(t) >= 4)[1:200]"
+
+
+@query(f"""WITH {_DRIFT_ROWS}, h AS (SELECT dim, value, count(*) FILTER (side = 'reference') AS reference, count(*) FILTER (side = 'current') AS current FROM (SELECT side, unnest(['label', 'language', 'source', 'tld']) AS dim, unnest([label, language, source, tld]) AS value FROM b) GROUP BY ALL),
+p AS (SELECT *, reference / sum(reference) OVER (PARTITION BY dim) AS p, current / sum(current) OVER (PARTITION BY dim) AS q FROM h), j AS (SELECT dim, sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2 AS js FROM p GROUP BY dim),
+t AS (SELECT side, unnest({_LONG}) AS token FROM b), c AS (SELECT token, count(*) FILTER (side = 'reference') AS reference, count(*) FILTER (side = 'current') AS current FROM t GROUP BY token ORDER BY abs(current - reference) DESC, token LIMIT 25),
+s AS (SELECT avg(score) FILTER (side = 'reference') AS a, avg(score) FILTER (side = 'current') AS b, stddev_pop(score) FILTER (side = 'reference') AS x, stddev_pop(score) FILTER (side = 'current') AS y FROM b),
+r AS (SELECT 'rows' AS section, 'count' AS item, count(*) FILTER (side = 'reference') AS reference, count(*) FILTER (side = 'current') AS current, count(*) FILTER (side = 'current') - count(*) FILTER (side = 'reference') AS measure FROM b
+  UNION ALL SELECT dim, value, reference, current, js FROM h JOIN j USING (dim) UNION ALL SELECT 'score', 'mean', a, b, b - a FROM s UNION ALL SELECT 'score', 'std', x, y, y - x FROM s UNION ALL SELECT 'token', token, reference, current, current - reference FROM c)
+SELECT section, item, round(reference::DOUBLE, 6) AS reference, round(current::DOUBLE, 6) AS current, round(measure::DOUBLE, 6) AS measure FROM r""")
+def drift_report(spark, d):
+    """Labels, languages, sources, domains, scores and tokens of even documents against odd ones."""
+    rows = table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id", "left")
+    top = F.when(F.col("doc_id") % 5 != 0, F.element_at(F.array(*map(F.lit, TOPS)), (F.floor(F.col("doc_id") / 2) % len(TOPS) + 1).cast("int")))
+    score = F.when(F.col("toxic").isNotNull(), F.col("doc_id") % 97 / F.lit(96.0))
+    rows = rows.select("doc_id", F.col("toxic").alias("normalized_label"), F.col("lang").alias("language"), F.col("source").alias("source_dataset"), F.struct(top.alias("suffix")).alias("url_features"), score.alias("score"), F.col("text").alias("normalized_text"))
+    found = adaptive.drift_report(rows.where("doc_id % 2 = 0"), rows.where("doc_id % 2 <> 0"))
+    return found.select("section", "item", *[r6(c, c) for c in ("reference", "current", "measure")])
+
+
+_SPACED = f"""WITH {PRED}, t AS (SELECT DISTINCT t FROM (SELECT round(i / 199.0, 6)::DOUBLE AS t FROM range(200) AS x(i) UNION ALL SELECT unnest([0.0, 0.5, 1.0])::DOUBLE) WHERE (SELECT count(DISTINCT score) FROM p) > 200 UNION SELECT score FROM p WHERE (SELECT count(DISTINCT score) FROM p) <= 200 UNION SELECT unnest([0.0, 0.5, 1.0])::DOUBLE),
+c AS (SELECT t, count(*) FILTER (label = 1 AND score >= t) AS tp, count(*) FILTER (label = 0 AND score >= t) AS fp, count(*) FILTER (label = 0 AND score < t) AS tn, count(*) FILTER (label = 1 AND score < t) AS fn FROM p, t GROUP BY t)"""
+
+
+@query(f"{_SPACED} SELECT round(t, 6) AS threshold, tp, fp, tn, fn, round(coalesce(2.0 * tp / nullif(2 * tp + fp + fn, 0), 0), 6) AS f1 FROM c")
+def threshold_table_spaced(spark, d):
+    """Scores as they are: at most 200 distinct ones are thresholds themselves, more give way to evenly spaced ones."""
+    return metrics.threshold_table(predictions(spark, d)).select("threshold", *[F.col(c).cast("long").alias(c) for c in ("tp", "fp", "tn", "fn")], r6("f1", "f1"))
+
+
 # --- times and splits ----------------------------------------------------------------------------
 
 
