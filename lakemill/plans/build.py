@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,12 +34,38 @@ def _ordered(raw: DataFrame) -> DataFrame:
     return cut(rows.withColumn("seq", F.monotonically_increasing_id()).drop("source_rank", "path", "row"), "build")
 
 
-def build(spark: SparkSession, snapshots: dict[str, str], root: str, views: list[str] | None = None, prefilter: float | None = 0.32, dedupe: bool = True, rebalance: bool = True, fmt: str = "parquet", caps: dict[str, int] | None = None) -> dict:
-    """Write the views and their reports under ``root``; views already complete are left alone."""
+def build_digest(spark: SparkSession, snapshots: dict[str, str], settings: dict) -> str:
+    """A digest of the settings and of the snapshots' files: their names, lengths and times, of which Spark reads no content."""
+    found = {}
+    for name, path in sorted(snapshots.items()):
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+        r = files.agg(F.count(F.lit(1)), F.sum("length"), F.bit_xor(F.xxhash64("path", "length", "modificationTime"))).first()
+        found[name] = [path, *r]
+    return hashlib.sha256(json.dumps([settings, found], sort_keys=True, default=str).encode()).hexdigest()
+
+
+def _view_states(spark: SparkSession, root: str) -> dict:
+    return sinks.read_document(spark, f"{root}/view_states") if sinks.is_complete(spark, f"{root}/view_states") else {}
+
+
+def build(spark: SparkSession, snapshots: dict[str, str], root: str, views: list[str] | None = None, prefilter: float | None = 0.32, dedupe: bool = True, rebalance: bool = True, fmt: str = "parquet", caps: dict[str, int] | None = None, resume: bool = True) -> dict:
+    """Write the views and their reports under ``root``.
+
+    A view that an earlier run finished from the same files with the same settings is kept; one of other settings or files is
+    written anew, and so is every view without ``resume``. A run that breaks off leaves the views that it finished.
+    """
     views = list(dict.fromkeys(views or VIEWS))
     if unknown := set(views) - set(VIEWS):
         raise ValueError(f"unknown views {sorted(unknown)}")
-    sinks.write_document(spark, {"state": "running", "views": views}, f"{root}/state")
+    digest = build_digest(spark, snapshots, {"prefilter": prefilter, "dedupe": dedupe, "rebalance": rebalance, "fmt": fmt, "caps": caps})
+    states = _view_states(spark, root) if resume else {}
+    finished = lambda v: states.get(v, {}).get("digest") == digest and sinks.is_complete(spark, f"{root}/{v}" + ("_jsonl" if fmt == "jsonl" else ""))
+    done = [v for v in views if finished(v)]
+    if len(done) == len(views) and sinks.is_complete(spark, f"{root}/reports/summary"):
+        report = sinks.read_document(spark, f"{root}/reports/summary")
+        sinks.write_document(spark, {"state": "completed", "views": views, "digest": digest}, f"{root}/state")
+        return report | {"state": "completed", "views": {v: states[v]["records"] for v in views}, "resumed": True, "skipped_completed_views": done}
+    sinks.write_document(spark, {"state": "running", "views": views, "digest": digest}, f"{root}/state")
     raw = adapters.load_sources(spark, snapshots, caps)
     if prefilter is not None:
         # before any page is parsed
@@ -50,26 +79,35 @@ def build(spark: SparkSession, snapshots: dict[str, str], root: str, views: list
         sinks.write_document(spark, {"state": "failed", "reason": "no records kept"}, f"{root}/state")
         raise RuntimeError("no records kept")
     chosen = kept.where(F.size(F.array_intersect("views", F.array(*map(F.lit, views)))) > 0)
-    counts = {}
+    counts = {v: states[v]["records"] for v in done}
     for view in views:
+        if view in done:
+            continue
         rows = chosen.where(F.array_contains("views", view))
         if rebalance and view in VIEWS[:2]:
             rows = balance.rebalance(rows)
-        counts |= sinks.write_views(rows, root, [view], fmt)
+        counts |= sinks.write_views(rows, root, [view], fmt, overwrite=True)
+        states = states | {view: {"digest": digest, "records": counts[view]}}
+        sinks.write_document(spark, states, f"{root}/view_states")
     sinks.write_jsonl(events.orderBy("seq").limit(200), f"{root}/reports/duplicates_sample")
+    exclusions = [r.asDict() for r in stats.exclusions(canonical, kept).orderBy("source_dataset", "reason").collect()]
+    sinks.write_document(spark, exclusions, f"{root}/reports/exclusions")
     report = {
         "state": "completed",
+        "digest": digest,
+        "resumed": bool(done),
+        "skipped_completed_views": done,
         "views": counts,
         "kept_records": n,
         "sources": [r.asDict() for r in stats.source_summary(canonical, kept).orderBy("source_dataset").collect()],
         "dedupe": [r.asDict() for r in removed.orderBy("scope", "matched_on").collect()],
         "kept_and_removed": {"kept": n, "removed": events.count()},
-        "exclusions": [r.asDict() for r in stats.exclusions(canonical, kept).orderBy("source_dataset", "reason").collect()],
+        "exclusions": exclusions,
         "storage": export.storage_estimate(spark, snapshots, root, views),
         "view_stats": [r.asDict() for r in stats.view_stats(kept).orderBy("view", "source_dataset").collect()],
     }
     sinks.write_document(spark, report, f"{root}/reports/summary")
-    sinks.write_document(spark, {"state": "completed"}, f"{root}/state")
+    sinks.write_document(spark, {"state": "completed", "views": views, "digest": digest}, f"{root}/state")
     return report
 
 

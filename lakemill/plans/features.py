@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lakemill.functions import urls
 from lakemill.functions.suffixes import COMMON_RULES
 from lakemill.functions.times import normalized_time
-from lakemill.operators import adaptive, metrics, models, splits, vectorizer
+from lakemill.operators import adaptive, encoders, metrics, models, splits, vectorizer
 from lakemill.plans.catalogue import _ACTS, _VISIBLE, HTML_FLAGS, IS_IP, KEYWORDS, ODD_PARTS, PRED, URL_FLAGS, _pages, predictions, query, r6, table
 from lakemill.plans.samples import odd_pages
 
@@ -59,6 +59,14 @@ def dictionary_vectors(spark, d):
     return vectorizer.long_form(model.transform(rows), "p_partkey", names)
 
 
+@query("""WITH w AS (SELECT doc_id, list_filter(string_split(coalesce(text, ''), ' '), lambda x: x <> '')[1:256] AS w FROM documents), t AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS k, unnest(w) AS x, coalesce(length(w[unnest(range(1, len(w) + 1)) + 1]), 0) AS after FROM w)
+SELECT doc_id, round(coalesce(avg(length(x)), 0), 6) AS mean_length, round(coalesce(avg(k - 1), 0), 6) AS mean_place, round(coalesce(avg(after), 0), 6) AS mean_after FROM documents LEFT JOIN t USING (doc_id) GROUP BY doc_id""")
+def encoder_pooling(spark, d):
+    """Documents through an encoder's batches, its mask and the pooling of its states; 256 tokens are the encoder's length."""
+    rows = encoders.encode(table(spark, d, "documents").select("doc_id", "text"), encoders.WordShapes)
+    return rows.select("doc_id", *[F.round(F.col("embedding")[k], 6).alias(n) for k, n in enumerate(("mean_length", "mean_place", "mean_after"))])
+
+
 # --- domains -------------------------------------------------------------------------------------
 
 #: What the page's number makes of the last two labels of its host.

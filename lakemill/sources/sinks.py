@@ -18,12 +18,12 @@ def write_jsonl(df: DataFrame, path: str) -> None:
     df.select(*sorted(df.columns)).write.mode("overwrite").json(path)
 
 
-def write_views(df: DataFrame, root: str, views: list[str], fmt: str = "parquet") -> dict[str, int]:
-    """One folder a view; a record goes to all of its views. Views that exist in full are left alone."""
+def write_views(df: DataFrame, root: str, views: list[str], fmt: str = "parquet", overwrite: bool = False) -> dict[str, int]:
+    """One folder a view; a record goes to all of its views. Views that exist in full are left alone unless ``overwrite``."""
     spark, counts = df.sparkSession, {}
     for view in views:
         path = f"{root.rstrip('/')}/{view}"
-        if not is_complete(spark, path):
+        if overwrite or not is_complete(spark, path if fmt != "jsonl" else path + "_jsonl"):
             rows = df.where(F.array_contains("views", view)).drop("views")
             if fmt in ("parquet", "both"):
                 write_parquet(rows, path)

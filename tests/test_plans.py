@@ -174,3 +174,27 @@ def test_split_fallbacks(spark):
     assert odd["strategy"] == "unstratified" and odd["counts"] == {"train": 42, "validation": 6, "test": 12} and sum(v["null"] for v in odd["label_counts"].values()) == 4
     with pytest.raises(ValueError):
         ask(df, "other")
+
+
+def test_build_resumes_by_settings_and_files(spark, snapshots, tmp_path):
+    root, url, page = str(tmp_path / "data"), "unified_url_dataset", "unified_webpage_dataset"
+    written = lambda v: {p.name for p in (tmp_path / "data" / v).glob("part-*")}
+    first = build.build(spark, snapshots, root, [url], prefilter=None, rebalance=False)
+    files = written(url)
+    assert not first["resumed"] and first["views"][url] == first["kept_records"]
+    again = build.build(spark, snapshots, root, [url], prefilter=None, rebalance=False)
+    assert again["resumed"] and again["skipped_completed_views"] == [url] and again["views"] == first["views"] and written(url) == files
+    # another prefilter writes the view anew, a further view is added to it, and the first stays as it is
+    fewer = build.build(spark, snapshots, root, [url], prefilter=0.0, rebalance=False)
+    assert not fewer["resumed"] and fewer["views"][url] < first["views"][url] and not written(url) & files
+    files = written(url)
+    both = build.build(spark, snapshots, root, [url, page], prefilter=0.0, rebalance=False)
+    assert both["skipped_completed_views"] == [url] and both["views"][url] == fewer["views"][url] and both["views"][page] > 0 and written(url) == files
+    (tmp_path / "feed.txt").write_text("http://other.example.com/login\n")
+    assert not build.build(spark, snapshots | {"openphish": str(tmp_path / "feed.txt")}, root, [url], prefilter=0.0, rebalance=False)["resumed"]
+    assert isinstance(sinks.read_document(spark, f"{root}/reports/exclusions"), list)
+    # what the command line does with views
+    view = sinks.read_view(spark, f"{root}/{url}")
+    assert adaptive.proposals(view, 5).count() > 0
+    report = adaptive.drift_document(adaptive.drift_report(view.where("normalized_label = 1"), view.where("normalized_label = 0")))
+    assert report["label_distribution"]["js_divergence"] == pytest.approx(1.0) and report["score_distribution"] == {"available": False} and report["top_token_shift"]
