@@ -3,7 +3,10 @@
 A row goes if it shares a key with an earlier row that stays; keys of rows that go do not count. Rounds:
 a row that is first among the undecided at every key of its own stays, and rows that share a key with
 it go. That is the order-first greedy set, whatever the partitioning. Long chains, in which each row waits for
-the one before, would take a round for every other row: what is open after some rounds is passed in order, component by component.
+the one before, would take a round for every other row. A row that waits for a single earlier row stays just if that
+one goes; so after some rounds such rows are followed to where their chain begins by pointer doubling, and a chain of n rows takes log n
+joins of many tasks. Only what still is open after that, rows that wait for several others which wait in turn, is passed in
+order, component by component.
 """
 
 from __future__ import annotations
@@ -36,8 +39,8 @@ def canonical_keys(df: DataFrame, key_types: tuple[str, ...] = KEY_TYPES) -> Dat
     return df.select("seq", F.explode(keys).alias("key"))
 
 
-#: Rounds before what is left is passed in order.
-ROUNDS = 12
+#: Rounds before what is left is passed in order, and how many of them do not follow chains.
+ROUNDS, PLAIN_ROUNDS = 12, 4
 
 
 def first_seen(keys: DataFrame, rounds: int = ROUNDS) -> DataFrame:
@@ -50,12 +53,10 @@ def first_seen(keys: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     open_rows = cut(keys.join(repeated, "key", "left_semi"), "dedup-open")
     alone = keys.select("seq").distinct().join(open_rows.select("seq").distinct(), "seq", "left_anti")
     decided = [cut(alone.select(F.col("seq").cast("long"), F.lit(True).alias("kept")), "dedup-decided")]
-    for _ in range(rounds):
+    for k in range(rounds):
         if open_rows.isEmpty():
             break
-        first = open_rows.groupBy("key").agg(F.min("seq").alias("least"))
-        stay = open_rows.join(first, "key").groupBy("seq").agg(F.bool_and(F.col("seq") == F.col("least")).alias("kept")).where("kept").select("seq")
-        stay = cut(stay, "dedup-stay")
+        stay = cut(_first(open_rows) if k < PLAIN_ROUNDS else _along_chains(open_rows), "dedup-stay")
         used = open_rows.join(stay, "seq", "left_semi").select("key").distinct()
         hit = open_rows.join(used, "key", "left_semi").select("seq").distinct()
         done = cut(hit.join(stay.withColumn("kept", F.lit(True)), "seq", "left").select(F.col("seq").cast("long"), F.coalesce("kept", F.lit(False)).alias("kept")), "dedup-decided")
@@ -68,6 +69,39 @@ def first_seen(keys: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     return out.select(F.col("seq").cast(keys.schema["seq"].dataType).alias("seq"), "kept")
 
 
+def _first(open_rows: DataFrame) -> DataFrame:
+    """(seq) of the rows that are first at every key of their own."""
+    first = open_rows.groupBy("key").agg(F.min("seq").alias("least"))
+    return open_rows.join(first, "key").groupBy("seq").agg(F.bool_and(F.col("seq") == F.col("least")).alias("kept")).where("kept").select("seq")
+
+
+def _along_chains(open_rows: DataFrame) -> DataFrame:
+    """(seq) of the rows that stay: the first ones, and every other row of the chains that begin at them.
+
+    Two minima a key, with map-side aggregation, tell whether a row has none, one or more rows before it.
+    """
+    first = open_rows.groupBy("key").agg(F.min("seq").alias("least"))
+    rows = open_rows.join(first, "key")
+    second = rows.where("seq > least").groupBy("key").agg(F.min("seq").alias("second"))
+    rows = rows.join(second, "key", "left")
+    of_row = rows.groupBy("seq").agg(F.bool_or((F.col("seq") > F.col("least")) & (F.col("seq") > F.col("second"))).alias("more"), F.min(F.when(F.col("seq") > F.col("least"), F.col("least"))).alias("lo"), F.max(F.when(F.col("seq") > F.col("least"), F.col("least"))).alias("hi"))
+    of_row = cut(of_row, "dedup-waits")
+    starts = of_row.where("not more and lo is null").select("seq")
+    chain = cut(of_row.where("not more and lo = hi").select("seq", F.col("lo").alias("to"), F.lit(True).alias("odd")), "dedup-chain")
+    while True:
+        on = chain.select(F.col("seq").alias("s"), F.col("to").alias("t"), F.col("odd").alias("o"))
+        joined = chain.join(on, F.col("to") == F.col("s"), "left")
+        further = cut(joined.select("seq", F.coalesce("t", "to").alias("to"), (F.col("odd") != F.coalesce("o", F.lit(False))).alias("odd"), F.col("t").isNotNull().alias("moved")), "dedup-chain")
+        discard(chain)
+        chain = further
+        if chain.where("moved").isEmpty():
+            break
+    kept = chain.where("not odd").join(starts.withColumnRenamed("seq", "to"), "to", "left_semi").select("seq")
+    stay = cut(starts.union(kept), "dedup-stay")
+    discard(of_row, chain)
+    return stay
+
+
 def _in_order(open_rows: DataFrame) -> DataFrame:
     """(seq, kept) by a sequential pass over the rows of each component; a task holds the keys that one component has used."""
     least = open_rows.groupBy("key").agg(F.min("seq").alias("least"))

@@ -133,3 +133,34 @@ def test_running_sums_equal_a_window(spark):
     got = ranked(df, ["g"], digest, ["id"], "r", "n")
     want = df.withColumns({"r": F.row_number().over(Window.partitionBy("g").orderBy(digest)), "n": F.count(F.lit(1)).over(Window.partitionBy("g"))})
     assert sorted(map(str, got.select("id", "r", "n").collect())) == sorted(map(str, want.select("id", "r", "n").collect()))
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_chains_are_followed_as_a_sequential_pass_would(spark, monkeypatch, seed):
+    """Chains, trees that hang from chains, and rows that wait for several; no row is left for a pass in order."""
+    rng = random.Random(seed)
+    keys = [(i, f"c{i // 500}-{i}") for i in range(3000)] + [(i + 1, f"c{i // 500}-{i}") for i in range(3000) if (i + 1) % 500]
+    keys += [(5000 + i, f"c{i % 6}-{rng.randint(0, 2999)}") for i in range(600)] + [(5000 + i, f"t{i // 2}") for i in range(600)]
+    keys += [(rng.randint(0, 6000), f"r{rng.randint(0, 900)}") for _ in range(400)]
+    used, want = set(), {}
+    by_row = {}
+    for s, k in keys:
+        by_row.setdefault(s, set()).add(k)
+    for s in sorted(by_row):
+        want[s] = used.isdisjoint(by_row[s])
+        if want[s]:
+            used |= by_row[s]
+    df = spark.createDataFrame(keys, "seq long, key string").repartition(3)
+    monkeypatch.setattr(dedup, "PLAIN_ROUNDS", 1)
+    assert {r["seq"]: r["kept"] for r in dedup.first_seen(df).collect()} == want
+
+
+def test_one_long_chain_needs_no_pass_in_order(spark, monkeypatch):
+    def fail(rows):
+        raise AssertionError("passed in order")
+
+    monkeypatch.setattr(dedup, "_in_order", fail)
+    n = 20_000
+    df = spark.range(n).select(F.col("id").alias("seq"), F.explode(F.array(F.col("id").cast("string"), (F.col("id") + 1).cast("string"))).alias("key"))
+    got = dedup.first_seen(df)
+    assert got.where("kept <> (seq % 2 = 0)").count() == 0 and got.count() == n
