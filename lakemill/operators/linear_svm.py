@@ -100,6 +100,10 @@ class SquaredHingeSVM:
     def __init__(self, C: float = 1.0, maxIter: int = 1000, tol: float = 1e-7):
         self.C, self.maxIter, self.tol = C, maxIter, tol
 
+    def getOrDefault(self, name: str):
+        """A setting by name, as of MLlib's estimators."""
+        return getattr(self, name)
+
     def coefficients(self, df: DataFrame) -> tuple[np.ndarray, int]:
         """Weights with the intercept last, and the number of steps."""
         rows = df.select("features", "label", "weight")
