@@ -23,10 +23,29 @@ def latest(df: DataFrame, key: str, seq: Column | str) -> DataFrame:
 # --- errors --------------------------------------------------------------------------------------
 
 
+#: Action texts that an error shows.
+MOST_ACTIONS = 10
+
+#: Roll-ups of an error report, and the columns that may hold them.
+ROLLUPS = {"language": ("language",), "source": ("source_dataset", "source"), "domain": ("registered_domain",), "tld": ("suffix", "tld")}
+
+
+def error_rollups(wrong: DataFrame) -> DataFrame:
+    """(dim, value, false_positives, false_negatives) by language, source, domain and top-level domain, in one shuffle; what is missing is ``unknown``."""
+    pairs = []
+    for dim, columns in ROLLUPS.items():
+        own = next((F.col(c) for c in columns if c in wrong.columns), F.lit(None).cast("string"))
+        pairs.append(F.struct(F.lit(dim).alias("dim"), F.coalesce(F.nullif(own, F.lit("")), F.lit("unknown")).alias("value")))
+    rows = wrong.select("error_type", F.inline(F.array(*pairs)))
+    return rows.groupBy("dim", "value").agg(F.count_if(F.col("error_type") == "false_positive").alias("false_positives"), F.count_if(F.col("error_type") == "false_negative").alias("false_negatives"))
+
+
 def errors(predictions: DataFrame, processed: DataFrame, seq: str = "seq") -> DataFrame:
     """False positives and negatives with their record's language, domain, snippet and action texts."""
     wrong = predictions.where(((F.col("label") == 0) & (F.col("predicted") == 1)) | ((F.col("label") == 1) & (F.col("predicted") == 0)))
     wrong = wrong.withColumn("error_type", F.when(F.col("label") == 1, "false_negative").otherwise("false_positive"))
+    if "action_texts" in processed.columns:
+        processed = processed.withColumn("action_texts", F.slice("action_texts", 1, MOST_ACTIONS))
     side = latest(processed, "sample_id", seq)
     return wrong.join(side, "sample_id", "left").withColumn("text_snippet", F.substring("normalized_text", 1, 240)).drop("normalized_text", seq)
 

@@ -73,3 +73,40 @@ def flatten_runs(summaries: DataFrame) -> DataFrame:
     test = F.col("metrics.test")
     fields = ("sample_count", "accuracy", "precision", "recall", "f1", "false_positive_rate", "false_negative_rate", "roc_auc", "pr_auc")
     return summaries.select(F.col("run_dir").alias("run"), "track", "model_name", *[test[f].alias(f) for f in fields])
+
+
+#: Numbers of a split's metrics in a comparison row.
+RUN_NUMBERS = ("sample_count", "accuracy", "precision", "recall", "f1", "pr_auc", "roc_auc", "false_positive_rate", "false_negative_rate")
+#: Which view a track learns from, and which tracks are compared with each other.
+TRACK_GROUPS = {"url": "url", "webpage": "webpage", "webpage_text": "webpage", "webpage_transformer": "webpage", "tabular": "tabular"}
+
+
+def run_rows(documents: DataFrame, split: str = "test") -> DataFrame:
+    """Comparison rows of run summaries of any shape: (run_dir, document), a document being its JSON text.
+
+    Documents are read as VARIANT, so no schema is agreed on: what a run lacks is null, a value that cannot be read as the column's kind is null too,
+    and nested values come as JSON. Of places that may hold a value the summary's own comes before its metrics' and its configuration's.
+    Runs without metrics of the split, and texts that are no JSON object, have no row.
+    """
+    v = F.try_parse_json("document")
+    rows = documents.withColumn("v", v).withColumn("m", F.try_variant_get("v", f"$.metrics.{split}", "variant"))
+    rows = rows.where(F.schema_of_variant("m").startswith("OBJECT"))
+    at = lambda path, kind="string": F.try_variant_get("v", path, kind)
+
+    def nested(*paths):
+        return F.coalesce(*[F.when(~F.is_variant_null(x), F.to_json(x)) for x in (at(p, "variant") for p in paths)])
+
+    name = F.regexp_extract(F.regexp_replace("run_dir", "/+$", ""), "([^/]*)$", 1)
+    groups = F.create_map(*[F.lit(x) for pair in TRACK_GROUPS.items() for x in pair])
+    track = at("$.track")
+    return rows.select(
+        F.concat_ws(":", F.coalesce(track, F.lit("")), F.coalesce(at("$.model_name"), F.lit("")), name).alias("run_id"), name.alias("run_name"), "run_dir", track.alias("track"),
+        F.coalesce(groups[track], track).alias("track_group"), at("$.model_name").alias("model_name"), F.coalesce(at("$.config.split.strategy"), at("$.metrics.split_strategy")).alias("split_strategy"),
+        F.coalesce(at("$.training_mode"), at("$.config.model_config.training_mode")).alias("training_mode"),
+        F.coalesce(at("$.server_side_inference_only", "boolean"), at("$.config.server_side_inference_only", "boolean"), F.lit(False)).alias("server_side_inference_only"),
+        F.coalesce(at(f"$.artifact_paths.{split}_predictions"), at("$.artifact_paths.test_predictions")).alias("predictions_path"), at("$.artifact_paths.metrics").alias("metrics_path"), at("$.artifact_paths.split_manifest").alias("split_manifest_path"),
+        *[F.try_variant_get("m", f"$.{n}", "double").alias(n) for n in RUN_NUMBERS], *[F.try_variant_get("m", f"$.confusion_matrix.{n}", "long").alias(n) for n in ("tn", "fp", "fn", "tp")],
+        nested("$.metrics.class_distribution").alias("class_distribution"), nested("$.excluded_counts", "$.metrics.excluded_counts").alias("excluded_counts"),
+        nested("$.metrics.text_field_priority", "$.config.text_field_priority").alias("text_field_priority"), nested("$.config.input_fields").alias("input_fields"),
+        nested("$.config.feature_names_used", "$.feature_names_used").alias("feature_names_used"), nested("$.artifact_paths").alias("artifact_paths"), nested("$.package_versions").alias("package_versions"),
+    )

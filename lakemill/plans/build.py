@@ -173,6 +173,8 @@ def evaluate_all(spark: SparkSession, root: str, out: str, names: list[str] | No
     table = export.comparison_rows(spark, runs)
     ranked = fusion.rank_runs(table)
     sinks.write_comparison(ranked, f"{out}/comparison")
+    documents = spark.createDataFrame([(r["run_dir"], json.dumps(r, default=str)) for r in runs], "run_dir string, document string")
+    sinks.write_comparison(fusion.run_rows(documents), f"{out}/runs")
     best = fusion.recommend(table, weights or {"f1": 0.4, "pr_auc": 0.4, "false_positive_rate": -0.2}).collect()
     result = {"comparison": [r.asDict() for r in ranked.orderBy("track", "rank").collect()], "recommended": [r.asDict() for r in best], "calibration": {}, "errors": failed}
     for r in best:

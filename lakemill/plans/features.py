@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from lakemill.functions import urls
 from lakemill.functions.suffixes import COMMON_RULES
 from lakemill.functions.times import normalized_time
-from lakemill.operators import adaptive, encoders, metrics, models, splits, vectorizer
-from lakemill.plans.catalogue import _ACTS, _VISIBLE, HTML_FLAGS, IS_IP, KEYWORDS, ODD_PARTS, PRED, URL_FLAGS, _pages, predictions, query, r6, table
+from lakemill.operators import adaptive, encoders, fusion, metrics, models, splits, vectorizer
+from lakemill.plans.catalogue import _ACTS, _CONF, _ERR, _F1, HTML_FLAGS, IS_IP, KEYWORDS, ODD_PARTS, PRED, URL_FLAGS, _errors, _pages, predictions, query, r6, table
 from lakemill.plans.samples import odd_pages
 
 # --- vectors -------------------------------------------------------------------------------------
@@ -240,3 +240,39 @@ def split_fallbacks(spark, d):
         made, report = splits.split_with_report(rows, strategy, "doc_id", label, group=F.lit("all"), split_col="own")
         found.append(made.groupBy("split").agg(F.count(F.lit(1)).alias("n")).select(F.lit(strategy).alias("asked"), F.lit(report["fallback_reason"]).cast("string").alias("reason"), "split", "n"))
     return found[0].union(found[1]).union(found[2])
+
+
+# --- errors and runs -----------------------------------------------------------------------------
+
+
+@query(f"""{_ERR}, r AS (SELECT error_type, unnest(['language', 'source', 'domain', 'tld']) AS dim, unnest([coalesce(nullif(language, ''), 'unknown'), coalesce(nullif(source, ''), 'unknown'), registered_domain, CASE WHEN sample_id % 3 = 0 THEN 'unknown' ELSE 'com' END]) AS value FROM e)
+SELECT dim, value, count(*) FILTER (error_type = 'false_positive') AS false_positives, count(*) FILTER (error_type = 'false_negative') AS false_negatives FROM r GROUP BY ALL""")
+def errors_rollups(spark, d):
+    return adaptive.error_rollups(_errors(spark, d).withColumn("suffix", F.when(F.col("sample_id") % 3 != 0, "com")))
+
+
+_RUN_SQL = f"""WITH {PRED}, c AS (SELECT source, language, count(*) AS n, {_CONF} FROM p GROUP BY ALL), k AS (SELECT *, length(source || language) % 3 AS shape FROM c)
+SELECT 'webpage_text:' || source || ':' || language AS run_id, language AS run_name, 'webpage' AS track_group, CASE WHEN shape = 0 THEN 'group' ELSE 'stratified' END AS split_strategy, n::DOUBLE AS sample_count, round({_F1}, 6) AS f1, CASE WHEN shape < 2 THEN tp END AS tp, CASE WHEN shape < 2 THEN fn END AS fn,
+CASE shape WHEN 0 THEN '{{"null":' || fp::VARCHAR || '}}' WHEN 1 THEN '{{"null":' || fn::VARCHAR || '}}' END AS excluded_counts, CASE WHEN shape = 2 THEN '["text","' || source || '"]' END AS input_fields, shape = 1 AS server_side_inference_only FROM k"""
+
+
+@query(_RUN_SQL)
+def run_rows(spark, d):
+    """Runs by source and language, whose summaries have three shapes, and broken documents, which have no row."""
+    c = metrics.confusion(predictions(spark, d), ["source", "language"])
+    shape = F.length(F.concat("source", "language")) % 3
+    n = F.col("tn") + F.col("fp") + F.col("fn") + F.col("tp")
+    matrix = F.when(shape < 2, F.struct("tn", "fp", "fn", "tp"))
+    excluded = lambda k, c: F.when(shape == k, F.struct(F.col(c).alias("null")))
+    of_split = F.struct(n.alias("sample_count"), "f1", matrix.alias("confusion_matrix"))
+    document = F.to_json(
+        F.struct(
+            F.lit("webpage_text").alias("track"), F.col("source").alias("model_name"), excluded(0, "fp").alias("excluded_counts"), F.when(shape == 1, F.lit(True)).alias("server_side_inference_only"),
+            F.struct(of_split.alias("test"), excluded(1, "fn").alias("excluded_counts"), F.when(shape != 0, "stratified").alias("split_strategy")).alias("metrics"),
+            F.struct(F.when(shape == 0, F.struct(F.lit("group").alias("strategy"))).alias("split"), F.when(shape == 2, F.array(F.lit("text"), "source")).alias("input_fields")).alias("config"),
+        )
+    )
+    documents = c.select(F.concat(F.lit("/runs/"), "source", F.lit("/"), "language").alias("run_dir"), document.alias("document"))
+    broken = c.select(F.lit("/runs/x").alias("run_dir"), F.explode(F.array(F.lit("{"), F.lit("[1]"), F.lit('{"metrics": {"test": 3}}'))).alias("document"))
+    found = fusion.run_rows(documents.union(broken))
+    return found.select("run_id", "run_name", "track_group", "split_strategy", "sample_count", r6("f1", "f1"), "tp", "fn", "excluded_counts", "input_fields", "server_side_inference_only")

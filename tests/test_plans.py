@@ -39,6 +39,8 @@ def test_build_train_evaluate(spark, snapshots, tmp_path):
     assert {r["run"] for r in result["comparison"]} == {"url_tfidf_logreg", "text_tfidf_svm"} and "missing" in result["errors"]
     assert result["calibration"] and all(0 <= c["low_threshold"] <= c["binary_threshold"] <= 1 for c in result["calibration"].values())
     assert build.preview(spark, snapshots, 3).count() == 3
+    rows = {r["model_name"]: r for r in spark.read.csv(f"{out}/runs", header=True, escape='"').collect()}
+    assert set(rows) == {"url_tfidf_logreg", "text_tfidf_svm"} and len(rows["url_tfidf_logreg"]) > 20 and float(rows["url_tfidf_logreg"]["f1"]) == summary["metrics"]["test"]["f1"]
     # runs are found again, saved models give what they gave, and the service gets its files
     found = export.read_runs(spark, out)
     assert [r["model_name"] for r in found] == ["text_tfidf_svm", "url_tfidf_logreg"] and all(r["run_dir"].startswith("file:") for r in found)
@@ -198,3 +200,17 @@ def test_build_resumes_by_settings_and_files(spark, snapshots, tmp_path):
     assert adaptive.proposals(view, 5).count() > 0
     report = adaptive.drift_document(adaptive.drift_report(view.where("normalized_label = 1"), view.where("normalized_label = 0")))
     assert report["label_distribution"]["js_divergence"] == pytest.approx(1.0) and report["score_distribution"] == {"available": False} and report["top_token_shift"]
+
+
+def test_run_rows_of_uneven_documents(spark):
+    from lakemill.operators import fusion
+
+    good = {"track": "url", "model_name": "m", "metrics": {"test": {"f1": 0.5, "sample_count": 7, "confusion_matrix": {"tn": 3}, "recall": "high"}, "excluded_counts": None}, "excluded_counts": {"null": 2}, "config": {"feature_names_used": ["a", "b"]}}
+    other = {"track": "odd", "metrics": {"test": {}, "validation": {"f1": 1}, "class_distribution": {"0": 1}}, "server_side_inference_only": "yes"}
+    texts = [json.dumps(good), json.dumps(other), json.dumps({"metrics": {"test": None}}), json.dumps([good]), "no json", "", None, json.dumps({"metrics": {}})]
+    rows = fusion.run_rows(spark.createDataFrame([(f"/a/run{k}/", t) for k, t in enumerate(texts)], "run_dir string, document string")).orderBy("run_dir").collect()
+    assert [r["run_id"] for r in rows] == ["url:m:run0", "odd::run1"]
+    a, b = rows
+    assert (a["f1"], a["sample_count"], a["tn"], a["fp"], a["recall"], a["excluded_counts"], a["feature_names_used"]) == (0.5, 7.0, 3, None, None, '{"null":2}', '["a","b"]')
+    assert (b["track_group"], b["f1"], b["class_distribution"], b["server_side_inference_only"], b["excluded_counts"]) == ("odd", None, '{"0":1}', True, None)
+    assert fusion.run_rows(spark.createDataFrame([("/a", json.dumps(other))], "run_dir string, document string"), "validation").first()["f1"] == 1.0
