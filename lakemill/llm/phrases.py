@@ -42,9 +42,9 @@ UNDETERMINED = "und"
 BREAKS = byte_set(b".,;:!?\n\x0b\x0c\r")
 SPACE = BREAKS | byte_set(b" \t")
 #: Words in one trie.
-SHARD = 1_000_000
+SHARD = 600_000
 #: Bytes of text for each prefix range.
-RANGE_BYTES = 6 << 20
+RANGE_BYTES = 4 << 20
 #: The sample that borders come from: so many texts on average, of each so many characters.
 SAMPLE_TEXTS, SAMPLE_CHARS = 500, 4000
 
