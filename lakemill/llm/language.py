@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import itertools
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -36,6 +37,9 @@ EXHAUSTIVE = 6
 #: A lead in score below this is ambiguous.
 LEAD = 0.2
 
+#: Characters whose n-grams are held at once; each takes 28 bytes a bit of four languages and 40 more.
+MOST_CHARS = 1 << 18
+
 _ASCII_LETTER = re.compile("[A-Za-z]")
 
 
@@ -64,6 +68,18 @@ def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return out, starts
 
 
+def groups(texts: list[str], most: int | None = None) -> Iterator[list[str]]:
+    """Runs of ``texts`` of about ``most`` characters, one text at least."""
+    most, start, held = most or MOST_CHARS, 0, 0
+    for i, t in enumerate(texts):
+        if held and held + len(t) > most:
+            yield texts[start:i]
+            start, held = i, 0
+        held += len(t)
+    if start < len(texts):
+        yield texts[start:]
+
+
 def codewords(n: int) -> np.ndarray:
     """(n, bits) of -1 and 1 with no two rows, and no two columns, equal or opposite."""
     if n <= 1:
@@ -95,8 +111,18 @@ class Model:
             return [], [], []
         if not self.languages:
             return [UNDETERMINED] * len(texts), [0.0] * len(texts), [True] * len(texts)
+        found = [self._decode(group) for group in groups(texts)]
+        return tuple([x for part in column for x in part] for column in zip(*found))
+
+    def _sums(self, row: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """The weights of each text's slots; a group of more than ``MOST_CHARS`` is a single text and is added up in pieces."""
+        if len(row) <= 2 * MOST_CHARS or len(starts) > 1:
+            return np.add.reduceat(self.weights[row], starts, axis=0)
+        return sum(self.weights[row[i : i + MOST_CHARS]].sum(0, np.float64) for i in range(0, len(row), MOST_CHARS))[None]
+
+    def _decode(self, texts: list[str]) -> tuple[list[str], list[float], list[bool]]:
         slots, starts = grams(texts)
-        sums = sum(np.add.reduceat(self.weights[row], starts, axis=0) for row in slots)
+        sums = sum(self._sums(row, starts) for row in slots)
         margins = np.clip(sums / TEMPERATURE, -20, 20)
         loss = (np.logaddexp(0, -margins[:, None, :] * self.code) * self.reliability).sum(-1)
         p = np.exp(loss.min(1, keepdims=True) - loss)
@@ -120,8 +146,8 @@ def count_grams(train: DataFrame, text_col: str = "text", lang_col: str = "lang"
                 texts, langs = texts_of(part, "text"), part.column(1).to_pylist()
                 for lang in sorted(set(langs)):
                     mine = [t for t, x in zip(texts, langs) if x == lang and has_letter(t)]
-                    if mine:
-                        n = np.bincount(grams(mine)[0].ravel(), minlength=SLOTS)
+                    for group in groups(mine):
+                        n = np.bincount(grams(group)[0].ravel(), minlength=SLOTS)
                         sums[lang] = sums[lang] + n if lang in sums else n
         for lang, n in sums.items():
             slot = np.flatnonzero(n)

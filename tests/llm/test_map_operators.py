@@ -231,3 +231,25 @@ def test_quality_verdict_equals_its_definition(spark, sf):
         assert r["kept"] == (fits and not r["base_failed"]), i
         assert r["class_distance"] is None or abs(r["class_distance"] - by_class) < 1e-9
         assert r["word_distance"] is None or abs(r["word_distance"] - by_word) < 1e-9
+
+
+def test_language_memory_does_not_grow_with_the_batch():
+    import tracemalloc
+
+    langs = ["da", "de", "en", "fr"]
+    code = language.codewords(4)
+    rng = np.random.default_rng(1)
+    model = language.Model(langs, code, rng.normal(size=(language.SLOTS, code.shape[1])).astype(np.float32), np.ones(code.shape[1]))
+    texts = ["".join(x) for x in rng.choice(list("abcdefg ß"), (2000, 1000))]
+    tracemalloc.start()
+    got = model.decode(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60e6, peak
+    alone = [model.decode([t]) for t in texts[:50]]
+    assert [x[:50] for x in got] == [[r[k][0] for r in alone] for k in range(3)]
+    whole, pieces = "".join(texts), model._sums
+    model._sums = lambda row, starts: np.add.reduceat(model.weights[row].astype(float), starts, axis=0)
+    expected = model.decode([whole])
+    model._sums = pieces
+    assert model.decode([whole])[0] == expected[0] and abs(model.decode([whole])[1][0] - expected[1][0]) < 1e-9
