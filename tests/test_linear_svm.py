@@ -72,3 +72,13 @@ def test_minimize_on_a_quadratic():
     a = np.diag([1.0, 50.0, 3000.0])
     x, steps = minimize(lambda v: (0.5 * v @ a @ v - v.sum(), a @ v - 1), np.zeros(3), 200, 1e-10)
     assert np.allclose(x, 1 / np.diag(a)) and steps < 60
+
+
+def test_features_are_not_named_in_metadata(spark):
+    from lakemill.operators import linear_svm, models
+
+    df = spark.createDataFrame([(i, float(i % 2), 1.0, [f"t{i}", f"t{i // 2}", "a" if i % 2 else "b"]) for i in range(40)], "sample_id int, label double, weight double, terms array<string>")
+    ready = models.Featurizer("tfidf", min_df=1.0).fit(df).transform(df)
+    assert len(ready.schema["features"].metadata.get("ml_attr", {}).get("attrs", {})) == 0
+    named = ready.withMetadata("features", {"ml_attr": {"attrs": {"numeric": [{"idx": i, "name": f"n{i}"} for i in range(50)]}}})
+    assert not linear_svm._bare(named).schema["features"].metadata
