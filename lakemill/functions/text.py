@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,19 +14,24 @@ URGENCY_TERMS = ("urgent", "verify", "confirm", "suspend", "login", "password",
 LANGUAGE_ALIASES = {"ara": "ar", "arabic": "ar", "eng": "en", "english": "en", "fra": "fr", "fre": "fr", "french": "fr"}
 NO_LANGUAGE = ("", "none", "null", "nan", "unknown", "und")
 
+#: Texts that are Python strings at once.
+ROWS = 256
+
 URL = r"(?i)https?://\S+"
 EMAIL = r"(?U)\b[\w.\-+%]+@[\w.\-]+\.\w+\b"
 
 
-def nfkc(c: Column) -> Column:
-    """Unicode NFKC; only texts beyond ASCII leave the JVM, in Arrow batches."""
-    from pyspark.sql.functions import pandas_udf
+def _normalized(texts: pa.Array) -> pa.Array:
+    """In slices, as Python's strings take up to four bytes a character; a batch of Arrow may be large."""
+    import unicodedata
 
-    @pandas_udf("string")
-    def normalized(texts: pd.Series) -> pd.Series:
-        import unicodedata
+    parts = [pa.array([t if t is None else unicodedata.normalize("NFKC", t) for t in texts.slice(i, ROWS).to_pylist()], texts.type) for i in range(0, len(texts), ROWS)]
+    return pa.concat_arrays(parts) if parts else texts
 
-        return texts.map(lambda t: t if t is None else unicodedata.normalize("NFKC", t))
+
+def nfkc(c: Column) -> Column:
+    """Unicode NFKC; only texts beyond ASCII leave the JVM, in Arrow batches."""
+    normalized = F.arrow_udf(_normalized, "string")
 
     wide = F.when(c.rlike(r"[^\x00-\x7F]"), c)
     return F.coalesce(normalized(wide), c)

@@ -20,9 +20,14 @@ def grouping_sets(df: DataFrame, source: str, language: str, label: str) -> Data
     return out.select(F.element_at(names, F.col("g").cast("int")).alias("dim"), "source", "language", "label", "n")
 
 
+def with_view(df: DataFrame, *columns) -> DataFrame:
+    """A row per record and view; a plain ``explode`` would filter by the views first, with a second run of the Python that they come from."""
+    return df.select(F.explode_outer("views").alias("view"), *columns).where("view is not null")
+
+
 def view_stats(df: DataFrame) -> DataFrame:
     """A row per view and source: records, records by label, warnings and modalities."""
-    rows = df.select(F.explode("views").alias("view"), "source_dataset", "normalized_label", F.size("processing_metadata.validation_warnings").alias("w"), "modality_flags")
+    rows = with_view(df, "source_dataset", "normalized_label", F.size("processing_metadata.validation_warnings").alias("w"), "modality_flags")
     flags = [F.count_if(F.col(f"modality_flags.{f}")).alias(f"n_{f}") for f in FLAGS[1:6]]
     label = label_bucket(F.col("normalized_label"))
     counts = [F.count_if(label == b).alias(f"n_{b}") for b in ("phishing", "benign", "null")]

@@ -214,3 +214,9 @@ def test_run_rows_of_uneven_documents(spark):
     assert (a["f1"], a["sample_count"], a["tn"], a["fp"], a["recall"], a["excluded_counts"], a["feature_names_used"]) == (0.5, 7.0, 3, None, None, '{"null":2}', '["a","b"]')
     assert (b["track_group"], b["f1"], b["class_distribution"], b["server_side_inference_only"], b["excluded_counts"]) == ("odd", None, '{"0":1}', True, None)
     assert fusion.run_rows(spark.createDataFrame([("/a", json.dumps(other))], "run_dir string, document string"), "validation").first()["f1"] == 1.0
+
+
+@pytest.mark.parametrize("name", ["view_stats", "canonical_view_counts"])
+def test_python_runs_once_for_each_kind_of_record(spark, sf, name):
+    plan = catalogue.QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 4  # 8 with a filter by the views below them
