@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, Normalizer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from lakemill.functions.text import word_grams
 from lakemill.functions.urls import model_features, with_url
 from lakemill.operators import metrics, vectorizer
+from lakemill.operators.boosting import Boosting
 from lakemill.operators.linear_svm import SquaredHingeSVM
 from lakemill.operators.trees import Forest
 
@@ -54,7 +55,7 @@ ESTIMATORS = {
     "linear_svm": lambda n: SquaredHingeSVM(C=1.0, maxIter=1000),
     "random_forest": lambda n: Forest(numTrees=400, maxDepth=30, seed=SEED),
     "url_forest": lambda n: Forest(numTrees=300, maxDepth=30, seed=SEED),
-    "gradient_boosting": lambda n: GBTClassifier(featuresCol="features", labelCol="label", weightCol="weight", maxIter=300, stepSize=0.05, maxDepth=6, seed=SEED),
+    "gradient_boosting": lambda n: Boosting(maxIter=300, stepSize=0.05, maxDepth=6, seed=SEED),
 }
 
 

@@ -31,5 +31,10 @@ def cut(df: DataFrame, name: str) -> DataFrame:
 def discard(*written: DataFrame) -> None:
     """Delete what ``cut`` wrote; nothing that is still to run may read it."""
     for df in written:
-        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.written_to)
-        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+        remove(df.sparkSession, df.written_to)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder in the shared folder."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -16,7 +16,7 @@ from pyspark.ml import Model
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BINS = 32
@@ -186,11 +186,13 @@ class ForestModel(Model, MLWritable, MLReadable):
                 yield pd.Series(model.sums(np.stack(s.to_numpy())) if len(s) else [], dtype=float)
 
         df = df.withColumn("__sum", summed(vector_to_array("features")))
-        raw = F.array(F.lit(float(len(self.roots))) - F.col("__sum"), F.col("__sum"))
-        p = F.col("__sum") / F.lit(float(len(self.roots)))
-        # two classes, of which the first wins ties
-        df = df.withColumns({"rawPrediction": array_to_vector(raw), "probability": array_to_vector(F.array(1 - p, p)), "prediction": (p > 0.5).cast("double")})
-        return df.drop("__sum")
+        return df.withColumns(self._outcome(F.col("__sum"))).drop("__sum")
+
+    def _outcome(self, total: Column) -> dict[str, Column]:
+        """The columns that MLlib's classifiers add; of two classes the first wins ties."""
+        trees = F.lit(float(len(self.roots)))
+        p = total / trees
+        return {"rawPrediction": array_to_vector(F.array(trees - total, total)), "probability": array_to_vector(F.array(1 - p, p)), "prediction": (p > 0.5).cast("double")}
 
     def _state(self) -> tuple:
         return self.roots, self.feature, self.threshold, self.left, self.value
@@ -200,7 +202,7 @@ class ForestModel(Model, MLWritable, MLReadable):
 
     @classmethod
     def read(cls) -> MLReader:
-        return _Reader()
+        return _Reader(cls)
 
 
 class _Writer(MLWriter):
@@ -217,11 +219,15 @@ class _Writer(MLWriter):
 
 
 class _Reader(MLReader):
+    def __init__(self, kind: type[ForestModel]):
+        super().__init__()
+        self.kind = kind
+
     def load(self, path: str) -> ForestModel:
         spark = SparkSession.getActiveSession()
         metadata = DefaultParamsReader.loadMetadata(path, spark)
         nodes = spark.read.parquet(f"{path}/nodes").toPandas().sort_values("node")
-        model = ForestModel(nodes["node"][nodes["root"]], nodes["feature"], nodes["threshold"], nodes["left"], nodes["value"])
+        model = self.kind(nodes["node"][nodes["root"]], nodes["feature"], nodes["threshold"], nodes["left"], nodes["value"])
         return model._resetUid(metadata["uid"])
 
 
