@@ -18,6 +18,10 @@ NO_LANGUAGE = ("", "none", "null", "nan", "unknown", "und")
 ROWS = 256
 
 URL = r"(?i)https?://\S+"
+#: As a regular expression without Unicode's classes has it; the long s is a lower-case form of S.
+PLAIN_URL = r"[Hh][Tt][Tt][Pp][Ss\u017f]?://[^\t\n\f\r ]+"
+#: Unicode's space separators.
+SPACES = " \xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u202f\u205f\u3000"
 EMAIL = r"(?U)\b[\w.\-+%]+@[\w.\-]+\.\w+\b"
 
 
@@ -58,8 +62,8 @@ def word_grams(t: Column, sizes: tuple[int, ...] = (1, 2)) -> Column:
     return F.flatten(F.array(*[of(n) for n in sizes]))
 
 
-def urgency_terms(c: Column) -> Column:
-    low = F.lower(c)
+def urgency_terms(c: Column, lower=F.lower) -> Column:
+    low = lower(c)
     return F.array_compact(F.array(*[F.when(low.contains(t), F.lit(t)) for t in URGENCY_TERMS]))
 
 
@@ -77,6 +81,17 @@ def text_features(original: Column, normalized: Column) -> Column:
     return F.when(filled(trimmed), made)
 
 
+def plain_text_features(c: Column) -> Column:
+    """The same of a text as it stands: every at sign counts, white space is ASCII's, and of Unicode only case and the spaces at the ends."""
+    return F.struct(
+        F.length(F.btrim(c, F.lit(SPACES))).alias("original_length"),
+        F.regexp_count(c, F.lit(r"[^\t\n\f\r ]+")).alias("token_count"),
+        F.regexp_count(c, F.lit(PLAIN_URL)).alias("url_count"),
+        (F.length(c) - F.length(F.replace(c, F.lit("@"), F.lit("")))).alias("email_count"),
+        urgency_terms(c, lambda x: F.lower(F.replace(x, F.lit("\u0130"), F.lit("i")))).alias("urgency_terms"),
+    )
+
+
 def prefix_hash(normalized: Column, most: int = 512) -> Column:
     return content_hash(F.substring(normalized, 1, most))
 
