@@ -82,3 +82,38 @@ def test_features_are_not_named_in_metadata(spark):
     assert len(ready.schema["features"].metadata.get("ml_attr", {}).get("attrs", {})) == 0
     named = ready.withMetadata("features", {"ml_attr": {"attrs": {"numeric": [{"idx": i, "name": f"n{i}"} for i in range(50)]}}})
     assert not linear_svm._bare(named).schema["features"].metadata
+
+
+def test_terms_are_counted_as_by_mllib(spark):
+    from pyspark.ml.feature import IDF, CountVectorizer
+
+    texts = ["a a b", "a b c c", "b d", "", "c c c a e", "d \n d"]
+    df = spark.createDataFrame([(t.split(" "),) for t in texts], "terms array<string>").repartition(3)
+    theirs = CountVectorizer(inputCol="terms", outputCol="tf", minDF=2.0).fit(df)
+    idf = dict(zip(theirs.vocabulary, IDF(inputCol="tf", outputCol="x").fit(theirs.transform(df)).idf.toArray() + 1))
+    model, ours = models.counted_terms(df, 100, 2.0)
+    assert dict(zip(model.vocabulary, ours)) == pytest.approx(idf)
+    assert model.vocabulary == ["c", "a", "b", "d"]  # 5, 4, 3 and 3
+    assert models.counted_terms(df, 2, 2.0)[0].vocabulary == model.vocabulary[:2]
+
+
+def test_terms_come_after_the_split(spark, monkeypatch):
+    """They are many times the text's size, so neither the join nor the ranks may move them."""
+    from lakemill.plans import learning
+
+    seen = []
+    monkeypatch.setattr(learning.splits, "stratified", lambda df, *a: seen.append(df.columns) or df.limit(0))
+    monkeypatch.setattr(learning, "cut", lambda df, name: seen.append(df.columns) or (_ for _ in ()).throw(StopIteration))
+    with pytest.raises(StopIteration):
+        learning.ml_text_tfidf_svm(spark, "/root/testdata/sf0.001")
+    assert "terms" not in seen[0] and "terms" in seen[1]
+
+
+def test_word_grams_with_few_words_and_none(spark):
+    from pyspark.sql import functions as F
+
+    from lakemill.functions.text import word_grams
+
+    rows = [(None,), ([],), (["a"],), (["a", "b"],), (["a", "", "c"],)]
+    got = [r[0] for r in spark.createDataFrame(rows, "t array<string>").coalesce(1).select(word_grams(F.col("t"), (1, 2, 3))).collect()]
+    assert got == [[], [], ["a"], ["a", "b", "a b"], ["a", "", "c", "a ", " c", "a  c"]]
